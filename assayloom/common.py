@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,11 +51,14 @@ def salted_left_join(left: DataFrame, right: DataFrame, on: list[str], hash_colu
     return left.join(right, [hash_column, *on, "_salt"], "left").drop("_salt")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder the cluster names; a local one is only chosen where none is set (tests)."""
-    sc = df.sparkSession.sparkContext
-    if not df.sparkSession.conf.get("spark.checkpoint.dir", None) and sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(os.path.join(tempfile.gettempdir(), "assayloom-checkpoint"))
-    elif sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir"))
-    return df.checkpoint(eager=True)
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names for checkpoints; a local one is only chosen where none is set (tests)."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    return named or "file://" + os.path.join(tempfile.gettempdir(), "assayloom-checkpoint")
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The same rows, computed once and read back from a table in the shared folder, so that lost executors cost no recomputation."""
+    path = f"{shared_folder(df.sparkSession)}/assayloom-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
