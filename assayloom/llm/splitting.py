@@ -10,12 +10,11 @@ import re
 import unicodedata
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assayloom.llm.tokens import DEFAULT_VOCABULARY, Counter, counter
+from assayloom.llm.tokens import DEFAULT_VOCABULARY, Counter, Tokenized, counter
 
 LIMIT = 512
 OVERLAP = 64
@@ -43,40 +42,40 @@ def natural_cuts(text: str) -> list[tuple[int, int]]:
     return sorted(cuts.items())
 
 
-def _words(text: str, start: int, end: int, limit: int, count) -> list[tuple[int, int, int]]:  # noqa: ANN001
+def _words(doc: Tokenized, start: int, end: int, limit: int) -> list[tuple[int, int, int]]:
     """Blocks of a sentence that is too long: words, and parts of words that are too long themselves."""
-    edges = [start, *(m.end() for m in _WORD.finditer(text, start, end) if start < m.end() < end), end]
+    edges = [start, *(m.end() for m in _WORD.finditer(doc.text, start, end) if start < m.end() < end), end]
     blocks: list[tuple[int, int, int]] = []
     for a, b in zip(edges, edges[1:], strict=False):
-        n = count(text[a:b]) if b - a < 20 * limit else limit + 1
+        n = doc.count(a, b) if b - a < 20 * limit else limit + 1
         if n <= limit:
             blocks.append((a, b, n))
         else:
-            blocks += _characters(text, a, b, limit, count)
+            blocks += _characters(doc, a, b, limit)
     return blocks
 
 
-def _characters(text: str, start: int, end: int, limit: int, count) -> list[tuple[int, int, int]]:  # noqa: ANN001
+def _characters(doc: Tokenized, start: int, end: int, limit: int) -> list[tuple[int, int, int]]:
     blocks = []
     while start < end:
         size = min(end - start, 4 * limit)
-        while (n := count(text[start : start + size])) > limit and size > 1:
+        while (n := doc.count(start, start + size)) > limit and size > 1:
             size = max(1, min(size - 1, size * limit // n))
         stop = start + size
-        while start + 1 < stop < end and unicodedata.combining(text[stop]):
+        while start + 1 < stop < end and unicodedata.combining(doc.text[stop]):
             stop -= 1
         if stop != start + size:
-            n = count(text[start:stop])
+            n = doc.count(start, stop)
         blocks.append((start, stop, n))
         start = stop
     return blocks
 
 
-def _blocks(text: str, ends: np.ndarray, limit: int, count) -> list[tuple[int, int, int]]:  # noqa: ANN001
-    """Spans (start, end, tokens) of at most ``limit`` tokens that no piece cuts: the coarsest that fit. ``ends``: see Counter.ends."""
-    cuts = natural_cuts(text)
-    edges = [0, *(p for p, _ in cuts), len(text)]
-    upto = np.searchsorted(ends, edges, side="right").tolist()  # tokens that end within the first characters
+def _blocks(doc: Tokenized, limit: int) -> list[tuple[int, int, int]]:
+    """Spans (start, end, tokens) of at most ``limit`` tokens that no piece cuts: the coarsest that fit."""
+    cuts = natural_cuts(doc.text)
+    edges = [0, *(p for p, _ in cuts), len(doc.text)]
+    upto = doc.upto(edges)
     strength = [s for _, s in cuts]  # strength[i] lies between units i and i + 1
     out: list[tuple[int, int, int]] = []
     todo = [(0, len(edges) - 1, SECTION)]
@@ -86,7 +85,7 @@ def _blocks(text: str, ends: np.ndarray, limit: int, count) -> list[tuple[int, i
         if n <= limit:
             out.append((edges[i], edges[j], n))
         elif j - i == 1:
-            out += _words(text, edges[i], edges[j], limit, count)
+            out += _words(doc, edges[i], edges[j], limit)
         else:
             inner = [k + 1 for k in range(i, j - 1) if strength[k] >= level]
             bounds = [i, *inner, j]
@@ -94,16 +93,15 @@ def _blocks(text: str, ends: np.ndarray, limit: int, count) -> list[tuple[int, i
     return out
 
 
-def _overlap(text: str, start: int, end: int, overlap: int, counter: Counter) -> tuple[int, int]:
-    """(start, tokens) of the longest run of whole words at the end of text[start:end] with at most ``overlap`` tokens."""
-    low = max(start, end - 10 * overlap)
-    if overlap <= 0 or low >= end:
+def _overlap(doc: Tokenized, start: int, end: int, overlap: int) -> tuple[int, int]:
+    """(start, tokens) of the longest run of whole words at the end of [start, end) with at most ``overlap`` tokens."""
+    if overlap <= 0:
         return end, 0
-    ends = counter.ends(text[low:end])
-    first = low + (int(ends[len(ends) - overlap - 1]) if len(ends) > overlap else 0)
-    for m in _WORD.finditer(text, first, end):
+    last = doc.upto([end])[0]
+    first = max(start, end - 10 * overlap, int(doc.ends[last - overlap - 2]) if last > overlap + 1 else 0)
+    for m in _WORD.finditer(doc.text, first, end):
         if first <= m.end() < end:
-            n = counter.count(text[m.end() : end])
+            n = doc.count(m.end(), end)
             if n <= overlap:
                 return m.end(), n
     return end, 0
@@ -115,34 +113,33 @@ def split_text(text: str, limit: int, overlap: int, counter: Counter) -> Iterato
     The blocks are sized to leave room for the overlap. Token counts do not add up exactly across a cut, so each piece is counted as a whole and
     gives back blocks, then overlap, until it fits.
     """
-    count = counter.count
-    # most texts fit; counting is cheaper than placing the tokens, except where the text will hardly fit
-    if len(text) <= 8 * limit and (n := count(text)) <= limit:
+    # a short text mostly fits, and counting is cheaper than placing the tokens
+    if len(text) <= 3 * limit and (n := counter.count(text)) <= limit:
         yield 0, len(text), n, 0
         return
-    ends = counter.ends(text)
-    if len(ends) <= limit:
-        yield 0, len(text), len(ends), 0
+    doc = Tokenized(text, counter)
+    if len(doc) <= limit:
+        yield 0, len(text), len(doc), 0
         return
-    blocks = _blocks(text, ends, max(1, limit - overlap - _SLACK), count)
+    blocks = _blocks(doc, max(1, limit - overlap - _SLACK))
     i, start, n = 0, 0, 0
     while i < len(blocks):
         j = i
         while j < len(blocks) and (j == i or n + blocks[j][2] <= limit - _SLACK):
             n += blocks[j][2]
             j += 1
-        while (n := count(text[start : blocks[j - 1][1]])) > limit and j > i + 1:
+        while (n := doc.count(start, blocks[j - 1][1])) > limit and j > i + 1:
             j -= 1
         if n > limit:
             start = blocks[i][0]
-            n = count(text[start : blocks[i][1]])
+            n = doc.count(start, blocks[i][1])
         if n > limit:  # a block right at the limit whose count rose at its edges
-            tail = _characters(text, blocks[i][0], blocks[i][1], limit, count)
+            tail = _characters(doc, blocks[i][0], blocks[i][1], limit)
             blocks[i : i + 1] = tail
             n = tail[0][2]
         end = blocks[j - 1][1]
         yield start, end, n, blocks[i][0] - start
-        start, n = _overlap(text, blocks[i][0], end, overlap, counter)
+        start, n = _overlap(doc, blocks[i][0], end, overlap)
         i = j
 
 

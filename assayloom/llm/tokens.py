@@ -60,6 +60,39 @@ class Counter:
         return (starts - ~whole)[ends - 1]
 
 
+class Tokenized:
+    """A text tokenized once. ``count`` is the exact number of tokens of any part on its own, mostly read off the whole text's tokens.
+
+    At a blank between two words there is a token boundary whatever surrounds the words. A part therefore has the whole text's tokens
+    between its first and last such blank, and only what lies outside these is tokenized again.
+    """
+
+    def __init__(self, text: str, counter: Counter):
+        self.text, self.counter, self.ends = text, counter, counter.ends(text)
+
+    def __len__(self) -> int:
+        return len(self.ends)
+
+    def upto(self, positions: list[int]) -> list[int]:
+        """For each position, the tokens that end by it."""
+        return np.searchsorted(self.ends, positions, side="right").tolist()
+
+    def count(self, start: int, end: int) -> int:
+        text = self.text
+        x = text.find(" ", start + 1, end - 1)
+        while x >= 0 and (text[x - 1].isspace() or text[x + 1].isspace()):
+            x = text.find(" ", x + 1, end - 1)
+        if x < 0:
+            return self.counter.count(text[start:end])
+        y = text.rfind(" ", x, end - 1)
+        while y > x and (text[y - 1].isspace() or text[y + 1].isspace()):
+            y = text.rfind(" ", x, y)
+        if y - x < 64:
+            return self.counter.count(text[start:end])
+        a, b = np.searchsorted(self.ends, (x, y), side="right").tolist()
+        return self.counter.count(text[start:x]) + b - a + self.counter.count(text[y:end])
+
+
 @functools.lru_cache(maxsize=4)
 def counter(path: str = DEFAULT_VOCABULARY) -> Counter:
     return Counter(path)

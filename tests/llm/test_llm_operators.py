@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from assayloom.llm import canon, contamination, lookalike, packing, queries, splitting
-from assayloom.llm.tokens import DEFAULT_VOCABULARY, counter
+from assayloom.llm.tokens import DEFAULT_VOCABULARY, Tokenized, counter
 
 # -- tokens ----------------------------------------------------------------------------------------------------------------------
 
@@ -36,6 +36,13 @@ def test_counts_equal_the_public_pattern(text):
     assert len(ends) == counter().count(text) and (not len(ends) or ends[-1] == len(text))
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="ab Z9.,\n é日😀'", max_size=400), st.integers(0, 400), st.integers(0, 400))
+def test_parts_count_as_on_their_own(text, a, b):
+    a, b = sorted((min(a, len(text)), min(b, len(text))))
+    assert Tokenized(text, counter()).count(a, b) == counter().count(text[a:b])
+
+
 # -- 9: splitting ----------------------------------------------------------------------------------------------------------------
 
 
