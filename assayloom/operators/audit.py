@@ -141,12 +141,12 @@ def dead_columns(cells: DataFrame, columns: DataFrame, records: DataFrame, keys:
 def coherent_unread_ids(all_ids: DataFrame, read: DataFrame, keys: list[str], least: int = 3, share: float = 0.8) -> DataFrame:
     """Per key: short ids that were not read, if there are enough, no more than read ones, and two shapes cover most of them."""
     unread = all_ids.filter(F.length("cid") <= 14).join(read.select(*keys, "cid").distinct(), [*keys, "cid"], "left_anti").select(*keys, "cid").distinct()
-    shapes = unread.groupBy(*keys, fn.id_shape(F.col("cid")).alias("shape")).agg(F.count(F.lit(1)).alias("k"))
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("k"), "shape"))
-    per = shapes.withColumn("r", rank).groupBy(*keys).agg(F.sum("k").alias("unread"), F.sum(F.when(F.col("r") <= 2, F.col("k")).otherwise(0)).alias("top"))
+    shapes = unread.groupBy(*keys, fn.id_shape(F.col("cid")).alias("shape")).agg(F.count(F.lit(1)).alias("_k"))
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("_k"), "shape"))
+    per = shapes.withColumn("_r", rank).groupBy(*keys).agg(F.sum("_k").alias("unread"), F.sum(F.when(F.col("_r") <= 2, F.col("_k")).otherwise(0)).alias("_top"))
     n_read = read.groupBy(*keys).agg(F.count_distinct("cid").alias("n_read"))
     out = per.join(n_read, keys, "left").fillna(0, ["n_read"])
-    return out.filter((F.col("unread") >= least) & (F.col("n_read") >= F.col("unread")) & (F.col("top") >= share * F.col("unread"))).drop("top")
+    return out.filter((F.col("unread") >= least) & (F.col("n_read") >= F.col("unread")) & (F.col("_top") >= share * F.col("unread"))).drop("_top")
 
 
 def yield_contradictions(blocks: DataFrame, least: int = 5) -> DataFrame:

@@ -109,9 +109,9 @@ def sessions(rows: DataFrame, keys: list[str], order: str, starts: Column) -> Da
 def modal_stride(rows: DataFrame, keys: list[str], label: str, position: str, least: int = 5) -> DataFrame:
     """(keys, label, stride, share, n): most frequent distance between repeats of a label (smallest on a tie) and its share of the gaps."""
     gap = F.col(position) - F.lag(position).over(Window.partitionBy(*keys, label).orderBy(position))
-    gaps = rows.withColumn("gap", gap).filter("gap is not null").groupBy(*keys, label, "gap").agg(F.count(F.lit(1)).alias("k"))
-    out = gaps.groupBy(*keys, label).agg(F.max(F.struct(F.col("k"), (-F.col("gap")).alias("g"))).alias("m"), F.sum("k").alias("n"))
-    return out.filter(F.col("n") >= least).select(*keys, label, (-F.col("m.g")).alias("stride"), (F.col("m.k") / F.col("n")).alias("share"), "n")
+    gaps = rows.withColumn("_gap", gap).filter("_gap is not null").groupBy(*keys, label, "_gap").agg(F.count(F.lit(1)).alias("_k"))
+    out = gaps.groupBy(*keys, label).agg(F.max(F.struct(F.col("_k").alias("k"), (-F.col("_gap")).alias("g"))).alias("_m"), F.sum("_k").alias("n"))
+    return out.filter(F.col("n") >= least).select(*keys, label, (-F.col("_m.g")).alias("stride"), (F.col("_m.k") / F.col("n")).alias("share"), "n")
 
 
 def best_view(records: DataFrame, block: list[str], view: str, usable: Column, preferred: str) -> DataFrame:

@@ -43,8 +43,8 @@ def mass_verdict(theirs: Column, ours: Column, average: Column | None = None, to
 
 def unambiguous_mass(masses: DataFrame, keys: list[str], mass: str, order: str, spread: float = SPREAD) -> DataFrame:
     """The last mass per key if all lie within ``spread``, else null."""
-    g = masses.filter(F.col(mass).isNotNull()).groupBy(*keys).agg(F.max_by(mass, order).alias("last"), (F.max(mass) - F.min(mass)).alias("s"))
-    return g.select(*keys, F.when(F.col("s") <= spread, F.col("last")).alias(mass))
+    g = masses.filter(F.col(mass).isNotNull()).groupBy(*keys).agg(F.max_by(mass, order).alias("_last"), (F.max(mass) - F.min(mass)).alias("_s"))
+    return g.select(*keys, F.when(F.col("_s") <= spread, F.col("_last")).alias(mass))
 
 
 def tolerance_agreement(reference: DataFrame, ours: DataFrame, keys: list[str], value: str, share: float = 0.01) -> DataFrame:
@@ -94,12 +94,12 @@ def positional_zip(left: DataFrame, right: DataFrame, keys: list[str], left_orde
 def longest_shared_token(left: DataFrame, right: DataFrame, left_id: str, left_text: str, right_id: str, right_text: str, least: int = 4) -> DataFrame:
     """Each left row with the right row that shares its longest word; a tie between two right rows gives null."""
     toks = lambda c: F.array_distinct(F.filter(F.split(F.lower(c), r"[^a-z0-9]+"), lambda w: F.length(w) >= least))
-    a = left.select(left_id, F.explode(toks(left_text)).alias("w"))
-    b = right.select(right_id, F.explode(toks(right_text)).alias("w"))
-    score = a.join(b, "w").groupBy(left_id, right_id).agg(F.max(F.length("w")).alias("score"))
-    best = score.groupBy(left_id).agg(F.max("score").alias("top"))
-    top = score.join(best, left_id).filter("score = top").groupBy(left_id).agg(F.count(F.lit(1)).alias("k"), F.min(right_id).alias(right_id), F.max("score").alias("score"))
-    return top.select(left_id, F.when(F.col("k") == 1, F.col(right_id)).alias(right_id), "score")
+    a = left.select(left_id, F.explode(toks(left_text)).alias("_w"))
+    b = right.select(right_id, F.explode(toks(right_text)).alias("_w"))
+    score = a.join(b, "_w").groupBy(left_id, right_id).agg(F.max(F.length("_w")).alias("score"))
+    best = score.groupBy(left_id).agg(F.max("score").alias("_top"))
+    top = score.join(best, left_id).filter("score = _top").groupBy(left_id).agg(F.count(F.lit(1)).alias("_k"), F.min(right_id).alias(right_id), F.max("score").alias("score"))
+    return top.select(left_id, F.when(F.col("_k") == 1, F.col(right_id)).alias(right_id), "score")
 
 
 def dictionary_with_suffix(names: DataFrame, entries: DataFrame, name: str, key: str, category: str, stripped: Column) -> DataFrame:

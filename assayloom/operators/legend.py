@@ -97,8 +97,8 @@ def bins(legends: DataFrame, keys: list[str], text: Column) -> DataFrame:
 def drop_conflicts(bins: DataFrame, keys: list[str]) -> DataFrame:
     """One definition per (keys, symbol); a symbol with two different ones in a scope yields none."""
     d = F.struct("lo", "hi", "unit")
-    one = bins.groupBy(*keys, "symbol").agg(F.min(d).alias("a"), F.max(d).alias("b"))
-    return one.filter(F.col("a").eqNullSafe(F.col("b"))).select(*keys, "symbol", "a.*")
+    one = bins.groupBy(*keys, "symbol").agg(F.min(d).alias("_a"), F.max(d).alias("_z"))
+    return one.filter(F.col("_a").eqNullSafe(F.col("_z"))).select(*keys, "symbol", "_a.*")
 
 
 def layered(layers: list[DataFrame], keys: list[str]) -> DataFrame:
@@ -106,8 +106,8 @@ def layered(layers: list[DataFrame], keys: list[str]) -> DataFrame:
     from functools import reduce
 
     tagged = reduce(DataFrame.unionByName, [x.select(*keys, "symbol", "lo", "hi", "unit").withColumn("_layer", F.lit(i)) for i, x in enumerate(layers)])
-    best = tagged.groupBy(*keys, "symbol").agg(F.min_by(F.struct("lo", "hi", "unit"), "_layer").alias("d"))
-    return best.select(*keys, "symbol", "d.*")
+    best = tagged.groupBy(*keys, "symbol").agg(F.min_by(F.struct("lo", "hi", "unit"), "_layer").alias("_d"))
+    return best.select(*keys, "symbol", "_d.*")
 
 
 def attach(records: DataFrame, bins: DataFrame, keys: list[str]) -> DataFrame:

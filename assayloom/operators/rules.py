@@ -100,9 +100,9 @@ def superset_replaces(baseline: DataFrame, healed: DataFrame, block: str, item:
     """(block, replaced): a healed block replaces the baseline if its items include all of the baseline's. Items are counted, not collected."""
     b = baseline.select(block, item).dropna().distinct()
     h = healed.select(block, item).dropna().distinct()
-    lost = b.join(h, [block, item], "left_anti").groupBy(block).agg(F.count(F.lit(1)).alias("lost"))
-    blocks = b.select(block).distinct().join(h.groupBy(block).agg(F.count(F.lit(1)).alias("n")), block, "left").join(lost, block, "left")
-    return blocks.select(block, (F.col("n").isNotNull() & (F.coalesce("lost", F.lit(0)) == 0)).alias("replaced"))
+    lost = b.join(h, [block, item], "left_anti").groupBy(block).agg(F.count(F.lit(1)).alias("_lost"))
+    blocks = b.select(block).distinct().join(h.groupBy(block).agg(F.count(F.lit(1)).alias("_n")), block, "left").join(lost, block, "left")
+    return blocks.select(block, (F.col("_n").isNotNull() & (F.coalesce("_lost", F.lit(0)) == 0)).alias("replaced"))
 
 
 def similar_layouts(wanted: DataFrame, known: DataFrame, k: int = 3, least: float = 0.4) -> DataFrame:
