@@ -82,3 +82,36 @@ def write_artifact(df: DataFrame, path: str) -> None:
     """Tab-separated with a header; tabs and line breaks in texts become blanks, nulls empty."""
     flat = [F.regexp_replace(F.col(c), r"[\t\r\n]", " ").alias(c) if t == "string" else F.col(c) for c, t in df.dtypes]
     df.select(*flat).write.mode("overwrite").option("sep", "\t").option("header", True).option("quote", "").option("nullValue", "").option("emptyValue", "").csv(path)
+
+
+def post_batches(df: DataFrame, send, per: int = 1000) -> None:  # noqa: ANN001
+    """Send rows as lists of dictionaries, ``per`` at a time, from the tasks that hold them. ``send`` must ignore repeats, as tasks may run twice."""
+
+    def run(rows) -> None:  # noqa: ANN001
+        batch = []
+        for r in rows:
+            batch.append(r.asDict(recursive=True))
+            if len(batch) == per:
+                send(batch)
+                batch = []
+        if batch:
+            send(batch)
+
+    df.foreachPartition(run)
+
+
+def write_sheets(sheets: dict[str, DataFrame], path: str) -> None:
+    """One delimited folder per sheet of a workbook."""
+    for name, df in sheets.items():
+        write_artifact(df, f"{path}/{name}")
+
+
+def aligned_lists(records: DataFrame, keys: list[str]) -> DataFrame:
+    """Measurements of a compound as lists of equal length: assays, values, units, in order of assay and value."""
+    one = F.array_sort(F.collect_list(F.struct("assay_name", "value_numeric", "unit")))
+    return records.groupBy(*keys).agg(one.alias("_a")).select(*keys, F.col("_a.assay_name").alias("assays"), F.col("_a.value_numeric").alias("values"), F.col("_a.unit").alias("units"))
+
+
+def null_rates(df: DataFrame) -> DataFrame:
+    """(column, share of nulls) of a table."""
+    return df.agg(*[F.avg(F.col(c).isNull().cast("int")).alias(c) for c in df.columns]).unpivot([], df.columns, "column", "share")

@@ -115,3 +115,20 @@ def formula_mass(counts: Column, monoisotopic: bool = True) -> Column:
 def measured(pdf: pd.DataFrame) -> pd.DataFrame:
     """Identity stage of an external recogniser: structure columns null and a reason."""
     return pdf.assign(smiles=None, confidence=None, error="no recogniser")
+
+
+def table_gate(assembled: DataFrame, keys: list[str], least: float = 0.6) -> DataFrame:
+    """(keys, n, checked, agreed, adopt): a table's assembled structures (key, inchikey, verdict) are adopted unless all are the same, and only
+    if enough of the checked ones agree with their printed mass, or none can be checked.
+    """
+    g = assembled.groupBy(*keys).agg(F.count("inchikey").alias("n"), F.count_distinct("inchikey").alias("_d"), F.count_if(F.col("verdict").isin("agrees", "contradicts")).alias("checked"), F.count_if(F.col("verdict") == "agrees").alias("agreed"))
+    varied = (F.col("_d") > 1) | (F.col("n") == 1)
+    return g.withColumn("adopt", varied & ((F.col("checked") == 0) | (F.col("agreed") >= least * F.col("checked")))).drop("_d")
+
+
+def map_slots(headings: DataFrame, labels: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, slot, point, refusal): attachment point of each substituent heading by its label on the scaffold; unmarked or doubled ones are refused."""
+    lab = labels.groupBy(*keys, F.upper("label").alias("_l")).agg(F.count(F.lit(1)).alias("_k"), F.min("point").alias("point"))
+    out = headings.withColumn("_l", F.upper("slot")).join(lab, [*keys, "_l"], "left")
+    refusal = F.when(F.col("_k").isNull(), "slot not marked").when(F.col("_k") > 1, "slot marked twice")
+    return out.select(*keys, "slot", F.when(F.col("_k") == 1, F.col("point")).alias("point"), refusal.alias("refusal"))

@@ -80,8 +80,12 @@ def carry_forward(rows: DataFrame, cid: Column, blocked: Column, keys: list[str]
 
 
 def records(tables: DataFrame) -> DataFrame:
-    """Long records of typed tables: keys, row_ix, col, cid, header, unit, parsed value fields. Unparsed and blank cells are left out."""
-    cells = flat_cells(tables)
+    """Long records of typed tables, see ``records_of_cells``."""
+    return records_of_cells(flat_cells(tables))
+
+
+def records_of_cells(cells: DataFrame) -> DataFrame:
+    """Long records: keys, row_ix, col, cid, header, unit, parsed value fields. Unparsed and blank cells are left out."""
     kinds = classify_columns(cells)
     body = cells.filter("section = 'body'").join(kinds, [*KEY, "col"])
     ids = body.filter("kind = 'cid'").groupBy("patent_id", *KEY, "row_ix").agg(F.min_by("text", "col").alias("own_cid"))
@@ -119,3 +123,35 @@ def best_view(records: DataFrame, block: list[str], view: str, usable: Column, p
     score = records.groupBy(*block, view).agg(F.count_if(usable).alias("u"))
     best = score.groupBy(*block).agg(F.max_by(view, F.struct("u", (F.col(view) == preferred).cast("int").alias("p"))).alias(view))
     return records.join(best, [*block, view], "left_semi")
+
+
+def choose_offsets(headers: DataFrame, shapes: DataFrame, widths: DataFrame) -> DataFrame:
+    """(keys, offset): how far to shift a group's header to the right so that most headers stand over fitting values; 0 on a tie.
+
+    headers (keys, col, header), shapes (keys, col, shape), widths (keys, n_cols). Only groups whose header is narrower than the body
+    have more than one offset to choose from.
+    """
+    span = headers.groupBy(*KEY).agg((F.max("col") + 1).alias("_w")).join(widths, KEY)
+    tries = span.select(*KEY, F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.col("n_cols") - F.col("_w")))).alias("offset"))
+    kind = fn.header_kind(F.col("header"))
+    fits = ((kind == "cid") & (F.col("shape") == "cid")) | ((kind == "assay") & F.col("shape").isin("num", "bin"))
+    at = headers.join(tries, KEY).withColumn("col", F.col("col") + F.col("offset")).join(shapes, [*KEY, "col"], "left")
+    score = at.groupBy(*KEY, "offset").agg(F.count_if(fits).alias("_s"))
+    return score.groupBy(*KEY).agg(F.max_by("offset", F.struct("_s", (-F.col("offset")).alias("o"))).alias("offset"))
+
+
+def inherit_best(groups: DataFrame, last: int = 4) -> DataFrame:
+    """Headerless groups take the best fitting of the last ``last`` headers of their width in the patent.
+
+    groups: (patent_id, keys, n_cols, header array<string>, shapes array<string>). Fit counts columns where an id header stands over ids
+    or an assay header over values; the nearest wins a tie, and a header that fits nowhere is not taken.
+    """
+    w = Window.partitionBy("patent_id", "n_cols").orderBy(*KEY)
+    known = F.when(F.size("header") > 0, F.struct(*[F.col(k) for k in KEY], F.col("header")))
+    past = F.collect_list(known).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    fit = lambda h: F.aggregate(F.zip_with(h, F.col("shapes"), lambda a, s: F.coalesce(((fn.header_kind(a) == "cid") & (s == "cid")) | ((fn.header_kind(a) == "assay") & s.isin("num", "bin")), F.lit(False)).cast("int")), F.lit(0), lambda x, y: x + y)
+    near = F.slice(F.reverse(past), 1, last)
+    scored = F.transform(near, lambda p, i: F.struct(fit(p["header"]).alias("s"), (-i).alias("i"), p["header"].alias("h")))
+    best = F.array_max(scored)
+    own = F.size("header") > 0
+    return groups.withColumn("_b", best).withColumn("effective", F.when(own, F.col("header")).when(F.col("_b.s") > 0, F.col("_b.h"))).drop("_b")

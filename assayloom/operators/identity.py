@@ -136,3 +136,23 @@ def partition_accounting(ids: DataFrame, statuses: list[tuple[str, DataFrame]],
     first = tagged.groupBy(*keys).agg(F.min("_p").alias("_p"))
     names = F.array(*[F.lit(n) for n, _ in statuses])
     return ids.select(*keys).dropna().distinct().join(first, keys, "left").withColumn("status", F.coalesce(F.get(names, F.col("_p")), F.lit(rest))).drop("_p")
+
+
+def occurrences(texts: DataFrame, ids: DataFrame, key: str, row: str, text: str, around: int = 24) -> DataFrame:
+    """Where the ids of a key occur as whole tokens of its texts: (key, row, id, position, shape).
+
+    Texts are cut to tokens once and meet the ids by an equi-join, however many ids there are. shape: ``labelled`` after a label word,
+    ``bracketed``, ``line_start`` before a colon, else ``bare``.
+    """
+    tokens = texts.select(key, row, text, F.posexplode(F.regexp_extract_all(text, F.lit(r"\S+"), F.lit(0))).alias("_n", "_tok"))
+    tokens = tokens.withColumn("id", F.regexp_replace("_tok", r"^[(\[{]+|[)\]},.;:]+$", "")).drop(text)
+    w = Window.partitionBy(key, row).orderBy("_n")
+    before = F.lower(F.regexp_replace(F.coalesce(F.lag("_tok").over(w), F.lit("")), r"[^A-Za-z]", ""))
+    shape = F.when(before.isin("example", "compound", "cmpd", "cpd", "ex", "no", "entry"), "labelled").when(F.col("_tok").rlike(r"^\(.*\)"), "bracketed").when((F.col("_n") == 0) & F.col("_tok").endswith(":"), "line_start").otherwise("bare")
+    return tokens.withColumn("shape", shape).join(ids.select(key, "id").distinct(), [key, "id"]).select(key, row, "id", F.col("_n").alias("position"), "shape")
+
+
+def ids_that_are_names(ids: DataFrame, resolved: DataFrame, keys: list[str], names: DataFrame) -> DataFrame:
+    """Unresolved ids that are names themselves, with their structure: (keys + columns of ``names``, which is keyed by ``name``)."""
+    open_ids = ids.select(*keys).dropna().distinct().join(resolved.select(*keys), keys, "left_anti")
+    return open_ids.join(names, open_ids[keys[-1]] == names["name"])

@@ -109,3 +109,22 @@ def rows_matching(rows: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFr
     tokens = rows.select(*keys, "row_ix", F.explode(F.split("text", r"[|\s]+")).alias("id")).distinct()
     loose = tokens.join(open_ids, [*keys, "id"], "left_semi").select(*keys, F.col("id").alias("wanted"), "row_ix", F.lit(False).alias("exact"))
     return exact.unionByName(loose)
+
+
+def assembly_fidelity(profile: DataFrame, least: int = 6) -> DataFrame:
+    """Groups with at least ``least`` header rows and more of them than body rows: an assembly that went wrong."""
+    g = profile.groupBy(*KEY).agg(F.count_if(F.col("section") == "header").alias("n_header"), F.count_if(F.col("section") == "body").alias("n_body"))
+    return g.filter((F.col("n_header") >= least) & (F.col("n_header") > F.col("n_body")))
+
+
+def opens_with_id(cells: DataFrame, measurement_words: list[str]) -> DataFrame:
+    """(keys, section, row_ix, opens): whether the first filled cell of a row is an id and no measurement word."""
+    t = fn.blank_trim(F.col("text"))
+    first = cells.filter(t != "").groupBy(*KEY, "section", "row_ix").agg(F.min_by(t, "cell_ix").alias("_t"))
+    return first.select(*KEY, "section", "row_ix", (fn.is_cid_shaped(F.col("_t")) & ~F.lower("_t").isin([w.lower() for w in measurement_words])).alias("opens"))
+
+
+def measurement_cells(cells: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """Cells that say exactly what an entry of the assay list is called."""
+    forms = vocabulary.select(F.explode(F.array_union(F.array("canonical"), F.coalesce("surface_forms", F.array().cast("array<string>")))).alias("f")).select(F.lower("f").alias("_f")).distinct()
+    return cells.withColumn("_f", F.lower(F.trim("text"))).join(forms, "_f", "left_semi").drop("_f")

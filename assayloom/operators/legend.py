@@ -132,3 +132,26 @@ def clusters(hits: DataFrame, keys: list[str], start: str, end: str, gap: int =
     tagged = hits.withColumn("_new", F.coalesce((F.col(start) - before > gap).cast("int"), F.lit(0)))
     tagged = tagged.withColumn("cluster", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     return tagged.groupBy(*keys, "cluster").agg(F.min(start).alias("first"), F.max(end).alias("last"), F.count(F.lit(1)).alias("n"))
+
+
+def of_rows(rows: DataFrame, keys: list[str], first: str, second: str) -> DataFrame:
+    """Legends that stand in two cells, symbol and meaning in either order, as one text per row for the grammar."""
+    is_sym = lambda c: F.trim(c).rlike(r"^(?:[A-Ea-e]|\++|\*+|#+)$")
+    sym = F.when(is_sym(F.col(first)), F.struct(F.trim(first).alias("s"), F.col(second).alias("x"))).when(is_sym(F.col(second)), F.struct(F.trim(second).alias("s"), F.col(first).alias("x")))
+    return rows.withColumn("_p", sym).filter("_p is not null").select(*keys, F.concat("_p.s", F.lit(": "), "_p.x").alias("text"))
+
+
+def sectioned(lines: DataFrame, keys: list[str], order: str, text: str) -> DataFrame:
+    """Definitions under headings: (keys, heading, symbol, lo, hi, unit). A line without a definition is the heading of those after it."""
+    from pyspark.sql import Window
+
+    defines = looks_like_key(F.col(text))
+    w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    tagged = lines.withColumn("heading", F.last(F.when(~defines & (F.trim(text) != ""), F.regexp_replace(F.trim(text), r"[:.]$", "")), ignorenulls=True).over(w))
+    return drop_conflicts(bins(tagged.filter(defines), [*keys, "heading"], F.col(text)), [*keys, "heading"])
+
+
+def document_legend(bins: DataFrame, doc: str, order: str) -> DataFrame:
+    """(doc, heading, symbol, lo, hi, unit): the last definition of each symbol under a heading counts for the whole document."""
+    g = bins.groupBy(doc, "heading", "symbol").agg(F.max_by(F.struct("lo", "hi", "unit"), order).alias("_d"))
+    return g.select(doc, "heading", "symbol", "_d.*")

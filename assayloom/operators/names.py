@@ -157,3 +157,31 @@ def first_accepted(resolved: DataFrame, keys: list[str], order: list[str], ok: C
     from pyspark.sql import Window
 
     return resolved.filter(ok).withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("_rn = 1").drop("_rn")
+
+
+def resolve(names: DataFrame, name: str, keys: list[str], resolver, of: Callable[[str], list[str]] = variants) -> DataFrame:  # noqa: ANN001
+    """First reading of each name that the resolver accepts: keys, candidate, rank, smiles, inchikey; names without one have a reason.
+
+    Distinct readings are resolved once and joined back by value, never by position.
+    """
+    read = candidates(names, name, of).select(*keys, "rank", "candidate")
+    answers = resolver.resolve(read.select(F.col("candidate").alias("name")).distinct()).withColumnRenamed("name", "candidate")
+    best = first_accepted(read.join(answers, "candidate"), keys, ["rank"], F.col("smiles").isNotNull())
+    out = names.select(*keys).distinct().join(best.select(*keys, "candidate", "rank", "smiles", "inchikey"), keys, "left")
+    return out.withColumn("reason", F.when(F.col("smiles").isNull(), "no reading accepted"))
+
+
+def failure_signature(error: Column, name: Column) -> Column:
+    """Class of a parse failure: kind of the message and kind of the token it names, with its place in the name (start, middle, end)."""
+    kind = F.when(error.rlike("(?i)unparsable|uninterpretable"), "unparsable").when(error.rlike("(?i)bracket|parenthes"), "brackets").when(error.rlike("(?i)locant"), "locant").when(error.rlike("(?i)stereo"), "stereo").otherwise("other")
+    token = F.regexp_extract(error, r"'([^']*)'", 1)
+    at = F.locate(token, name) if isinstance(token, str) else F.call_function("instr", name, token)
+    place = F.when((token == "") | (at == 0), "unknown").when(at * 3 <= F.length(name), "start").when(at * 3 <= 2 * F.length(name), "middle").otherwise("end")
+    shape = F.when(token == "", "none").when(token.rlike("^[0-9]+$"), "digits").when(token.rlike(r"^[\[\](){}]+$"), "brackets").when(token.rlike("^[A-Za-z]+$"), "letters").otherwise("mixed")
+    return F.concat_ws("|", kind, shape, place)
+
+
+def escalated(attempts: DataFrame, epoch: int, most: int = 3) -> DataFrame:
+    """Failure classes written off in this epoch: at least ``most`` failed attempts and no adopted pattern."""
+    g = attempts.filter(F.col("epoch") == epoch).groupBy("signature").agg(F.count_if(~F.col("adopted")).alias("failed"), F.bool_or("adopted").alias("_ok"))
+    return g.filter((F.col("failed") >= most) & ~F.col("_ok")).select("signature", "failed")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from typing import Protocol
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -159,3 +160,86 @@ def coverage_join(names: DataFrame, scales: DataFrame, name: str, pattern: str,
     hits = names.join(scales, F.expr(f"{name} rlike {pattern}")).withColumn("_l", F.length(literal))
     top = hits.withColumn("_m", F.max("_l").over(Window.partitionBy(name))).filter("_l = _m")
     return top.groupBy(name).agg(F.when(F.count_distinct(pattern) == 1, F.min(pattern)).alias(pattern))
+
+
+def apply_row_patterns(rows: DataFrame, rules: DataFrame, keys: list[str], seconds: float = 0.25) -> DataFrame:
+    """Records of row_regex rules: (keys, cid, value) where the named groups match the joined row text.
+
+    rows (keys, fingerprint, text), rules (fingerprint, pattern). Patterns are not trusted: each search is cut off after ``seconds``.
+    """
+    def search(text: pd.Series, pattern: pd.Series) -> pd.DataFrame:
+        import regex
+
+        compiled: dict[str, object] = {}
+        out = []
+        for t, p in zip(text, pattern, strict=True):
+            try:
+                rx = compiled.setdefault(p, regex.compile(p))
+                m = rx.search(t or "", timeout=seconds)
+                g = m.groupdict() if m else {}
+            except (regex.error, TimeoutError):
+                g = {}
+            out.append((g.get("cid"), g.get("value")))
+        return pd.DataFrame(out, columns=["cid", "value"])
+
+    hit = F.pandas_udf(search, "cid string, value string")
+    return rows.join(rules, "fingerprint").withColumn("_h", hit("text", "pattern")).filter("_h.cid is not null and _h.value is not null").select(*keys, "_h.*")
+
+
+def apply_value_patterns(cells: DataFrame, rules: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, text, value) of cells that the value cascade rejects and a value_pattern rule of their layout reads. Patterns are grounded before."""
+    from assayloom.functions import cells as fn
+
+    v = fn.parse_value(F.col("text"))
+    open_cells = cells.filter(v["value_numeric"].isNull() & v["letter_grade"].isNull() & ~fn.is_null_marker(F.col("text")))
+    read = F.expr("try_cast(nullif(regexp_extract(text, pattern, 1), '') as double)")
+    return open_cells.join(rules, "fingerprint").withColumn("value", read).filter("value is not null").select(*keys, "text", "value")
+
+
+def suppress(blocks: DataFrame, rules: DataFrame) -> DataFrame:
+    """Blocks without those whose layout a not_assay rule names."""
+    return blocks.join(rules.filter("kind = 'not_assay'").select("fingerprint").distinct(), "fingerprint", "left_anti")
+
+
+def record_use(library: DataFrame, used: DataFrame) -> DataFrame:
+    """The library with usage counters raised: used (fingerprint, rows) of this run."""
+    u = used.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("_t"), F.sum("rows").alias("_r"))
+    out = library.join(u, "fingerprint", "left")
+    return out.withColumns({"times_applied": F.coalesce("times_applied", F.lit(0)) + F.coalesce("_t", F.lit(0)), "rows_yielded": F.coalesce("rows_yielded", F.lit(0)) + F.coalesce("_r", F.lit(0))}).drop("_t", "_r")
+
+
+def top_rules(library: DataFrame, by: str, k: int = 12) -> DataFrame:
+    """The ``k`` rules that proved themselves most (a top-k digest)."""
+    return library.filter(F.col(by) > 0).orderBy(F.desc(by), "fingerprint").limit(k)
+
+
+def outcome(produced: DataFrame, non_assay: DataFrame, columns: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, n_records, n_conflicts, adopt): a rule's records are adopted if there are some, none repeats a cell that is no measurement, and no
+    mapped column is of another kind.
+
+    produced (keys, col, text), non_assay (keys, text), columns (keys, col, kind).
+    """
+    bad_kind = F.col("kind").isin("mw", "ms", "nmr", "rt", "structure")
+    p = produced.join(columns.select(*keys, "col", "kind"), [*keys, "col"], "left").join(non_assay.select(*keys, "text").distinct().withColumn("_x", F.lit(1)), [*keys, "text"], "left")
+    g = p.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_records"), F.count_if(F.coalesce(bad_kind, F.lit(False)) | (F.col("_x") == 1)).alias("n_conflicts"))
+    return g.withColumn("adopt", (F.col("n_records") > 0) & (F.col("n_conflicts") == 0))
+
+
+def heal(gaps: list[dict], proposer: RuleProposer, try_rule, attempts: int = 3) -> list[dict]:  # noqa: ANN001
+    """Bounded repair: per gap at most ``attempts`` proposals, each measured by ``try_rule(rule) -> (kept, detail)``; the kept rules.
+
+    Without a proposer nothing is proposed, and the library alone heals.
+    """
+    kept = []
+    for gap in gaps:
+        tried: list[dict] = []
+        for _ in range(attempts):
+            rule = proposer.propose(gap, tried)
+            if rule is None:
+                break
+            ok, detail = try_rule(rule)
+            if ok:
+                kept.append(rule)
+                break
+            tried.append({"rule": rule, "detail": detail})
+    return kept
