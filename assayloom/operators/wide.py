@@ -54,15 +54,17 @@ def discover(rows: DataFrame, attr: str, number: Column, text: Column) -> list[A
     return out
 
 
+def quoted(text: str | None) -> str:
+    """SQL literal of a text."""
+    return "CAST(NULL AS STRING)" if text is None else "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def index_of(attributes: list[Attribute], attr: str) -> Column:
     """Position of the attribute, from a literal map (its size is that of the result's header)."""
-    entries: list[Column] = []
-    for a in attributes:
-        if a.name is not None:
-            entries += [F.lit(a.name), F.lit(a.ix)]
+    entries = ", ".join(f"{quoted(a.name)}, {a.ix}" for a in attributes if a.name is not None)
     null_ix = next((a.ix for a in attributes if a.name is None), None)
-    known = F.try_element_at(F.create_map(*entries), F.col(attr)) if entries else F.lit(None).cast("int")
-    return F.when(F.col(attr).isNull(), F.lit(null_ix)).otherwise(known)
+    known = f"try_element_at(map({entries}), {attr})" if entries else "CAST(NULL AS INT)"
+    return F.expr(f"CASE WHEN {attr} IS NULL THEN {'NULL' if null_ix is None else null_ix} ELSE {known} END")
 
 
 def pivot_wide(cells: DataFrame, keys: list[str], attributes: list[Attribute], attr: str, measures: dict[str, tuple[Column, str]], max_columns: int = MAX_COLUMNS) -> list[DataFrame]:
@@ -78,7 +80,8 @@ def pivot_wide(cells: DataFrame, keys: list[str], attributes: list[Attribute], a
     per = max(1, max_columns // max(1, len(measures)))
     frames = []
     for at in range(0, max(1, len(attributes)), per):
-        aggs = [F.max(F.when(F.col("_ix") == a.ix, F.col(f"_m{i}"))).alias(f"{a.column}{suffix}") for a in attributes[at : at + per] for i, suffix in enumerate(measures)]
+        # as SQL text: one call into the JVM per aggregate instead of six
+        aggs = [F.expr(f"max(CASE WHEN _ix = {a.ix} THEN _m{i} END) AS {a.column}{suffix}") for a in attributes[at : at + per] for i, suffix in enumerate(measures)]
         frames.append(narrow.groupBy(*keys).agg(*aggs) if aggs else narrow.select(*keys).distinct())
     return frames
 
@@ -86,7 +89,7 @@ def pivot_wide(cells: DataFrame, keys: list[str], attributes: list[Attribute], a
 def unpivot_flags(wide: DataFrame, keys: list[str], attributes: list[Attribute], suffix: str, name: str) -> DataFrame:
     """(keys, name) of every true flag column ``<attribute><suffix>`` of a wide frame."""
     have = set(wide.columns)
-    flags = [F.struct(F.lit(a.name).cast("string").alias("name"), F.col(f"{a.column}{suffix}").alias("flag")) for a in attributes if f"{a.column}{suffix}" in have]
+    flags = [f"CASE WHEN {a.column}{suffix} THEN named_struct('name', {quoted(a.name)}) END" for a in attributes if f"{a.column}{suffix}" in have]
     if not flags:
         return wide.select(*keys, F.lit(None).cast("string").alias(name)).limit(0)
-    return wide.select(*keys, F.explode(F.filter(F.array(*flags), lambda x: x["flag"])).alias("_f")).select(*keys, F.col("_f.name").alias(name))
+    return wide.select(*keys, F.expr(f"explode(array_compact(array({', '.join(flags)})))").alias("_f")).select(*keys, F.col("_f.name").alias(name))
