@@ -6,6 +6,8 @@ import os
 
 from pyspark.sql import SparkSession
 
+from assayloom.common import ship
+
 
 def get_session(app: str = "assayloom", master: str | None = None, **conf: str) -> SparkSession:
     """A session with AQE, Arrow and UTC. ``master`` is only set when given: on a cluster, spark-submit decides.
@@ -28,4 +30,6 @@ def get_session(app: str = "assayloom", master: str | None = None, **conf: str)
         base["spark.driver.memory"] = "8g"
     for k, v in (base | conf).items():
         b = b.config(k, v)
-    return b.getOrCreate()
+    spark = b.getOrCreate()
+    ship(spark)
+    return spark
