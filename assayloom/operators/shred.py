@@ -74,21 +74,24 @@ def adjacency(docs: DataFrame, doc: Column, payload: Column) -> DataFrame:
 def entities(nodes: DataFrame, is_entity: Column, scalars: dict[str, str]) -> DataFrame:
     """Object nodes for which ``is_entity`` holds, joined with their scalar children, which become columns.
 
-    ``scalars``: column -> label of the child, or ``a/b`` for a scalar of a nested object. Entities without any such child stay.
+    ``scalars``: column -> label of the child, or ``a/b`` for a scalar ``b`` of a nested object ``a``. Entities without any such child stay.
     A plain scalar in an entity's place is an entity too and is its own ``text``.
     """
-    own = nodes.filter(is_entity).select("doc", "node", F.lit(True).alias("here"), F.when(~F.col("kind").isin("object", "array", "null"), F.col("scalar")).alias("_self"))
-    parts = []
-    for depth in sorted({v.count("/") + 1 for v in scalars.values()}):
-        wanted = [v for v in scalars.values() if v.count("/") + 1 == depth]
-        tail = F.substring_index("node", "/", -depth)
-        up = F.expr(f"substring(node, 1, length(node) - length(substring_index(node, '/', {-depth})) - 1)")
-        parts.append(nodes.filter(~F.col("kind").isin("object", "array", "null") & tail.isin(wanted)).select("doc", up.alias("node"), tail.alias("_what"), "scalar"))
-    children = parts[0]
-    for p in parts[1:]:
-        children = children.unionByName(p)
-    both = own.select("doc", "node", "here", F.lit(None).cast("string").alias("_what"), F.col("_self").alias("scalar")).unionByName(children.withColumn("here", F.lit(None).cast("boolean")))
-    aggs = [F.max(F.when(F.col("_what") == v, F.col("scalar"))).alias(k) for k, v in scalars.items()]
+    scalar = ~F.col("kind").isin("object", "array", "null")
+    roles = [F.when(is_entity, F.struct(F.col("node").alias("node"), F.lit(True).alias("here"), F.lit(None).cast("string").alias("what"), F.when(scalar, F.col("scalar")).alias("scalar")))]
+    for holder in sorted({v.rpartition("/")[0] for v in scalars.values()}):
+        names = [v.rpartition("/")[2] for v in scalars.values() if v.rpartition("/")[0] == holder]
+        child = scalar & F.col("label").isin(names)
+        if holder:
+            child = child & F.col("parent").endswith(f"/{holder}")
+            up, what = F.substr("parent", F.lit(1), F.length("parent") - len(holder) - 1), F.concat(F.lit(f"{holder}/"), "label")
+        else:
+            up, what = F.col("parent"), F.col("label")
+        roles.append(F.when(child, F.struct(up.alias("node"), F.lit(None).cast("boolean").alias("here"), what.alias("what"), F.col("scalar").alias("scalar"))))
+    # a node may be an entity and a child at once; both roles come out of one pass
+    labels = list({v.rpartition("/")[2] for v in scalars.values()})
+    both = nodes.filter(F.col("label").isin(labels) | is_entity).select("doc", F.explode(F.array_compact(F.array(*roles))).alias("r")).select("doc", "r.*")
+    aggs = [F.max(F.when(F.col("what") == v, F.col("scalar"))).alias(k) for k, v in scalars.items()]
     return both.groupBy("doc", "node").agg(F.max("here").alias("here"), F.max(F.when(F.col("here"), F.col("scalar"))).alias("_self"), *aggs).filter("here").drop("here")
 
 
@@ -108,15 +111,19 @@ def _position(pattern: str, i: int) -> Column:
     return F.coalesce(_part(pattern, i).try_cast("int"), F.lit(0))
 
 
+def table_keys(nodes: DataFrame) -> DataFrame:
+    """(doc, table_node, table_uid) of every object with a table_uid."""
+    return nodes.filter((F.col("label") == "table_uid") & F.col("scalar").isNotNull()).select("doc", F.col("parent").alias("table_node"), F.col("scalar").try_cast("long").alias("table_uid"))
+
+
 def table_entity(nodes: DataFrame) -> DataFrame:
-    """tables(doc, node, table_uid, table_id, caption): every object with a table_uid."""
-    holders = nodes.filter((F.col("label") == "table_uid") & F.col("scalar").isNotNull()).select("doc", F.col("parent").alias("node"), F.col("scalar").try_cast("long").alias("table_uid"))
+    """tables(doc, table_node, table_uid, table_id, caption). A caption is a text or an object with a text."""
     what = F.substring_index("node", "/", -1)
     texts = nodes.filter(what.isin("table_id", "caption", "text") & F.col("scalar").isNotNull())
-    # a caption is a text or an object with a text
-    texts = texts.select("doc", F.regexp_replace("node", r"/(?:table_id|caption(?:/text)?)$", "").alias("node"), F.when(what == "table_id", "table_id").when(F.col("node").rlike(r"/caption(?:/text)?$"), "caption").alias("what"), "scalar").filter("what is not null")
-    pivoted = texts.groupBy("doc", "node").agg(F.max(F.when(F.col("what") == "table_id", F.col("scalar"))).alias("table_id"), F.max(F.when(F.col("what") == "caption", F.col("scalar"))).alias("caption"))
-    return holders.join(pivoted, ["doc", "node"], "left")
+    kind = F.when(what == "table_id", "table_id").when(F.col("node").rlike(r"/caption(?:/text)?$"), "caption")
+    texts = texts.select("doc", F.regexp_replace("node", r"/(?:table_id|caption(?:/text)?)$", "").alias("table_node"), kind.alias("what"), "scalar").filter("what is not null")
+    pivoted = texts.groupBy("doc", "table_node").agg(F.max(F.when(F.col("what") == "table_id", F.col("scalar"))).alias("table_id"), F.max(F.when(F.col("what") == "caption", F.col("scalar"))).alias("caption"))
+    return table_keys(nodes).join(pivoted, ["doc", "table_node"], "left")
 
 
 def group_entity(nodes: DataFrame) -> DataFrame:
@@ -127,7 +134,7 @@ def group_entity(nodes: DataFrame) -> DataFrame:
 
 def row_entity(nodes: DataFrame) -> DataFrame:
     """rows(doc, table_node, tgroup_ix, section, row_ix): a row is an array of cells or an object that holds one; empty rows stay."""
-    rows = nodes.filter(F.col("node").rlike(_ROW))
+    rows = nodes.filter(F.col("label").isNull() & F.col("node").rlike(_ROW))
     return rows.select("doc", _part(_ROW, 1).alias("table_node"), _position(_ROW, 2).alias("tgroup_ix"), _part(_ROW, 3).alias("section"), _part(_ROW, 4).cast("int").alias("row_ix"))
 
 
@@ -137,7 +144,7 @@ def cell_entity(nodes: DataFrame) -> DataFrame:
     The span is a count (number or text) or a first and last column name; anything below 2, absent or senseless is one column.
     """
     scalars = {"text": "text", "span": "colspan", "first": "namest", "last": "nameend", "col_start": "col_start", "chem": "chemistry/id", "chem_flat": "chemistry_id"}
-    e = entities(nodes, F.col("node").rlike(_CELL), scalars)
+    e = entities(nodes, F.col("label").isNull() & F.col("node").rlike(_CELL), scalars)
     by_name = F.regexp_extract("last", r"(\d+)\s*$", 1).try_cast("int") - F.regexp_extract("first", r"(\d+)\s*$", 1).try_cast("int") + 1
     span = F.greatest(F.lit(1), F.coalesce(F.trim("span").try_cast("double").try_cast("int"), by_name, F.lit(1)), F.coalesce(by_name, F.lit(1)))
     return e.select(

@@ -7,58 +7,53 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayloom.common import plain_cid, table
+from assayloom.common import plain_cid, table, written
 from assayloom.operators import orphans, shred, units, wide
 
 # -- 2: deeply nested records ----------------------------------------------------------------------------------------------------
 
 
-def _raw_nodes(spark: SparkSession, d: str) -> DataFrame:
-    return shred.adjacency(table(spark, d, "raw_tables"), F.col("raw_id"), F.col("payload"))
+def _nodes(spark: SparkSession, d: str) -> DataFrame:
+    """The stored adjacency table of both sources: ``r|raw_id`` documents, and one ``t|table_uid|tgroup_ix|...`` document per delivered group."""
+    raw = table(spark, d, "raw_tables").select(F.concat(F.lit("r|"), F.col("raw_id").cast("string")).alias("doc"), "payload")
+    rows = table(spark, d, "table_objects")
+    doc = F.concat_ws("|", F.lit("t"), "table_uid", "tgroup_ix", F.xxhash64("scanned_at", "caption", "preceding", "following"))
+    typed = rows.select(doc.alias("doc"), shred.typed_payload().alias("payload"))
+    return written(shred.adjacency(raw.unionByName(typed), F.col("doc"), F.col("payload")))
 
 
-def _typed_nodes(spark: SparkSession, d: str) -> DataFrame:
-    # a document is one delivered column group: deliveries of the same group are different documents
-    doc = F.concat_ws("|", "table_uid", "tgroup_ix", F.xxhash64("scanned_at", "caption", "preceding", "following"))
-    rows = table(spark, d, "table_objects").withColumn("doc", doc)
-    return shred.adjacency(rows, F.col("doc"), shred.typed_payload())
-
-
-def _named(cells: DataFrame, tables: DataFrame, typed: bool) -> DataFrame:
+def _placed(nodes: DataFrame, entity: DataFrame) -> DataFrame:
     """Parent link by value: table_uid of the table node above; typed documents carry their group's position in their name."""
-    out = cells.join(tables.select("doc", F.col("node").alias("table_node"), "table_uid"), ["doc", "table_node"])
-    return out.withColumn("tgroup_ix", F.split("doc", r"\|")[1].cast("int")) if typed else out
-
-
-def _both(spark: SparkSession, d: str, entity) -> DataFrame:  # noqa: ANN001
-    parts = []
-    for nodes, typed in ((_typed_nodes(spark, d), True), (_raw_nodes(spark, d), False)):
-        parts.append(_named(entity(nodes), shred.table_entity(nodes), typed).drop("doc", "table_node"))
-    return reduce(DataFrame.unionByName, parts).distinct()
+    out = entity.join(shred.table_keys(nodes), ["doc", "table_node"])
+    typed = F.col("doc").startswith("t|")
+    return out.withColumn("tgroup_ix", F.when(typed, F.get(F.split("doc", r"\|"), F.lit(2)).try_cast("int")).otherwise(F.col("tgroup_ix"))).drop("doc", "table_node").distinct()
 
 
 def p2_cells(spark: SparkSession, d: str) -> DataFrame:
     """Flat cells of both sources with their place, span and parent keys."""
-    cells = _both(spark, d, shred.cell_entity)
-    return cells.select("table_uid", "tgroup_ix", "section", "row_ix", "cell_ix", "text", "colspan", "col_start", "chemistry_id")
+    nodes = _nodes(spark, d)
+    return _placed(nodes, shred.cell_entity(nodes)).select("table_uid", "tgroup_ix", "section", "row_ix", "cell_ix", "text", "colspan", "col_start", "chemistry_id")
 
 
 def p2_rows(spark: SparkSession, d: str) -> DataFrame:
-    return _both(spark, d, shred.row_entity).select("table_uid", "tgroup_ix", "section", "row_ix")
+    nodes = _nodes(spark, d)
+    return _placed(nodes, shred.row_entity(nodes)).select("table_uid", "tgroup_ix", "section", "row_ix")
 
 
 def p2_groups(spark: SparkSession, d: str) -> DataFrame:
-    return _both(spark, d, shred.group_entity).select("table_uid", "tgroup_ix", "n_cols")
+    nodes = _nodes(spark, d)
+    return _placed(nodes, shred.group_entity(nodes)).select("table_uid", "tgroup_ix", "n_cols")
 
 
 def p2_tables(spark: SparkSession, d: str) -> DataFrame:
-    parts = [shred.table_entity(n(spark, d)).select("table_uid", "table_id", "caption") for n in (_typed_nodes, _raw_nodes)]
-    return reduce(DataFrame.unionByName, parts).distinct()
+    return shred.table_entity(_nodes(spark, d)).select("table_uid", "table_id", "caption").distinct()
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     """Cells that cover more than one column."""
-    return p2_cells(spark, d).filter("colspan > 1").select("table_uid", "tgroup_ix", "section", "row_ix", "cell_ix").distinct()
+    nodes = _nodes(spark, d)
+    wide_cells = shred.cell_entity(nodes).filter("colspan > 1").select("doc", "table_node", "tgroup_ix", "section", "row_ix", "cell_ix")
+    return _placed(nodes, wide_cells).select("table_uid", "tgroup_ix", "section", "row_ix", "cell_ix")
 
 
 # -- 4: orphans ------------------------------------------------------------------------------------------------------------------
@@ -151,7 +146,7 @@ def p6_wide(spark: SparkSession, d: str) -> DataFrame:
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     """Cells of the wide table that the rows contradict, read off its conflict columns."""
     attributes = _attributes(spark, d)
-    frames = wide.pivot_wide(_cells(spark, d), _KEYS, attributes, "assay_name", _measures())
+    frames = wide.pivot_wide(_cells(spark, d), _KEYS, attributes, "assay_name", {"__conflict": _measures()["__conflict"]})
     return reduce(DataFrame.unionByName, [wide.unpivot_flags(f, _KEYS, attributes, "__conflict", "assay_name") for f in frames])
 
 
