@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -48,23 +49,37 @@ def unambiguous_mass(masses: DataFrame, keys: list[str], mass: str, order: str,
 
 
 def tolerance_agreement(reference: DataFrame, ours: DataFrame, keys: list[str], value: str, share: float = 0.01) -> DataFrame:
-    """(keys, value, agrees): a reference value agrees if any own value of the key lies within ``share`` of it.
+    """(keys, value, agrees): a reference value agrees if any own value of the key lies within ``share`` of it; keys without own values
+    are left out.
 
-    Own values are cut to the distinct ones first; both sides meet on the key, never as pairs of all values across keys.
+    Values are cut to the distinct ones and meet in logarithmic buckets as wide as the tolerance, so that a key with many values does not
+    compare each with each.
     """
-    own = ours.select(*keys, F.col(value).alias("_o")).dropna().distinct()
-    ref = reference.select(*keys, value).dropna().distinct()
+    bucket = lambda c: F.floor(F.ln(F.greatest(F.abs(c), F.lit(1e-12))) / F.lit(math.log1p(share)))
+    own = ours.select(*keys, F.col(value).alias("_o")).dropna().distinct().withColumn("_b", bucket(F.col("_o")))
+    ref = reference.select(*keys, value).dropna().distinct().join(own.select(*keys).distinct(), keys, "left_semi")
     near = F.abs(F.col("_o") - F.col(value)) <= share * F.greatest(F.abs(F.col(value)), F.lit(1e-12))
-    return ref.join(own, keys).groupBy(*keys, value).agg(F.bool_or(near).alias("agrees"))
+    wide = ref.withColumn("_b", F.explode(F.sequence(bucket(F.col(value)) - 2, bucket(F.col(value)) + 2)))
+    return wide.join(own, [*keys, "_b"], "left").groupBy(*keys, value).agg(F.coalesce(F.bool_or(near), F.lit(False)).alias("agrees"))
 
 
-def asof_before(events: DataFrame, states: DataFrame, keys: list[str], at: str, carried: list[str]) -> DataFrame:
-    """Each event with the latest state of its key at or before it: one union and a running last value, no range join."""
+def asof_before(events: DataFrame, states: DataFrame, keys: list[str], at: str, carried: list[str], bucket: Column | None = None) -> DataFrame:
+    """Each event with the latest state of its key at or before it: one union and a running last value, no range join.
+
+    ``bucket`` is an expression of ``at`` that never falls as ``at`` rises, such as its day. With it a key's rows spread over buckets: the last
+    value runs within a bucket, and what it begins with comes from the last states of the buckets before.
+    """
     e = events.withColumns({c: F.lit(None).cast(dict(states.dtypes)[c]) for c in carried}).withColumn("_e", F.lit(1))
     s = states.select(*keys, at, *carried).withColumns({c: F.lit(None).cast(t) for c, t in events.dtypes if c not in [*keys, at]}).withColumn("_e", F.lit(0))
-    w = Window.partitionBy(*keys).orderBy(at, "_e").rowsBetween(Window.unboundedPreceding, 0)
+    both = e.unionByName(s).withColumn("_bk", bucket if bucket is not None else F.lit(0))
     state = F.when(F.col("_e") == 0, F.struct(*carried))
-    both = e.unionByName(s).withColumn("_s", F.last(state, ignorenulls=True).over(w)).filter("_e = 1")
+    w = Window.partitionBy(*keys, "_bk").orderBy(at, "_e").rowsBetween(Window.unboundedPreceding, 0)
+    both = both.withColumn("_s", F.last(state, ignorenulls=True).over(w)).filter("_e = 1")
+    if bucket is not None:
+        last = s.withColumn("_bk", bucket).groupBy(*keys, "_bk").agg(F.max_by(F.struct(*carried), at).alias("_l"))
+        slots = last.unionByName(e.withColumn("_bk", bucket).select(*keys, "_bk").distinct().join(last.select(*keys, "_bk"), [*keys, "_bk"], "left_anti"), allowMissingColumns=True)
+        before = F.last("_l", ignorenulls=True).over(Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1))
+        both = both.join(slots.withColumn("_in", before).select(*keys, "_bk", "_in"), [*keys, "_bk"], "left").withColumn("_s", F.coalesce("_s", "_in"))
     return both.select(*events.columns, *[F.col(f"_s.{c}").alias(c) for c in carried])
 
 

@@ -91,9 +91,10 @@ def informative() -> Column:
 
 
 def heal_merge(records: DataFrame, keys: list[str], facts: list[str]) -> DataFrame:
-    """Per key all records that say the most, without repeated facts."""
-    scored = records.withColumn("_i", informative())
-    top = scored.withColumn("_m", F.max("_i").over(Window.partitionBy(*keys))).filter("_i = _m")
+    """Per key all records that say the most, without repeated facts. Facts are folded before they meet, so copies of one cost nothing."""
+    need = [c for c in ("cid", "assay_name", "value_numeric", "range_lo", "range_hi", "unit") if c not in [*keys, *facts]]
+    distinct = records.select(*keys, *facts, *need).distinct().withColumn("_i", informative())
+    top = distinct.withColumn("_m", F.max("_i").over(Window.partitionBy(*keys))).filter("_i = _m")
     return top.select(*keys, *facts).distinct()
 
 
@@ -109,7 +110,8 @@ def superset_replaces(baseline: DataFrame, healed: DataFrame, block: str, item:
 def similar_layouts(wanted: DataFrame, known: DataFrame, k: int = 3, least: float = 0.4) -> DataFrame:
     """Top ``k`` known layouts per wanted one of the same width, by 0.6 positional shape overlap + 0.4 Jaccard of header words.
 
-    Both: (fingerprint, n_cols, shapes array, words array). Layouts are distinct by fingerprint and meet on their width.
+    Both: (fingerprint, n_cols, shapes array, words array), distinct by fingerprint. ``wanted`` is a stated set of queries, not all layouts;
+    each meets the known layouts of its width.
     """
     w = wanted.select(F.col("fingerprint").alias("wanted"), "n_cols", F.col("shapes").alias("s1"), F.col("words").alias("w1"))
     x = known.select("fingerprint", "n_cols", F.col("shapes").alias("s2"), F.col("words").alias("w2"))
@@ -146,10 +148,13 @@ def running_spend(calls: DataFrame, order: list[str], amount: str, thresholds: l
 
 
 def cache_hits(calls: DataFrame, parts: list[str], order: list[str]) -> DataFrame:
-    """Calls with their content key and whether an earlier call had it."""
+    """Calls with their content key and whether an earlier call had it. The first of each key is found by a combined aggregate and joined back,
+    so a key that a third of the calls share is no single group.
+    """
     key = F.sha2(F.concat_ws("\x1f", *[F.coalesce(F.col(p).cast("string"), F.lit("")) for p in parts]), 256)
     out = calls.withColumn("cache_key", key)
-    return out.withColumn("hit", F.row_number().over(Window.partitionBy("cache_key").orderBy(*order)) > 1)
+    first = out.groupBy("cache_key").agg(F.min(F.struct(*order)).alias("_first"))
+    return out.join(first, "cache_key").withColumn("hit", ~F.struct(*order).eqNullSafe(F.col("_first"))).drop("_first")
 
 
 def coverage_join(names: DataFrame, scales: DataFrame, name: str, pattern: str, literal: str) -> DataFrame:

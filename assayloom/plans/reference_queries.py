@@ -452,7 +452,7 @@ def q_asof_latest(spark: SparkSession, d: str) -> DataFrame:
     s = table(spark, d, "structures", "structure_id", "patent_id", "loaded_at").filter("patent_id is not null")
     p = table(spark, d, "compounds", "patent_id", "loaded_at", "name", "compound_row").filter("patent_id is not null").groupBy("patent_id", "loaded_at").agg(F.max_by("name", "compound_row").alias("last_compound"))
     p = p.withColumn("last_compound", F.coalesce("last_compound", F.lit("\x00")))
-    out = identity.asof_before(s, p, ["patent_id"], "loaded_at", ["last_compound"])
+    out = identity.asof_before(s, p, ["patent_id"], "loaded_at", ["last_compound"], bucket=F.to_date("loaded_at"))
     return out.select("structure_id", F.nullif("last_compound", F.lit("\x00")).alias("last_compound"))
 
 
@@ -698,22 +698,23 @@ def q_stratified_sample(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {_CELLS}, {_HEADS}, {_SHAPES}, {_SIG}, x AS (SELECT signature, min(table_uid * 100 + tgroup_ix) AS id, CAST(str_split(signature, '|')[1] AS INTEGER) AS n_cols, list_transform(str_split(signature, '|')[2:], lambda p: str_split(p, ':')[1]) AS shapes, list_distinct(list_filter(regexp_split_to_array(array_to_string(list_transform(str_split(signature, '|')[2:], lambda p: regexp_replace(p, '^[a-z]+:', '')), ' '), '[^a-z0-9]+'), lambda w: w <> '')) AS words FROM sig GROUP BY ALL),
-f AS (SELECT substr(sha256(signature), 1, 16) AS fingerprint, n_cols, shapes, words FROM x),
-p AS (SELECT a.fingerprint AS wanted, b.fingerprint, round(0.6 * len(list_filter(range(1, len(a.shapes) + 1), lambda i: a.shapes[i] = b.shapes[i])) / greatest(len(a.shapes), 1) + 0.4 * CASE WHEN len(list_distinct(list_concat(a.words, b.words))) = 0 THEN 0 ELSE len(list_intersect(a.words, b.words)) / len(list_distinct(list_concat(a.words, b.words))) END, 6) AS score FROM f a JOIN f b ON a.n_cols = b.n_cols AND a.fingerprint <> b.fingerprint)
+    f"""WITH {_CELLS}, {_HEADS}, {_SHAPES}, {_SIG}, x AS (SELECT signature, bool_or(table_uid % 50 = 0) AS asked, CAST(str_split(signature, '|')[1] AS INTEGER) AS n_cols, list_transform(str_split(signature, '|')[2:], lambda p: str_split(p, ':')[1]) AS shapes, list_distinct(list_filter(regexp_split_to_array(array_to_string(list_transform(str_split(signature, '|')[2:], lambda p: regexp_replace(p, '^[a-z]+:', '')), ' '), '[^a-z0-9]+'), lambda w: w <> '')) AS words FROM sig GROUP BY ALL),
+f AS (SELECT substr(sha256(signature), 1, 16) AS fingerprint, asked, n_cols, shapes, words FROM x),
+p AS (SELECT a.fingerprint AS wanted, b.fingerprint, round(0.6 * len(list_filter(range(1, len(a.shapes) + 1), lambda i: a.shapes[i] = b.shapes[i])) / greatest(len(a.shapes), 1) + 0.4 * CASE WHEN len(list_distinct(list_concat(a.words, b.words))) = 0 THEN 0 ELSE len(list_intersect(a.words, b.words)) / len(list_distinct(list_concat(a.words, b.words))) END, 6) AS score FROM f a JOIN f b ON a.asked AND a.n_cols = b.n_cols AND a.fingerprint <> b.fingerprint)
 SELECT wanted, fingerprint, score, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY wanted ORDER BY score DESC, fingerprint) AS rank FROM p WHERE score > 0.4) WHERE rank <= 3"""
 )
 def q_topk_similar(spark: SparkSession, d: str) -> DataFrame:
-    """The three most similar layouts of each distinct layout."""
-    sig = extract.layout_signature(_flat(spark, d)).select("fingerprint", "signature").distinct()
+    """The three most similar of all layouts, for the layouts of every table whose number is divisible by 50 (a search with a stated query set)."""
+    sig = extract.layout_signature(_flat(spark, d)).groupBy("fingerprint", "signature").agg(F.bool_or(F.col("table_uid") % 50 == 0).alias("asked"))
     parts = F.slice(F.split("signature", r"\|"), 2, 1000)
     layouts = sig.select(
         "fingerprint",
+        "asked",
         F.split("signature", r"\|")[0].cast("int").alias("n_cols"),
         F.transform(parts, lambda p: F.split(p, ":")[0]).alias("shapes"),
         F.array_distinct(F.filter(F.split(F.array_join(F.transform(parts, lambda p: F.regexp_replace(p, "^[a-z]+:", "")), " "), "[^a-z0-9]+"), lambda w: w != "")).alias("words"),
     )
-    return rules.similar_layouts(layouts, layouts)
+    return rules.similar_layouts(layouts.filter("asked"), layouts)
 
 
 @query(

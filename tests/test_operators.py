@@ -242,3 +242,31 @@ def test_entry_is_complete():
     import __spark_entry__ as entry
 
     assert set(entry.oracle_sql()) <= set(entry.queries()) and {"p2_found", "p4_found", "p5_found", "p6_found"} <= set(entry.queries())
+
+
+def test_asof_in_buckets_equals_one_window(spark):
+    import random
+
+    rng = random.Random(4)
+    e = spark.createDataFrame([(rng.choice("ab"), rng.randint(0, 60), i) for i in range(200)], "k string, t int, e int")
+    s = spark.createDataFrame([(k, t, f"{k}{t}") for k in "abc" for t in rng.sample(range(60), 9)], "k string, t int, v string")
+    one = identity.asof_before(e, s, ["k"], "t", ["v"])
+    many = identity.asof_before(e, s, ["k"], "t", ["v"], bucket=F.floor(F.col("t") / 7))
+    assert sorted(map(tuple, one.collect()), key=str) == sorted(map(tuple, many.collect()), key=str) and many.count() == 200
+
+
+def test_tolerance_equals_brute_force(spark):
+    import random
+
+    rng = random.Random(8)
+    pick = lambda: rng.choice([0.0, -1.0, 1e-13, 1e-12, 100.0, 101.0, 99.0, rng.uniform(95, 105), rng.uniform(-1.02, -0.98), 10 ** rng.uniform(-6, 6)])
+    ref = [(rng.choice("abc"), pick()) for _ in range(150)] + [("z", 1.0), ("a", None)]
+    own = [(rng.choice("abc"), pick()) for _ in range(150)] + [("a", None)]
+    got = {(r.k, r.v): r.agrees for r in identity.tolerance_agreement(spark.createDataFrame(ref, "k string, v double"), spark.createDataFrame(own, "k string, v double"), ["k"], "v").collect()}
+    want = {(k, v): any(k == k2 and o is not None and abs(o - v) <= 0.01 * max(abs(v), 1e-12) for k2, o in own) for k, v in ref if v is not None and k != "z"}
+    assert got == want
+
+
+def test_cache_hits(spark):
+    c = spark.createDataFrame([(1, "x", 5), (2, "x", 4), (3, None, 1), (4, "", 2), (5, "y", 1)], "i int, t string, at int")
+    assert {(r.i, r.hit) for r in rules.cache_hits(c, ["t"], ["at", "i"]).collect()} == {(1, True), (2, False), (3, False), (4, True), (5, False)}
