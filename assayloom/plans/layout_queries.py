@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from assayloom.common import shared_folder, table
 from assayloom.functions import cells as fn
 from assayloom.functions import texts
-from assayloom.operators import audit, drawings, extract, identity, layout, names, rules
+from assayloom.operators import audit, deliver, drawings, extract, identity, layout, names, rules
 from assayloom.plans.reference_queries import _CELLS, _COLUMNS, _HEADS, _SHAPE, _SHAPES, _bt, _flat, _k, _keyed, _metric, _ncid, _unit, query
 from assayloom.streaming import ingest
 
@@ -290,3 +290,49 @@ def q_top_candidates(spark: SparkSession, d: str) -> DataFrame:
     g = s.groupBy("patent_id").agg(F.count_if(F.col("inchikey").isNotNull()).alias("validate"), F.count_if(F.col("inchikey").isNull()).alias("recover"))
     return g.orderBy(F.desc("validate"), "patent_id").limit(15)
 
+
+
+_COLS = ["cid", "assay_name", "value_numeric", "unit", "n_runs", "letter_grade", "range_lo", "table_id", "reported_mz"]
+
+
+@query(" UNION ALL ".join(f"SELECT '{c}' AS \"column\", round(avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END), 9) AS share FROM reader_dump" for c in _COLS))
+def q_null_rates(spark: SparkSession, d: str) -> DataFrame:
+    """Shares of nulls in the dump."""
+    return deliver.null_rates(table(spark, d, "reader_dump", *_COLS)).select("column", F.round("share", 9).alias("share"))
+
+
+@query(
+    f"""WITH r AS (SELECT patent_id, cid, assay_name, value_numeric, unit FROM {_k("assay_records")} WHERE assay_name IS NOT NULL AND value_numeric IS NOT NULL)
+SELECT patent_id, cid, array_to_string(list(assay_name ORDER BY assay_name, value_numeric, unit NULLS FIRST), '|') AS assays, count(*) AS n FROM r GROUP BY ALL"""
+)
+def q_aligned_lists(spark: SparkSession, d: str) -> DataFrame:
+    """Measurements of a compound as aligned lists."""
+    r = _keyed(spark, d, "assay_records").filter("assay_name is not null and value_numeric is not null")
+    return deliver.aligned_lists(r, ["patent_id", "cid"]).select("patent_id", "cid", F.array_join("assays", "|").alias("assays"), F.size("values").cast("long").alias("n"))
+
+
+@query(
+    f"""WITH t AS (SELECT patent_id, doc_id, unnest(regexp_extract_all(text, '\\S+')) AS tok, generate_subscripts(regexp_extract_all(text, '\\S+'), 1) - 1 AS n FROM documents WHERE patent_id IS NOT NULL),
+w AS (SELECT *, lower(regexp_replace(coalesce(lag(tok) OVER (PARTITION BY patent_id, doc_id ORDER BY n), ''), '[^A-Za-z]', '', 'g')) AS before, regexp_replace(tok, '^[(\\[{{]+|[)\\]}},.;:]+$', '', 'g') AS id FROM t),
+i AS (SELECT DISTINCT patent_id, cid AS id FROM {_k("compounds")})
+SELECT w.patent_id, doc_id, id, CAST(n AS INTEGER) AS position, CASE WHEN before IN ('example', 'compound', 'cmpd', 'cpd', 'ex', 'no', 'entry') THEN 'labelled' WHEN regexp_matches(tok, '^\\(.*\\)') THEN 'bracketed' WHEN n = 0 AND ends_with(tok, ':') THEN 'line_start' ELSE 'bare' END AS shape FROM w JOIN i USING (patent_id, id)"""
+)
+def q_occurrences(spark: SparkSession, d: str) -> DataFrame:
+    """Where the compound numbers of a patent occur in its texts."""
+    docs = table(spark, d, "documents", "patent_id", "doc_id", "text").filter("patent_id is not null")
+    return identity.occurrences(docs, _keyed(spark, d, "compounds").select("patent_id", F.col("cid").alias("id")), "patent_id", "doc_id", "text")
+
+
+@query(f"WITH {_CELLS}, {_PROFILE} SELECT table_uid, tgroup_ix, count(*) FILTER (section = 'header') AS n_header, count(*) FILTER (section = 'body') AS n_body FROM prof GROUP BY ALL HAVING count(*) FILTER (section = 'header') >= 2 AND count(*) FILTER (section = 'header') * 4 > count(*) FILTER (section = 'body')")
+def q_header_heavy(spark: SparkSession, d: str) -> DataFrame:
+    """Groups with many header rows for their body."""
+    g = layout.row_profile(_flat(spark, d)).groupBy(*extract.KEY).agg(F.count_if(F.col("section") == "header").alias("n_header"), F.count_if(F.col("section") == "body").alias("n_body"))
+    return g.filter("n_header >= 2 and n_header * 4 > n_body")
+
+
+@query(
+    f"WITH {_CELLS}, f AS (SELECT DISTINCT lower(x) AS f FROM (SELECT canonical AS x FROM assay_vocabulary UNION ALL SELECT unnest(surface_forms) FROM assay_vocabulary)) SELECT table_uid, tgroup_ix, section, CAST(row_ix AS INTEGER) AS row_ix, CAST(cell_ix AS INTEGER) AS cell_ix FROM cells WHERE lower(trim(text)) IN (SELECT f FROM f)"
+)
+def q_measurement_cells(spark: SparkSession, d: str) -> DataFrame:
+    """Cells that say exactly what an entry of the assay list is called."""
+    return layout.measurement_cells(_flat(spark, d), table(spark, d, "assay_vocabulary")).select(*extract.KEY, "section", "row_ix", "cell_ix")
