@@ -33,6 +33,22 @@ SELECT DISTINCT table_uid, CAST(tgroup_ix AS INTEGER) AS tgroup_ix, section, CAS
 FROM (SELECT * FROM t_all UNION ALL SELECT * FROM r_all) WHERE span > 1
 """
 
+# the parts of _P2 up to its flat cells, for the other entities
+_P2_PARTS = _P2[: _P2.index("t_all AS")]
+_P2_RAW = _P2[_P2.index("docs AS") : _P2.index("r_all AS")].rstrip().rstrip(",")
+_P2_ROWS = _P2_PARTS + _P2_RAW + """
+SELECT table_uid, CAST(tgroup_ix AS INTEGER) AS tgroup_ix, section, CAST(row_ix AS INTEGER) AS row_ix FROM trow UNION SELECT table_uid, CAST(tgroup_ix AS INTEGER), section, CAST(row_ix AS INTEGER) FROM r"""
+_P2_GROUPS = _P2_PARTS + _P2_RAW + """
+SELECT table_uid, tgroup_ix, n_cols FROM table_objects UNION SELECT table_uid, CAST(tgroup_ix AS INTEGER), TRY_CAST(gs[tgroup_ix + 1] ->> '$.n_cols' AS INTEGER) FROM g1"""
+_P2_TABLES = _P2_PARTS + _P2_RAW + """
+SELECT table_uid, table_id, caption FROM table_objects UNION SELECT CAST(t ->> '$.table_uid' AS BIGINT), t ->> '$.table_id', CASE WHEN json_type(t -> '$.caption') = 'OBJECT' THEN t ->> '$.caption.text' ELSE t ->> '$.caption' END FROM docs"""
+_P2_CELLS = _P2_PARTS + _P2_RAW + """,
+tc AS (SELECT table_uid, tgroup_ix, section, row_ix, cell_ix, r[cell_ix + 1] AS c FROM tcell), rc AS (SELECT table_uid, tgroup_ix, section, row_ix, cell_ix, cs[cell_ix + 1] AS c, json_type(cs[cell_ix + 1]) = 'OBJECT' AS o FROM c1)
+SELECT table_uid, tgroup_ix, section, CAST(row_ix AS INTEGER) AS row_ix, CAST(cell_ix AS INTEGER) AS cell_ix, c.text AS text, greatest(1, coalesce(c.colspan, 1)) AS colspan, nullif(c.col_start, -1) AS col_start, c.chemistry_id AS chemistry_id FROM tc
+UNION SELECT table_uid, CAST(tgroup_ix AS INTEGER), section, CAST(row_ix AS INTEGER), CAST(cell_ix AS INTEGER), CASE WHEN o THEN c ->> '$.text' ELSE c ->> '$' END,
+  CASE WHEN o THEN greatest(coalesce(TRY_CAST(c ->> '$.colspan' AS INTEGER), 1), coalesce(CAST(substr(c ->> '$.nameend', 2) AS INTEGER) - CAST(substr(c ->> '$.namest', 2) AS INTEGER) + 1, 1)) ELSE 1 END,
+  CASE WHEN o THEN TRY_CAST(c ->> '$.col_start' AS INTEGER) END, CASE WHEN o THEN coalesce(c ->> '$.chemistry.id', c ->> '$.chemistry_id') END FROM rc"""
+
 _UNIT = r"""regexp_replace(translate(u, 'µμМΜｎＭｍｏｌＬ／∕оοсрхкеаｐｕｃｆһ％ｒｉａｔｅ', 'uuMMnMmolL//oocpxkeapucfh%riate'), '[\s\x{00A0}\x{00AD}\x{200B}-\x{200F}\x{2000}-\x{200A}\x{202F}\x{2060}\x{FEFF}]+', '', 'g')"""
 _STATED = r"(?:[x×]?10\^?-\d+ ?(?:mol/[Ll]|M)|[numpfµμ]?mol/m?[Ll]|(?:nano|micro|milli|pico|femto)?molar|mcM|[numpfµμ]?M|p(?:IC50|EC50|Ki|Kd))"
 _P5 = rf"""
@@ -61,6 +77,10 @@ SELECT patent_id, cid, assay_name FROM (SELECT DISTINCT patent_id, cid, assay_na
 def oracle_sql() -> dict[str, str]:
     return {
         "p2_found": _P2,
+        "p2_cells": _P2_CELLS,
+        "p2_rows": _P2_ROWS,
+        "p2_groups": _P2_GROUPS,
+        "p2_tables": _P2_TABLES,
         "p4_found": _P4 + "SELECT src_table, row_id, kind FROM k WHERE kind IS NOT NULL",
         "p4_report": _P4 + "SELECT src_table, strftime(loaded_at, '%Y-%m') AS month, kind, count(*) AS n_orphans FROM k WHERE kind IS NOT NULL GROUP BY ALL",
         "p5_found": _P5,
