@@ -98,9 +98,11 @@ def parse_value(c: Column) -> Column:
     number = r"^([<>~≥≤=])? ?(-?(?:[0-9][0-9,]*(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][-+]?[0-9]+)?)((?: ?[x×] ?10\^?[-+]?[0-9]+)?) ?" + unit + r" ?(?:\(([^)]*)\))? ?[*#†]*$"
     is_null, is_mean, is_number = is_null_marker(t), t.rlike(mean), t.rlike(number)
     is_grade = t.rlike(r"^[A-Ea-e]$|^\++$|^\*+$|^#+$")
-    power = F.coalesce(extract(F.regexp_extract(t, number, 3), r"10\^?([-+]?[0-9]+)").try_cast("int"), F.lit(0))
-    plain = F.regexp_replace(F.regexp_extract(t, number, 2), ",", "").try_cast("double")
-    value = F.when(is_mean, F.regexp_replace(F.regexp_extract(t, mean, 1), ",", "").try_cast("double")).when(is_number, F.when(power == 0, plain).otherwise(plain * F.pow(F.lit(10.0), power)))
+    power = extract(F.regexp_extract(t, number, 3), r"10\^?([-+]?[0-9]+)")
+    # mantissa and power are read as one number, which rounds once
+    digits = F.regexp_replace(F.regexp_extract(t, number, 2), ",", "")
+    plain = F.when(power.isNull(), digits).otherwise(F.concat(digits, F.lit("e"), power)).try_cast("double")
+    value = F.when(is_mean, F.regexp_replace(F.regexp_extract(t, mean, 1), ",", "").try_cast("double")).when(is_number, plain)
     paren = extract(t, number, 5)
     n_runs = F.when(is_mean, extract(t, mean, 3)).when(is_number & paren.rlike(r"^[0-9]{1,3}$"), paren).try_cast("int")
     out = {

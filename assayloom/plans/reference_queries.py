@@ -169,8 +169,8 @@ _NUMBER = r"'^([<>~≥≤=])? ?(-?(?:[0-9][0-9,]*(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][
 @query(
     f"""WITH a AS (SELECT record_id, {_T} AS t FROM assay_records),
 b AS (SELECT record_id, t, regexp_matches(t, {_NUMBER}) AS num, coalesce(lower(t) IN ('', '-', '--', '—', '–', 'nd', 'nt', 'na', 'n/a', 'n.d.', 'n.t.', 'n.a.', 'not determined', 'not tested'), false) AS nul, regexp_matches(t, '^[A-Ea-e]$|^\\++$|^\\*+$|^#+$') AS grade FROM a),
-c AS (SELECT *, TRY_CAST(replace(regexp_extract(t, {_NUMBER}, 2), ',', '') AS DOUBLE) AS plain, coalesce(TRY_CAST(replace(regexp_extract(regexp_extract(t, {_NUMBER}, 3), '10\\^?([-+]?[0-9]+)', 1), '+', '') AS INTEGER), 0) AS power, nullif(regexp_extract(t, {_NUMBER}, 5), '') AS paren FROM b)
-SELECT record_id, CASE WHEN num AND NOT nul THEN plain * 10.0 ** power END AS value_numeric, CASE WHEN num AND NOT nul THEN nullif(regexp_extract(t, {_NUMBER}, 1), '') END AS qualifier, CASE WHEN num AND NOT nul THEN nullif(regexp_extract(t, {_NUMBER}, 4), '') END AS unit,
+c AS (SELECT *, TRY_CAST(replace(regexp_extract(t, {_NUMBER}, 2), ',', '') || CASE WHEN regexp_extract(regexp_extract(t, {_NUMBER}, 3), '10\\^?([-+]?[0-9]+)', 1) <> '' THEN 'e' || regexp_extract(regexp_extract(t, {_NUMBER}, 3), '10\\^?([-+]?[0-9]+)', 1) ELSE '' END AS DOUBLE) AS plain, nullif(regexp_extract(t, {_NUMBER}, 5), '') AS paren FROM b)
+SELECT record_id, CASE WHEN num AND NOT nul THEN plain END AS value_numeric, CASE WHEN num AND NOT nul THEN nullif(regexp_extract(t, {_NUMBER}, 1), '') END AS qualifier, CASE WHEN num AND NOT nul THEN nullif(regexp_extract(t, {_NUMBER}, 4), '') END AS unit,
 CASE WHEN num AND NOT nul AND regexp_matches(paren, '^[0-9]{{1,3}}$') THEN CAST(paren AS INTEGER) END AS n_runs, CASE WHEN grade THEN upper(t) END AS letter_grade, CASE WHEN num AND NOT nul AND NOT regexp_matches(paren, '^[0-9]{{1,3}}$') THEN paren END AS annotation FROM c"""
 )
 def q_parse_value(spark: SparkSession, d: str) -> DataFrame:
@@ -288,7 +288,7 @@ drawn AS (SELECT table_uid, tgroup_ix, row_ix, bool_or(chemistry_id IS NOT NULL)
 idn AS (SELECT table_uid, tgroup_ix, row_ix, nullif({_ncid("own")}, '') AS own, has_drawing FROM ids JOIN drawn USING (table_uid, tgroup_ix, row_ix)),
 carried AS (SELECT table_uid, tgroup_ix, row_ix, CASE WHEN own IS NOT NULL THEN own WHEN NOT has_drawing THEN last_value(own IGNORE NULLS) OVER (PARTITION BY table_uid, tgroup_ix ORDER BY row_ix ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END AS cid FROM idn),
 vals AS (SELECT b.*, trim(b.text) AS t FROM body b WHERE kind = 'assay'),
-recs AS (SELECT v.table_uid, v.tgroup_ix, v.row_ix, v.col, r.cid, v.header AS assay_name, CASE WHEN regexp_matches(t, {_NUMBER}) AND lower(t) NOT IN ('', '-', '--', '—', '–') THEN TRY_CAST(replace(regexp_extract(t, {_NUMBER}, 2), ',', '') AS DOUBLE) * 10.0 ** coalesce(TRY_CAST(replace(regexp_extract(regexp_extract(t, {_NUMBER}, 3), '10\\^?([-+]?[0-9]+)', 1), '+', '') AS INTEGER), 0) END AS value_numeric, CASE WHEN regexp_matches(t, '^[A-Ea-e]$|^\\++$|^\\*+$|^#+$') THEN upper(t) END AS letter_grade FROM vals v LEFT JOIN carried r USING (table_uid, tgroup_ix, row_ix))"""
+recs AS (SELECT v.table_uid, v.tgroup_ix, v.row_ix, v.col, r.cid, v.header AS assay_name, CASE WHEN regexp_matches(t, {_NUMBER}) AND lower(t) NOT IN ('', '-', '--', '—', '–') THEN TRY_CAST(replace(regexp_extract(t, {_NUMBER}, 2), ',', '') || CASE WHEN regexp_extract(regexp_extract(t, {_NUMBER}, 3), '10\\^?([-+]?[0-9]+)', 1) <> '' THEN 'e' || regexp_extract(regexp_extract(t, {_NUMBER}, 3), '10\\^?([-+]?[0-9]+)', 1) ELSE '' END AS DOUBLE) END AS value_numeric, CASE WHEN regexp_matches(t, '^[A-Ea-e]$|^\\++$|^\\*+$|^#+$') THEN upper(t) END AS letter_grade FROM vals v LEFT JOIN carried r USING (table_uid, tgroup_ix, row_ix))"""
 
 
 @query(f"WITH {_CELLS}, {_HEADS}, {_SHAPES}, {_COLUMNS}, {_RECORDS} SELECT table_uid, tgroup_ix, CAST(row_ix AS INTEGER) AS row_ix, CAST(col AS INTEGER) AS col, cid, assay_name, value_numeric, letter_grade FROM recs WHERE value_numeric IS NOT NULL OR letter_grade IS NOT NULL")
