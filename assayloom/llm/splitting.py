@@ -94,7 +94,8 @@ def _blocks(doc: Tokenized, limit: int) -> list[tuple[int, int, int]]:
 
 
 def _overlap(doc: Tokenized, start: int, end: int, overlap: int) -> tuple[int, int]:
-    """(start, tokens) of the longest run of whole words at the end of [start, end) with at most ``overlap`` tokens."""
+    """(start, tokens) of the longest run of whole words at the end of [start, end) with at most ``overlap`` tokens; of characters if no
+    word begins there."""
     if overlap <= 0:
         return end, 0
     last = doc.upto([end])[0]
@@ -104,14 +105,27 @@ def _overlap(doc: Tokenized, start: int, end: int, overlap: int) -> tuple[int, i
             n = doc.count(m.end(), end)
             if n <= overlap:
                 return m.end(), n
-    return end, 0
+    return _suffix(doc, start, end, overlap)
+
+
+def _suffix(doc: Tokenized, start: int, end: int, overlap: int) -> tuple[int, int]:
+    """(start, tokens) of the characters at the end of [start, end) with at most ``overlap`` tokens; no combining mark loses its base."""
+    last = doc.upto([end])[0]
+    at = max(start, int(doc.ends[last - overlap - 1])) if last > overlap else start
+    while at < end and (n := doc.count(at, end)) > overlap:
+        at += max(1, (end - at) * (n - overlap) // n)
+    while at > start and doc.count(at - 1, end) <= overlap:
+        at -= 1
+    while at < end and (unicodedata.combining(doc.text[at]) or doc.count(at, end) > overlap):
+        at += 1
+    return (at, doc.count(at, end)) if at < end else (end, 0)
 
 
 def split_text(text: str, limit: int, overlap: int, counter: Counter) -> Iterator[tuple[int, int, int, int]]:
     """(start, end, tokens, overlapping characters) of the pieces; each has at most ``limit`` tokens, together they cover the text.
 
     The blocks are sized to leave room for the overlap. Token counts do not add up exactly across a cut, so each piece is counted as a whole and
-    gives back blocks, then overlap, until it fits.
+    gives back blocks, then as much of the overlap as needed, until it fits.
     """
     # a short text mostly fits, and counting is cheaper than placing the tokens
     if len(text) <= 3 * limit and (n := counter.count(text)) <= limit:
@@ -122,7 +136,7 @@ def split_text(text: str, limit: int, overlap: int, counter: Counter) -> Iterato
         yield 0, len(text), len(doc), 0
         return
     blocks = _blocks(doc, max(1, limit - overlap - _SLACK))
-    i, start, n = 0, 0, 0
+    i, start, n, before = 0, 0, 0, 0
     while i < len(blocks):
         j = i
         while j < len(blocks) and (j == i or n + blocks[j][2] <= limit - _SLACK):
@@ -130,16 +144,18 @@ def split_text(text: str, limit: int, overlap: int, counter: Counter) -> Iterato
             j += 1
         while (n := doc.count(start, blocks[j - 1][1])) > limit and j > i + 1:
             j -= 1
-        if n > limit:
-            start = blocks[i][0]
+        if n > limit and doc.count(blocks[i][0], blocks[i][1]) > limit:  # a block right at the limit whose count rose at its edges
+            blocks[i : i + 1] = _characters(doc, blocks[i][0], blocks[i][1], max(1, limit - overlap - _SLACK))
+            n = doc.count(start, blocks[i][1])
+        shorter = overlap
+        while n > limit and start < blocks[i][0]:
+            shorter = max(0, shorter - max(1, n - limit))
+            start = _overlap(doc, before, blocks[i][0], shorter)[0]
             n = doc.count(start, blocks[i][1])
-        if n > limit:  # a block right at the limit whose count rose at its edges
-            tail = _characters(doc, blocks[i][0], blocks[i][1], limit)
-            blocks[i : i + 1] = tail
-            n = tail[0][2]
         end = blocks[j - 1][1]
         yield start, end, n, blocks[i][0] - start
-        start, n = _overlap(doc, blocks[i][0], end, overlap)
+        before = blocks[i][0]
+        start, n = _overlap(doc, before, end, overlap)
         i = j
 
 

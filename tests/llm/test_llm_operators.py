@@ -65,6 +65,16 @@ def test_pieces_end_at_the_strongest_boundary():
     assert [text[a:b] for a, b, *_ in pieces] == ["Alpha beta gamma. Delta epsilon zeta.\n\n", "Eta theta iota. Kappa lambda mu.\n\n"]
 
 
+@pytest.mark.parametrize("text", ["ACGT" * 3000, "MKTAYIAKQRQISFVKSHFSRQ" * 300, "e\u0301" * 2000, "漢字仮名" * 800, "First words. " + "GATTACA" * 1500 + " last words."])
+def test_unbroken_runs_overlap(text):
+    pieces = list(splitting.split_text(text, 100, 20, counter()))
+    assert len(pieces) > 3 and all(n == counter().count(text[a:b]) <= 100 for a, b, n, _ in pieces)
+    for (_, before, _, _), (start, _, _, over) in zip(pieces, pieces[1:], strict=False):
+        # no word begins in the end of the piece before, so as many characters are repeated as fit
+        assert start + over == before and 10 <= counter().count(text[start:before]) <= 20
+        assert not unicodedata.combining(text[start])
+
+
 def test_split_documents_edge_cases(spark):
     long = "word " * 3000
     df = spark.createDataFrame([(1, long, "x"), (2, None, "x"), (3, "", "x"), (4, "short", "x"), (5, "q" * 9000, "x"), (6, long, "y")], "doc_id long, text string, piece string")
