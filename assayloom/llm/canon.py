@@ -1,8 +1,9 @@
 """Mapping freely typed names to the entries of a reference list.
 
 Distinct names are normalised into measurement, number and target text. Target texts retrieve candidates from an inverted index of character
-n-grams and are scored by weighted cosine; the best candidate is accepted above a threshold and a margin over the second. The index
-also holds target names that are frequent in the data but in no entry, so that they compete and their misspellings are reported, not mapped.
+n-grams and are scored by weighted cosine; the best candidate is accepted above a threshold, within a number of edits and by a margin over
+the second. The index also holds target names that are frequent in the data but in no entry, so that they compete and their misspellings are
+reported, not mapped.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ CLOSE = 5
 ESTABLISHED_SHARE = 2e-4
 ESTABLISHED_LEAST = 3
 ESTABLISHED_EDITS = 3
+#: A target is a misspelling's if it is at most this share of its letters away, and nearer than established names are, however frequent.
+EDITS_SHARE = 1 / 3
 
 # Measurement kinds and how they are written, in lower case, after subscripts are plain and blanks single.
 MEASURES = [
@@ -131,7 +134,8 @@ def _edits(a: str, b: str) -> int:
 def best_targets(words: DataFrame, known: list[str], threshold: float = THRESHOLD, margin: float = MARGIN) -> DataFrame:
     """(word, target, score, margin) of each word's best known target by weighted cosine; unaccepted words have a null target.
 
-    Below the margin the edit distance decides between the ``CLOSE`` best candidates, and a tie is not accepted.
+    Below the margin the edit distance decides between the ``CLOSE`` best candidates, and a tie is not accepted. A target more than
+    ``allowed`` edits away is never accepted: the word is a name of its own.
 
     The inverted index is a table (gram, target, weight); its size is checked before it is broadcast, beyond that the join shuffles.
     """
@@ -154,18 +158,25 @@ def best_targets(words: DataFrame, known: list[str], threshold: float = THRESHOL
     dot = lambda i: F.coalesce(F.try_element_at("r", F.lit(i))["dot"], F.lit(0.0)) / F.col("norm")
     ranked = ranked.join(length, "word").select("word", F.slice("r", 1, CLOSE)["target"].alias("close"), dot(1).alias("score"), (dot(1) - dot(2)).alias("margin"))
     nearest = F.pandas_udf(_nearest, "string")
-    target = F.when(F.col("score") < threshold, None).when(F.col("margin") >= margin, F.col("close")[0]).otherwise(nearest("word", "close"))
+    target = F.when(F.col("score") < threshold, None).otherwise(nearest("word", "close", F.col("margin") >= margin))
     return ranked.select("word", target.alias("target"), "score", "margin")
 
 
-def _nearest(words: pd.Series, close: pd.Series) -> pd.Series:
-    """The candidate with the fewest edits; null if two share the fewest."""
+def allowed(target: str) -> int:
+    """Edits that a misspelling may be away from the target."""
+    return min(ESTABLISHED_EDITS - 1, int(len(target) * EDITS_SHARE))
 
-    def one(word: str, targets: list[str]) -> str | None:
+
+def _nearest(words: pd.Series, close: pd.Series, clear: pd.Series) -> pd.Series:
+    """The first candidate if it is clear, else that with the fewest edits, null if two share the fewest; only ones within ``allowed``."""
+
+    def one(word: str, targets: list[str], first: bool) -> str | None:
         d = sorted((_edits(word, t), t) for t in targets)
-        return d[0][1] if len(d) == 1 or d and d[0][0] < d[1][0] else None
+        if first and _edits(word, targets[0]) <= allowed(targets[0]):
+            return targets[0]
+        return d[0][1] if d and d[0][0] <= allowed(d[0][1]) and (len(d) == 1 or d[0][0] < d[1][0]) else None
 
-    return pd.Series([one(w, list(c)) for w, c in zip(words, close, strict=True)], dtype=object)
+    return pd.Series([one(w, list(c), f) for w, c, f in zip(words, close, clear, strict=True)], dtype=object)
 
 
 def map_names(records: DataFrame, vocabulary: DataFrame, record_id: str = "record_id", name: str = "assay_name", fallback: str = "column_header", threshold: float = THRESHOLD, margin: float = MARGIN) -> DataFrame:

@@ -248,3 +248,13 @@ def test_misspellings_of_unlisted_names_are_not_mapped(spark):
     df = spark.createDataFrame([(i, n, None) for i, n in typed], "record_id long, assay_name string, column_header string")
     got = {r.record_id: r.vocab_id for r in canon.map_names(df, _vocabulary(spark)).collect()}
     assert got[100] == 0 and got[0] == 0 and got[101] == 1
+
+
+def test_rare_unlisted_names_are_rejected_by_themselves(spark):
+    targets = ["vagudor", "pratekfen", "qualanbel", "nomikel", "novaost"]
+    vocabulary = spark.createDataFrame([(i, f"{t.title()} kinase 1 Ki", None) for i, t in enumerate(targets, 1)], "vocab_id long, canonical string, surface_forms array<string>")
+    typed = ["Gudoryth", "Nopratek", "Vavayth", "Quafenost", "Vagduor", "Pratekfn", "Qualnbell"]
+    for times in (1, 40):  # established or not
+        df = spark.createDataFrame([(i, f"{t} kinase 1 Ki value", None) for i, t in enumerate(typed) for _ in range(times if i < 4 else 1)], "record_id long, assay_name string, column_header string")
+        got = {r.record_id: r.vocab_id for r in canon.map_names(df, vocabulary).collect()}
+        assert got == {0: 0, 1: 0, 2: 0, 3: 0, 4: 1, 5: 2, 6: 3}
