@@ -20,6 +20,17 @@ MOST_CANDIDATES = 24
 _PAIRS = {")": "(", "]": "[", "}": "{"}
 #: Glyphs that recognisers confuse, as alternatives of one site.
 _SITES = re.compile(r"(?<=\d)[lI](?=[,\-])|(?<=[,\-])[lI](?=[,\-\d])|(?<=\d)O(?=[,\-])|rn(?=eth)|vv")
+_TAIL = re.compile(r"\s+(?:acid|ester|amide|anhydride|chloride|bromide|iodide|hydrochloride|sulfate|acetate|formate|oxide|salt|hydrate)\b", re.IGNORECASE)
+_SEED = re.compile(r"[A-Za-z0-9(\[{)\]}'′,.+\-]{5,}")
+_ANCHOR = re.compile(r"[\-)\]}]")
+#: Share of a text's letters and digits that a seed must cover, so that no reading is a mere fragment.
+SEED_COVERAGE = 0.75
+_LETTER_SPACE = re.compile(r"(?<=[A-Za-z])\s+(?=[A-Za-z])")
+_DOUBLED = re.compile(r"[)\]}]\s+[)\]}]")
+_LOST_OPENER = re.compile(r"[^()]{1,12}\)")
+_NAME_END = re.compile(r"(?:acid|carboxylate|amide|amine|nitrile|ester|oxide|one|ol|ate|ide|ine|yl)s?\b", re.IGNORECASE)
+#: Locants as recognisers break them: a blank after a hyphen or comma, a full stop for a comma, a lost hyphen.
+_LOCANTS = [(re.compile(r"(?<=[\d,\-])\s+(?=[\da-z])"), ""), (re.compile(r"(?<=\d)\.(?=\d+-)"), ","), (re.compile(r"(?<=[a-z)\]])(?=\d(?:,\d)*-)"), "-")]
 _READINGS = {"l": ["1"], "I": ["1"], "O": ["0"], "rn": ["m"], "vv": ["w"]}
 
 
@@ -48,30 +59,105 @@ def balanced(text: str) -> str:
     return text[: openers[0]].rstrip(" -,")
 
 
+def balanced_left(text: str) -> str:
+    """The text behind its last bracket without a partner, or the text if there is none."""
+    openers, closers = unmatched(text)
+    return text[max(openers + closers, default=-1) + 1 :]
+
+
+def balanced_both(text: str) -> str:
+    """The text behind its last closer without a partner, up to where openers remain open."""
+    _, closers = unmatched(text)
+    return balanced(text[max(closers, default=-1) + 1 :])
+
+
+def span_variants(text: str, start: int, end: int) -> list[str]:
+    """Ordered readings of a span: raw, with the tail word behind it, balanced from the right, left and both, without up to three lead words,
+    from each of the first four inner boundaries on."""
+    raw = text[start:end]
+    tail = _TAIL.match(text, end)
+    out = [raw, *([text[start : tail.end()]] if tail else []), balanced(raw), balanced_left(raw), balanced_both(raw)]
+    words = raw.split(" ")
+    for k in range(1, min(4, len(words))):
+        lead = " ".join(words[k:])
+        out += [lead, balanced(lead)]
+    out += [balanced(raw[m.end() :]) for m in itertools.islice(_ANCHOR.finditer(raw), 4)]
+    return [raw, *(x.strip(" \t.,;:-") for x in out[1:])]
+
+
 def variants(text: str, most: int = MOST_CANDIDATES) -> list[str]:
-    """Ordered readings of a span without repeats: whole, balanced, without a lead word (up to three), without stereo prefix, de-wrapped."""
-    out = [text, balanced(text)]
-    words = text.split(" ")
-    out += [" ".join(words[k:]) for k in range(1, min(4, len(words)))]
-    out.append(re.sub(r"^\((?:[RSEZ±+\-](?:,\s*)?)+\)-", "", text))
-    out.append(re.sub(r"\s*([\-\[\](){},])\s*", r"\1", text))
-    out.append(re.sub(r"\s+", "", text))
+    """Ordered readings of a text without repeats: those of the whole, without stereo prefix, de-wrapped, and those of each name-like run
+    that covers ``SEED_COVERAGE`` of its letters and digits."""
+    flat = re.sub(r"\s*([\-\[\](){},])\s*", r"\1", text)
+    whole = span_variants(text, 0, len(text))
+    out = [*whole[:1], flat, re.sub(r"^\((?:[RSEZ±+\-](?:,\s*)?)+\)-", "", text), *whole[1:], re.sub(r"\s+", "", text)]
+    size = lambda x: sum(map(str.isalnum, x))
+    for m in _SEED.finditer(flat):
+        if re.search("[a-z]{3}", m.group()) and size(m.group()) >= SEED_COVERAGE * size(flat):
+            out += span_variants(flat, *m.span())
     return [x for x in dict.fromkeys(x.strip() for x in out) if x][:most]
 
 
+def _trimmed(text: str) -> Iterator[str]:
+    """The text, and without what follows its last name-ending word."""
+    yield text
+    ends = [m.end() for m in _NAME_END.finditer(text)]
+    if ends and ends[-1] < len(text):
+        yield text[: ends[-1]]
+
+
+def _opened(text: str) -> Iterator[str]:
+    """The text, and with the bracket lost at its start."""
+    yield text
+    if text.startswith(")"):
+        rest = text[1:].lstrip("- ")
+        yield from [*(f"({x})-{rest}" for x in "EZRS"), rest]
+    elif _LOST_OPENER.match(text):
+        yield "(" + text
+
+
+def _closed(text: str) -> Iterator[str]:
+    """The text, and with either one of two closers in a row."""
+    yield text
+    for m in _DOUBLED.finditer(text):
+        yield text[: m.start()] + text[m.end() - 1 :]
+        yield text[: m.start() + 1] + text[m.end() :]
+
+
+def _spaced(text: str, most: int = 3) -> Iterator[str]:
+    """The text, and if it has at most ``most`` blanks between letters, each of them kept, closed or read as a lost closer."""
+    sites = list(_LETTER_SPACE.finditer(text))
+    sites = sites if len(sites) <= most else []
+    for pick in itertools.product(*[[m.group(), "", ")"] for m in sites]):
+        yield _put(text, sites, pick)
+
+
+def _put(text: str, sites: list[re.Match[str]], pick: tuple[str, ...]) -> str:
+    s, at = "", 0
+    for m, g in zip(sites, pick, strict=True):
+        s += text[at : m.start()] + g
+        at = m.end()
+    return s + text[at:]
+
+
+def _glyphs(text: str, most: int) -> Iterator[str]:
+    """Each of the first ambiguous glyphs read either way, as it stands and with its locants mended."""
+    found = list(_SITES.finditer(text))[:most]
+    for pick in itertools.product(*[[m.group(), *_READINGS[m.group()]] for m in found]):
+        s = _put(text, found, pick)
+        yield s
+        for site, fix in _LOCANTS:
+            s = site.sub(fix, s)
+        yield s
+
+
 def misread(text: str, sites: int = 4, least: int = 40) -> list[str]:
-    """Readings of a recognised caption of at least ``least`` characters: each of the first ambiguous glyphs read either way."""
+    """Readings of a recognised caption of at least ``least`` characters, the plainest first: annotation trimmed, lost and doubled brackets,
+    blanks between letters, each of the first ``sites`` ambiguous glyphs either way, and locants."""
     if len(text) < least:
         return [text]
-    found = list(_SITES.finditer(text))[:sites]
-    out = []
-    for pick in itertools.product(*[[m.group(), *_READINGS[m.group()]] for m in found]):
-        s, at = "", 0
-        for m, g in zip(found, pick, strict=True):
-            s += text[at : m.start()] + g
-            at = m.end()
-        out.append(s + text[at:])
-    return list(dict.fromkeys(out))
+    made = (g for t in _trimmed(text) if len(t) >= least for o in _opened(t) for c in _closed(o) for s in _spaced(c) for g in _glyphs(s, sites))
+    return list(dict.fromkeys(made))
 
 
 @dataclass(frozen=True)

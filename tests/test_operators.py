@@ -211,6 +211,23 @@ def test_delivery(spark, tmp_path):
     assert sorted(x.detail for x in log.collect()) == ['{"cid":"1","name":"n"}', '{"cid":"2"}']
 
 
+def test_readings_of_damaged_names():
+    v = names.variants
+    assert "2-methylphenol" in v(")-2-methylphenol")  # a stray closer at the start
+    assert {"4-(ethyl)phenol", "methyl"} <= set(v("2-methyl)-4-(ethyl)phenol"))  # from the left; from a boundary
+    assert "5-ethylphenol" in v("a)5-ethylphenol-(b")  # both sides
+    assert "3-methylbutanoic acid" in names.span_variants("x 3-methylbutanoic acid y", 2, 18)  # tail word
+    assert "2-(3-chloro-phenyl)ethanol" in v("2-(3-chloro- phenyl)ethanol; b")  # a run of the de-wrapped text
+    assert "chlorophenyl" not in v("chlorophenyl and many more words that follow here")  # covers too little
+    m = names.misread
+    assert "4-ethyl-2-(propylphenyl)cyclohexane carboxylate" in m("4-ethyl-2-(propyl phenyl)cyclohexane carboxylate")
+    assert "4-ethyl-2-(propyl)phenylcyclohexane carboxylate" in m("4-ethyl-2-(propyl phenylcyclohexane carboxylate")
+    assert "(2-methyl)-4-ethylphenylcyclohexanecarboxylate" in m("2-methyl)-4-ethylphenylcyclohexanecarboxylate")
+    assert "(E)-4-ethylphenylcyclohexanecarboxylate-amide" in m(")-4-ethylphenylcyclohexanecarboxylate-amide")
+    assert "2-(4-ethylphenyl)cyclohexanecarboxylate-amide" in m("2-(4-ethylphenyl) )cyclohexanecarboxylate-amide")
+    assert "2,4-diethylphenylcyclohexanecarboxylic acid" in m("2.4-diethylphenylcyclohexanecarboxylic acid (1st isomer)")
+
+
 def test_names_and_drawings(spark):
     assert names.unmatched("a(b]c)") == ([], [3]) and names.balanced("2-(methyl") == "2" and names.balanced("ok(1)") == "ok(1)"
     assert names.variants("(R)-2- methyl")[0] == "(R)-2- methyl" and "2- methyl" in names.variants("(R)-2- methyl") and names.variants("") == []
