@@ -706,7 +706,8 @@ SELECT wanted, fingerprint, score, CAST(rank AS INTEGER) AS rank FROM (SELECT *,
 def q_topk_similar(spark: SparkSession, d: str) -> DataFrame:
     """The three most similar of all layouts, for the layouts of every table whose number is divisible by 50 (a search with a stated query set)."""
     sig = extract.layout_signature(_flat(spark, d)).groupBy("fingerprint", "signature").agg(F.bool_or(F.col("table_uid") % 50 == 0).alias("asked"))
-    parts = F.slice(F.split("signature", r"\|"), 2, 1000)
+    parts = F.split("signature", r"\|")
+    parts = F.slice(parts, F.lit(2), F.size(parts))
     layouts = sig.select(
         "fingerprint",
         "asked",

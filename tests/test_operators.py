@@ -287,3 +287,13 @@ def test_tolerance_equals_brute_force(spark):
 def test_cache_hits(spark):
     c = spark.createDataFrame([(1, "x", 5), (2, "x", 4), (3, None, 1), (4, "", 2), (5, "y", 1)], "i int, t string, at int")
     assert {(r.i, r.hit) for r in rules.cache_hits(c, ["t"], ["at", "i"]).collect()} == {(1, True), (2, False), (3, False), (4, True), (5, False)}
+
+
+def test_similar_layouts_compare_every_column(spark, save):
+    from assayloom.plans import reference_queries as rq
+
+    wide = [["1.5"] * 1100, ["1.5"] * 1000 + ["some words"] * 100]
+    rows = [("P", i, 0, [], [[(x, 1, -1, None) for x in r]], dt.datetime(2020, 1, 1)) for i, r in enumerate(wide)]
+    cell = "array<array<struct<text:string,colspan:int,col_start:int,chemistry_id:string>>>"
+    df = spark.createDataFrame(rows, f"patent_id string, table_uid long, tgroup_ix int, header_rows {cell}, body_rows {cell}, scanned_at timestamp")
+    assert [r.score for r in rq.q_topk_similar(spark, save(table_objects=df)).collect()] == [round(0.6 * 1000 / 1100, 6)]
