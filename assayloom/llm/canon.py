@@ -1,122 +1,111 @@
 """Mapping freely typed names to the entries of a reference list.
 
-Distinct names are normalised into measurement, number and target text. Target texts retrieve candidates from an inverted index of character
-n-grams and are scored by weighted cosine; the best candidate is accepted above a threshold, within a number of edits and by a margin over
-the second. The index also holds target names that are frequent in the data but in no entry, so that they compete and their misspellings are
-reported, not mapped.
+Distinct names are normalised into a measurement, designators (numbers and tokens of one or two letters) and target words. The whole
+normalised text retrieves candidates from an inverted index of character n-grams over every form of every entry, common n-grams only where a
+name has no rarer ones; candidates are scored by weighted cosine. A candidate must state the same measurement and designators, and every
+typed word must be a spelling of one of its words. The best candidate is accepted above a threshold and by a margin over the next target.
 """
 
 from __future__ import annotations
 
+import math
 import re
+import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from assayloom.common import BROADCAST_LIMIT, written
-
-THRESHOLD = 0.15
-MARGIN = 0.15
-#: Candidates among which the edit distance decides when the cosine margin is not met.
-CLOSE = 5
-#: A target word in no entry is an established name if it is this frequent among the names and this many edits from every entry.
-ESTABLISHED_SHARE = 2e-4
-ESTABLISHED_LEAST = 3
-ESTABLISHED_EDITS = 3
-#: A target is a misspelling's if it is at most this share of its letters away, and nearer than established names are, however frequent.
+from assayloom.common import written
+
+#: Least cosine of an accepted candidate, and how far it must be ahead of the next target.
+THRESHOLD = 0.2
+MARGIN = 0.1
+#: A word is a misspelling of another at most this many edits and this share of its letters away; words of four letters must be equal.
+MOST_EDITS = 2
 EDITS_SHARE = 1 / 3
+SHORTEST_MISSPELT = 5
 
-# Measurement kinds and how they are written, in lower case, after subscripts are plain and blanks single.
+# Measurements written in words, in lower case, and the name they mean.
 MEASURES = [
-    ("IC50", r"half[ -]?maximal inhibitory conc(?:entration|\.)?|\bi\.?\s?c\.?[\s-]?50\b"),
-    ("EC50", r"half[ -]?maximal effective conc(?:entration|\.)?|\be\.?\s?c\.?[\s-]?50\b"),
-    ("Ki", r"\binhibit(?:ion|ory) constant|\bk[\s-]?i\b"),
-    ("Kd", r"\bdissociation constant|\bk[\s-]?d\b"),
-    ("% inhibition", r"%\s?inhib(?:ition)?\b\.?|\b(?:percent|pct)\.? inhib(?:ition)?\b\.?|\binhib(?:ition)?\.?\s?\(%\)|%\s?inh\b\.?|\b(?:percent|pct)\.? inh\b\.?"),
+    ("ic50", r"half[ -]?maximal inhibitory conc(?:entration|\.)?"),
+    ("ec50", r"half[ -]?maximal effective conc(?:entration|\.)?"),
+    ("ki", r"\binhibit(?:ion|ory) constant|\bk[\s-]?i\b"),
+    ("kd", r"\bdissociation constant|\bk[\s-]?d\b"),
+    ("kb", r"\bk[\s-]?b\b"),
+    ("% inhibition", r"(?:%|\b(?:percent|pct)\.?)\s?inh(?:ib(?:ition)?)?\b\.?|\binhib(?:ition)?\.?\s?\(%\)"),
+    ("mic", r"\bminim(?:um|al) inhibitory conc(?:entration|\.)?|\bmic\b"),
+    ("half-life", r"\bhalf[ -]?life\b|\bt\s?1/2\b"),
+    ("clearance", r"\bclearance\b"),
+    ("solubility", r"\bsolubility\b"),
 ]
-# Kinds of targets with their abbreviations.
-KINDS = {"transporter": "transp", "phosphatase": "phosph", "channel": "chan", "hydrolase": "hydr", "protease": "prot", "ligase": "lig", "kinase": "kin", "receptor": "rec"}
-_ROMAN = {"i": "1", "ii": "2", "iii": "3", "iv": "4", "v": "5", "vi": "6", "vii": "7", "viii": "8", "ix": "9", "x": "10"}
+#: A letter pair with a percentage, with or without a leading p for its negative logarithm: IC50, EC-50, GI 90, pIC50.
+_PERCENTILE = re.compile(r"\b(p?)((?:i|e|g|l|c|a|x)\.?\s?(?:c|d|i))\.?[\s-]?([1-9]\d)\b")
+_P_CONSTANT = re.compile(r"\bp[\s-]?k[\s-]?([idb])\b")
+# Words that class a target but name none.
+CLASS_WORDS = frozenset("receptor kinase protease ligase channel transporter phosphatase hydrolase enzyme protein synthase reductase oxidase transferase factor inhibitor agonist antagonist".split())
+# Words that say nothing about the target.
+_IDLE = frozenset("against value values assay assays test activity potency binding inhibition of in the for on at and with by to from using mean".split())
+_SPECIES = r"\b(?:recombinant|human|rat|mouse|murine|dog|monkey|hum|rec)\b\.?"
 _UNIT = r"(?:[x×]?10\^?-?\d+ ?(?:mol/l|m)|[numpfµμ]?mol/m?l|(?:nano|micro|milli|pico)?molar|mcm|[numpµμ]?m|[nuµμm]g/ml)"
 _CONDITIONS = re.compile(
-    rf"[*†‡§]|\((?:[a-d]|n ?= ?\d+)\)|[(\[]\s*(?:in )?{_UNIT}\s*[)\]]|,\s*{_UNIT}$|\bin {_UNIT}$|\bat ph ?[\d.]+|,\s*\d+ ?(?:min|h)\b|\bcell[- ]free\b|\b(?:recombinant|human|rat|mouse|murine|hum|rec\.? human)\b|\bassay\b"
+    rf"[*†‡§]|\((?:[a-d]|n ?= ?\d+)\)|[(\[]\s*(?:in )?{_UNIT}\s*[)\]]|,\s*{_UNIT}$|\bin {_UNIT}$|\bat ph ?[\d.]+|,\s*\d+ ?(?:min|h)\b|\bcell[- ]free\b|{_SPECIES}"
 )
-_SUB = str.maketrans("₀₁₂₃₄₅₆₇₈₉", "0123456789")
-_TARGET = re.compile(r"^(?:[hrm] )?(?P<word>[a-z]{4,})[ -]*(?P<kind>[a-z]+\.?)?\s*(?:\((?P<code>[a-z]{2,4})(?P<codeno>\d+)\))?[ -]*(?P<no>\d+|[ivx]+)?$")
-_CODE = re.compile(r"^(?:[hrm] )?(?P<code>[a-z]{3})[ -]?(?P<no>\d+|[ivx]+)$")
+_ROMAN = {"i": "1", "ii": "2", "iii": "3", "iv": "4", "v": "5", "vi": "6", "vii": "7", "viii": "8", "ix": "9", "x": "10"}
+_TOKEN = re.compile(r"[^\W\d_]+|\d+")
 
 
-def normalise(name: str) -> tuple[str | None, str | None, str | None, str | None]:
-    """(measurement, number, target word, target code) of a typed name, each null if it states none."""
-    s = name.translate(_SUB).replace("_", " ")
-    s = re.sub(r"(?<=[a-z])(?=[A-Z][a-z])", " ", s)
-    s = re.sub(r"(?<=[a-z]{3})(?=\d)", " ", s)
-    s = " ".join(s.lower().split())
-    s = " ".join(_CONDITIONS.sub(" ", s).split())
-    measure = None
+def _measure(s: str) -> tuple[str, str]:
+    """(measurement, rest) of a lower-case name; the first of the list that occurs is taken out, an unstated one is ''."""
+    m = _PERCENTILE.search(s) or _P_CONSTANT.search(s)
+    if m:
+        kind = "pk" + m[1] if m.re is _P_CONSTANT else m[1] + re.sub(r"[.\s]", "", m[2]) + m[3]
+        return kind, s[: m.start()] + " " + s[m.end() :]
     for kind, pattern in MEASURES:
-        t, n = re.subn(pattern, " ", s, count=1)
+        rest, n = re.subn(pattern, " ", s, count=1)
         if n:
-            measure, s = kind, t
-            break
-    s = re.sub(r"\bagainst\b|\bvalues?\b|[,:;]|(?<!\w)\.", " ", s)
-    s = " ".join(s.split()).strip(" -.")
-    m = _CODE.match(s)
-    if m:
-        return measure, _ROMAN.get(m["no"], m["no"]), None, m["code"]
-    m = _TARGET.match(s)
-    if not m:
-        return measure, None, None, None
-    word, kind, no = m["word"], m["kind"], m["no"]
-    if kind and no is None and kind in _ROMAN:
-        kind, no = None, kind
-    no = _ROMAN.get(no, no) if no else m["codeno"]
-    if no is None:
-        run = next((k for k in KINDS if word.endswith(k) and len(word) > len(k) + 3), None)
-        word = word[: -len(run)] if run else word
-    else:
-        # "jortasubligase 5" in one word and one case
-        run = next((k for k in KINDS if kind is None and word.endswith(k) and len(word) > len(k) + 3), None)
-        word = word[: -len(run)] if run else word
-    return measure, no, word, m["code"]
+            return kind, rest
+    return "", s
+
+
+def normalise(name: str) -> tuple[str, str, str]:
+    """(measurement, designators, target words) of a typed name. Each may be empty; designators are sorted and distinct.
+
+    Full-width and subscript characters, case, underscores, runs of words and digits, Roman numerals at the end, species, units, conditions
+    and footnote marks make no difference.
+    """
+    s = unicodedata.normalize("NFKC", name).replace("_", " ")
+    s = re.sub(r"(?<=[a-z])(?=[A-Z][a-z])", " ", s)
+    s = re.sub(r"(?<=[A-Za-z]{3})(?=\d)", " ", s)
+    s = " ".join(s.lower().split())
+    measure, s = _measure(" ".join(_CONDITIONS.sub(" ", s).split()))
+    tokens = [t for t in _TOKEN.findall(s) if t not in _IDLE]
+    while len(tokens) > 1 and tokens[0] in ("h", "r", "m"):  # human, rat, mouse
+        del tokens[0]
+    if len(tokens) > 1:
+        tokens[-1] = _ROMAN.get(tokens[-1], tokens[-1])
+    words = [t for t in tokens if not t.isdigit() and len(t) > 2]
+    return measure, " ".join(sorted({t for t in tokens if t.isdigit() or len(t) <= 2})), " ".join(words)
 
 
 def _normalised(names: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([normalise(x) for x in names], columns=["measure", "number", "word", "code"])
+    return pd.DataFrame([normalise(x) for x in names], columns=["measure", "marks", "words"])
 
 
 def with_parts(df: DataFrame, name: str) -> DataFrame:
-    """Add measure, number, word and code of the name."""
-    parts = F.pandas_udf(_normalised, "measure string, number string, word string, code string")
+    """Add measure, marks (designators) and words of the name."""
+    parts = F.pandas_udf(_normalised, "measure string, marks string, words string")
     return df.withColumn("_p", parts(F.col(name))).select(*df.columns, "_p.*")
 
 
-def grams(word: Column) -> Column:
-    """Character bigrams and trigrams of a word with its ends marked."""
-    s = F.concat(F.lit("^^"), word, F.lit("$$"))
-    two = F.transform(F.sequence(F.lit(2), F.length(word) + 2), lambda i: F.substr(s, i, F.lit(2)))
-    three = F.transform(F.sequence(F.lit(1), F.length(word) + 2), lambda i: F.substr(s, i, F.lit(3)))
+def grams(text: Column) -> Column:
+    """Character bigrams and trigrams of a text with its ends marked."""
+    s = F.concat(F.lit("^^"), text, F.lit("$$"))
+    two = F.transform(F.sequence(F.lit(2), F.length(text) + 2), lambda i: F.substr(s, i, F.lit(2)))
+    three = F.transform(F.sequence(F.lit(1), F.length(text) + 2), lambda i: F.substr(s, i, F.lit(3)))
     return F.concat(two, three)
 
 
-def established(words: DataFrame, listed: list[str]) -> list[str]:
-    """Frequent target words (word, n) that are misspellings of no listed word nor of a more frequent established one.
-
-    The share bounds their number to 1 / ``ESTABLISHED_SHARE``. Words of all rows are counted.
-    """
-    total = words.agg(F.sum("n").alias("t")).first()["t"] or 0
-    far = F.lit(True)
-    for t in listed:
-        far = far & (F.levenshtein("word", F.lit(t), ESTABLISHED_EDITS - 1) == -1)
-    rows = words.filter((F.col("n") >= max(ESTABLISHED_LEAST, ESTABLISHED_SHARE * total)) & far).orderBy(F.desc("n"), "word").collect()
-    out: list[str] = []
-    for r in rows:
-        if all(_edits(r["word"], o) >= ESTABLISHED_EDITS for o in out) and all(_edits(r["word"], o) >= ESTABLISHED_EDITS for o in listed):
-            out.append(r["word"])
-    return out
-
-
 def _edits(a: str, b: str) -> int:
     """Edit distance in which swapping neighbours is one edit."""
     rows = [list(range(len(b) + 1))]
@@ -131,79 +120,108 @@ def _edits(a: str, b: str) -> int:
     return rows[-1][-1]
 
 
-def best_targets(words: DataFrame, known: list[str], threshold: float = THRESHOLD, margin: float = MARGIN) -> DataFrame:
-    """(word, target, score, margin) of each word's best known target by weighted cosine; unaccepted words have a null target.
+def allowed(word: str) -> int:
+    """Edits that a misspelling may be away from the word."""
+    return 0 if len(word) < SHORTEST_MISSPELT else min(MOST_EDITS, int(len(word) * EDITS_SHARE))
 
-    Below the margin the edit distance decides between the ``CLOSE`` best candidates, and a tie is not accepted. A target more than
-    ``allowed`` edits away is never accepted: the word is a name of its own.
 
-    The inverted index is a table (gram, target, weight); its size is checked before it is broadcast, beyond that the join shuffles.
+def _spells(typed: str, word: str) -> bool:
+    most = allowed(word)
+    return typed == word or (most > 0 and abs(len(typed) - len(word)) <= most and typed not in CLASS_WORDS and _edits(typed, word) <= most)
+
+
+def names_target(typed: str, forms: list[str], generic: frozenset[str] = CLASS_WORDS) -> bool:
+    """Whether typed words name the target known by ``forms``.
+
+    Every typed word must spell a word of the target, a whole form written in one, or be cut short from one (three letters at least);
+    and either one of them is more than a class word and not cut short, or they make up a whole form.
+    """
+    if not typed:
+        return "" in forms
+    words = {w for f in forms for w in f.split()}
+    whole = {f.replace(" ", "") for f in forms}
+    if any(_spells(typed.replace(" ", ""), w) for w in whole):
+        return True
+    named, met = False, set()
+    for t in typed.split():
+        full = next((w for w in sorted(words) if _spells(t, w)), None)
+        if full is not None:
+            named, _ = named or full not in generic, met.add(full)
+        elif any(_spells(t, w) for w in whole):
+            named = True
+        elif short := [w for w in words if len(t) > 2 and w.startswith(t)]:
+            met.update(short)
+        else:
+            return False
+    return named or any(set(f.split()) <= met for f in forms if f)
+
+
+def index_of(vocabulary: DataFrame) -> DataFrame:
+    """The inverted index's rows (target, form, measure, marks, vocab_id): every way to write each entry.
+
+    Entries with the same target words are one target; a form of one of them names the target in all of them.
+    """
+    forms = vocabulary.select("vocab_id", F.col("canonical").alias("_c"), F.explode(F.array_union(F.array("canonical"), F.coalesce("surface_forms", F.array().cast("array<string>")))).alias("name")).filter("name is not null")
+    forms = with_parts(forms, "name")
+    entries = with_parts(vocabulary.filter("canonical is not null").select("vocab_id", F.col("canonical").alias("name")), "name").filter("words <> '' or marks <> ''")
+    entries = entries.groupBy(F.col("words").alias("target"), "marks", "measure").agg(F.min("vocab_id").alias("vocab_id"))
+    owner = with_parts(vocabulary.filter("canonical is not null").select("vocab_id", F.col("canonical").alias("name")), "name").select("vocab_id", F.col("words").alias("target"))
+    aliases = forms.join(owner, "vocab_id").select("target", F.col("words").alias("form")).distinct()
+    # a form of several targets names none of them
+    alone = aliases.filter("form <> target").groupBy("form").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("form")
+    aliases = aliases.join(alone, "form", "left_anti").select("target", "form")
+    return entries.join(aliases, "target")
+
+
+def best_entries(texts: DataFrame, index: DataFrame, threshold: float = THRESHOLD, margin: float = MARGIN) -> DataFrame:
+    """(measure, marks, words, vocab_id, score, margin) of each distinct text's accepted entry; texts without one are left out.
+
+    A text's grams are probed from the heaviest down until the rest could not reach the threshold alone, which loses no candidate
+    above it and leaves the common grams' long postings unread. Sizes of the sides are left to the optimizer to measure.
     """
-    spark = words.sparkSession
-    names = spark.createDataFrame([(k,) for k in known], "target string")
-    postings = names.select("target", F.explode(grams(F.col("target"))).alias("gram")).groupBy("target", "gram").agg(F.count(F.lit(1)).alias("tf"))
-    unseen = F.log(F.lit((len(known) + 1) / 0.5))
-    idf = postings.groupBy("gram").agg(F.log(F.lit(len(known) + 1.0) / (F.count(F.lit(1)) + 0.5)).alias("idf"))
-    postings = postings.join(idf, "gram").withColumn("w", F.col("tf") * F.col("idf"))
-    norm = postings.groupBy("target").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    index = postings.join(norm, "target").select("gram", "target", (F.col("w") / F.col("norm")).alias("iw"), "idf")
-    per_gram = index.groupBy("gram").agg(F.first("idf").alias("idf"), F.collect_list(F.struct("target", "iw")).alias("posting"))
-    small = sum(2 * len(k) + 5 for k in known) * 96 <= BROADCAST_LIMIT
-    own = words.select("word").distinct().select("word", F.explode(grams(F.col("word"))).alias("gram")).groupBy("word", "gram").agg(F.count(F.lit(1)).alias("tf"))
-    own = own.join(F.broadcast(per_gram) if small else per_gram, "gram", "left").withColumn("w", F.col("tf") * F.coalesce("idf", unseen))
-    length = own.groupBy("word").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    scored = own.select("word", "w", F.explode("posting").alias("p")).groupBy("word", "p.target").agg(F.sum(F.col("w") * F.col("p.iw")).alias("dot"))
-    # at most one element per known target: a bounded list
-    ranked = scored.groupBy("word").agg(F.sort_array(F.collect_list(F.struct("dot", "target")), asc=False).alias("r"))
-    dot = lambda i: F.coalesce(F.try_element_at("r", F.lit(i))["dot"], F.lit(0.0)) / F.col("norm")
-    ranked = ranked.join(length, "word").select("word", F.slice("r", 1, CLOSE)["target"].alias("close"), dot(1).alias("score"), (dot(1) - dot(2)).alias("margin"))
-    nearest = F.pandas_udf(_nearest, "string")
-    target = F.when(F.col("score") < threshold, None).otherwise(nearest("word", "close", F.col("margin") >= margin))
-    return ranked.select("word", target.alias("target"), "score", "margin")
-
-
-def allowed(target: str) -> int:
-    """Edits that a misspelling may be away from the target."""
-    return min(ESTABLISHED_EDITS - 1, int(len(target) * EDITS_SHARE))
-
-
-def _nearest(words: pd.Series, close: pd.Series, clear: pd.Series) -> pd.Series:
-    """The first candidate if it is clear, else that with the fewest edits, null if two share the fewest; only ones within ``allowed``."""
-
-    def one(word: str, targets: list[str], first: bool) -> str | None:
-        d = sorted((_edits(word, t), t) for t in targets)
-        if first and _edits(word, targets[0]) <= allowed(targets[0]):
-            return targets[0]
-        return d[0][1] if d and d[0][0] <= allowed(d[0][1]) and (len(d) == 1 or d[0][0] < d[1][0]) else None
-
-    return pd.Series([one(w, list(c), f) for w, c, f in zip(words, close, clear, strict=True)], dtype=object)
+    key = ["measure", "marks", "words"]
+    shown = F.trim(F.concat_ws(" ", "words", "marks"))
+    forms = index.withColumn("_t", F.trim(F.concat_ws(" ", "form", "marks"))).withColumn("form_id", F.xxhash64("target", "form", "marks", "measure"))
+    tf = forms.select("form_id", "measure", "marks", F.explode(grams(F.col("_t"))).alias("gram")).groupBy("form_id", "measure", "marks", "gram").agg(F.count(F.lit(1)).alias("tf"))
+    n = forms.count()  # of the list
+    idf = tf.groupBy("gram").agg(F.log((n + 1.0) / (F.count(F.lit(1)) + 0.5)).alias("idf"))
+    weights = tf.join(idf, "gram").withColumn("w", F.col("tf") * F.col("idf"))
+    norms = weights.groupBy("form_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("fn"))
+    postings = weights.join(norms, "form_id").filter("fn > 0").select("form_id", "measure", "marks", "gram", (F.col("w") / F.col("fn")).alias("iw"))
+
+    own = texts.select(*key, F.explode(grams(shown)).alias("gram")).groupBy(*key, "gram").agg(F.count(F.lit(1)).alias("tf"))
+    own = own.join(idf, "gram", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(math.log((n + 1) / 0.5))))
+    rest = F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(*key).orderBy("w", "gram").rowsBetween(Window.unboundedPreceding, 0))
+    total = F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(*key))
+    own = own.withColumns({"_rest": rest, "_all": total})
+    probes = own.filter(F.col("_rest") >= threshold * threshold * F.col("_all")).select(*key, "gram")
+    pairs = probes.join(postings.select("form_id", "measure", "marks", "gram"), ["measure", "marks", "gram"]).select(*key, "form_id").distinct()
+    dots = pairs.join(own.select(*key, "gram", "w", "_all"), key).join(postings.select("form_id", "gram", "iw"), ["form_id", "gram"])
+    scored = dots.groupBy(*key, "form_id").agg((F.sum(F.col("w") * F.col("iw")) / F.sqrt(F.max("_all"))).alias("score")).filter(F.col("score") >= threshold)
+    named = scored.join(forms.select("form_id", "target", "vocab_id"), "form_id").groupBy(*key, "target", "vocab_id").agg(F.max("score").alias("score"))
+    known = index.groupBy("target").agg(F.sort_array(F.collect_set("form")).alias("forms"))
+    fits = F.pandas_udf(lambda typed, f: pd.Series([names_target(t, list(x)) for t, x in zip(typed, f, strict=True)], dtype=bool), "boolean")
+    named = named.join(known, "target").filter(fits("words", "forms"))
+    ranked = named.groupBy(*key).agg(F.max(F.struct("score", "target", "vocab_id")).alias("best"), F.sort_array(F.collect_list("score"), asc=False).alias("all"))
+    second = F.coalesce(F.try_element_at("all", F.lit(2)), F.lit(0.0))
+    return ranked.select(*key, "best.vocab_id", "best.score", (F.col("best.score") - second).alias("margin")).filter(F.col("margin") >= margin)
 
 
 def map_names(records: DataFrame, vocabulary: DataFrame, record_id: str = "record_id", name: str = "assay_name", fallback: str = "column_header", threshold: float = THRESHOLD, margin: float = MARGIN) -> DataFrame:
     """(record_id, name, vocab_id, score): each record whose name is no form of the list character for character.
 
     The name is ``name``, or ``fallback`` if that is null, empty or contains "unnamed"; records without either are left out. vocab_id is
-    0 where the name means no entry. score is the cosine of the target text (null if it was a code).
+    0 where the name means no entry, which the name itself decides, however often it occurs. score is the cosine (null without an entry).
+    Entries with a null canonical name are no entries; equal entries count as the one with the smallest vocab_id; an empty list maps
+    every name to 0. Repeated records come out as often as they occur.
     """
     typed = F.when(F.col(name).isNull() | (F.col(name) == "") | F.lower(name).contains("unnamed"), F.col(fallback)).otherwise(F.col(name))
     rows = records.select(F.col(record_id).alias("record_id"), typed.alias("name")).filter("name is not null and name <> ''")
-    forms = vocabulary.select("vocab_id", F.explode(F.array_union(F.array("canonical"), F.coalesce("surface_forms", F.array().cast("array<string>")))).alias("name")).filter("name is not null")
-    rows = rows.join(forms.select("name").distinct(), "name", "left_anti")
-    names = rows.groupBy("name").agg(F.count(F.lit(1)).alias("n"))
-    parts = written(with_parts(names, "name"))
-
-    entry = with_parts(forms, "name")
-    targets = with_parts(vocabulary.select("vocab_id", F.col("canonical").alias("name")), "name").select("vocab_id", F.col("word").alias("target"), "number", "measure")
-    codes = entry.filter("code is not null").join(targets.select("vocab_id", "target"), "vocab_id").groupBy("code").agg(F.min("target").alias("code_target"), F.count_distinct("target").alias("k")).filter("k = 1").drop("k")
-    entries = targets.dropna().groupBy("target", "number", "measure").agg(F.min("vocab_id").alias("vocab_id"))
-
-    listed = sorted({r["target"] for r in targets.select("target").distinct().collect() if r["target"]})
-    words = parts.filter("word is not null and number is not null and measure is not null").groupBy("word").agg(F.sum("n").alias("n"))
-    others = established(words, listed)
-    best = best_targets(parts.filter("word is not null").select("word"), listed + others, threshold, margin)
-    best = best.withColumn("target", F.when(F.col("target").isin(listed), F.col("target")).otherwise(F.when(F.col("target").isNotNull(), F.lit(""))))
-
-    found = parts.join(best, "word", "left").join(codes, "code", "left").withColumn("target", F.coalesce("target", "code_target"))
-    found = found.join(entries, ["target", "number", "measure"], "left").select("name", F.coalesce("vocab_id", F.lit(0)).cast("long").alias("vocab_id"), "score")
+    forms = vocabulary.select(F.explode(F.array_union(F.array("canonical"), F.coalesce("surface_forms", F.array().cast("array<string>")))).alias("name")).filter("name is not null")
+    rows = rows.join(forms.distinct(), "name", "left_anti")
+    parts = written(with_parts(rows.select("name").distinct(), "name"))
+    texts = parts.filter("words <> '' or marks <> ''").select("measure", "marks", "words").distinct()
+    best = best_entries(texts, index_of(vocabulary), threshold, margin)
+    found = parts.join(best, ["measure", "marks", "words"], "left").select("name", "vocab_id", "score")
     # a name may belong to a third of the rows: the few verdicts per distinct name meet the rows by a join that AQE splits where skewed
     return rows.join(found, "name", "left").select("record_id", "name", F.coalesce("vocab_id", F.lit(0).cast("long")).alias("vocab_id"), "score")
