@@ -47,7 +47,8 @@ def _words(doc: Tokenized, start: int, end: int, limit: int) -> list[tuple[int,
     edges = [start, *(m.end() for m in _WORD.finditer(doc.text, start, end) if start < m.end() < end), end]
     blocks: list[tuple[int, int, int]] = []
     for a, b in zip(edges, edges[1:], strict=False):
-        n = doc.count(a, b) if b - a < 20 * limit else limit + 1
+        # a token has at most ``longest`` bytes, so a longer word is over the limit without being counted
+        n = doc.count(a, b) if b - a <= limit * doc.counter.longest else limit + 1
         if n <= limit:
             blocks.append((a, b, n))
         else:
@@ -98,16 +99,33 @@ def _overlap(doc: Tokenized, start: int, end: int, overlap: int) -> tuple[int, i
     word begins there."""
     if overlap <= 0:
         return end, 0
-    last = doc.upto([end])[0]
-    first = max(start, end - 10 * overlap, int(doc.ends[last - overlap - 2]) if last > overlap + 1 else 0)
-    for m in _WORD.finditer(doc.text, first, end):
-        if first <= m.end() < end:
-            n = doc.count(m.end(), end)
-            if n <= overlap:
-                return m.end(), n
+    tail = _tail(doc, end, overlap)
+    if tail <= start and (n := doc.count(start, end)) <= overlap:
+        return start, n
+    cuts = [p for m in _WORD.finditer(doc.text, max(start, tail), end) if start < (p := m.end()) < end]
+    if cuts:
+        # the text's own tokens say about where; the exact counts decide
+        last = doc.upto([end])[0]
+        i = next((k for k, n in enumerate(doc.upto(cuts)) if last - n <= overlap), len(cuts) - 1)
+        while i < len(cuts) and (n := doc.count(cuts[i], end)) > overlap:
+            i += 1
+        while i > 0 and (m := doc.count(cuts[i - 1], end)) <= overlap:
+            i, n = i - 1, m
+        if i < len(cuts):
+            return cuts[i], n
     return _suffix(doc, start, end, overlap)
 
 
+def _tail(doc: Tokenized, end: int, overlap: int) -> int:
+    """Where an overlap can begin at the earliest: that many tokens of the greatest length before the end, or, as the text's tokens are
+    mostly shorter, where twice as many of them begin."""
+    last = doc.upto([end])[0]
+    near = int(doc.ends[last - 2 * overlap - 17]) if last > 2 * overlap + 16 else 0
+    while near > 0 and doc.count(near, end) <= overlap:
+        near = max(0, near - (end - near))
+    return max(near, end - overlap * doc.counter.longest)
+
+
 def _suffix(doc: Tokenized, start: int, end: int, overlap: int) -> tuple[int, int]:
     """(start, tokens) of the characters at the end of [start, end) with at most ``overlap`` tokens; no combining mark loses its base."""
     last = doc.upto([end])[0]

@@ -33,6 +33,8 @@ class Counter:
         self._bytes = np.zeros(max(ranks.values()) + 1, dtype=np.int64)
         for token, rank in ranks.items():
             self._bytes[rank] = len(token)
+        #: Bytes of the longest token; a text of n bytes has at least n / longest tokens.
+        self.longest = int(self._bytes.max())
 
     def count(self, text: str) -> int:
         n, at = 0, 0

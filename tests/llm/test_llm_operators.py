@@ -75,6 +75,19 @@ def test_unbroken_runs_overlap(text):
         assert not unicodedata.combining(text[start])
 
 
+def test_a_long_word_that_fits_is_not_cut():
+    word = "=" * 12000  # 188 tokens
+    text = "Some words before. " + word + " and words after." * 300
+    pieces = list(splitting.split_text(text, 512, 64, counter()))
+    assert any(word in text[a:b] for a, b, *_ in pieces)
+
+
+def test_an_overlap_may_be_many_characters_long():
+    text = "first words " * 80 + ("=" * 64 + " ") * 200
+    pieces = list(splitting.split_text(text, 60, 20, counter()))
+    assert max(over for *_, over in pieces) > 10 * 20 and all(n <= 60 for _, _, n, _ in pieces)
+
+
 def test_split_documents_edge_cases(spark):
     long = "word " * 3000
     df = spark.createDataFrame([(1, long, "x"), (2, None, "x"), (3, "", "x"), (4, "short", "x"), (5, "q" * 9000, "x"), (6, long, "y")], "doc_id long, text string, piece string")
