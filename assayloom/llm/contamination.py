@@ -2,25 +2,34 @@
 
 Both sides keep, of every window of ``WINDOW`` consecutive k-gram hashes, the rightmost smallest. Any shared span of at least
 ``KGRAM + WINDOW - 1`` words then shares a kept hash. Hits are extended word by word to the whole shared span, and spans are confirmed on the
-words themselves. Test items are a stated query set: they are indexed in blocks of bounded size, and each block meets all documents in
-one pass without a shuffle.
+words themselves.
+
+The fingerprints of both sides meet in an equi-join on the hash. What the documents' side does not need is left out before: a bitmap of
+the items' hashes, of fixed size, is all that is broadcast to the pass over the documents. Each fingerprint carries the words around its
+k-gram. As kept k-grams of a shared span are at most ``WINDOW`` words apart, the spans verified around them join up to the whole shared
+span, so no text has to be fetched again.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from assayloom.common import BROADCAST_LIMIT
+
 KGRAM = 8
 WINDOW = 5
 SPAN = KGRAM + WINDOW - 1
-#: Text bytes of the test items in one block; its index, about six times as large, is what is broadcast.
-BLOCK_BYTES = 8 << 20
+#: Bits of the bitmap that is broadcast, as a power of two: 2 MiB whatever the number of items. It leaves out fingerprints that no item
+#: has; the join on the whole hash decides.
+SIEVE_BITS = 24
+#: Bytes of one fingerprint in a broadcast table, generously: sixteen words and what holds them.
+PRINT_BYTES = 1024
+_BUCKET_BITS = 15  # of one ``bitmap_construct_agg``
 
 _U = np.uint64
 _P = _U(0x9E3779B97F4A7C15)
@@ -94,93 +103,91 @@ class Words:
         return h[at], at
 
 
-class Index:
-    """Fingerprints of a block of test items, sorted by hash."""
-
-    def __init__(self, ids: list[int], texts: list[str]):
-        self.ids = ids
-        self.words = Words(texts)
-        h, at = self.words.fingerprints()
-        order = np.argsort(h, kind="stable")
-        self.hashes, self.at = h[order], at[order]
-        self.item = np.searchsorted(self.words.first, np.arange(len(self.words.hash)), side="right") - 1
-        self.sieve = np.zeros(1 << 20, dtype=bool)
-        self.sieve[(self.hashes >> _U(44)).astype(np.int64)] = True
-
-    def find(self, texts: list[str]) -> Iterator[tuple[int, int, int]]:
-        """(text number, item number, words of the longest shared span), for spans of at least ``SPAN`` words."""
-        docs, test = Words(texts), self.words
-        h, at = docs.fingerprints()
-        near = self.sieve[(h >> _U(44)).astype(np.int64)]
-        h, at = h[near], at[near]
-        lo, hi = np.searchsorted(self.hashes, h, side="left"), np.searchsorted(self.hashes, h, side="right")
-        found: dict[tuple[int, int], int] = {}
-        reached: dict[tuple[int, int], int] = {}  # (document, diagonal) -> end of the span already extended
-        for k in np.flatnonzero(hi > lo):
-            p = int(at[k])
-            doc = int(np.searchsorted(docs.first, p, side="right")) - 1
-            d0, d1 = int(docs.first[doc]), int(docs.first[doc + 1])
-            for q in self.at[lo[k] : hi[k]]:
-                q = int(q)
-                if reached.get((doc, q - p), -1) >= p + KGRAM:
-                    continue
-                item = int(self.item[q])
-                t0, t1 = int(test.first[item]), int(test.first[item + 1])
-                back = min(p - d0, q - t0)
-                same = docs.hash[p - back : p][::-1] == test.hash[q - back : q][::-1]
-                left = int(np.argmin(same)) if not same.all() else back
-                on = min(d1 - p, t1 - q)
-                same = docs.hash[p : p + on] == test.hash[q : q + on]
-                right = int(np.argmin(same)) if not same.all() else on
-                reached[doc, q - p] = p + right
-                n = left + right
-                if n >= SPAN and n > found.get((doc, item), 0) and docs.text(p - left, p + right) == test.text(q - left, q + right):
-                    found[doc, item] = n
-        for (doc, item), n in found.items():
-            yield doc, item, n
-
-
-def item_blocks(items: DataFrame, item_id: str, text: str, block_bytes: int = BLOCK_BYTES) -> Iterator[Index]:
-    """Indexes of all test items, block by block; only one block is held at a time. An item larger than a block is a block of its own."""
-    ids: list[int] = []
-    texts: list[str] = []
-    size = 0
-    for r in items.filter(F.col(text).isNotNull()).select(item_id, text).toLocalIterator():
-        n = len(r[1].encode("utf-8", "replace"))
-        if ids and size + n > block_bytes:
-            yield Index(ids, texts)
-            ids, texts, size = [], [], 0
-        ids.append(r[0])
-        texts.append(r[1])
-        size += n
-    if ids:
-        yield Index(ids, texts)
+FINGERPRINTS = "id long, h long, at int, gram string, before array<string>, after array<string>"
+_SIDE = WINDOW - 1
+_STRINGS = pa.list_(pa.string())
+_ARROW = pa.schema([("id", pa.int64()), ("h", pa.int64()), ("at", pa.int32()), ("gram", pa.string()), ("before", _STRINGS), ("after", _STRINGS)])
+
+
+def _rows(ids: list[int], texts: list[str], sieve: np.ndarray | None) -> pa.RecordBatch:
+    words = Words(texts)
+    h, at = words.fingerprints()
+    if sieve is not None:
+        slot = h >> _U(64 - SIEVE_BITS)
+        keep = (sieve[(slot >> _U(3)).astype(np.int64)] >> (slot & _U(7)).astype(np.uint8)) & 1 == 1
+        h, at = h[keep], at[keep]
+    owner = np.searchsorted(words.first, at, side="right") - 1
+    lo, hi = words.first[owner], words.first[owner + 1]
+    cut = lambda a, b: [words.buffer[words.start[i] : words.end[i]].tobytes().decode() for i in range(a, b)]
+    gram = [words.text(p, p + KGRAM).decode() for p in at.tolist()]
+    before = [cut(max(x, p - _SIDE), p)[::-1] for p, x in zip(at.tolist(), lo.tolist(), strict=True)]
+    after = [cut(p + KGRAM, min(x, p + KGRAM + _SIDE)) for p, x in zip(at.tolist(), hi.tolist(), strict=True)]
+    cols = [[ids[i] for i in owner.tolist()], h.view(np.int64), (at - lo).astype(np.int32), gram, before, after]
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _ARROW, strict=True)], schema=_ARROW)
+
+
+def fingerprints(texts: DataFrame, ident: str, text: str, sieve: bytes | None = None) -> DataFrame:
+    """Kept k-grams of every text: id, hash, word position, the k-gram itself and up to ``WINDOW - 1`` words on either side, nearest first.
+
+    With a ``sieve`` (see ``sieve_of``) those whose hash is in no text it was built from may be left out. One pass, no shuffle.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(sieve) if sieve is not None else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(shared.value, dtype=np.uint8) if shared is not None else None
+        for b in batches:
+            ids, many = b.column(0).to_pylist(), b.column(1).to_pylist()
+            for chunk in _chunks(many):
+                out = _rows(ids[chunk], many[chunk], bits)
+                if out.num_rows:
+                    yield out
+
+    # SPAN words have at least that many characters and the gaps between them
+    long = texts.filter(F.length(text) >= 2 * SPAN - 1).select(F.col(ident).cast("long").alias("id"), F.col(text).alias("text"))
+    return long.mapInArrow(run, FINGERPRINTS)
+
+
+def sieve_of(prints: DataFrame) -> tuple[bytes, int]:
+    """Bitmap of the leading hash bits, built by map-side combined aggregates and of fixed size, and the number of fingerprints."""
+    slot = F.shiftrightunsigned("h", 64 - SIEVE_BITS)
+    parts = prints.select(F.shiftright(slot, _BUCKET_BITS).alias("b"), slot.bitwiseAND(F.lit((1 << _BUCKET_BITS) - 1)).alias("s")).groupBy("b").agg(F.bitmap_construct_agg("s").alias("bits"), F.count(F.lit(1)).alias("n"))
+    out = bytearray(1 << (SIEVE_BITS - 3))
+    per = 1 << (_BUCKET_BITS - 3)
+    n = 0
+    for r in parts.collect():  # at most 2 ** (SIEVE_BITS - _BUCKET_BITS) rows of 4 KiB
+        out[r["b"] * per : r["b"] * per + per] = r["bits"]
+        n += r["n"]
+    return bytes(out), n
+
+
+def _same(a: Column, b: Column) -> Column:
+    """How many leading words two short lists share."""
+    n = F.lit(0)
+    for k in range(_SIDE, 0, -1):
+        x, y = F.get(a, F.lit(k - 1)), F.get(b, F.lit(k - 1))
+        n = F.when(x == y, n + 1).otherwise(F.lit(0))
+    return n
 
 
 def shared_spans(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text") -> DataFrame:
     """(doc_id, item_id, n_words) of every document and item that share ``SPAN`` or more consecutive words.
 
-    n_words is the longest shared span. Null and short texts share nothing. Repeated documents each come out.
+    n_words is the longest shared span. Null and short texts share nothing. Repeated documents each come out; equal ids count as one.
     """
-    spark = documents.sparkSession
-    docs = documents.filter(F.length(text) >= 2 * SPAN - 1).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    schema = "doc_id long, item_id long, n_words int"
-    parts = [docs.limit(0).select("doc_id", F.lit(0).cast("long").alias("item_id"), F.lit(0).alias("n_words"))]
-    for index in item_blocks(items, item_id, text):
-        shared = spark.sparkContext.broadcast(index)
-
-        def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
-            index = shared.value
-            for b in batches:
-                ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-                for chunk in _chunks(texts):
-                    hits = [(ids[chunk.start + d], index.ids[i], n) for d, i, n in index.find(texts[chunk])]
-                    if hits:
-                        cols = list(zip(*hits, strict=True))
-                        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32())], names=["doc_id", "item_id", "n_words"])
-
-        parts.append(docs.mapInArrow(search, schema))
-    return reduce(DataFrame.unionByName, parts[1:] or parts)
+    tests = fingerprints(items, item_id, text)
+    sieve, n_tests = sieve_of(tests)
+    docs = fingerprints(documents, doc_id, text, sieve)
+    d = docs.select(F.col("id").alias("doc_id"), "h", "gram", F.col("at").alias("p"), F.col("before").alias("db"), F.col("after").alias("da"))
+    t = tests.select(F.col("id").alias("item_id"), "h", "gram", F.col("at").alias("q"), F.col("before").alias("tb"), F.col("after").alias("ta"))
+    # the items' side is broadcast only if what was counted fits; else both sides shuffle, and
+    # a k-gram that very many documents hold makes one large partition of the shuffle, which the skew join splits
+    hits = d.join(F.broadcast(t) if n_tests * PRINT_BYTES <= BROADCAST_LIMIT else t.hint("merge"), ["h", "gram"]).select("doc_id", "item_id", (F.col("p") - F.col("q")).alias("diagonal"), (F.col("p") - _same(F.col("db"), F.col("tb"))).alias("x"), (F.col("p") + KGRAM + _same(F.col("da"), F.col("ta"))).alias("y"))
+    keys = ["doc_id", "item_id", "diagonal"]
+    w = Window.partitionBy(*keys).orderBy("x", "y")
+    begins = F.coalesce(F.col("x") > F.max("y").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True))
+    runs = hits.withColumn("_new", begins.cast("int")).withColumn("run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    spans = runs.groupBy(*keys, "run").agg((F.max("y") - F.min("x")).cast("int").alias("n")).filter(F.col("n") >= SPAN)
+    return spans.groupBy("doc_id", "item_id").agg(F.max("n").alias("n_words"))
 
 
 def _chunks(texts: list[str], size: int = 2 << 20) -> Iterator[slice]:

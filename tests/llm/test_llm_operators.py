@@ -170,10 +170,26 @@ def test_shared_spans_equal_brute_force(spark):
     assert contamination.shared_spans(d.limit(0), t).count() == 0
 
 
-def test_item_blocks_hold_every_item(spark):
-    t = spark.createDataFrame([(i, f"text {i} " * 20) for i in range(50)], "item_id long, text string")
-    blocks = list(contamination.item_blocks(t, "item_id", "text", block_bytes=1000))
-    assert len(blocks) > 5 and sorted(i for b in blocks for i in b.ids) == list(range(50))
+@pytest.mark.parametrize("limit", [contamination.BROADCAST_LIMIT, 0])
+def test_spans_have_their_whole_length(spark, monkeypatch, limit):
+    monkeypatch.setattr(contamination, "BROADCAST_LIMIT", limit)
+    item = " ".join(f"w{i}" for i in range(100))
+    docs = [(1, item), (2, "x " + " ".join(f"w{i}" for i in range(20, 60)) + " y"), (3, " ".join(f"w{i}" for i in range(88, 100))), (4, " ".join(f"w{i}" for i in range(11)))]
+    docs += [(5, " ".join(f"w{i}" for i in [*range(15), 99, *range(16, 40)]))]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    t = spark.createDataFrame([(7, item)], "item_id long, text string")
+    assert {r.doc_id: r.n_words for r in contamination.shared_spans(d, t).collect()} == {1: 100, 2: 40, 3: 12, 5: 24}
+
+
+def test_the_sieve_keeps_every_hash_it_was_built_from(spark):
+    t = spark.createDataFrame([(i, " ".join(f"t{i}n{k}" for k in range(40))) for i in range(300)], "item_id long, text string")
+    all_prints = contamination.fingerprints(t, "item_id", "text")
+    bits, n = contamination.sieve_of(all_prints)
+    assert n == all_prints.count() and len(bits) == 1 << (contamination.SIEVE_BITS - 3)
+    kept = contamination.fingerprints(t, "item_id", "text", bits)
+    assert sorted(map(tuple, kept.select("id", "h", "at").collect())) == sorted(map(tuple, all_prints.select("id", "h", "at").collect()))
+    few = contamination.fingerprints(t, "item_id", "text", contamination.sieve_of(all_prints.filter("id = 3"))[0])
+    assert 3 in {r.id for r in few.collect()} and few.count() < all_prints.count() / 50
 
 
 # -- 3: look-alikes --------------------------------------------------------------------------------------------------------------
