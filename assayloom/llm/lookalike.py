@@ -12,10 +12,11 @@ import math
 import re
 import unicodedata
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Letters that cannot be told from a Latin one.
@@ -32,9 +33,46 @@ SIGNS = {"‐": "-", "‑": "-", "‒": "-", "–": "-", "−": "-", "⁃": "-",
 
 _SWITCH = -9.0
 _NEAR = -5.0
+#: For each letter of a word wholly of another script, in a text that has more of that script.
+_OWN_WORD = -1.0
 _BACK = {}
 for _k, _v in {**TWINS}.items():
     _BACK.setdefault(_v, []).append(_k)
+
+
+@dataclass(frozen=True)
+class Readings:
+    """Look-alikes beyond the fixed lists: ``letters`` hold for a letter inside a word of Latin letters, ``digits`` inside a number, ``exact``
+    (small capitals) anywhere."""
+
+    letters: dict[str, str] = field(default_factory=dict)
+    digits: dict[str, str] = field(default_factory=dict)
+    exact: dict[str, str] = field(default_factory=dict)
+
+
+def confusables(spark: SparkSession) -> Readings:
+    """Readings from the public confusables data that ICU, a part of Spark, carries: characters with the skeleton of an ASCII one."""
+    checker = spark._jvm.com.ibm.icu.text.SpoofChecker.Builder().build()
+    blocks = [c for c in map(chr, range(0x80, 0x10000)) if unicodedata.category(c) in ("Lu", "Ll", "Lo", "Nd") and not "\u3000" <= c <= "\udfff"]
+    blocks = [c for c in blocks if unicodedata.normalize("NFKC", c) == c]
+    plain = [c for c in map(chr, range(0x30, 0x7B)) if c.isalnum()]
+    skeletons = checker.getSkeleton("\n".join(plain + blocks)).split("\n")
+    known: dict[str, list[str]] = {}
+    for c, k in zip(plain, skeletons, strict=False):
+        known.setdefault(k, []).append(c)
+    letters, digits, exact = {}, {}, {}
+    for c, k in zip(blocks, skeletons[len(plain) :], strict=True):
+        for a in known.get(k, []):
+            if a.isdigit():
+                digits[c] = a
+            elif unicodedata.name(c, "").startswith("LATIN LETTER SMALL CAPITAL"):
+                exact[c] = a
+            elif script(c) != "LATIN" and c.isalpha() and (c.isupper() == a.isupper() or not c.isupper() and not c.islower()):
+                letters.setdefault(c, a)
+    return Readings({c: a for c, a in letters.items() if c not in TWINS and c not in NEAR_TWINS}, digits, {c: a for c, a in exact.items() if c not in TWINS})
+
+
+_NO_MORE = Readings()
 _ASCII = re.compile(r"[\t\n\r\x20-\x7e]*")
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -83,19 +121,26 @@ class Model:
         return self.logs.get(a + b, self.unseen)
 
 
-def read_word(word: str, model: Model) -> str:
-    """Best reading of a run of letters. A run without any letter that has a twin stays."""
-    if not any(c in TWINS or c in NEAR_TWINS for c in word):
+def read_word(word: str, model: Model, more: Readings = _NO_MORE, around: frozenset[str] = frozenset()) -> str:
+    """Best reading of a run of letters. A run without any letter that has a twin stays.
+
+    ``around``: scripts in which the text has letters without a twin; a word wholly of such a script is likelier one of its own words.
+    """
+    near = lambda c: NEAR_TWINS.get(c) or more.letters.get(c)
+    exact = lambda c: TWINS.get(c) or more.exact.get(c)
+    if not any(exact(c) or near(c) for c in word):
         return word
-    anchors = {script(c) for c in word if c not in TWINS and c not in NEAR_TWINS} - {"LATIN", "OTHER", "GREEK"}
+    scripts = {script(c) for c in word}
+    anchors = {script(c) for c in word if not exact(c) and not near(c)} - {"LATIN", "OTHER", "GREEK"}
     single = len(word) == 1
+    own_word = not single and len(scripts) == 1 and scripts <= around
     lattice: list[list[tuple[str, float]]] = []
     for c in word:
         ways = [(c, 0.0)]
-        if c in TWINS:
-            ways.append((TWINS[c], 0.5))
-        elif c in NEAR_TWINS and not single:
-            ways.append((NEAR_TWINS[c], _NEAR))
+        if exact(c):
+            ways.append((exact(c), _OWN_WORD if own_word else 0.5))
+        elif near(c) and not single:
+            ways.append((near(c), _NEAR))
         elif anchors and c in _BACK:  # a Latin letter in a word that can only be of another script
             ways += [(b, 0.0) for b in _BACK[c] if script(b) in anchors]
         lattice.append(ways)
@@ -116,25 +161,34 @@ def read_word(word: str, model: Model) -> str:
     return max((score + model(c.lower(), "$"), path) for c, (score, path) in best.items())[1]
 
 
-def normalizer(model: Model) -> Callable[[str], str]:
+def normalizer(model: Model, more: Readings = _NO_MORE) -> Callable[[str], str]:
     """text -> its one consistent form. Idempotent; plain ASCII comes back as it is, apart from control characters."""
-    words: dict[str, str] = {}
-
-    def word(m: re.Match) -> str:
-        w = m.group()
-        if w.isascii():
-            return w
-        if w not in words:
-            if len(words) > 200_000:
-                words.clear()
-            words[w] = read_word(w, model)
-        return words[w]
+    words: dict[tuple[str, frozenset[str]], str] = {}
+    # a number in which some digits are other characters; beside a letter it is a part of a name
+    digit = "0-9" + "".join(map(re.escape, more.digits))
+    number = re.compile(rf"(?<!\w)(?=[{digit}.,]*[0-9])(?=[0-9.,]*[^\x00-\x7f])[{digit}.,]+(?!\w)") if more.digits else None
 
     def normalize(text: str) -> str:
         if _ASCII.fullmatch(text):
             return text
         text = unicodedata.normalize("NFC", "".join(map(fold_char, text)))
-        return text if text.isascii() else _LETTERS.sub(word, text)
+        if text.isascii():
+            return text
+        if number:
+            text = number.sub(lambda m: "".join(more.digits.get(c, c) for c in m.group()), text)
+        around = frozenset(s for s in {script(c) for c in text if c.isalpha() and not c.isascii() and c not in TWINS and c not in NEAR_TWINS} if s not in ("LATIN", "GREEK", "OTHER"))
+
+        def word(m: re.Match) -> str:
+            w = m.group()
+            if w.isascii():
+                return w
+            if (w, around) not in words:
+                if len(words) > 200_000:
+                    words.clear()
+                words[w, around] = read_word(w, model, more, around)
+            return words[w, around]
+
+        return _LETTERS.sub(word, text)
 
     return normalize
 
@@ -157,12 +211,12 @@ def needs_reading(c: Column) -> Column:
     return c.rlike(r"[^\t\n\r\x20-\x7e]")
 
 
-def consistent_form(counts: dict[str, int]) -> Callable[[Column], Column]:
+def consistent_form(counts: dict[str, int], more: Readings = _NO_MORE) -> Callable[[Column], Column]:
     """Column function: the consistent form of a text; null stays null."""
 
     @F.pandas_udf("string")
     def form(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        normalize = normalizer(Model(counts))
+        normalize = normalizer(Model(counts), more)
         for s in batches:
             yield s.map(lambda x: None if x is None else normalize(x))
 

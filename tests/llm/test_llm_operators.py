@@ -227,6 +227,20 @@ def test_consistent_form_is_stable_and_visible(text):
     assert not any(unicodedata.category(c) == "Cf" for c in once)
 
 
+@pytest.mark.parametrize(
+    ("raw", "form"),
+    [
+        ("phenѵl", "phenvl"), ("ᴏxo", "oxo"), ("ΑΒ 1О nM", "AB 10 nM"), ("4,З mg", "4,3 mg"), ("Ꮲhenyl", "Phenyl"), ("CH3О", "CH3O"), ("сор", "cop"), ("сор и образец", "сор и образец"),
+        ("ᎠᎡᎢ", "ᎠᎡᎢ"), ("٥ nM", "٥ nM"), ("α-oxo", "α-oxo"), ("μM", "μM"),
+    ],
+)
+def test_readings_of_other_scripts(spark, raw, form):
+    counts = {"^o": 30, "ox": 20, "xo": 20, "o$": 30, "^p": 80, "ph": 80, "he": 60, "en": 60, "ny": 50, "yl": 50, "l$": 50, "^c": 5, "co": 5, "op": 5}
+    normalize = lookalike.normalizer(lookalike.Model(counts), lookalike.confusables(spark))
+    assert normalize(raw) == form
+    assert normalize(form) == form
+
+
 def test_p3_on_small_tables(spark, save):
     a = spark.createDataFrame([(1, "nM"), (2, "nМ"), (3, None), (4, ""), (5, "nM")], "record_id long, unit string")
     s = spark.createDataFrame([(7, "bromо"), (8, None)], "structure_id long, raw_cell string")
