@@ -34,7 +34,7 @@ SIGNS = {"‐": "-", "‑": "-", "‒": "-", "–": "-", "−": "-", "⁃": "-",
 _SWITCH = -9.0
 _NEAR = -5.0
 #: For each letter of a word wholly of another script, in a text that has more of that script.
-_OWN_WORD = -1.0
+_OWN_WORD = -5.0
 _BACK = {}
 for _k, _v in {**TWINS}.items():
     _BACK.setdefault(_v, []).append(_k)
