@@ -6,6 +6,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
+from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -72,13 +74,32 @@ def salted_left_join(left: DataFrame, right: DataFrame, on: list[str], hash_colu
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names for checkpoints; a local one is only chosen where none is set (tests)."""
+    """The folder the cluster names for checkpoints. Only a local master may do without: its one machine has the temporary folder."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    return named or "file://" + os.path.join(tempfile.gettempdir(), "assayloom-checkpoint")
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return "file://" + os.path.join(tempfile.gettempdir(), "assayloom-checkpoint")
 
 
 def written(df: DataFrame) -> DataFrame:
     """The same rows, computed once and read back from a table in the shared folder, so that lost executors cost no recomputation."""
     path = f"{shared_folder(df.sparkSession)}/assayloom-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_stored: dict[tuple, DataFrame] = {}
+
+
+def written_once(sources: list[DataFrame], what: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """``written(build())``, reused by later queries of the session while the
+    sources (frames with ``_metadata``) read the same files with the same times and sizes."""
+    spark = sources[0].sparkSession
+    seen = reduce(DataFrame.unionByName, sources).select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").groupBy("file_path", "file_size").agg(F.max("file_modification_time").alias("t"))
+    state = seen.agg(F.count(F.lit(1)), F.sum(F.xxhash64("file_path", "file_size", "t").cast("decimal(38,0)"))).first()
+    key = (spark.sparkContext.applicationId, what, tuple(state))
+    if key not in _stored:
+        _stored[key] = written(build())
+    return _stored[key]

@@ -1,8 +1,12 @@
 """Shredding of nested records into related flat tables.
 
-Every JSON document becomes an adjacency table: one row per node with its parent, label, ordinal, kind and scalar. Nodes are named by their
-path, so a node's ancestors are prefixes of its name and no recursive join is needed. Entities are object nodes joined with their
-scalar children (one grouped pivot per document part).
+Every document becomes an adjacency table: one row per node with its parent, label, ordinal, kind and scalar. JSON texts are parsed once, in
+Arrow batches; arrays that are typed already are exploded into the same columns without being parsed. Entities are object nodes joined with
+their pivoted scalar children and, for their place, with the entities above them, by equi-joins on node numbers.
+
+The parent of an array's element is the object (or element of an outer array) that holds the array; the element's label is the array's with
+``[]`` behind it, and its ordinal the position in it. The array has a node of its own, so that empty arrays stay. ``~`` and ``[`` in keys are
+written ``~0`` and ``~1``.
 """
 
 from __future__ import annotations
@@ -14,37 +18,43 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-NODE_SCHEMA = "doc string, node string, parent string, label string, ordinal int, kind string, scalar string"
-_ARROW = pa.schema([("doc", pa.string()), ("node", pa.string()), ("parent", pa.string()), ("label", pa.string()), ("ordinal", pa.int32()), ("kind", pa.string()), ("scalar", pa.string())])
+NODE_SCHEMA = "doc string, node long, parent long, label string, ordinal int, kind string, scalar string"
+_ARROW = pa.schema([("doc", pa.string()), ("node", pa.int64()), ("parent", pa.int64()), ("label", pa.string()), ("ordinal", pa.int32()), ("kind", pa.string()), ("scalar", pa.string())])
 _ROWS = 50_000
 
 
 def _walk(doc: str, text: str | None) -> Iterator[tuple]:
-    """Nodes of one document, parents first. Text that is no JSON gives one node of kind ``broken``."""
-    if text is None:
-        return
+    """Nodes of one document, numbered from 0 in preorder. Text that is no JSON gives one node of kind ``broken`` that holds all of it."""
     try:
-        root = json.loads(text)
-    except ValueError:
-        yield doc, "", None, None, 0, "broken", text[:200]
+        root = json.loads(text) if text is not None else None
+    except (ValueError, RecursionError):
+        yield doc, 0, None, None, 0, "broken", text
         return
-    stack = [("", None, None, 0, root)]
+    if text is None:
+        yield doc, 0, None, None, 0, "broken", None
+        return
+    # (parent, label, ordinal, value); the label of an element is that of its array
+    stack: list[tuple] = [(None, "", 0, root)]
+    node = 0
     while stack:
-        node, parent, label, ordinal, v = stack.pop()
-        if isinstance(v, dict):
+        parent, label, ordinal, v = stack.pop()
+        if isinstance(v, str):
+            yield doc, node, parent, label, ordinal, "string", v
+        elif isinstance(v, dict):
             yield doc, node, parent, label, ordinal, "object", None
-            stack += [(f"{node}/{k.replace('~', '~0').replace('/', '~1')}", node, k, i, x) for i, (k, x) in reversed(list(enumerate(v.items())))]
+            stack += [(node, k.replace("~", "~0").replace("[", "~1"), i, x) for i, (k, x) in reversed(list(enumerate(v.items())))]
         elif isinstance(v, list):
             yield doc, node, parent, label, ordinal, "array", None
-            stack += [(f"{node}/{i}", node, None, i, x) for i, x in reversed(list(enumerate(v)))]
+            # an array that is an element itself holds its elements, any other leaves them to its owner
+            owner = node if parent is None or label.endswith("[]") else parent
+            stack += [(owner, label + "[]", i, x) for i, x in reversed(list(enumerate(v)))]
         elif v is None:
             yield doc, node, parent, label, ordinal, "null", None
         elif isinstance(v, bool):
             yield doc, node, parent, label, ordinal, "boolean", "true" if v else "false"
-        elif isinstance(v, str):
-            yield doc, node, parent, label, ordinal, "string", v
         else:
             yield doc, node, parent, label, ordinal, "number", repr(v)
+        node += 1
 
 
 def _shred_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -71,97 +81,134 @@ def adjacency(docs: DataFrame, doc: Column, payload: Column) -> DataFrame:
     return docs.select(doc.cast("string").alias("doc"), payload.alias("payload")).mapInArrow(_shred_batches, NODE_SCHEMA)
 
 
-def entities(nodes: DataFrame, is_entity: Column, scalars: dict[str, str]) -> DataFrame:
-    """Object nodes for which ``is_entity`` holds, joined with their scalar children, which become columns.
+def scalar_children(nodes: DataFrame, columns: dict[str, tuple[str, str]]) -> DataFrame:
+    """(doc, node, columns): the scalar children of every node that has one of them, pivoted.
 
-    ``scalars``: column -> label of the child, or ``a/b`` for a scalar ``b`` of a nested object ``a``. Entities without any such child stay.
-    A plain scalar in an entity's place is an entity too and is its own ``text``.
+    ``columns``: column -> (label, SQL expression over ``scalar``). Numbers are cast before they are aggregated, which keeps the
+    aggregation in fixed-width buffers.
     """
-    scalar = ~F.col("kind").isin("object", "array", "null")
-    roles = [F.when(is_entity, F.struct(F.col("node").alias("node"), F.lit(True).alias("here"), F.lit(None).cast("string").alias("what"), F.when(scalar, F.col("scalar")).alias("scalar")))]
-    for holder in sorted({v.rpartition("/")[0] for v in scalars.values()}):
-        names = [v.rpartition("/")[2] for v in scalars.values() if v.rpartition("/")[0] == holder]
-        child = scalar & F.col("label").isin(names)
-        if holder:
-            child = child & F.col("parent").endswith(f"/{holder}")
-            up, what = F.substr("parent", F.lit(1), F.length("parent") - len(holder) - 1), F.concat(F.lit(f"{holder}/"), "label")
-        else:
-            up, what = F.col("parent"), F.col("label")
-        roles.append(F.when(child, F.struct(up.alias("node"), F.lit(None).cast("boolean").alias("here"), what.alias("what"), F.col("scalar").alias("scalar"))))
-    # a node may be an entity and a child at once; both roles come out of one pass
-    labels = list({v.rpartition("/")[2] for v in scalars.values()})
-    both = nodes.filter(F.col("label").isin(labels) | is_entity).select("doc", F.explode(F.array_compact(F.array(*roles))).alias("r")).select("doc", "r.*")
-    aggs = [F.max(F.when(F.col("what") == v, F.col("scalar"))).alias(k) for k, v in scalars.items()]
-    return both.groupBy("doc", "node").agg(F.max("here").alias("here"), F.max(F.when(F.col("here"), F.col("scalar"))).alias("_self"), *aggs).filter("here").drop("here")
-
-
-# -- tables of table documents ---------------------------------------------------------------------------------------------------
+    labels = sorted({label for label, _ in columns.values()})
+    rows = nodes.filter(F.col("label").isin(labels) & ~F.col("kind").isin("object", "array", "null"))
+    return rows.groupBy("doc", F.col("parent").alias("node")).agg(*[F.expr(f"max(CASE WHEN label = '{label}' THEN {value} END)").alias(k) for k, (label, value) in columns.items()])
 
-_CELL = r"^(.*?)/tgroups?(?:/(\d+))?/(header|body)_rows/(\d+)(?:/cells)?/(\d+)$"
-_ROW = r"^(.*?)/tgroups?(?:/(\d+))?/(header|body)_rows/(\d+)$"
-_GROUP = r"^(.*?)/(?:tgroup|tgroups(?:/(\d+))?)$"
 
+def rejects(nodes: DataFrame) -> DataFrame:
+    """(doc, reason, payload) of documents that are null or no JSON; nothing of a text is cut."""
+    return nodes.filter("kind = 'broken'").select("doc", F.when(F.col("scalar").isNull(), "null").otherwise("not json").alias("reason"), F.col("scalar").alias("payload"))
 
-def _part(pattern: str, i: int) -> Column:
-    return F.regexp_extract("node", pattern, i)
 
+# -- tables of table documents ---------------------------------------------------------------------------------------------------
 
-def _position(pattern: str, i: int) -> Column:
-    """An ordinal in the path; a lone group has none and counts as 0."""
-    return F.coalesce(_part(pattern, i).try_cast("int"), F.lit(0))
+_SECTIONS = ("header_rows", "body_rows")
+_ROW_LABELS = [f"{s}[]" for s in _SECTIONS]
+_CELL_LABELS = [*(f"{s}[][]" for s in _SECTIONS), "cells[]"]
 
 
 def table_keys(nodes: DataFrame) -> DataFrame:
     """(doc, table_node, table_uid) of every object with a table_uid."""
-    return nodes.filter((F.col("label") == "table_uid") & F.col("scalar").isNotNull()).select("doc", F.col("parent").alias("table_node"), F.col("scalar").try_cast("long").alias("table_uid"))
+    return nodes.filter("label = 'table_uid' and scalar is not null").select("doc", F.col("parent").alias("table_node"), F.col("scalar").try_cast("long").alias("table_uid"))
 
 
 def table_entity(nodes: DataFrame) -> DataFrame:
     """tables(doc, table_node, table_uid, table_id, caption). A caption is a text or an object with a text."""
-    what = F.substring_index("node", "/", -1)
-    texts = nodes.filter(what.isin("table_id", "caption", "text") & F.col("scalar").isNotNull())
-    kind = F.when(what == "table_id", "table_id").when(F.col("node").rlike(r"/caption(?:/text)?$"), "caption")
-    texts = texts.select("doc", F.regexp_replace("node", r"/(?:table_id|caption(?:/text)?)$", "").alias("table_node"), kind.alias("what"), "scalar").filter("what is not null")
-    pivoted = texts.groupBy("doc", "table_node").agg(F.max(F.when(F.col("what") == "table_id", F.col("scalar"))).alias("table_id"), F.max(F.when(F.col("what") == "caption", F.col("scalar"))).alias("caption"))
-    return table_keys(nodes).join(pivoted, ["doc", "table_node"], "left")
+    own = scalar_children(nodes, {"table_id": ("table_id", "scalar"), "plain": ("caption", "scalar")}).withColumnRenamed("node", "table_node")
+    held = nodes.filter("label = 'caption' and kind = 'object'").select("doc", F.col("parent").alias("table_node"), "node")
+    held = held.join(scalar_children(nodes, {"held": ("text", "scalar")}), ["doc", "node"]).drop("node")
+    out = table_keys(nodes).join(own, ["doc", "table_node"], "left").join(held, ["doc", "table_node"], "left")
+    return out.select("doc", "table_node", "table_uid", "table_id", F.coalesce("plain", "held").alias("caption"))
 
 
 def group_entity(nodes: DataFrame) -> DataFrame:
-    """groups(doc, table_node, tgroup_ix, n_cols): elements of ``tgroups``, or a lone group object."""
-    e = entities(nodes, (F.col("kind") == "object") & F.col("node").rlike(_GROUP) & ~F.col("node").rlike(r"/(?:header|body)_rows/"), {"n_cols": "n_cols"})
-    return e.select("doc", _part(_GROUP, 1).alias("table_node"), _position(_GROUP, 2).alias("tgroup_ix"), F.col("n_cols").try_cast("int").alias("n_cols"))
+    """groups(doc, group_node, table_uid, tgroup_ix, n_cols): elements of ``tgroups``, or a lone group object, which counts as 0."""
+    lone = F.col("label").isin("tgroup", "tgroups")
+    g = nodes.filter((lone | (F.col("label") == "tgroups[]")) & (F.col("kind") == "object"))
+    g = g.select("doc", F.col("node").alias("group_node"), F.col("parent").alias("table_node"), F.when(lone, 0).otherwise(F.col("ordinal")).alias("tgroup_ix"))
+    n_cols = scalar_children(nodes, {"n_cols": ("n_cols", "try_cast(scalar AS int)")}).withColumnRenamed("node", "group_node")
+    return g.join(table_keys(nodes), ["doc", "table_node"]).join(n_cols, ["doc", "group_node"], "left").select("doc", "group_node", "table_uid", "tgroup_ix", "n_cols")
 
 
 def row_entity(nodes: DataFrame) -> DataFrame:
-    """rows(doc, table_node, tgroup_ix, section, row_ix): a row is an array of cells or an object that holds one; empty rows stay."""
-    rows = nodes.filter(F.col("label").isNull() & F.col("node").rlike(_ROW))
-    return rows.select("doc", _part(_ROW, 1).alias("table_node"), _position(_ROW, 2).alias("tgroup_ix"), _part(_ROW, 3).alias("section"), _part(_ROW, 4).cast("int").alias("row_ix"))
+    """rows(doc, row_node, table_uid, tgroup_ix, section, row_ix): a row is an array of cells or an object that holds one; empty rows stay."""
+    rows = nodes.filter(F.col("label").isin(_ROW_LABELS))
+    rows = rows.select("doc", F.col("node").alias("row_node"), F.col("parent").alias("group_node"), F.regexp_replace("label", "_rows.*", "").alias("section"), F.col("ordinal").alias("row_ix"))
+    return rows.join(group_entity(nodes).drop("n_cols"), ["doc", "group_node"]).select("doc", "row_node", "table_uid", "tgroup_ix", "section", "row_ix")
+
+
+_LAST_NUMBER = r"try_cast(regexp_extract(scalar, '([0-9]+)\\s*$', 1) AS int)"
+_SPAN = {"span": ("colspan", "try_cast(try_cast(trim(scalar) AS double) AS int)"), "first": ("namest", _LAST_NUMBER), "last": ("nameend", _LAST_NUMBER)}
+
+
+def _span() -> Column:
+    by_name = F.col("last") - F.col("first") + 1
+    return F.greatest(F.lit(1), F.coalesce("span", by_name, F.lit(1)), F.coalesce(by_name, F.lit(1)))
+
+
+def _cells(nodes: DataFrame) -> DataFrame:
+    cells = nodes.filter(F.col("label").isin(_CELL_LABELS))
+    return cells.select("doc", "node", F.col("parent").alias("row_node"), F.col("ordinal").alias("cell_ix"), F.col("scalar").alias("own"))
+
+
+def wide_cells(nodes: DataFrame) -> DataFrame:
+    """(table_uid, tgroup_ix, section, row_ix, cell_ix, colspan) of the cells that cover more than one column.
+
+    The pivoted spans are few against the cells and meet them first; only what is left looks up its row.
+    """
+    spans = scalar_children(nodes, _SPAN).select("doc", "node", _span().alias("colspan")).filter("colspan > 1")
+    found = _cells(nodes).drop("own").join(spans, ["doc", "node"])
+    return found.join(row_entity(nodes), ["doc", "row_node"]).select("table_uid", "tgroup_ix", "section", "row_ix", "cell_ix", "colspan")
 
 
 def cell_entity(nodes: DataFrame) -> DataFrame:
-    """cells(doc, table_node, tgroup_ix, section, row_ix, cell_ix, text, colspan, col_start, chemistry_id).
+    """cells(table_uid, tgroup_ix, section, row_ix, cell_ix, text, colspan, col_start, chemistry_id).
 
-    The span is a count (number or text) or a first and last column name; anything below 2, absent or senseless is one column.
+    The span is a count (number or text) or a first and last column name; anything below 2, absent or senseless is one column. A plain
+    scalar in a cell's place is a cell and its own text.
     """
-    scalars = {"text": "text", "span": "colspan", "first": "namest", "last": "nameend", "col_start": "col_start", "chem": "chemistry/id", "chem_flat": "chemistry_id"}
-    e = entities(nodes, F.col("label").isNull() & F.col("node").rlike(_CELL), scalars)
-    by_name = F.regexp_extract("last", r"(\d+)\s*$", 1).try_cast("int") - F.regexp_extract("first", r"(\d+)\s*$", 1).try_cast("int") + 1
-    span = F.greatest(F.lit(1), F.coalesce(F.trim("span").try_cast("double").try_cast("int"), by_name, F.lit(1)), F.coalesce(by_name, F.lit(1)))
-    return e.select(
-        "doc",
-        _part(_CELL, 1).alias("table_node"),
-        _position(_CELL, 2).alias("tgroup_ix"),
-        _part(_CELL, 3).alias("section"),
-        _part(_CELL, 4).cast("int").alias("row_ix"),
-        _part(_CELL, 5).cast("int").alias("cell_ix"),
-        F.coalesce("text", "_self").alias("text"),
-        span.alias("colspan"),
-        F.nullif(F.col("col_start").try_cast("int"), F.lit(-1)).alias("col_start"),
-        F.coalesce("chem", "chem_flat").alias("chemistry_id"),
-    )
+    scalars = {"text": ("text", "scalar"), "start": ("col_start", "try_cast(scalar AS int)"), "chem": ("chemistry_id", "scalar")}
+    chem = nodes.filter("label = 'chemistry' and kind = 'object'").select("doc", F.col("node").alias("held"), F.col("parent").alias("node"))
+    chem = chem.join(scalar_children(nodes, {"chem_held": ("id", "scalar")}).withColumnRenamed("node", "held"), ["doc", "held"]).drop("held")
+    out = _cells(nodes).join(scalar_children(nodes, scalars | _SPAN), ["doc", "node"], "left").join(chem, ["doc", "node"], "left").join(row_entity(nodes), ["doc", "row_node"])
+    return out.select(
+        *["table_uid", "tgroup_ix", "section", "row_ix", "cell_ix"], F.coalesce("text", "own").alias("text"), _span().alias("colspan"), F.nullif(F.col("start"), F.lit(-1)).alias("col_start"), F.coalesce("chem_held", "chem").alias("chemistry_id")
+    )
 
 
-def typed_payload() -> Column:
-    """table_objects rows as documents of the same shape: one table with one group per row. Struct keys without a value vanish."""
-    group = F.struct("n_cols", "header_rows", "body_rows")
-    return F.to_json(F.struct("patent_id", F.array(F.struct("table_uid", "table_id", "caption", group.alias("tgroup"))).alias("tables")))
+def typed_adjacency(tables: DataFrame, doc: Column) -> DataFrame:
+    """table_objects rows as nodes of the same kind of documents: one table with the one group of the row, at its position.
+
+    Cells are numbered by their place: row number, section and cell number in one 64-bit number (rows below 2**32, cells of a row below
+    2**24), what is above them by negative numbers. Fields without a value have no node.
+    """
+    node = lambda n, parent, label, ordinal, kind, scalar: F.struct(
+        *[x.cast(t).alias(k) for k, t, x in (("node", "long", n), ("parent", "long", parent), ("label", "string", label), ("ordinal", "int", ordinal), ("kind", "string", kind), ("scalar", "string", scalar))]
+    )
+    none, zero = F.lit(None), F.lit(0)
+    child = lambda c, n, parent, label, kind, value: F.when(c, node(n, F.lit(parent), F.lit(label), zero, F.lit(kind), value))
+    head = F.array(
+        node(F.lit(-1), none, F.lit(""), zero, F.lit("object"), none),
+        child(F.col("table_uid").isNotNull(), F.lit(-2), -1, "table_uid", "number", F.col("table_uid")),
+        child(F.col("table_id").isNotNull(), F.lit(-3), -1, "table_id", "string", F.col("table_id")),
+        child(F.col("caption").isNotNull(), F.lit(-4), -1, "caption", "string", F.col("caption")),
+        node(F.lit(-5), F.lit(-1), F.lit("tgroups[]"), F.col("tgroup_ix"), F.lit("object"), none),
+        child(F.col("n_cols").isNotNull(), F.lit(-6), -5, "n_cols", "number", F.col("n_cols")),
+        *[child(F.col(s).isNotNull(), F.lit(-7 - i), -5, s, "array", none) for i, s in enumerate(_SECTIONS)],
+    )
+    top = tables.select(doc.alias("doc"), F.explode(F.array_compact(head)).alias("n"))
+    sections = tables.select(doc.alias("doc"), F.inline(F.array(*[F.struct(F.lit(i).alias("s"), F.lit(s).alias("section"), F.col(s).alias("rows")) for i, s in enumerate(_SECTIONS)])))
+    rows = sections.select("doc", "s", "section", F.posexplode("rows").alias("row_ix", "row"))
+    cells = rows.select("doc", "s", "section", "row_ix", F.col("row").isNull().alias("no_row"), F.posexplode_outer("row").alias("cell_ix", "c"))
+    cells = cells.withColumn("at", F.shiftleft(F.col("row_ix").cast("long") * 2 + F.col("s"), 27))
+    cell = F.col("at") + F.shiftleft(F.col("cell_ix").cast("long"), 3) + 1
+    here = F.col("c").isNotNull()
+    has = lambda field: here & F.col(f"c.{field}").isNotNull()
+    scalar = lambda field, i, kind: F.when(has(field), node(cell + i, cell, F.lit(field), zero, F.lit(kind), F.col(f"c.{field}")))
+    inner = F.array(
+        F.when(F.coalesce("cell_ix", zero) == 0, node(F.col("at"), F.lit(-5), F.concat("section", F.lit("[]")), F.col("row_ix"), F.when(F.col("no_row"), "null").otherwise("array"), none)),
+        F.when(F.col("cell_ix").isNotNull(), node(cell, F.col("at"), F.concat("section", F.lit("[][]")), F.col("cell_ix"), F.when(here, "object").otherwise("null"), none)),
+        scalar("text", 1, "string"),
+        scalar("colspan", 2, "number"),
+        scalar("col_start", 3, "number"),
+        scalar("chemistry_id", 4, "string"),
+    )
+    below = cells.select("doc", F.explode(inner).alias("n")).filter("n is not null")
+    return top.unionByName(below).select("doc", "n.*")

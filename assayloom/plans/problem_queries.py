@@ -7,53 +7,56 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayloom.common import plain_cid, table, written
+from assayloom.common import plain_cid, table, written_once
 from assayloom.operators import orphans, shred, units, wide
 
 # -- 2: deeply nested records ----------------------------------------------------------------------------------------------------
 
 
 def _nodes(spark: SparkSession, d: str) -> DataFrame:
-    """The stored adjacency table of both sources: ``r|raw_id`` documents, and one ``t|table_uid|tgroup_ix|...`` document per delivered group."""
-    raw = table(spark, d, "raw_tables").select(F.concat(F.lit("r|"), F.col("raw_id").cast("string")).alias("doc"), "payload")
-    rows = table(spark, d, "table_objects")
-    doc = F.concat_ws("|", F.lit("t"), "table_uid", "tgroup_ix", F.xxhash64("scanned_at", "caption", "preceding", "following"))
-    typed = rows.select(doc.alias("doc"), shred.typed_payload().alias("payload"))
-    return written(shred.adjacency(raw.unionByName(typed), F.col("doc"), F.col("payload")))
+    """The stored adjacency table of both sources: ``r|raw_id`` documents, and one ``t|table_uid|tgroup_ix|...`` document per delivered group.
 
+    It is stored once for all queries of a session.
+    """
+    raw, rows = table(spark, d, "raw_tables"), table(spark, d, "table_objects")
+    doc = F.concat_ws("|", F.lit("t"), "table_uid", "tgroup_ix", F.xxhash64("scanned_at", "caption", "preceding", "following", "header_rows", "body_rows"))
+    files = [x.select(F.col("_metadata")) for x in (raw, rows)]
 
-def _placed(nodes: DataFrame, entity: DataFrame) -> DataFrame:
-    """Parent link by value: table_uid of the table node above; typed documents carry their group's position in their name."""
-    out = entity.join(shred.table_keys(nodes), ["doc", "table_node"])
-    typed = F.col("doc").startswith("t|")
-    return out.withColumn("tgroup_ix", F.when(typed, F.get(F.split("doc", r"\|"), F.lit(2)).try_cast("int")).otherwise(F.col("tgroup_ix"))).drop("doc", "table_node").distinct()
+    def build() -> DataFrame:
+        return shred.adjacency(raw, F.concat(F.lit("r|"), F.col("raw_id").cast("string")), F.col("payload")).unionByName(shred.typed_adjacency(rows, doc))
+
+    return written_once(files, "adjacency", build)
 
 
 def p2_cells(spark: SparkSession, d: str) -> DataFrame:
     """Flat cells of both sources with their place, span and parent keys."""
-    nodes = _nodes(spark, d)
-    return _placed(nodes, shred.cell_entity(nodes)).select("table_uid", "tgroup_ix", "section", "row_ix", "cell_ix", "text", "colspan", "col_start", "chemistry_id")
+    return shred.cell_entity(_nodes(spark, d)).distinct()
 
 
 def p2_rows(spark: SparkSession, d: str) -> DataFrame:
-    nodes = _nodes(spark, d)
-    return _placed(nodes, shred.row_entity(nodes)).select("table_uid", "tgroup_ix", "section", "row_ix")
+    return shred.row_entity(_nodes(spark, d)).select("table_uid", "tgroup_ix", "section", "row_ix").distinct()
 
 
 def p2_groups(spark: SparkSession, d: str) -> DataFrame:
-    nodes = _nodes(spark, d)
-    return _placed(nodes, shred.group_entity(nodes)).select("table_uid", "tgroup_ix", "n_cols")
+    return shred.group_entity(_nodes(spark, d)).select("table_uid", "tgroup_ix", "n_cols").distinct()
 
 
 def p2_tables(spark: SparkSession, d: str) -> DataFrame:
     return shred.table_entity(_nodes(spark, d)).select("table_uid", "table_id", "caption").distinct()
 
 
+def p2_rejects(spark: SparkSession, d: str) -> DataFrame:
+    """raw_tables rows that give no table: null payloads, payloads that are no JSON (in full), and ones without any table_uid."""
+    nodes = _nodes(spark, d).filter("doc like 'r|%'")
+    out = shred.rejects(nodes)
+    bare = nodes.filter("parent is null and kind <> 'broken'").select("doc").join(shred.table_keys(nodes).select("doc"), "doc", "left_anti")
+    out = out.unionByName(bare.select("doc", F.lit("no table").alias("reason"), F.lit(None).cast("string").alias("payload")))
+    return out.select(F.substr("doc", F.lit(3)).cast("long").alias("raw_id"), "reason", "payload")
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     """Cells that cover more than one column."""
-    nodes = _nodes(spark, d)
-    wide_cells = shred.cell_entity(nodes).filter("colspan > 1").select("doc", "table_node", "tgroup_ix", "section", "row_ix", "cell_ix")
-    return _placed(nodes, wide_cells).select("table_uid", "tgroup_ix", "section", "row_ix", "cell_ix")
+    return shred.wide_cells(_nodes(spark, d)).drop("colspan").distinct()
 
 
 # -- 4: orphans ------------------------------------------------------------------------------------------------------------------
@@ -151,5 +154,5 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    own = [p2_found, p2_tables, p2_groups, p2_rows, p2_cells, p4_found, p4_report, p5_found, p5_converted, p6_found, p6_wide]
+    own = [p2_found, p2_tables, p2_groups, p2_rows, p2_cells, p2_rejects, p4_found, p4_report, p5_found, p5_converted, p6_found, p6_wide]
     return {f.__name__: f for f in own}

@@ -81,6 +81,8 @@ def oracle_sql() -> dict[str, str]:
         "p2_rows": _P2_ROWS,
         "p2_groups": _P2_GROUPS,
         "p2_tables": _P2_TABLES,
+        "p2_rejects": """SELECT raw_id, CASE WHEN payload IS NULL THEN 'null' WHEN NOT json_valid(payload) THEN 'not json' ELSE 'no table' END AS reason, CASE WHEN NOT json_valid(payload) THEN payload END AS payload
+FROM raw_tables WHERE payload IS NULL OR NOT json_valid(payload) OR payload NOT LIKE '%"table_uid"%'""",
         "p4_found": _P4 + "SELECT src_table, row_id, kind FROM k WHERE kind IS NOT NULL",
         "p4_report": _P4 + "SELECT src_table, strftime(loaded_at, '%Y-%m') AS month, kind, count(*) AS n_orphans FROM k WHERE kind IS NOT NULL GROUP BY ALL",
         "p5_found": _P5,

@@ -4,11 +4,14 @@ import datetime as dt
 import itertools
 import json
 import random
+from types import SimpleNamespace
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from assayloom.common import hot_keys, plain_cid, salted_left_join
+from assayloom.common import hot_keys, plain_cid, salted_left_join, shared_folder
 from assayloom.operators import orphans, shred, units, wide
 from assayloom.plans import problem_queries as pq
 
@@ -28,28 +31,40 @@ def _walk(doc, text):
     return list(shred._walk(doc, text))
 
 
-def test_adjacency_is_lossless():
-    def back(rows):
-        nodes = {r[1]: r for r in rows}
-        children = {}
-        for r in rows:
-            if r[2] is not None:
-                children.setdefault(r[2], []).append(r)
+def _rebuilt(rows):
+    nodes = {r[1]: r for r in rows}
+    assert len(nodes) == len(rows)
+    children = {}
+    for r in rows:
+        if r[2] is not None:
+            children.setdefault((r[2], r[3].endswith("[]")), []).append(r)
+    plain = lambda k: k.replace("~1", "[").replace("~0", "~")
+
+    def build(n):
+        _, node, parent, label, _, kind, scalar = nodes[n]
+        if kind == "object":
+            return {plain(k[3]): build(k[1]) for k in sorted(children.get((node, False), []), key=lambda r: r[4])}
+        if kind == "array":
+            owner = node if parent is None or label.endswith("[]") else parent
+            return [build(k[1]) for k in sorted(children.get((owner, True), []), key=lambda r: r[4]) if k[3] == label + "[]"]
+        return None if kind == "null" else scalar if kind == "string" else json.loads(scalar)
 
-        def build(n):
-            kind, scalar = nodes[n][5], nodes[n][6]
-            kids = sorted(children.get(n, []), key=lambda r: r[4])
-            if kind == "object":
-                return {k[3]: build(k[1]) for k in kids}
-            if kind == "array":
-                return [build(k[1]) for k in kids]
-            return None if kind == "null" else scalar if kind == "string" else json.loads(scalar)
+    return build(0)
 
-        return build("")
 
-    for x in ({}, [], {"a": {"b/c": [1, None, "x", [], {}]}, "~": True}, [[["deep"]]], "s", 1.5):
-        assert back(_walk("d", json.dumps(x))) == x
-    assert [r[5] for r in _walk("d", "{broken")] == ["broken"] and _walk("d", None) == []
+def test_adjacency_is_lossless():
+    values = [{}, [], {"a": {"b/c": [1, None, "x", [], {}]}, "~": True}, [[["deep"]]], "s", 1.5, None, {"a": [], "b": [[], [1], [[2], []]], "c[]": [3], "a[": {"~0": [4]}}]
+    for x in values:
+        assert _rebuilt(_walk("d", json.dumps(x))) == x
+    broken = "{broken" + "x" * 1000
+    assert _walk("d", broken) == [("d", 0, None, None, 0, "broken", broken)] and _walk("d", None) == [("d", 0, None, None, 0, "broken", None)]
+    assert [r[5] for r in _walk("d", "[" * 100_000)] == ["broken"]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.recursive(st.none() | st.booleans() | st.integers(-(10**12), 10**12) | st.text(max_size=8), lambda x: st.lists(x, max_size=4) | st.dictionaries(st.text(alphabet="ab[]~/", max_size=3), x, max_size=4), max_leaves=25))
+def test_adjacency_of_any_record_is_lossless(x):
+    assert _rebuilt(_walk("d", json.dumps(x))) == x
 
 
 def test_p2_on_small_tables(spark, save):
@@ -69,8 +84,35 @@ def test_p2_on_small_tables(spark, save):
     assert {(r.table_uid, r.tgroup_ix) for r in pq.p2_groups(spark, d).collect()} == {(1, 0), (2, 1), (9, 0), (10, 0), (10, 1), (11, 0)}
     assert (9, 0, "body", 2) in {tuple(r) for r in pq.p2_rows(spark, d).collect()}
     assert {r.table_uid for r in pq.p2_tables(spark, d).collect()} == {1, 2, 9, 10, 11}
+    assert sorted(tuple(r) for r in pq.p2_rejects(spark, d).collect()) == [(4, "null", None), (5, "not json", "not json"), (6, "no table", None)]
     empty = save(table_objects=objects.limit(0), raw_tables=raw.limit(0))
-    assert pq.p2_found(spark, empty).count() == 0
+    assert pq.p2_found(spark, empty).count() == 0  # the stored adjacency of the files before is not taken
+    assert pq.p2_rejects(spark, empty).count() == 0
+
+
+def test_p2_of_records_that_nest_and_repeat_differently(spark, save):
+    cell = "struct<text:string,colspan:int,col_start:int,chemistry_id:string>"
+    schema = f"table_uid long, patent_id string, table_id string, tgroup_ix int, n_cols int, header_rows array<array<{cell}>>, body_rows array<array<{cell}>>, caption string, preceding string, following string, scanned_at timestamp"
+    # one key delivered twice with different cells: each delivery keeps its own
+    objects = [(1, "P", "T", 0, 1, None, [[("a", 2, None, "C1")]], "cap", None, None, T(0)), (1, "P", "T", 0, 1, None, [[("b", 3, None, None)]], "cap", None, None, T(0))]
+    deep = {"a": [{"b": [{"table_uid": "20", "caption": {"text": "held"}, "tgroups": [{"n_cols": "2", "header_rows": [], "body_rows": [None, [[1, 2], {"text": "x", "colspan": 2, "chemistry": {"id": "C2", "img": {"file": "f"}}}]]}]}]}]}
+    odd = [{"table_uid": 21, "table_id": "T9", "caption": "plain", "tgroup": {"body_rows": [{"cells": [{"text": "y", "namest": "c1", "nameend": "c9"}, 5, None]}, {"cells": []}, {}]}}]
+    raw = [(1, json.dumps(deep)), (2, json.dumps(odd)), (3, json.dumps(odd)), (4, '{"table_uid": 22, "tgroups": ['), (5, json.dumps({"table_uid": None}))]
+    d = save(table_objects=spark.createDataFrame(objects, schema), raw_tables=spark.createDataFrame(raw, "raw_id long, payload string"))
+    assert sorted(tuple(r) for r in pq.p2_found(spark, d).collect()) == [(1, 0, "body", 0, 0), (20, 0, "body", 1, 1), (21, 0, "body", 0, 0)]
+    cells = sorted((r.table_uid, r.row_ix, r.cell_ix, r.text or "", r.colspan, r.chemistry_id) for r in pq.p2_cells(spark, d).collect())
+    assert cells == [(1, 0, 0, "a", 2, "C1"), (1, 0, 0, "b", 3, None), (20, 1, 0, "", 1, None), (20, 1, 1, "x", 2, "C2"), (21, 0, 0, "y", 9, None), (21, 0, 1, "5", 1, None), (21, 0, 2, "", 1, None)]
+    assert sorted((r.table_uid, r.row_ix) for r in pq.p2_rows(spark, d).collect()) == [(1, 0), (20, 0), (20, 1), (21, 0), (21, 1), (21, 2)]
+    assert sorted((r.table_uid, r.table_id, r.caption) for r in pq.p2_tables(spark, d).collect() if r.table_uid > 1) == [(20, None, "held"), (21, "T9", "plain")]
+    assert {(r.table_uid, r.n_cols) for r in pq.p2_groups(spark, d).collect()} == {(1, 1), (20, 2), (21, None)}
+    assert sorted((r.raw_id, r.reason) for r in pq.p2_rejects(spark, d).collect()) == [(4, "not json"), (5, "no table")]
+
+
+def test_intermediate_tables_need_a_shared_folder_on_a_cluster():
+    conf = SimpleNamespace(get=lambda *a: None)
+    context = SimpleNamespace(master="spark://somewhere:7077", getConf=lambda: conf)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(SimpleNamespace(conf=conf, sparkContext=context))
 
 
 # -- 4 ---------------------------------------------------------------------------------------------------------------------------
