@@ -16,11 +16,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from assayloom.common import written
+from assayloom.common import BROADCAST_LIMIT, written
 
 #: Least cosine of an accepted candidate, and how far it must be ahead of the next target.
 THRESHOLD = 0.2
 MARGIN = 0.1
+#: Bytes of one posting in a broadcast table, generously.
+POSTING_BYTES = 128
 #: A word is a misspelling of another at most this many edits and this share of its letters away; words of four letters must be equal.
 MOST_EDITS = 2
 EDITS_SHARE = 1 / 3
@@ -176,32 +178,39 @@ def index_of(vocabulary: DataFrame) -> DataFrame:
 def best_entries(texts: DataFrame, index: DataFrame, threshold: float = THRESHOLD, margin: float = MARGIN) -> DataFrame:
     """(measure, marks, words, vocab_id, score, margin) of each distinct text's accepted entry; texts without one are left out.
 
-    A text's grams are probed from the heaviest down until the rest could not reach the threshold alone, which loses no candidate
-    above it and leaves the common grams' long postings unread. Sizes of the sides are left to the optimizer to measure.
+    A text's grams are probed from the heaviest down until the rest weighs less than half the threshold. What has not reached the other
+    half by then cannot reach the threshold, so the common grams' long postings are read for the few forms that are left, and no candidate
+    above the threshold is lost.
     """
     key = ["measure", "marks", "words"]
     shown = F.trim(F.concat_ws(" ", "words", "marks"))
     forms = index.withColumn("_t", F.trim(F.concat_ws(" ", "form", "marks"))).withColumn("form_id", F.xxhash64("target", "form", "marks", "measure"))
+    size = forms.agg(F.count(F.lit(1)).alias("n"), F.sum(2 * F.length("_t") + 3).alias("grams")).first()
+    n = size["n"]
+    # the list's part of each join is broadcast only if its grams, counted before, fit
+    side = F.broadcast if (size["grams"] or 0) * POSTING_BYTES <= BROADCAST_LIMIT else lambda df: df
     tf = forms.select("form_id", "measure", "marks", F.explode(grams(F.col("_t"))).alias("gram")).groupBy("form_id", "measure", "marks", "gram").agg(F.count(F.lit(1)).alias("tf"))
-    n = forms.count()  # of the list
     idf = tf.groupBy("gram").agg(F.log((n + 1.0) / (F.count(F.lit(1)) + 0.5)).alias("idf"))
-    weights = tf.join(idf, "gram").withColumn("w", F.col("tf") * F.col("idf"))
+    weights = tf.join(side(idf), "gram").withColumn("w", F.col("tf") * F.col("idf"))
     norms = weights.groupBy("form_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("fn"))
-    postings = weights.join(norms, "form_id").filter("fn > 0").select("form_id", "measure", "marks", "gram", (F.col("w") / F.col("fn")).alias("iw"))
+    postings = weights.join(side(norms), "form_id").filter("fn > 0").select("form_id", "measure", "marks", "gram", (F.col("w") / F.col("fn")).alias("iw"))
 
     own = texts.select(*key, F.explode(grams(shown)).alias("gram")).groupBy(*key, "gram").agg(F.count(F.lit(1)).alias("tf"))
-    own = own.join(idf, "gram", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(math.log((n + 1) / 0.5))))
-    rest = F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(*key).orderBy("w", "gram").rowsBetween(Window.unboundedPreceding, 0))
-    total = F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(*key))
-    own = own.withColumns({"_rest": rest, "_all": total})
-    probes = own.filter(F.col("_rest") >= threshold * threshold * F.col("_all")).select(*key, "gram")
-    pairs = probes.join(postings.select("form_id", "measure", "marks", "gram"), ["measure", "marks", "gram"]).select(*key, "form_id").distinct()
-    dots = pairs.join(own.select(*key, "gram", "w", "_all"), key).join(postings.select("form_id", "gram", "iw"), ["form_id", "gram"])
-    scored = dots.groupBy(*key, "form_id").agg((F.sum(F.col("w") * F.col("iw")) / F.sqrt(F.max("_all"))).alias("score")).filter(F.col("score") >= threshold)
-    named = scored.join(forms.select("form_id", "target", "vocab_id"), "form_id").groupBy(*key, "target", "vocab_id").agg(F.max("score").alias("score"))
+    own = own.join(side(idf), "gram", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(math.log((n + 1) / 0.5))))
+    # everything from here to the verdict is partitioned by the text already
+    upto = F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(*key).orderBy("w", "gram").rowsBetween(Window.unboundedPreceding, 0))
+    whole = F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(*key))
+    own = own.withColumns({"_upto": upto, "_all": whole}).withColumn("probe", F.col("_upto") >= threshold * threshold / 4 * F.col("_all"))
+    first = own.filter("probe").join(side(postings), ["measure", "marks", "gram"]).groupBy(*key, "form_id").agg(F.sum(F.col("w") * F.col("iw")).alias("dot"), F.max("_all").alias("_all"))
+    first = first.filter(F.col("dot") >= threshold / 2 * F.sqrt("_all"))
+    rest = own.filter("not probe").select(*key, "gram", "w")
+    more = first.select(*key, "form_id").join(rest, key).join(side(postings.select("form_id", "gram", "iw")), ["form_id", "gram"])
+    more = more.groupBy(*key, "form_id").agg(F.sum(F.col("w") * F.col("iw")).alias("more"))
+    scored = first.join(more, [*key, "form_id"], "left").withColumn("score", (F.col("dot") + F.coalesce("more", F.lit(0.0))) / F.sqrt("_all")).filter(F.col("score") >= threshold)
+    named = scored.join(side(forms.select("form_id", "target", "vocab_id")), "form_id").groupBy(*key, "target", "vocab_id").agg(F.max("score").alias("score"))
     known = index.groupBy("target").agg(F.sort_array(F.collect_set("form")).alias("forms"))
     fits = F.pandas_udf(lambda typed, f: pd.Series([names_target(t, list(x)) for t, x in zip(typed, f, strict=True)], dtype=bool), "boolean")
-    named = named.join(known, "target").filter(fits("words", "forms"))
+    named = named.join(side(known), "target").filter(fits("words", "forms"))
     ranked = named.groupBy(*key).agg(F.max(F.struct("score", "target", "vocab_id")).alias("best"), F.sort_array(F.collect_list("score"), asc=False).alias("all"))
     second = F.coalesce(F.try_element_at("all", F.lit(2)), F.lit(0.0))
     return ranked.select(*key, "best.vocab_id", "best.score", (F.col("best.score") - second).alias("margin")).filter(F.col("margin") >= margin)

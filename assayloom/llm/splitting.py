@@ -117,10 +117,10 @@ def _overlap(doc: Tokenized, start: int, end: int, overlap: int) -> tuple[int, i
 
 
 def _tail(doc: Tokenized, end: int, overlap: int) -> int:
-    """Where an overlap can begin at the earliest: that many tokens of the greatest length before the end, or, as the text's tokens are
-    mostly shorter, where twice as many of them begin."""
+    """Where no overlap can begin any more: from a few tokens beyond it back until there are too many, and at most that many tokens of the
+    greatest length before the end."""
     last = doc.upto([end])[0]
-    near = int(doc.ends[last - 2 * overlap - 17]) if last > 2 * overlap + 16 else 0
+    near = int(doc.ends[last - overlap - 9]) if last > overlap + 8 else 0
     while near > 0 and doc.count(near, end) <= overlap:
         near = max(0, near - (end - near))
     return max(near, end - overlap * doc.counter.longest)
