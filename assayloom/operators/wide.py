@@ -1,6 +1,8 @@
 """Entity-attribute-value rows into one row per entity with typed columns.
 
-Attributes and their types are discovered first; then one conditional aggregation per attribute and measure fills the columns.
+Attributes and their types are discovered first, duplicates are resolved, and then each attribute's columns are filled by one conditional
+aggregate. Attributes are numbered and dealt to blocks of ``BLOCK`` slots: a cell is only compared with the slots of its own block, so the work
+is cells times ``BLOCK``, not cells times attributes, and no aggregation grows with the number of attributes.
 """
 
 from __future__ import annotations
@@ -11,8 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Columns of one wide frame; more attributes are spread over several frames with the same keys.
-MAX_COLUMNS = 3000
+#: Slots of one block, the number of conditional aggregates that a cell meets.
+BLOCK = 16
 
 
 @dataclass(frozen=True)
@@ -20,8 +22,8 @@ class Attribute:
     ix: int
     name: str | None
     column: str
-    has_number: bool
-    has_text: bool
+    #: for every discovered trait, whether any cell has it
+    traits: tuple[str, ...]
 
 
 def resolve_cells(rows: DataFrame, keys: list[str], attr: str, facts: list[str], order: list[str], carried: list[str] | None = None) -> DataFrame:
@@ -38,58 +40,62 @@ def resolve_cells(rows: DataFrame, keys: list[str], attr: str, facts: list[str],
     )
 
 
-def discover(rows: DataFrame, attr: str, number: Column, text: Column) -> list[Attribute]:
-    """The attribute list with types, in name order. Its size is the width of the result, which the driver must know anyhow."""
-    found = rows.groupBy(attr).agg(F.bool_or(number.isNotNull()).alias("num"), F.bool_or(text.isNotNull()).alias("txt")).orderBy(F.col(attr).asc_nulls_first()).collect()
+def discover(rows: DataFrame, attr: str, traits: dict[str, Column]) -> list[Attribute]:
+    """The attribute list in name order, with the traits that occur. Its size is that of the result's header, which a schema needs on the
+    driver; the rows are combined before the shuffle.
+
+    A name becomes lower case with ``_`` for what is no letter or digit; names that then agree are numbered.
+    """
+    found = rows.groupBy(attr).agg(*[F.bool_or(c).alias(f"_{k}") for k, c in traits.items()]).orderBy(F.col(attr).asc_nulls_first()).collect()
     out: list[Attribute] = []
     taken: set[str] = set()
     for i, r in enumerate(found):
         base = re.sub(r"[^a-z0-9]+", "_", (r[0] or "unnamed").lower().replace("%", "pct")).strip("_") or "unnamed"
         column, k = base, 1
-        while column in taken or f"{column}__grade" in taken:
+        while column in taken:
             k += 1
             column = f"{base}_{k}"
-        taken |= {column, f"{column}__grade"}
-        out.append(Attribute(i, r[0], column, bool(r["num"]), bool(r["txt"])))
+        taken.add(column)
+        out.append(Attribute(i, r[0], column, tuple(t for t in traits if r[f"_{t}"])))
     return out
 
 
-def quoted(text: str | None) -> str:
-    """SQL literal of a text."""
-    return "CAST(NULL AS STRING)" if text is None else "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+def numbered(cells: DataFrame, attributes: list[Attribute], attr: str) -> DataFrame:
+    """Cells with the number of their attribute, ``_ix``, by an equi-join with the attribute list."""
+    names = cells.sparkSession.createDataFrame([(a.name, a.ix) for a in attributes], f"_name {dict(cells.dtypes)[attr]}, _ix int")
+    return cells.join(names, F.col(attr).eqNullSafe(F.col("_name"))).drop("_name")
 
 
-def index_of(attributes: list[Attribute], attr: str) -> Column:
-    """Position of the attribute, from a literal map (its size is that of the result's header)."""
-    entries = ", ".join(f"{quoted(a.name)}, {a.ix}" for a in attributes if a.name is not None)
-    null_ix = next((a.ix for a in attributes if a.name is None), None)
-    known = f"try_element_at(map({entries}), {attr})" if entries else "CAST(NULL AS INT)"
-    return F.expr(f"CASE WHEN {attr} IS NULL THEN {'NULL' if null_ix is None else null_ix} ELSE {known} END")
+def pivot_blocks(cells: DataFrame, keys: list[str], value: Column, block: int = BLOCK) -> DataFrame:
+    """(keys, _block, s0, s1, ...): one row per entity and block of attributes; slot i holds the value of attribute ``_block * block + i``.
+
+    ``cells`` are ``numbered`` and have at most one row per (keys, attribute). Every slot is one conditional aggregate. Cells meet in narrow
+    form, and an entity's blocks are rows of their own, so that even an entity with all attributes is no large group.
+    """
+    narrow = cells.select(*keys, F.expr(f"_ix DIV {block}").cast("int").alias("_block"), (F.col("_ix") % block).alias("_slot"), value.alias("_m"))
+    # as SQL text: one call into the JVM per aggregate instead of six
+    return narrow.groupBy(*keys, "_block").agg(*[F.expr(f"max(CASE WHEN _slot = {i} THEN _m END) AS s{i}") for i in range(block)])
 
 
-def pivot_wide(cells: DataFrame, keys: list[str], attributes: list[Attribute], attr: str, measures: dict[str, tuple[Column, str]], max_columns: int = MAX_COLUMNS) -> list[DataFrame]:
-    """Wide frames: one row per entity, one column per attribute and measure, each a conditional aggregate.
+def widen(blocks: DataFrame, keys: list[str], attributes: list[Attribute], fields: dict[str, tuple[str, str, str]], block: int = BLOCK) -> DataFrame:
+    """One row per entity: for every attribute a column per field whose trait it has.
 
-    ``measures``: column suffix -> (value, type). ``cells`` has at most one row per (keys, attr). Rows meet on ``keys`` in narrow
-    form; only then are they widened, so the shuffle carries cells, never wide rows. Beyond ``max_columns`` the attributes are
-    split into several frames; no attribute is dropped.
+    ``fields``: column suffix -> (trait, field of the slots' struct, type). An entity's blocks are gathered (at most one per ``block``
+    attributes) and every column reads its slot of its block.
     """
-    narrow = cells.select(*keys, index_of(attributes, attr).alias("_ix"), *[v.cast(t).alias(f"_m{i}") for i, (v, t) in enumerate(measures.values())])
-    # a fixed number of partitions: AQE sees few bytes here and would put the widening into one task
-    narrow = narrow.repartition(int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
-    per = max(1, max_columns // max(1, len(measures)))
-    frames = []
-    for at in range(0, max(1, len(attributes)), per):
-        # as SQL text: one call into the JVM per aggregate instead of six
-        aggs = [F.expr(f"max(CASE WHEN _ix = {a.ix} THEN _m{i} END) AS {a.column}{suffix}") for a in attributes[at : at + per] for i, suffix in enumerate(measures)]
-        frames.append(narrow.groupBy(*keys).agg(*aggs) if aggs else narrow.select(*keys).distinct())
-    return frames
-
-
-def unpivot_flags(wide: DataFrame, keys: list[str], attributes: list[Attribute], suffix: str, name: str) -> DataFrame:
-    """(keys, name) of every true flag column ``<attribute><suffix>`` of a wide frame."""
-    have = set(wide.columns)
-    flags = [f"CASE WHEN {a.column}{suffix} THEN named_struct('name', {quoted(a.name)}) END" for a in attributes if f"{a.column}{suffix}" in have]
-    if not flags:
-        return wide.select(*keys, F.lit(None).cast("string").alias(name)).limit(0)
-    return wide.select(*keys, F.expr(f"explode(array_compact(array({', '.join(flags)})))").alias("_f")).select(*keys, F.col("_f.name").alias(name))
+    slots = F.struct(*[f"s{i}" for i in range(block)])
+    one = blocks.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_block", slots.alias("s")))).alias("_b"))
+    per = [(a, suffix, f, t) for a in attributes for suffix, (trait, f, t) in fields.items() if trait in a.traits]
+    needed = sorted({a.ix // block for a, *_ in per})
+    # each block is looked up once, then its columns are plain fields
+    one = one.select(*keys, *[F.expr(f"try_element_at(_b, {b}) AS _b{b}") for b in needed])
+    return one.select(*keys, *[F.expr(f"CAST(_b{a.ix // block}.s{a.ix % block}.{f} AS {t}) AS `{a.column}{suffix}`") for a, suffix, f, t in per])
+
+
+def unpivot_blocks(blocks: DataFrame, keys: list[str], attributes: list[Attribute], name: str, block: int = BLOCK) -> DataFrame:
+    """(keys, name, value) of every filled slot: the cells again, read off the pivoted form."""
+    slots = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"s{i}").alias("v")) for i in range(block)])
+    long = blocks.select(*keys, "_block", F.explode(F.filter(slots, lambda x: x["v"].isNotNull())).alias("_s"))
+    long = long.select(*keys, (F.col("_block") * block + F.col("_s.i")).alias("_n"), F.col("_s.v").alias("value"))
+    names = blocks.sparkSession.createDataFrame([(a.ix, a.name) for a in attributes], f"_ix int, {name} string")
+    return long.join(names, F.col("_n") == F.col("_ix")).select(*keys, name, "value")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -125,34 +123,49 @@ def _cells(spark: SparkSession, d: str) -> DataFrame:
     return wide.resolve_cells(rows, _KEYS, "assay_name", _FACTS, ["loaded_at", "dump_row"])
 
 
+#: Column suffix -> (trait, fact, type). Numbers as numbers, grades and qualifiers as text; the flag is there for every attribute.
+_FIELDS = {
+    "": ("value_numeric", "value_numeric", "double"),
+    "__qualifier": ("qualifier", "qualifier", "string"),
+    "__grade": ("letter_grade", "letter_grade", "string"),
+    "__lo": ("range_lo", "range_lo", "double"),
+    "__hi": ("range_hi", "range_hi", "double"),
+    "__conflict": ("any", "conflict", "boolean"),
+}
+
+
 def _attributes(spark: SparkSession, d: str) -> list[wide.Attribute]:
-    rows = table(spark, d, "reader_dump", "cid", "assay_name", "value_numeric", "letter_grade", "range_lo", "range_hi").filter("cid is not null")
-    rows = rows.withColumn("assay_name", plain_attribute(F.col("assay_name")))
-    return wide.discover(rows, "assay_name", F.coalesce("value_numeric", "range_lo", "range_hi"), F.col("letter_grade"))
+    rows = table(spark, d, "reader_dump", "cid", "assay_name", *_FACTS).filter("cid is not null")
+    # a column is made for what occurs
+    traits = {f: F.col(f).isNotNull() for f in _FACTS} | {"any": F.lit(True)}
+    return wide.discover(rows.withColumn("assay_name", plain_attribute(F.col("assay_name"))), "assay_name", traits)
 
 
-def _measures() -> dict[str, tuple[Column, str]]:
-    return {"": (F.col("value_numeric"), "double"), "__grade": (F.col("letter_grade"), "string"), "__conflict": (F.col("conflict"), "boolean")}
+def _blocks(spark: SparkSession, d: str, attributes: list[wide.Attribute], value: Column) -> DataFrame:
+    return wide.pivot_blocks(wide.numbered(_cells(spark, d), attributes, "assay_name"), _KEYS, value)
 
 
 def p6_wide(spark: SparkSession, d: str) -> DataFrame:
-    """One row per (patent_id, cid): a number column and, where grades occur, a text column per assay, and a conflict flag each."""
+    """One row per (patent_id, cid): per assay a number column and, where they occur, columns of its grade, bounds and qualifier, and a flag
+    that is true where the rows contradict each other. Repeated rows count as their latest."""
+    attributes = _attributes(spark, d)
+    return wide.widen(_blocks(spark, d, attributes, F.struct(*_FACTS, "conflict")), _KEYS, attributes, _FIELDS)
+
+
+def p6_cells(spark: SparkSession, d: str) -> DataFrame:
+    """The filled cells of the wide table, read off its pivoted form."""
     attributes = _attributes(spark, d)
-    frames = wide.pivot_wide(_cells(spark, d), _KEYS, attributes, "assay_name", _measures())
-    keep = []
-    for a in attributes:
-        keep += [a.column] * a.has_number + [f"{a.column}__grade"] * a.has_text
-    out = reduce(lambda x, y: x.join(y, [F.col(k).eqNullSafe(y[k]) for k in _KEYS]).drop(*[y[k] for k in _KEYS]), frames)
-    return out.select(*_KEYS, *keep)
+    blocks = _blocks(spark, d, attributes, F.struct(*_FACTS, "conflict"))
+    return wide.unpivot_blocks(blocks, _KEYS, attributes, "assay_name").select(*_KEYS, "assay_name", "value.*")
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    """Cells of the wide table that the rows contradict, read off its conflict columns."""
+    """Cells of the wide table that the rows contradict, read off its conflict slots."""
     attributes = _attributes(spark, d)
-    frames = wide.pivot_wide(_cells(spark, d), _KEYS, attributes, "assay_name", {"__conflict": _measures()["__conflict"]})
-    return reduce(DataFrame.unionByName, [wide.unpivot_flags(f, _KEYS, attributes, "__conflict", "assay_name") for f in frames])
+    blocks = _blocks(spark, d, attributes, F.col("conflict"))
+    return wide.unpivot_blocks(blocks, _KEYS, attributes, "assay_name").filter("value").drop("value")
 
 
 def queries() -> dict:
-    own = [p2_found, p2_tables, p2_groups, p2_rows, p2_cells, p2_rejects, p4_found, p4_report, p5_found, p5_converted, p6_found, p6_wide]
+    own = [p2_found, p2_tables, p2_groups, p2_rows, p2_cells, p2_rejects, p4_found, p4_report, p5_found, p5_converted, p6_found, p6_cells, p6_wide]
     return {f.__name__: f for f in own}

@@ -73,6 +73,13 @@ WITH r AS (SELECT patent_id, {PLAIN_CID.format(c="cid")} AS cid, {_ATTR} AS assa
 SELECT patent_id, cid, assay_name FROM (SELECT DISTINCT patent_id, cid, assay_name, f FROM r) GROUP BY ALL HAVING count(*) > 1
 """
 
+_P6_CELLS = f"""
+WITH r AS (SELECT patent_id, {PLAIN_CID.format(c="cid")} AS cid, {_ATTR} AS assay_name, {{'value_numeric': value_numeric, 'qualifier': qualifier, 'letter_grade': letter_grade, 'range_lo': range_lo, 'range_hi': range_hi}} AS f, loaded_at, dump_row FROM reader_dump WHERE cid IS NOT NULL),
+n AS (SELECT *, row_number() OVER (PARTITION BY patent_id, cid, assay_name ORDER BY loaded_at DESC NULLS LAST, dump_row DESC) AS rn FROM r),
+c AS (SELECT patent_id, cid, assay_name, count(DISTINCT f) > 1 AS conflict FROM r GROUP BY ALL)
+SELECT n.patent_id, n.cid, n.assay_name, f.value_numeric, f.qualifier, f.letter_grade, f.range_lo, f.range_hi, conflict FROM n JOIN c ON n.patent_id IS NOT DISTINCT FROM c.patent_id AND n.cid = c.cid AND n.assay_name IS NOT DISTINCT FROM c.assay_name WHERE rn = 1
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -87,4 +94,5 @@ FROM raw_tables WHERE payload IS NULL OR NOT json_valid(payload) OR payload NOT
         "p4_report": _P4 + "SELECT src_table, strftime(loaded_at, '%Y-%m') AS month, kind, count(*) AS n_orphans FROM k WHERE kind IS NOT NULL GROUP BY ALL",
         "p5_found": _P5,
         "p6_found": _P6,
+        "p6_cells": _P6_CELLS,
     }

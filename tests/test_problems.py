@@ -1,7 +1,6 @@
 """The general data problems against brute force, with nulls, ties, repeats, empty tables and clashing column names."""
 
 import datetime as dt
-import itertools
 import json
 import random
 from types import SimpleNamespace
@@ -240,22 +239,28 @@ def test_p6_on_small_tables(spark, save):
     d = save(reader_dump=_dump(spark, rows))
     assert {tuple(r) for r in pq.p6_found(spark, d).collect()} == {("P", "1", "log d"), ("P", "2", "log d"), ("P", "5", "log-d")}
     w = {(r.patent_id, r.cid): r for r in pq.p6_wide(spark, d).collect()}
-    assert len(w) == 5 and set(pq.p6_wide(spark, d).columns) == {"patent_id", "cid", "unnamed", "pct", "class__grade", "log_d", "log_d_2", "log_d_2__grade"}
+    assert len(w) == 5 and set(pq.p6_wide(spark, d).columns) == {"patent_id", "cid", "unnamed", "unnamed__conflict", "pct", "pct__conflict", "class__grade", "class__conflict", "log_d", "log_d__qualifier", "log_d__conflict", "log_d_2__grade", "log_d_2__lo", "log_d_2__hi", "log_d_2__conflict"}
     assert w[("P", "1")]["log_d"] == 2.0 and w[("P", "1")]["class__grade"] == "A" and w[(None, "3")]["log_d"] == 4.0 and w[("P", "4")]["unnamed"] == 1.0
+    assert w[("P", "1")]["log_d__conflict"] and not w[("P", "1")]["class__conflict"] and w[("P", "2")]["pct__conflict"] is None
+    assert (w[("P", "5")]["log_d_2__grade"], w[("P", "5")]["log_d_2__hi"]) == ("B", 1.0)
     empty = save(reader_dump=_dump(spark, rows).limit(0))
     assert pq.p6_found(spark, empty).count() == 0 and pq.p6_wide(spark, empty).count() == 0
 
 
-def test_p6_equals_brute_force_in_several_frames(spark):
+@pytest.mark.parametrize("block", [1, 4, 16])
+def test_p6_equals_brute_force_for_any_block(spark, block):
     rng = random.Random(2)
     rows = [(rng.choice(["P", "Q"]), str(rng.randint(1, 5)), f"a{rng.randint(1, 9)}", rng.choice([None, 1.0, 2.0]), rng.choice([None, ">"]), None, None, None, rng.randint(0, 3)) for _ in range(200)]
-    df = _dump(spark, rows)
-    cells = wide.resolve_cells(df, ["patent_id", "cid"], "assay_name", pq._FACTS, ["loaded_at", "dump_row"])
-    attributes = wide.discover(df, "assay_name", F.col("value_numeric"), F.col("letter_grade"))
-    frames = wide.pivot_wide(cells, ["patent_id", "cid"], attributes, "assay_name", {"__conflict": (F.col("conflict"), "boolean")}, max_columns=4)
-    assert len(frames) == 3
-    got = set(itertools.chain(*[[tuple(r) for r in wide.unpivot_flags(f, ["patent_id", "cid"], attributes, "__conflict", "a").collect()] for f in frames]))
+    df, keys = _dump(spark, rows), ["patent_id", "cid"]
+    attributes = wide.discover(df, "assay_name", {"value_numeric": F.col("value_numeric").isNotNull(), "any": F.lit(True)})
+    cells = wide.numbered(wide.resolve_cells(df, keys, "assay_name", pq._FACTS, ["loaded_at", "dump_row"]), attributes, "assay_name")
+    flags = wide.unpivot_blocks(wide.pivot_blocks(cells, keys, F.col("conflict"), block), keys, attributes, "a", block).filter("value")
     facts = {}
     for r in rows:
         facts.setdefault(r[:3], set()).add(r[3:8])
-    assert got == {k for k, v in facts.items() if len(v) > 1}
+    assert {tuple(r)[:3] for r in flags.collect()} == {k for k, v in facts.items() if len(v) > 1}
+    blocks = wide.pivot_blocks(cells, keys, F.struct("value_numeric", "conflict"), block)
+    w = wide.widen(blocks, keys, attributes, {"": ("value_numeric", "value_numeric", "double"), "__conflict": ("any", "conflict", "boolean")}, block)
+    assert w.count() == len({r[:2] for r in rows}) and len(w.columns) == 2 + 2 * 9
+    got = {(r.patent_id, r.cid, a): r[f"{a}__conflict"] for r in w.collect() for a in {x[2] for x in rows} if r[f"{a}__conflict"] is not None}
+    assert got == {k: len(v) > 1 for k, v in facts.items()}
