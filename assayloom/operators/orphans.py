@@ -1,7 +1,7 @@
 """References without a valid target: a Bloom filter proves definite orphans, an exact join settles the rest.
 
 The filter is register-blocked and built by Spark itself: a key sets four bits of one 64-bit word, words are OR-ed by a map-side
-combined aggregate and gathered into blocks of 1,024 words. A probe is one lookup of a block (broadcast hash join) and one mask test.
+combined aggregate and gathered into blocks of 1,024 words. A probe is one lookup of a block (a join on its number) and one mask test.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ from assayloom.common import BROADCAST_LIMIT, hot_keys, salted_left_join
 
 BITS_PER_KEY = 16
 WORDS = 1024
+#: Bytes of one block in memory.
+BLOCK_BYTES = WORDS * 8 + 64
 
 
 @dataclass
@@ -56,32 +58,38 @@ def _word_and_mask(h: Column) -> tuple[Column, Column]:
     return F.shiftrightunsigned(g, 32).bitwiseAND(F.lit(WORDS - 1)).cast("int"), reduce(lambda a, b: a.bitwiseOR(b), parts)
 
 
-def probe(refs: DataFrame, blocks: DataFrame, n_blocks: int, h: str = "h") -> DataFrame:
-    """Add ``maybe``: false proves that no key with this hash was put into the filter."""
+def probe(refs: DataFrame, blocks: DataFrame, n_blocks: int, hot: list[int], h: str = "h", row_id: str = "row_id", broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
+    """Add ``maybe``: false proves that no key with this hash was put into the filter.
+
+    A filter of proven size within ``broadcast_limit`` is broadcast. A larger one meets the references block by block, in a join in
+    which the blocks of ``hot`` hashes are repeated for the salts of their references.
+    """
     word, mask = _word_and_mask(F.col(h))
-    joined = refs.withColumn("block", F.pmod(h, F.lit(n_blocks))).join(F.broadcast(blocks), "block", "left")
+    refs = refs.withColumn("block", F.pmod(h, F.lit(n_blocks)))
+    if n_blocks * BLOCK_BYTES <= broadcast_limit:
+        joined = refs.join(F.broadcast(blocks), "block", "left")
+    else:
+        hot_blocks = sorted({x % n_blocks for x in hot})
+        joined = salted_left_join(refs, blocks, [], "block", row_id, hot_blocks)
     return joined.withColumn("maybe", F.coalesce(F.get("words", word).bitwiseAND(mask) == mask, F.lit(False))).drop("block", "words")
 
 
 def find_orphans(refs: DataFrame, targets: Parents, n_keys: int, broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
     """Verdict per reference row: ``missing``, ``deleted`` or ``late``; valid references are left out.
 
-    ``refs`` has src_table, row_id, k0.., loaded_at. A null key part has no target (missing); a null loaded_at is never late. When the
-    filter for ``targets.most_keys`` keys would pass ``broadcast_limit`` it is skipped and every reference is joined exactly.
+    ``refs`` has src_table, row_id, k0.., loaded_at. A null key part has no target (missing); a null loaded_at is never late. The filter
+    is used at any size; ``broadcast_limit`` only decides how it meets the references.
     """
     names = [f"k{i}" for i in range(n_keys)]
     refs = refs.withColumn("h", F.xxhash64(*names))
     n_blocks = max(1, -(-targets.most_keys * BITS_PER_KEY // (WORDS * 64)))
     has_key = reduce(lambda a, b: a & b, [F.col(n).isNotNull() for n in names])
-    if n_blocks * (WORDS * 8 + 64) <= broadcast_limit:
-        refs = probe(refs, bloom_blocks(targets.table, n_blocks), n_blocks)
-    else:
-        refs = refs.withColumn("maybe", F.lit(True))
+    hot = hot_keys(refs.select("h"), "h")
+    refs = probe(refs, bloom_blocks(targets.table, n_blocks), n_blocks, hot, broadcast_limit=broadcast_limit)
     refs = refs.withColumn("maybe", F.col("maybe") & has_key)
     cols = ["src_table", "row_id", "loaded_at"]
     proven = refs.filter(~F.col("maybe")).select(*cols, F.lit("missing").alias("kind"))
     open_refs = refs.filter("maybe").select(*cols, *names, "h")
-    hot = hot_keys(refs.select("h"), "h")
     found = salted_left_join(open_refs, targets.table, names, "h", "row_id", hot)
     kind = F.when(F.col("n_live").isNull(), "missing").when(F.col("n_live") == 0, "deleted").when(F.col("first_live") > F.col("loaded_at"), "late")
     return proven.unionByName(found.select(*cols, kind.alias("kind")).filter("kind is not null"))

@@ -171,13 +171,16 @@ def test_p4_on_small_and_empty_tables(spark, save):
     assert pq.p4_found(spark, empty).count() == 0
 
 
-def test_bloom_filter_has_no_false_negative(spark):
-    keys = spark.range(20000).select(F.xxhash64("id").alias("h"))
+@pytest.mark.parametrize("limit", [1 << 20, 0])
+def test_bloom_filter_has_no_false_negative(spark, limit):
+    keys = spark.range(20000).select(F.xxhash64("id").alias("h"), F.col("id").alias("row_id"))
+    hot = [r.h for r in keys.limit(3).collect()]
     n = -(-20000 * orphans.BITS_PER_KEY // (orphans.WORDS * 64))
     blocks = orphans.bloom_blocks(keys, n)
-    assert orphans.probe(keys, blocks, n).filter("not maybe").count() == 0
-    others = spark.range(100000, 120000).select(F.xxhash64("id").alias("h"))
-    assert orphans.probe(others, blocks, n).filter("maybe").count() < 20000 * 0.05
+    probed = orphans.probe(keys, blocks, n, hot, broadcast_limit=limit)
+    assert probed.count() == 20000 and probed.filter("not maybe").count() == 0
+    others = spark.range(100000, 120000).select(F.xxhash64("id").alias("h"), F.col("id").alias("row_id"))
+    assert orphans.probe(others, blocks, n, hot, broadcast_limit=limit).filter("maybe").count() < 20000 * 0.05
 
 
 def test_salted_join_of_hot_keys(spark):
