@@ -72,10 +72,19 @@ MOLAR_EDGES = [
     Edge("mg/L", "ug/L", 1e3),
     Edge("ug/mL", "mg/L", 1.0),
     Edge("ng/mL", "ug/L", 1.0),
+    Edge("d", "h", 24.0),
     Edge("h", "min", 60.0),
     Edge("min", "s", 60.0),
+    Edge("s", "ms", 1e3),
+    Edge("g/kg", "mg/kg", 1e3),
+    Edge("mg/kg", "ug/kg", 1e3),
+    Edge("mL/min/mg", "uL/min/mg", 1e3),
+    Edge("ratio", "fold", 1.0),
 ]
 
+# The unit in which each measured dimension comes out.
+CANONICAL = {"amount concentration": "pmol/L", "mass concentration": "ng/mL", "share": "%", "time": "s", "dose": "mg/kg", "dose per area": "mg/m2", "clearance": "uL/min/mg", "ratio": "fold", "counts": "cpm"}
+
 # Spellings of units, after folding look-alike characters, blanks removed. Case matters only where listed.
 SPELLINGS = {
     "mol/L": ["M", "mol/L", "mol/l", "molar", "Molar", "mol·L-1", "molL-1", "mol/liter", "mol/litre"],
@@ -94,8 +103,20 @@ SPELLINGS = {
     "ug/mL": ["ug/mL", "ug/ml", "mcg/mL", "mg/L", "mg/l"],
     "ng/mL": ["ng/mL", "ng/ml", "ug/L", "ug/l"],
     "%": ["%", "percent", "pct"],
-    "h": ["h", "hr", "hours"],
-    "min": ["min", "minutes"],
+    "d": ["d", "day", "days"],
+    "h": ["h", "hr", "hrs", "hour", "hours"],
+    "min": ["min", "mins", "minute", "minutes"],
+    "s": ["s", "sec", "seconds"],
+    "ms": ["ms", "msec"],
+    "g/kg": ["g/kg"],
+    "mg/kg": ["mg/kg", "mpk", "mgkg-1"],
+    "ug/kg": ["ug/kg", "mcg/kg"],
+    "mg/m2": ["mg/m2", "mg/m²", "mg/m^2"],
+    "mL/min/mg": ["mL/min/mg", "ml/min/mg"],
+    "uL/min/mg": ["uL/min/mg", "ul/min/mg"],
+    "fold": ["fold", "-fold", "x-fold"],
+    "ratio": ["ratio"],
+    "cpm": ["cpm", "CPM"],
 }
 
 
@@ -123,29 +144,46 @@ def compose(edges: list[Edge], target: str, tolerance: float = 1e-9) -> dict[str
 
 
 def check_cycles(edges: list[Edge], tolerance: float = 1e-9) -> None:
-    """Every edge must agree with the composition of any spanning way between its ends."""
-    links: dict[str, list[Edge]] = {}
+    """Every edge must agree with the way between its ends through a spanning tree, exponential edges included.
+
+    Ways are compared by what they make of a few values; a value that a logarithm cannot take says nothing.
+    """
+    links: dict[str, list[tuple[str, Edge, bool]]] = {}
     for e in edges:
-        if not e.exp10:
-            links.setdefault(e.src, []).append(e)
-            links.setdefault(e.dst, []).append(e.inverse())
-    seen: dict[str, Path] = {}
+        links.setdefault(e.src, []).append((e.dst, e, True))
+        links.setdefault(e.dst, []).append((e.src, e, False))
+    ways: dict[str, list[tuple[Edge, bool]]] = {}
     for root in links:
-        if root in seen:
+        if root in ways:
             continue
-        seen[root] = Path()
+        ways[root] = []
         queue = deque([root])
         while queue:
             at = queue.popleft()
-            for e in links[at]:
-                way = seen[at].then(e)
-                if e.dst not in seen:
-                    seen[e.dst] = way
-                    queue.append(e.dst)
-                elif not (math.isclose(seen[e.dst].pre_a, way.pre_a, rel_tol=tolerance) and math.isclose(seen[e.dst].pre_b, way.pre_b, rel_tol=tolerance, abs_tol=tolerance)):
+            for to, e, forward in links[at]:
+                way = [*ways[at], (e, forward)]
+                if to not in ways:
+                    ways[to] = way
+                    queue.append(to)
+                elif any(x is not None and y is not None and not math.isclose(x, y, rel_tol=tolerance, abs_tol=tolerance) for x, y in ((_along(way, v), _along(ways[to], v)) for v in (-2.0, 0.5, 3.0))):
                     raise ValueError(f"inconsistent conversions around {e.src} -> {e.dst}")
 
 
+def _along(way: list[tuple[Edge, bool]], v: float | None) -> float | None:
+    """The value at the end of a way; null where an edge has no value for it."""
+    for e, forward in way:
+        if v is None:
+            return None
+        if forward:
+            x = e.a * v + e.b
+            v = (10**x if x < 300 else None) if e.exp10 else x
+        elif e.exp10:
+            v = (math.log10(v) - e.b) / e.a if v > 0 else None
+        else:
+            v = (v - e.b) / e.a
+    return v
+
+
 # Look-alike characters that unit texts are written with, and the plain ones. The micro sign and mu become u.
 _FOLD = {
     "u": "µμ", "M": "МΜ", "o": "оο", "c": "сϲ", "e": "е", "a": "а", "p": "рρ", "h": "һ", "x": "х", "i": "іι", "y": "у", "P": "РΡ", "C": "СϹ", "H": "НΗ",
@@ -163,31 +201,34 @@ def fold_unit(c: Column) -> Column:
     return F.regexp_replace(c, r"^[×xX·]?(?=10\^?-?\d)", "")
 
 
-def conversion_table(spark: SparkSession, target: str, edges: list[Edge] | None = None, spellings: dict[str, list[str]] | None = None) -> DataFrame:
-    """(spelling, unit, pre_a, pre_b, exp10, post_a, post_b): what reaches ``target``, one row per spelling."""
-    paths = compose(edges or MOLAR_EDGES, target)
+def conversion_table(spark: SparkSession, targets: list[str], edges: list[Edge] | None = None, spellings: dict[str, list[str]] | None = None) -> DataFrame:
+    """(spelling, unit, canonical, pre_a, pre_b, exp10, post_a, post_b): what reaches one of ``targets``, one row per spelling."""
     rows = {}
-    for unit, names in (spellings or SPELLINGS).items():
-        if unit in paths:
-            p = paths[unit]
-            for s in [unit, *names]:
-                s = s.replace(" ", "")
-                s = s[1:] if s.startswith("x10") else s
-                rows[s] = (s, unit, p.pre_a, p.pre_b, p.exp10, p.post_a, p.post_b)
-    return spark.createDataFrame(list(rows.values()), "spelling string, unit string, pre_a double, pre_b double, exp10 boolean, post_a double, post_b double")
-
-
-def convert(df: DataFrame, unit: str, value: str, table: DataFrame, out: str) -> DataFrame:
-    """Add ``out``: the value in the table's target unit; null where the unit has no way there or the value is null or not finite.
-
-    ``unit`` holds folded spellings. The table has one row per spelling of a fixed list, so it is broadcast.
+    for target in targets:
+        paths = compose(edges or MOLAR_EDGES, target)
+        for unit, names in (spellings or SPELLINGS).items():
+            if unit in paths:
+                p = paths[unit]
+                for s in [unit, *names]:
+                    s = s.replace(" ", "")
+                    s = s[1:] if s.startswith("x10") else s
+                    rows[s] = (s, unit, target, p.pre_a, p.pre_b, p.exp10, p.post_a, p.post_b)
+    return spark.createDataFrame(list(rows.values()), "spelling string, unit string, canonical string, pre_a double, pre_b double, exp10 boolean, post_a double, post_b double")
+
+
+def convert(df: DataFrame, unit: str, value: str, table: DataFrame, out: str, canonical: str | None = None) -> DataFrame:
+    """Add ``out``: the value in the table's canonical unit; null where the unit has no way there or the value is null or not finite.
+    With ``canonical``, add the canonical unit of that name as well, which needs no value.
+
+    ``unit`` holds folded spellings; ``table`` has one row per spelling. How it meets the rows is left to its measured size.
     """
     names = {c: f"_{c}" for c in table.columns}
     t = table.select(*[F.col(c).alias(n) for c, n in names.items()])
     x = F.col("_pre_a") * F.col(value) + F.col("_pre_b")
     v = F.col("_post_a") * F.when(F.col("_exp10"), F.pow(F.lit(10.0), x)).otherwise(x) + F.col("_post_b")
     fine = F.col(value).isNotNull() & ~F.isnan(value) & (F.abs(value) != float("inf"))
-    return df.join(F.broadcast(t), F.col(unit) == F.col("_spelling"), "left").withColumn(out, F.when(fine, v)).drop(*names.values())
+    joined = df.join(t, F.col(unit) == F.col("_spelling"), "left").withColumn(out, F.when(fine, v))
+    return (joined.withColumn(canonical, F.col("_canonical")) if canonical else joined).drop(*names.values())
 
 
 _STATED = r"(?:(?:[x×]\s?)?10\^?[-−]\d+\s?(?:mol/[Ll]|M)|(?:[numpfµμ]|mc)?mol(?:/m?[Ll]|·L-1)|(?:nano|micro|milli|pico|femto)?molar|(?:[numpfµμ]|mc)?M|p(?:IC50|EC50|Ki|Kd))"

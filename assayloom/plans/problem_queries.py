@@ -88,22 +88,22 @@ def p4_report(spark: SparkSession, d: str) -> DataFrame:
 # -- 5: units --------------------------------------------------------------------------------------------------------------------
 
 
-def _in_picomolar(spark: SparkSession, d: str) -> DataFrame:
+def _converted(spark: SparkSession, d: str, targets: list[str]) -> DataFrame:
     rows = table(spark, d, "assay_records", "record_id", "value_numeric", "unit", "value_text", "column_header", "context_text")
     stated = F.coalesce("unit", units.unit_in_value_text(F.col("value_text"), F.col("value_numeric")), units.unit_in_header(F.col("column_header")), units.unit_in_context(F.col("context_text")))
     rows = rows.withColumn("spelling", units.fold_unit(stated))
-    return units.convert(rows, "spelling", "value_numeric", units.conversion_table(spark, "pmol/L"), "pm")
+    return units.convert(rows, "spelling", "value_numeric", units.conversion_table(spark, targets), "value", "canonical_unit")
 
 
 def p5_converted(spark: SparkSession, d: str) -> DataFrame:
-    """Every record with its value in picomolar, null where it is no molar concentration."""
-    return _in_picomolar(spark, d).select("record_id", "unit", "spelling", F.round("pm", 6).alias("value_pm"))
+    """Every record with its value in the canonical unit of its dimension; null where the unit is none that is known."""
+    return _converted(spark, d, list(units.CANONICAL.values())).select("record_id", "canonical_unit", F.round("value", 3).alias("value"))
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     """Molar values whose unit is not plainly nM, in picomolar."""
-    rows = _in_picomolar(spark, d).filter("pm is not null and not (unit <=> 'nM')")
-    return rows.select("record_id", F.round("pm").cast("long").alias("value_pm"))
+    rows = _converted(spark, d, [units.CANONICAL["amount concentration"]]).filter("value is not null and not (unit <=> 'nM')")
+    return rows.select("record_id", F.round("value").cast("long").alias("value_pm"))
 
 
 # -- 6: attribute-value rows -----------------------------------------------------------------------------------------------------

@@ -68,6 +68,13 @@ e AS (SELECT record_id, v, unit, CASE
 SELECT record_id, CAST(round(CASE WHEN logged THEN 10 ** (12 - v) ELSE v * 10 ** p END) AS BIGINT) AS value_pm FROM e WHERE (logged OR p IS NOT NULL) AND unit IS DISTINCT FROM 'nM'
 """
 
+# all records, molar ones by the powers above and the other dimensions by their own
+_P5_ALL = _P5[: _P5.index("SELECT record_id, CAST(round")].replace(" WHERE value_numeric IS NOT NULL", "").replace("e AS (SELECT record_id, v, unit,", "e AS (SELECT record_id, v, u,") + """
+SELECT record_id, CASE WHEN logged OR p IS NOT NULL THEN 'pmol/L' WHEN u IN ('ng/mL', 'ug/mL') THEN 'ng/mL' WHEN u IN ('%', 'percent') THEN '%' WHEN u IN ('h', 'min') THEN 's' WHEN u = 'mg/kg' THEN 'mg/kg' WHEN u = 'mg/m²' THEN 'mg/m2'
+  WHEN u = 'uL/min/mg' THEN u WHEN u IN ('fold', 'ratio') THEN 'fold' WHEN u = 'cpm' THEN u END AS canonical_unit,
+  round(CASE WHEN logged THEN 10 ** (12 - v) WHEN p IS NOT NULL THEN v * 10 ** p WHEN u = 'ug/mL' THEN v * 1000 WHEN u = 'h' THEN v * 3600 WHEN u = 'min' THEN v * 60 WHEN u IN ('ng/mL', '%', 'percent', 'mg/kg', 'mg/m²', 'uL/min/mg', 'fold', 'ratio', 'cpm') THEN v END, 3) AS value FROM e
+"""
+
 _P6 = f"""
 WITH r AS (SELECT patent_id, {PLAIN_CID.format(c="cid")} AS cid, {_ATTR} AS assay_name, {{'v': value_numeric, 'q': qualifier, 'g': letter_grade, 'lo': range_lo, 'hi': range_hi}} AS f FROM reader_dump WHERE cid IS NOT NULL)
 SELECT patent_id, cid, assay_name FROM (SELECT DISTINCT patent_id, cid, assay_name, f FROM r) GROUP BY ALL HAVING count(*) > 1
@@ -93,6 +100,7 @@ FROM raw_tables WHERE payload IS NULL OR NOT json_valid(payload) OR payload NOT
         "p4_found": _P4 + "SELECT src_table, row_id, kind FROM k WHERE kind IS NOT NULL",
         "p4_report": _P4 + "SELECT src_table, strftime(loaded_at, '%Y-%m') AS month, kind, count(*) AS n_orphans FROM k WHERE kind IS NOT NULL GROUP BY ALL",
         "p5_found": _P5,
+        "p5_converted": _P5_ALL,
         "p6_found": _P6,
         "p6_cells": _P6_CELLS,
     }

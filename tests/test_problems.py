@@ -204,6 +204,17 @@ def test_compositions_and_cycles():
     assert k["F"](212) == pytest.approx(373.15)
     with pytest.raises(ValueError, match="inconsistent"):
         units.check_cycles([units.Edge("a", "b", 10), units.Edge("b", "c", 10), units.Edge("a", "c", 1000)])
+    logs = [units.Edge("p", "log", -1), units.Edge("log", "M", 1, 0, exp10=True), units.Edge("M", "uM", 1e6)]
+    units.check_cycles([*logs, units.Edge("log", "uM", 1, 6, exp10=True)])
+    with pytest.raises(ValueError, match="inconsistent"):
+        units.check_cycles([*logs, units.Edge("log", "uM", 1, 5, exp10=True)])
+
+
+def test_every_dimension_has_its_unit(spark, save):
+    rows = [(1, 2.0, "h"), (2, 3.0, "μg／mL"), (3, 50.0, "рercent"), (4, 1.5, "g/kg"), (5, 7.0, "pKi"), (6, 7.0, "furlongs"), (7, None, "min"), (8, 4.0, None), (9, 5.0, "ratio"), (10, 5.0, "mg/m²")]
+    df = spark.createDataFrame([(*r, None, None, None) for r in rows], "record_id long, value_numeric double, unit string, value_text string, column_header string, context_text string")
+    got = {r.record_id: (r.canonical_unit, r.value) for r in pq.p5_converted(spark, save(assay_records=df)).collect()}
+    assert got == {1: ("s", 7200.0), 2: ("ng/mL", 3000.0), 3: ("%", 50.0), 4: ("mg/kg", 1500.0), 5: ("pmol/L", 100000.0), 6: (None, None), 7: ("s", None), 8: (None, None), 9: ("fold", 5.0), 10: ("mg/m2", 5.0)}
 
 
 P5_CASES = [
