@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -23,7 +24,16 @@ _ARROW = pa.schema([("doc", pa.string()), ("node", pa.int64()), ("parent", pa.in
 _ROWS = 50_000
 
 
-def _walk(doc: str, text: str | None) -> Iterator[tuple]:
+@dataclass(frozen=True)
+class Wanted:
+    """What a query needs of the adjacency table, pushed down into the shredding: nodes with one of ``labels``, and objects and arrays with
+    one of ``holders``. Node numbers then count what was kept."""
+
+    labels: frozenset[str]
+    holders: frozenset[str] = frozenset()
+
+
+def _walk(doc: str, text: str | None, wanted: Wanted | None = None) -> Iterator[tuple]:
     """Nodes of one document, numbered from 0 in preorder. Text that is no JSON gives one node of kind ``broken`` that holds all of it."""
     try:
         root = json.loads(text) if text is not None else None
@@ -33,52 +43,68 @@ def _walk(doc: str, text: str | None) -> Iterator[tuple]:
     if text is None:
         yield doc, 0, None, None, 0, "broken", None
         return
+    labels, holders = (wanted.labels, wanted.holders) if wanted else (None, None)
     # (parent, label, ordinal, value); the label of an element is that of its array
     stack: list[tuple] = [(None, "", 0, root)]
-    node = 0
+    node = -1
     while stack:
         parent, label, ordinal, v = stack.pop()
-        if isinstance(v, str):
-            yield doc, node, parent, label, ordinal, "string", v
-        elif isinstance(v, dict):
-            yield doc, node, parent, label, ordinal, "object", None
-            stack += [(node, k.replace("~", "~0").replace("[", "~1"), i, x) for i, (k, x) in reversed(list(enumerate(v.items())))]
-        elif isinstance(v, list):
-            yield doc, node, parent, label, ordinal, "array", None
+        kind = type(v)
+        node += 1
+        if kind is dict:
+            if labels is None or label in labels or label in holders:
+                yield doc, node, parent, label, ordinal, "object", None
+            children = enumerate(v.items())
+            if labels is None:
+                inner = [(node, k.replace("~", "~0").replace("[", "~1"), i, x) for i, (k, x) in children]
+            else:
+                inner = [(node, k, i, x) for i, (k, x) in children if k in labels or type(x) is dict or type(x) is list]
+            inner.reverse()
+            stack += inner
+        elif kind is list:
+            if labels is None or label in labels or label in holders:
+                yield doc, node, parent, label, ordinal, "array", None
             # an array that is an element itself holds its elements, any other leaves them to its owner
             owner = node if parent is None or label.endswith("[]") else parent
-            stack += [(owner, label + "[]", i, x) for i, x in reversed(list(enumerate(v)))]
+            below = label + "[]"
+            if labels is None or below in labels:
+                inner = [(owner, below, i, x) for i, x in enumerate(v)]
+            else:
+                inner = [(owner, below, i, x) for i, x in enumerate(v) if type(x) is dict or type(x) is list]
+            inner.reverse()
+            stack += inner
+        elif kind is str:
+            yield doc, node, parent, label, ordinal, "string", v
         elif v is None:
             yield doc, node, parent, label, ordinal, "null", None
-        elif isinstance(v, bool):
+        elif kind is bool:
             yield doc, node, parent, label, ordinal, "boolean", "true" if v else "false"
         else:
             yield doc, node, parent, label, ordinal, "number", repr(v)
-        node += 1
 
 
-def _shred_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rows: list[tuple] = []
+def adjacency(docs: DataFrame, doc: Column, payload: Column, wanted: Wanted | None = None) -> DataFrame:
+    """Adjacency table of JSON documents: (doc, node, parent, label, ordinal, kind, scalar), streamed, one pass, no shuffle."""
 
-    def flush() -> pa.RecordBatch:
-        cols = list(zip(*rows, strict=True))
-        out = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _ARROW, strict=True)], schema=_ARROW)
-        rows.clear()
-        return out
+    def shred(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
 
-    for b in batches:
-        for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            for r in _walk(doc, text):
-                rows.append(r)
-                if len(rows) >= _ROWS:
-                    yield flush()
-    if rows:
-        yield flush()
+        def flush() -> pa.RecordBatch:
+            cols = list(zip(*rows, strict=True))
+            out = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _ARROW, strict=True)], schema=_ARROW)
+            rows.clear()
+            return out
 
+        for b in batches:
+            for one, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                for r in _walk(one, text, wanted):
+                    rows.append(r)
+                    if len(rows) >= _ROWS:
+                        yield flush()
+        if rows:
+            yield flush()
 
-def adjacency(docs: DataFrame, doc: Column, payload: Column) -> DataFrame:
-    """Adjacency table of JSON documents: (doc, node, parent, label, ordinal, kind, scalar), streamed, one pass, no shuffle."""
-    return docs.select(doc.cast("string").alias("doc"), payload.alias("payload")).mapInArrow(_shred_batches, NODE_SCHEMA)
+    return docs.select(doc.cast("string").alias("doc"), payload.alias("payload")).mapInArrow(shred, NODE_SCHEMA)
 
 
 def scalar_children(nodes: DataFrame, columns: dict[str, tuple[str, str]]) -> DataFrame:
@@ -143,6 +169,10 @@ def _span() -> Column:
     return F.greatest(F.lit(1), F.coalesce("span", by_name, F.lit(1)), F.coalesce(by_name, F.lit(1)))
 
 
+#: What ``wide_cells`` needs: spans, the cells that are objects, and everything above them.
+WIDE_CELLS = Wanted(frozenset(["table_uid", "colspan", "namest", "nameend", "tgroup", "tgroups", "tgroups[]", *_ROW_LABELS]), frozenset(_CELL_LABELS))
+
+
 def _cells(nodes: DataFrame) -> DataFrame:
     cells = nodes.filter(F.col("label").isin(_CELL_LABELS))
     return cells.select("doc", "node", F.col("parent").alias("row_node"), F.col("ordinal").alias("cell_ix"), F.col("scalar").alias("own"))
@@ -151,9 +181,10 @@ def _cells(nodes: DataFrame) -> DataFrame:
 def wide_cells(nodes: DataFrame) -> DataFrame:
     """(table_uid, tgroup_ix, section, row_ix, cell_ix, colspan) of the cells that cover more than one column.
 
-    The pivoted spans are few against the cells and meet them first; only what is left looks up its row.
+    The pivoted spans are few against the cells and meet them first; only what is left looks up its row. A count below 2 adds nothing to a
+    span and is left out before the pivot.
     """
-    spans = scalar_children(nodes, _SPAN).select("doc", "node", _span().alias("colspan")).filter("colspan > 1")
+    spans = scalar_children(nodes.filter("label <> 'colspan' or try_cast(scalar AS double) >= 2"), _SPAN).select("doc", "node", _span().alias("colspan")).filter("colspan > 1")
     found = _cells(nodes).drop("own").join(spans, ["doc", "node"])
     return found.join(row_entity(nodes), ["doc", "row_node"]).select("table_uid", "tgroup_ix", "section", "row_ix", "cell_ix", "colspan")
 
@@ -173,7 +204,7 @@ def cell_entity(nodes: DataFrame) -> DataFrame:
     )
 
 
-def typed_adjacency(tables: DataFrame, doc: Column) -> DataFrame:
+def typed_adjacency(tables: DataFrame, doc: Column, wanted: Wanted | None = None) -> DataFrame:
     """table_objects rows as nodes of the same kind of documents: one table with the one group of the row, at its position.
 
     Cells are numbered by their place: row number, section and cell number in one 64-bit number (rows below 2**32, cells of a row below
@@ -183,9 +214,9 @@ def typed_adjacency(tables: DataFrame, doc: Column) -> DataFrame:
         *[x.cast(t).alias(k) for k, t, x in (("node", "long", n), ("parent", "long", parent), ("label", "string", label), ("ordinal", "int", ordinal), ("kind", "string", kind), ("scalar", "string", scalar))]
     )
     none, zero = F.lit(None), F.lit(0)
-    child = lambda c, n, parent, label, kind, value: F.when(c, node(n, F.lit(parent), F.lit(label), zero, F.lit(kind), value))
+    child = lambda c, n, parent, label, kind, value: F.when(c & F.lit(wanted is None or label in wanted.labels), node(n, F.lit(parent), F.lit(label), zero, F.lit(kind), value))
     head = F.array(
-        node(F.lit(-1), none, F.lit(""), zero, F.lit("object"), none),
+        F.when(F.lit(wanted is None), node(F.lit(-1), none, F.lit(""), zero, F.lit("object"), none)),
         child(F.col("table_uid").isNotNull(), F.lit(-2), -1, "table_uid", "number", F.col("table_uid")),
         child(F.col("table_id").isNotNull(), F.lit(-3), -1, "table_id", "string", F.col("table_id")),
         child(F.col("caption").isNotNull(), F.lit(-4), -1, "caption", "string", F.col("caption")),
@@ -202,13 +233,11 @@ def typed_adjacency(tables: DataFrame, doc: Column) -> DataFrame:
     here = F.col("c").isNotNull()
     has = lambda field: here & F.col(f"c.{field}").isNotNull()
     scalar = lambda field, i, kind: F.when(has(field), node(cell + i, cell, F.lit(field), zero, F.lit(kind), F.col(f"c.{field}")))
+    fields = [(f, i, k) for i, (f, k) in enumerate((("text", "string"), ("colspan", "number"), ("col_start", "number"), ("chemistry_id", "string")), 1) if wanted is None or f in wanted.labels]
     inner = F.array(
         F.when(F.coalesce("cell_ix", zero) == 0, node(F.col("at"), F.lit(-5), F.concat("section", F.lit("[]")), F.col("row_ix"), F.when(F.col("no_row"), "null").otherwise("array"), none)),
-        F.when(F.col("cell_ix").isNotNull(), node(cell, F.col("at"), F.concat("section", F.lit("[][]")), F.col("cell_ix"), F.when(here, "object").otherwise("null"), none)),
-        scalar("text", 1, "string"),
-        scalar("colspan", 2, "number"),
-        scalar("col_start", 3, "number"),
-        scalar("chemistry_id", 4, "string"),
+        F.when(here if wanted else F.col("cell_ix").isNotNull(), node(cell, F.col("at"), F.concat("section", F.lit("[][]")), F.col("cell_ix"), F.when(here, "object").otherwise("null"), none)),
+        *[scalar(*f) for f in fields],
     )
     below = cells.select("doc", F.explode(inner).alias("n")).filter("n is not null")
     return top.unionByName(below).select("doc", "n.*")

@@ -11,19 +11,19 @@ from assayloom.operators import orphans, shred, units, wide
 # -- 2: deeply nested records ----------------------------------------------------------------------------------------------------
 
 
-def _nodes(spark: SparkSession, d: str) -> DataFrame:
+def _nodes(spark: SparkSession, d: str, wanted: shred.Wanted | None = None) -> DataFrame:
     """The stored adjacency table of both sources: ``r|raw_id`` documents, and one ``t|table_uid|tgroup_ix|...`` document per delivered group.
 
-    It is stored once for all queries of a session.
+    It is stored once for all queries of a session, and in a narrower form for a query that names what it needs.
     """
     raw, rows = table(spark, d, "raw_tables"), table(spark, d, "table_objects")
     doc = F.concat_ws("|", F.lit("t"), "table_uid", "tgroup_ix", F.xxhash64("scanned_at", "caption", "preceding", "following", "header_rows", "body_rows"))
     files = [x.select(F.col("_metadata")) for x in (raw, rows)]
 
     def build() -> DataFrame:
-        return shred.adjacency(raw, F.concat(F.lit("r|"), F.col("raw_id").cast("string")), F.col("payload")).unionByName(shred.typed_adjacency(rows, doc))
+        return shred.adjacency(raw, F.concat(F.lit("r|"), F.col("raw_id").cast("string")), F.col("payload"), wanted).unionByName(shred.typed_adjacency(rows, doc, wanted))
 
-    return written_once(files, "adjacency", build)
+    return written_once(files, f"adjacency {wanted}", build)
 
 
 def p2_cells(spark: SparkSession, d: str) -> DataFrame:
@@ -54,7 +54,7 @@ def p2_rejects(spark: SparkSession, d: str) -> DataFrame:
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     """Cells that cover more than one column."""
-    return shred.wide_cells(_nodes(spark, d)).drop("colspan").distinct()
+    return shred.wide_cells(_nodes(spark, d, shred.WIDE_CELLS)).drop("colspan").distinct()
 
 
 # -- 4: orphans ------------------------------------------------------------------------------------------------------------------
