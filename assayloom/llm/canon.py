@@ -11,9 +11,10 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assayloom.common import BROADCAST_LIMIT, written
@@ -101,11 +102,11 @@ def with_parts(df: DataFrame, name: str) -> DataFrame:
 
 
 def grams(text: Column) -> Column:
-    """Character bigrams and trigrams of a text with its ends marked."""
+    """Distinct character bigrams and trigrams of a text with its ends marked."""
     s = F.concat(F.lit("^^"), text, F.lit("$$"))
     two = F.transform(F.sequence(F.lit(2), F.length(text) + 2), lambda i: F.substr(s, i, F.lit(2)))
     three = F.transform(F.sequence(F.lit(1), F.length(text) + 2), lambda i: F.substr(s, i, F.lit(3)))
-    return F.concat(two, three)
+    return F.array_distinct(F.concat(two, three))
 
 
 def _edits(a: str, b: str) -> int:
@@ -158,59 +159,67 @@ def names_target(typed: str, forms: list[str], generic: frozenset[str] = CLASS_W
     return named or any(set(f.split()) <= met for f in forms if f)
 
 
-def index_of(vocabulary: DataFrame) -> DataFrame:
-    """The inverted index's rows (target, form, measure, marks, vocab_id): every way to write each entry.
-
-    Entries with the same target words are one target; a form of one of them names the target in all of them.
-    """
-    forms = vocabulary.select("vocab_id", F.col("canonical").alias("_c"), F.explode(F.array_union(F.array("canonical"), F.coalesce("surface_forms", F.array().cast("array<string>")))).alias("name")).filter("name is not null")
-    forms = with_parts(forms, "name")
-    entries = with_parts(vocabulary.filter("canonical is not null").select("vocab_id", F.col("canonical").alias("name")), "name").filter("words <> '' or marks <> ''")
-    entries = entries.groupBy(F.col("words").alias("target"), "marks", "measure").agg(F.min("vocab_id").alias("vocab_id"))
-    owner = with_parts(vocabulary.filter("canonical is not null").select("vocab_id", F.col("canonical").alias("name")), "name").select("vocab_id", F.col("words").alias("target"))
-    aliases = forms.join(owner, "vocab_id").select("target", F.col("words").alias("form")).distinct()
-    # a form of several targets names none of them
-    alone = aliases.filter("form <> target").groupBy("form").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("form")
-    aliases = aliases.join(alone, "form", "left_anti").select("target", "form")
-    return entries.join(aliases, "target")
-
-
-def best_entries(texts: DataFrame, index: DataFrame, threshold: float = THRESHOLD, margin: float = MARGIN) -> DataFrame:
+@dataclass(frozen=True)
+class Index:
+    """The inverted index of a list, stored once: ``forms`` (form_id, target, form, measure, marks, vocab_id), every way to write each
+    entry, and ``postings`` (gram, measure, marks, form_id, idf, iw), whose weights make every form a vector of length 1."""
+
+    forms: DataFrame
+    postings: DataFrame
+    n_forms: int
+    #: whether the postings, counted, are within the bound of a broadcast
+    small: bool
+
+    def side(self, df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if self.small else df
+
+
+def index_of(vocabulary: DataFrame) -> Index:
+    """Entries with the same target words are one target; a form of one of them names the target in all of them, unless it is a form of
+    several targets."""
+    names = vocabulary.filter("canonical is not null").select("vocab_id", F.explode(F.array_union(F.array("canonical"), F.coalesce("surface_forms", F.array().cast("array<string>")))).alias("name"), (F.col("canonical")).alias("_c"))
+    parts = written(with_parts(names.filter("name is not null"), "name"))
+    entries = parts.filter("name = _c").select("vocab_id", F.col("words").alias("target"), "marks", "measure")
+    aliases = parts.join(entries.select("vocab_id", "target"), "vocab_id").select("target", F.col("words").alias("form")).distinct()
+    shared = aliases.filter("form <> target").groupBy("form").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("form")
+    one = entries.filter("target <> '' or marks <> ''").groupBy("target", "marks", "measure").agg(F.min("vocab_id").alias("vocab_id"))
+    forms = one.join(aliases.join(shared, "form", "left_anti"), "target").withColumn("form_id", F.xxhash64("target", "form", "marks", "measure"))
+    forms = written(forms)
+    size = forms.agg(F.count(F.lit(1)).alias("n"), F.sum(2 * (F.length("form") + F.length("marks")) + 7).alias("grams")).first()
+    small = (size["grams"] or 0) * POSTING_BYTES <= BROADCAST_LIMIT
+    each = forms.select("form_id", "measure", "marks", F.explode(grams(F.trim(F.concat_ws(" ", "form", "marks")))).alias("gram"))
+    idf = each.groupBy("gram").agg(F.log((size["n"] + 1.0) / (F.count(F.lit(1)) + 0.5)).alias("idf"))
+    each = each.join(idf, "gram")
+    norms = each.groupBy("form_id").agg(F.sqrt(F.sum(F.col("idf") * F.col("idf"))).alias("fn"))
+    postings = each.join(norms, "form_id").filter("fn > 0").select("gram", "measure", "marks", "form_id", "idf", (F.col("idf") / F.col("fn")).alias("iw"))
+    return Index(forms, written(postings), size["n"], small)
+
+
+def best_entries(texts: DataFrame, index: Index, threshold: float = THRESHOLD, margin: float = MARGIN) -> DataFrame:
     """(measure, marks, words, vocab_id, score, margin) of each distinct text's accepted entry; texts without one are left out.
 
     A text's grams are probed from the heaviest down until the rest weighs less than half the threshold. What has not reached the other
-    half by then cannot reach the threshold, so the common grams' long postings are read for the few forms that are left, and no candidate
-    above the threshold is lost.
+    half by then cannot reach the threshold, so the common grams' long postings are left unread and no candidate above the threshold is
+    lost. Candidates that are checked then get their whole cosine.
     """
     key = ["measure", "marks", "words"]
-    shown = F.trim(F.concat_ws(" ", "words", "marks"))
-    forms = index.withColumn("_t", F.trim(F.concat_ws(" ", "form", "marks"))).withColumn("form_id", F.xxhash64("target", "form", "marks", "measure"))
-    size = forms.agg(F.count(F.lit(1)).alias("n"), F.sum(2 * F.length("_t") + 3).alias("grams")).first()
-    n = size["n"]
-    # the list's part of each join is broadcast only if its grams, counted before, fit
-    side = F.broadcast if (size["grams"] or 0) * POSTING_BYTES <= BROADCAST_LIMIT else lambda df: df
-    tf = forms.select("form_id", "measure", "marks", F.explode(grams(F.col("_t"))).alias("gram")).groupBy("form_id", "measure", "marks", "gram").agg(F.count(F.lit(1)).alias("tf"))
-    idf = tf.groupBy("gram").agg(F.log((n + 1.0) / (F.count(F.lit(1)) + 0.5)).alias("idf"))
-    weights = tf.join(side(idf), "gram").withColumn("w", F.col("tf") * F.col("idf"))
-    norms = weights.groupBy("form_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("fn"))
-    postings = weights.join(side(norms), "form_id").filter("fn > 0").select("form_id", "measure", "marks", "gram", (F.col("w") / F.col("fn")).alias("iw"))
-
-    own = texts.select(*key, F.explode(grams(shown)).alias("gram")).groupBy(*key, "gram").agg(F.count(F.lit(1)).alias("tf"))
-    own = own.join(side(idf), "gram", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(math.log((n + 1) / 0.5))))
+    shown = grams(F.trim(F.concat_ws(" ", "words", "marks")))
+    idf = index.postings.groupBy("gram").agg(F.first("idf").alias("idf"))
+    unseen = math.log((index.n_forms + 1) / 0.5)
+    own = texts.select(*key, F.explode(shown).alias("gram")).join(index.side(idf), "gram", "left").withColumn("w", F.coalesce("idf", F.lit(unseen)))
     # everything from here to the verdict is partitioned by the text already
-    upto = F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(*key).orderBy("w", "gram").rowsBetween(Window.unboundedPreceding, 0))
-    whole = F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(*key))
-    own = own.withColumns({"_upto": upto, "_all": whole}).withColumn("probe", F.col("_upto") >= threshold * threshold / 4 * F.col("_all"))
-    first = own.filter("probe").join(side(postings), ["measure", "marks", "gram"]).groupBy(*key, "form_id").agg(F.sum(F.col("w") * F.col("iw")).alias("dot"), F.max("_all").alias("_all"))
-    first = first.filter(F.col("dot") >= threshold / 2 * F.sqrt("_all"))
-    rest = own.filter("not probe").select(*key, "gram", "w")
-    more = first.select(*key, "form_id").join(rest, key).join(side(postings.select("form_id", "gram", "iw")), ["form_id", "gram"])
-    more = more.groupBy(*key, "form_id").agg(F.sum(F.col("w") * F.col("iw")).alias("more"))
-    scored = first.join(more, [*key, "form_id"], "left").withColumn("score", (F.col("dot") + F.coalesce("more", F.lit(0.0))) / F.sqrt("_all")).filter(F.col("score") >= threshold)
-    named = scored.join(side(forms.select("form_id", "target", "vocab_id")), "form_id").groupBy(*key, "target", "vocab_id").agg(F.max("score").alias("score"))
-    known = index.groupBy("target").agg(F.sort_array(F.collect_set("form")).alias("forms"))
+    vectors = own.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("w", "gram"))).alias("v"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    light = F.expr(f"aggregate(v, named_struct('a', 0.0D, 'k', 0), (s, x) -> named_struct('a', s.a + x.w * x.w, 'k', s.k + IF(s.a + x.w * x.w < {threshold * threshold / 4} * norm * norm, 1, 0)), s -> s.k)")
+    probes = vectors.select(*key, "norm", F.explode(F.slice("v", light + 1, F.size("v"))).alias("p")).select(*key, "norm", "p.gram", "p.w")
+    hits = probes.join(index.side(index.postings.drop("idf")), ["measure", "marks", "gram"]).groupBy(*key, "norm", "form_id").agg(F.sum(F.col("w") * F.col("iw")).alias("dot"))
+    hits = hits.filter(F.col("dot") >= threshold / 2 * F.col("norm"))
+    known = index.forms.groupBy("target").agg(F.sort_array(F.collect_set("form")).alias("forms"))
     fits = F.pandas_udf(lambda typed, f: pd.Series([names_target(t, list(x)) for t, x in zip(typed, f, strict=True)], dtype=bool), "boolean")
-    named = named.join(side(known), "target").filter(fits("words", "forms"))
+    pairs = hits.join(index.side(index.forms.select("form_id", "target", "vocab_id")), "form_id").groupBy(*key, "norm", "target", "vocab_id").agg(F.collect_list("form_id").alias("ids"))
+    pairs = pairs.join(index.side(known), "target").filter(fits("words", "forms"))
+    full = pairs.select(*key, "norm", "target", "vocab_id", F.explode("ids").alias("form_id")).select("*", F.explode(shown).alias("gram"))
+    full = full.join(index.side(index.postings.select("form_id", "gram", "idf", "iw")), ["form_id", "gram"]).groupBy(*key, "norm", "target", "vocab_id", "form_id").agg((F.sum(F.col("idf") * F.col("iw")) / F.col("norm")).alias("score"))
+    named = full.groupBy(*key, "target", "vocab_id").agg(F.max("score").alias("score")).filter(F.col("score") >= threshold)
     ranked = named.groupBy(*key).agg(F.max(F.struct("score", "target", "vocab_id")).alias("best"), F.sort_array(F.collect_list("score"), asc=False).alias("all"))
     second = F.coalesce(F.try_element_at("all", F.lit(2)), F.lit(0.0))
     return ranked.select(*key, "best.vocab_id", "best.score", (F.col("best.score") - second).alias("margin")).filter(F.col("margin") >= margin)
