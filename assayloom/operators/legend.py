@@ -2,89 +2,29 @@
 
 from __future__ import annotations
 
-import re
-
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assayloom.functions import cells as fn
+from assayloom.functions import grades
 
 MAP_TYPE = "map<string,struct<lo:double,hi:double,unit:string>>"
-_NUM = r"(\d[\d,]*(?:\.\d+)?)"
-_UNIT = r"([numpµμ]?M\b|%|[numpµμ]mol/[lL])?"
-_SYM = r"([A-E]|\+{1,6}|\*{1,6}|#{1,6})"
-_SEP = r"\s*(?::|=|means|is|represents|indicates|denotes)\s*"
-# grammars in order; the number of each group that holds symbol, bounds and units
-_GRAMMARS = [
-    (re.compile(rf"(?<![A-Za-z+*#]){_SYM}(?:{_SEP}|\s+)(?:from\s+|between\s+)?{_NUM}\s*{_UNIT}\s*(?:to|and|-|–)\s*{_NUM}\s*{_UNIT}", re.I), ("sym", "lo", "u", "hi", "u")),
-    (re.compile(rf"(?<![A-Za-z+*#]){_SYM}(?:{_SEP}|\s+)(?:<|≤|<=|below|less than|under|up to)\s*(?:or equal to\s*)?{_NUM}\s*{_UNIT}", re.I), ("sym", "hi", "u")),
-    (re.compile(rf"(?<![A-Za-z+*#]){_SYM}(?:{_SEP}|\s+)(?:>|≥|>=|above|greater than|more than|over|at least)\s*(?:or equal to\s*)?{_NUM}\s*{_UNIT}", re.I), ("sym", "lo", "u")),
-    (re.compile(rf"{_NUM}\s*{_UNIT}\s*(?:to|-|–|<[^:;=]{{0,20}}<)\s*{_NUM}\s*{_UNIT}\s*[:=]\s*{_SYM}(?![A-Za-z+*#])", re.I), ("lo", "u", "hi", "u", "sym")),
-    (re.compile(rf"(?:<|≤|below|less than)\s*{_NUM}\s*{_UNIT}\s*[:=]\s*{_SYM}(?![A-Za-z+*#])", re.I), ("hi", "u", "sym")),
-    (re.compile(rf"(?:>|≥|above|greater than)\s*{_NUM}\s*{_UNIT}\s*[:=]\s*{_SYM}(?![A-Za-z+*#])", re.I), ("lo", "u", "sym")),
-]
-_SCALE = {"pM": 1e-12, "nM": 1e-9, "uM": 1e-6, "mM": 1e-3, "M": 1.0}
-
-
-def _unit(u: str | None) -> str | None:
-    return None if not u else {"pmol/l": "pM", "nmol/l": "nM", "umol/l": "uM", "mmol/l": "mM"}.get(u.replace("µ", "u").replace("μ", "u").lower(), u.replace("µ", "u").replace("μ", "u"))
-
-
-def _on_one_scale(lo: float | None, lo_u: str | None, hi: float | None, hi_u: str | None) -> tuple[float | None, float | None, str | None]:
-    """Two bounds on the smaller of their units."""
-    if lo_u in _SCALE and hi_u in _SCALE and lo_u != hi_u and lo is not None and hi is not None:
-        u = min(lo_u, hi_u, key=_SCALE.__getitem__)
-        return round(lo * _SCALE[lo_u] / _SCALE[u], 9), round(hi * _SCALE[hi_u] / _SCALE[u], 9), u
-    return lo, hi, hi_u or lo_u
-
-
-def parse_bin_key(text: str | None) -> dict[str, tuple[float | None, float | None, str | None]]:
-    """Symbol -> (lo, hi, unit). An earlier grammar wins over a later one; a symbol defined in two ways by one grammar is dropped;
-    a unit stated once is shared by the symbols of the same family that have none.
-    """
-    out: dict[str, tuple[float | None, float | None, str | None]] = {}
-    dropped: set[str] = set()
-    for rx, roles in _GRAMMARS:
-        here: dict[str, tuple[float | None, float | None, str | None]] = {}
-        for m in rx.finditer(text or ""):
-            got: dict[str, str | None] = {}
-            last = ""
-            for role, g in zip(roles, m.groups(), strict=True):
-                if role == "u":
-                    got[f"{last}_u"] = _unit(g)
-                else:
-                    got[role], last = g, role
-            sym = (got["sym"] or "").upper()
-            n = lambda k, got=got: float(got[k].replace(",", "")) if got.get(k) else None
-            v = _on_one_scale(n("lo"), got.get("lo_u"), n("hi"), got.get("hi_u"))
-            if sym in here and here[sym] != v:
-                dropped.add(sym)
-            here.setdefault(sym, v)
-        for sym, v in here.items():
-            out.setdefault(sym, v)
-    out = {s: v for s, v in out.items() if s not in dropped and not (v[0] is not None and v[1] is not None and v[0] >= v[1])}
-    family = lambda s: "A" if s.isalpha() else s[0]
-    for fam in {family(s) for s in out}:
-        units = {v[2] for s, v in out.items() if family(s) == fam and v[2]}
-        if len(units) == 1:
-            u = units.pop()
-            out = {s: (v[0], v[1], v[2] or u) if family(s) == fam else v for s, v in out.items()}
-    return out
 
 
 def looks_like_key(c: Column) -> Column:
-    """Cheap test before the grammar: a symbol, a separator or comparison, and a number."""
-    return c.rlike(r"([A-E]|\+|\*|#)\s*(:|=|means|is|<|>|≤|≥|from|between|represents|indicates|denotes)") & c.rlike(r"[0-9]")
+    """Cheap test before the grammar, true for every text that defines a grade: a grade that is no part of a word, and a digit."""
+    return c.rlike(r"[+*#\x{2212}]|(?:^|[^A-Za-z])[A-E](?:$|[^A-Za-z0-9])") & c.rlike(r"[0-9]")
 
 
-def bin_key(c: Column) -> Column:
-    """The legend a text states, as a map; null where it states none."""
+def _as_map(key: dict[str, grades.Interval]) -> dict | None:
+    return {g: {"lo": v.lo, "hi": v.hi, "unit": v.unit} for g, v in key.items()} or None
 
-    def parse(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: {k: {"lo": v[0], "hi": v[1], "unit": v[2]} for k, v in parse_bin_key(x).items()} or None if x else None)
 
-    return F.when(looks_like_key(c), F.pandas_udf(parse, MAP_TYPE)(c))
+def bin_key(c: Column) -> Column:
+    """The legend a text states, as a map; null where it states none."""
+    parse = F.pandas_udf(lambda s: s.map(lambda x: _as_map(grades.parse_bin_key(x))), MAP_TYPE)
+    return F.when(looks_like_key(c), parse(F.when(looks_like_key(c), c)))
 
 
 def bins(legends: DataFrame, keys: list[str], text: Column) -> DataFrame:
@@ -125,8 +65,6 @@ def attach(records: DataFrame, bins: DataFrame, keys: list[str]) -> DataFrame:
 
 def clusters(hits: DataFrame, keys: list[str], start: str, end: str, gap: int = 120) -> DataFrame:
     """Hits at most ``gap`` characters apart, gathered: (keys, cluster, first, last, n)."""
-    from pyspark.sql import Window
-
     w = Window.partitionBy(*keys).orderBy(start, end)
     before = F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))
     tagged = hits.withColumn("_new", F.coalesce((F.col(start) - before > gap).cast("int"), F.lit(0)))
@@ -134,21 +72,56 @@ def clusters(hits: DataFrame, keys: list[str], start: str, end: str, gap: int =
     return tagged.groupBy(*keys, "cluster").agg(F.min(start).alias("first"), F.max(end).alias("last"), F.count(F.lit(1)).alias("n"))
 
 
-def of_rows(rows: DataFrame, keys: list[str], first: str, second: str) -> DataFrame:
-    """Legends that stand in two cells, symbol and meaning in either order, as one text per row for the grammar."""
-    is_sym = lambda c: F.trim(c).rlike(r"^(?:[A-Ea-e]|\++|\*+|#+)$")
-    sym = F.when(is_sym(F.col(first)), F.struct(F.trim(first).alias("s"), F.col(second).alias("x"))).when(is_sym(F.col(second)), F.struct(F.trim(second).alias("s"), F.col(first).alias("x")))
-    return rows.withColumn("_p", sym).filter("_p is not null").select(*keys, F.concat("_p.s", F.lit(": "), "_p.x").alias("text"))
+def nearest_before(bins: DataFrame, tables: DataFrame, doc: str, order: str) -> DataFrame:
+    """Per table (doc, order) the definitions of the last earlier table of its document that has any: (doc, order, symbol, lo, hi, unit).
+
+    One window over the documents' tables with and without definitions; a table's own ones are not its nearest.
+    """
+    w = Window.partitionBy(doc).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    keyed = bins.groupBy(doc, order).agg(F.collect_list(F.struct("symbol", "lo", "hi", "unit")).alias("_k"))
+    near = tables.select(doc, order).distinct().join(keyed, [doc, order], "left").withColumn("_near", F.last("_k", ignorenulls=True).over(w))
+    return near.filter("_near is not null").select(doc, order, F.inline("_near"))
+
+
+def of_rows(rows: DataFrame, keys: list[str], order: str, cells: str, heading: str) -> DataFrame:
+    """(keys, symbol, lo, hi, unit) of legends laid out as a table: ``cells`` holds the texts of a row, ``heading`` the table's heading with
+    its unit. Rows are a table's, so a group is bounded by its table."""
+    one = rows.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(cells).alias("c")))), lambda x: x["c"]).alias("_r"), F.max(heading).alias("_h"))
+    parse = F.pandas_udf(lambda r, h: pd.Series([_as_map(grades.parse_bin_rows([list(x) for x in a if x is not None], b or "")) for a, b in zip(r, h, strict=True)], dtype=object), MAP_TYPE)
+    return one.select(*keys, F.explode(parse("_r", "_h")).alias("symbol", "_b")).select(*keys, "symbol", "_b.*")
 
 
 def sectioned(lines: DataFrame, keys: list[str], order: str, text: str) -> DataFrame:
-    """Definitions under headings: (keys, heading, symbol, lo, hi, unit). A line without a definition is the heading of those after it."""
-    from pyspark.sql import Window
+    """Definitions under headings: (keys, heading, symbol, lo, hi, unit). A line that opens like a definition is no heading, readable or not.
+
+    Lines are a legend's, so a group is bounded by its legend.
+    """
+    one = lines.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.coalesce(F.col(text), F.lit("")).alias("t")))), lambda x: x["t"]).alias("_l"))
+
+    def parse(s: pd.Series) -> pd.Series:
+        return s.map(lambda x: {h: _as_map(k) for h, k in grades.sections_of(list(x)).items()} or None)
+
+    found = one.select(*keys, F.explode(F.pandas_udf(parse, f"map<string,{MAP_TYPE}>")("_l")).alias("heading", "_k"))
+    return found.select(*keys, "heading", F.explode("_k").alias("symbol", "_b")).select(*keys, "heading", "symbol", "_b.*")
+
+
+def sections_of_prose(texts: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """Definitions of prose that introduces several scales by what they are for: (keys, heading, symbol, lo, hi, unit)."""
+
+    def parse(s: pd.Series) -> pd.Series:
+        return s.map(lambda x: {h: m for h, t in grades.prose_sections(x or "") if (m := _as_map(grades.parse_bin_key(t)))} or None)
+
+    found = texts.select(*keys, F.explode(F.pandas_udf(parse, f"map<string,{MAP_TYPE}>")(text)).alias("heading", "_k"))
+    return found.select(*keys, "heading", F.explode("_k").alias("symbol", "_b")).select(*keys, "heading", "symbol", "_b.*")
+
 
-    defines = looks_like_key(F.col(text))
-    w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    tagged = lines.withColumn("heading", F.last(F.when(~defines & (F.trim(text) != ""), F.regexp_replace(F.trim(text), r"[:.]$", "")), ignorenulls=True).over(w))
-    return drop_conflicts(bins(tagged.filter(defines), [*keys, "heading"], F.col(text)), [*keys, "heading"])
+def section_of_column(columns: DataFrame, sections: DataFrame, keys: list[str], header: str) -> DataFrame:
+    """Columns with ``heading``: the section of their table's legend that names them, null if none does. Distinct headers are matched once."""
+    heads = sections.groupBy(*keys).agg(F.sort_array(F.collect_set("heading")).alias("_hs"))
+    pairs = columns.select(*keys, header).distinct().join(heads, keys)
+    pick = F.pandas_udf(lambda c, hs: pd.Series([grades.section_for(a or "", list(b)) for a, b in zip(c, hs, strict=True)], dtype=object), "string")
+    named = pairs.select(*keys, F.col(header).alias("_c"), pick(header, "_hs").alias("heading"))
+    return columns.join(named.withColumnRenamed("_c", header), [*keys, header], "left")
 
 
 def document_legend(bins: DataFrame, doc: str, order: str) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from assayloom.common import table
 from assayloom.functions import cells as fn
 from assayloom.operators import audit, deliver, extract, identity, legend, rules
+from assayloom.plans import legend_cases
 from assayloom.sources import documents as src
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -348,6 +349,13 @@ def q_bin_parse(spark: SparkSession, d: str) -> DataFrame:
     return legend.drop_conflicts(legend.bins(t, ["table_uid"], F.col("following")), ["table_uid"]).select("table_uid", "symbol", "lo", "hi", "unit")
 
 
+@query(legend_cases.expected_sql())
+def q_legend_grammar(spark: SparkSession, d: str) -> DataFrame:
+    """The grammar on legend texts of every form, held against definitions written out by hand."""
+    t = spark.createDataFrame([(i, text) for i, (text, _) in enumerate(legend_cases.CASES)], "case_no int, text string")
+    return legend.bins(t, ["case_no"], F.col("text")).select("case_no", "symbol", "lo", "hi", "unit")
+
+
 _BINS = "bins AS (SELECT patent_id, letter_grade AS symbol, min((range_lo, range_hi, unit)) AS a, max((range_lo, range_hi, unit)) AS b FROM reader_dump WHERE letter_grade IS NOT NULL AND (range_lo IS NOT NULL OR range_hi IS NOT NULL) GROUP BY ALL)"
 
 

@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from assayloom.functions import grades
 from assayloom.operators import audit, deliver, drawings, extract, identity, layout, legend, names, rules
 from assayloom.plans import layout_queries as lq
 from assayloom.sources import documents as src
@@ -70,7 +71,7 @@ def test_other_sources(spark, tmp_path):
 )
 def test_legends(text, want):
     text = text.replace("IC50 <= 5", "less than 5") if text else text
-    assert legend.parse_bin_key(text) == want
+    assert {g: (v.lo, v.hi, v.unit) for g, v in grades.parse_bin_key(text).items()} == want
 
 
 def test_legend_joins(spark):

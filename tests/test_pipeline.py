@@ -71,8 +71,15 @@ def test_sectioned_legends(spark):
     rows = [(1, 0, "For kinase A:"), (1, 1, "A: below 10 nM"), (1, 2, "B: 10 to 20 nM"), (1, 3, "For kinase B:"), (1, 4, "A: below 50 nM"), (2, 0, None)]
     got = legend.sectioned(spark.createDataFrame(rows, "k int, o int, t string"), ["k"], "o", "t")
     assert {(r.heading, r.symbol, r.hi) for r in got.collect()} == {("For kinase A", "A", 10.0), ("For kinase A", "B", 20.0), ("For kinase B", "A", 50.0)}
-    cells = spark.createDataFrame([(1, "A", "below 10 nM"), (1, "10 to 20 nM", "B"), (1, "x", "y")], "k int, a string, b string")
-    assert {(r.symbol, r.hi) for r in legend.bins(legend.of_rows(cells, ["k"], "a", "b"), ["k"], F.col("text")).collect()} == {("A", 10.0), ("B", 20.0)}
+    cells = spark.createDataFrame([(1, 0, ["A", "below 10"], "IC50 (nM)"), (1, 1, ["10 to 20 nM", "", "B"], None), (1, 2, ["x", "y"], None), (2, 0, ["≦0.5", "C:"], "MIC (μg/mL"), (3, 0, None, None)], "k int, o int, c array<string>, h string")
+    assert {(r.k, r.symbol, r.lo, r.hi, r.unit) for r in legend.of_rows(cells, ["k"], "o", "c", "h").collect()} == {(1, "A", None, 10.0, "nM"), (1, "B", 10.0, 20.0, "nM"), (2, "C", None, 0.5, "ug/mL")}
+    columns = spark.createDataFrame([(1, 0, "IC50 kinase B"), (1, 1, "MS"), (9, 0, "IC50 kinase A"), (1, 2, None)], "k int, col int, header string")
+    named = legend.section_of_column(columns, got.withColumn("heading", F.regexp_replace("heading", "^For ", "")), ["k"], "header")
+    assert {(r.k, r.col): r.heading for r in named.collect()} == {(1, 0): "kinase B", (1, 1): None, (9, 0): None, (1, 2): None}
+    near = legend.nearest_before(spark.createDataFrame([("P", 1, "A", None, 5.0, "nM"), ("P", 3, "A", None, 9.0, "nM")], "p string, t int, symbol string, lo double, hi double, unit string"), spark.createDataFrame([("P", 1), ("P", 2), ("P", 3), ("P", 4), ("Q", 4)], "p string, t int"), "p", "t")
+    assert {(r.p, r.t, r.symbol, r.hi) for r in near.collect()} == {("P", 2, "A", 5.0), ("P", 3, "A", 5.0), ("P", 4, "A", 9.0)}
+    prose = spark.createDataFrame([(1, "for T315I activity, the following designations are used: <1.00 nM=A; 1.01-10.0 nM=B. For wild-type activity, the following designations are used: <10 nM=A; 11-100 nM=B."), (2, "A: below 1 nM"), (3, None)], "k int, t string")
+    assert {(r.k, r.heading, r.symbol, r.hi) for r in legend.sections_of_prose(prose, ["k"], "t").collect()} == {(1, "T315I activity", "A", 1.0), (1, "T315I activity", "B", 10.0), (1, "wild-type activity", "A", 10.0), (1, "wild-type activity", "B", 100.0)}
     doc = legend.document_legend(got.withColumn("at", F.col("hi")).withColumn("heading", F.lit("x")), "k", "at")
     assert {(r.symbol, r.hi) for r in doc.collect()} == {("A", 50.0), ("B", 20.0)}
 
