@@ -19,10 +19,24 @@ TO_NM = {"pM": 1e-3, "nM": 1.0, "uM": 1e3, "mM": 1e6, "M": 1e9}
 # Mass shifts of common adducts.
 ADDUCT_SHIFTS = {"+H": 1.00728, "-H": -1.00728, "+Na": 22.98922}
 # Salt endings, in the order they are tried.
-SALT_SUFFIXES = ["dihydrochloride", "hydrochloride", "hydrobromide", "trifluoroacetate", "trifluoroacetic acid salt", "hemisulfate", "sulfate", "mesylate", "tosylate", "hydrate", "sodium salt", "potassium salt", "formate", "acetate"]
+SALT_SUFFIXES = ["hydrochloride", "hydrobromide", "hydroiodide", "sulfate", "sulphate", "trihydrate", "dihydrate", "hydrate", "mesylate", "tosylate", "oxalate", "citrate", "maleate", "fumarate", "acetate salt", "salt"]
 # Metrics of an assay heading, the first that occurs counts.
-METRICS = [("pIC50", r"(?i)\bpIC ?50\b"), ("pEC50", r"(?i)\bpEC ?50\b"), ("pKi", r"(?i)\bpKi\b"), ("pKd", r"(?i)\bpKd\b"), ("IC50", r"(?i)\bIC[ _-]?50\b"), ("EC50", r"(?i)\bEC[ _-]?50\b"), ("GI50", r"(?i)\bGI[ _-]?50\b"), ("ED50", r"(?i)\bED[ _-]?50\b"), ("Ki", r"(?i)\bKi\b|inhibition constant"), ("Kd", r"(?i)\bKd\b|dissociation constant"), ("% inhibition", r"(?i)(% ?inh|percent inh|pct inh|inhibition \(%\))"), ("clearance", r"(?i)\bclearance\b"), ("half-life", r"(?i)(half-life|t1/2)"), ("solubility", r"(?i)\bsolubility\b"), ("log D", r"(?i)\blog ?[DP]\b")]
-SPECIES = r"(?i)\b(human|rat|mouse|dog|monkey|murine)\b"
+METRICS = [("pIC50", r"(?i)\bpIC ?50\b"), ("pEC50", r"(?i)\bpEC ?50\b"), ("pKi", r"(?i)\bpKi\b"), ("pKd", r"(?i)\bpKd\b"), ("IC50", r"(?i)\bIC[ _-]?50\b"), ("EC50", r"(?i)\bEC[ _-]?50\b"), ("IC90", r"(?i)\bIC[ _-]?90\b"), ("EC90", r"(?i)\bEC[ _-]?90\b"), ("CC50", r"(?i)\bCC[ _-]?50\b"), ("GI50", r"(?i)\bGI[ _-]?50\b"), ("ED50", r"(?i)\bED[ _-]?50\b"), ("MIC", r"\bMIC\b"), ("Emax", r"(?i)\bEmax\b"), ("Ki", r"(?i)\bKi\b|inhibition constant"), ("Kd", r"(?i)\bKd\b|dissociation constant"), ("% inhibition", r"(?i)(% ?inh|percent inh|pct inh|inhibition \(%\))"), ("clearance", r"(?i)\bclearance\b"), ("half-life", r"(?i)(half-life|t1/2)"), ("solubility", r"(?i)\bsolubility\b"), ("log D", r"(?i)\blog ?[DP]\b")]
+SPECIES = r"(?i)\b(human|mouse|murine|mice|rat|dog|canine|monkey|cynomolgus|cyno|rabbit|bovine|porcine|hamster|guinea pig)\b"
+# The concentration or dose an assay ran at, with its route; the factors of concentrations to micromolar.
+DOSE = r"(?i)\b(?:at )?([0-9][0-9.]*(?: ?, ?[0-9.]+)*) ?(mg/kg|[uµμ]g/ml|[numpµμ]?M\b|%)((?: ?, ?(?:p\.?o\b\.?|i\.?[vp]\b\.?|s\.?c\b\.?))?)"
+DOSE_TO_UM = {"nm": 1e-3, "um": 1.0, "µm": 1.0, "μm": 1.0, "mm": 1e3, "pm": 1e-6, "m": 1e6}
+#: A threshold that is in no list: IC20, ED90, LD50.
+THRESHOLD = r"(?i)\b(IC|EC|GI|CC|ED|LD|TD)[ -]?([0-9]{2})\b"
+# Units as headings write them. The first in the text counts; a lone M is molar only in brackets.
+UNIT_FORMS = [
+    ("nM", r"\bnM\b|nmol/[lL]|\bnanomolar\b|10\^?-9 ?M"),
+    ("uM", r"[uµμ]M\b|[uµμ]mol/[lL]|\bmicromolar\b|10\^?-6 ?M"),
+    ("pM", r"\bpM\b|pmol/[lL]|\bpicomolar\b"),
+    ("mM", r"\bmM\b|mmol/[lL]|\bmillimolar\b"),
+    ("M", r"[\[(] ?M ?[\])]|\bmol/[lL]|\bmolar\b"),
+    ("%", r"%|\b[Pp]ercent\b|\bpct\b"),
+]
 
 
 def blank_trim(c: Column) -> Column:
@@ -39,9 +53,15 @@ def is_null_marker(c: Column) -> Column:
     return F.lower(blank_trim(c)).isin(NULL_MARKERS)
 
 
+#: A label word before an id, and the word for number; either may touch a digit.
+CID_LABELS = [r"(?i)^(?:examples?|ex|compounds?|cmpds?|cpds?|entry|entries)(?:[.:#\s]+|([0-9]))", r"(?i)^(?:nos?|numbers?)(?:[.:#\s]+|([0-9]))"]
+
+
 def normalize_cid(c: Column) -> Column:
-    """Compound id without its label word and leading zeros; a text of other shape stays, unless it is longer than 40 characters (then ''). Null stays null."""
-    t = blank_trim(F.regexp_replace(blank_trim(c), r"(?i)^(?:example|compound|entry|cmpd|cpd|no|ex)(?:\.|\s|#|:)+", ""))
+    """Compound id without its label words and leading zeros; a text of other shape stays, unless it is longer than 40 characters (then ''). Null stays null."""
+    t = blank_trim(c)
+    for label in CID_LABELS:
+        t = blank_trim(F.regexp_replace(t, label, "$1"))
     t = F.regexp_replace(t, r"^#\s*", "")
     shape = r"^([A-Za-z]{0,4}-?)0*([0-9]+)([A-Za-z]{0,2})$"
     return F.when(c.isNull(), None).when(t.rlike(shape), F.concat(F.regexp_extract(t, shape, 1), F.regexp_extract(t, shape, 2), F.regexp_extract(t, shape, 3))).when(F.length(t) <= 40, t).otherwise("")
@@ -68,15 +88,8 @@ def patent_number(c: Column) -> Column:
 
 def unit_from(c: Column) -> Column:
     """First unit in a heading, in canonical spelling; null if none. Spelled-out and per-litre forms fold to molar ones."""
-    rules = [
-        ("nM", r"(\bnM\b|nmol/[lL]|\bnanomolar\b|10\^?-9 ?M)"),
-        ("uM", r"([uµμ]M\b|[uµμ]mol/[lL]|\bmicromolar\b|10\^?-6 ?M)"),
-        ("pM", r"(\bpM\b|pmol/[lL]|\bpicomolar\b)"),
-        ("mM", r"(\bmM\b|mmol/[lL]|\bmillimolar\b)"),
-        ("M", r"(\bM\b|\bmol/[lL]|\bmolar\b)"),
-        ("%", r"(%|\b[Pp]ercent\b|\bpct\b)"),
-    ]
-    return F.coalesce(*[F.when(c.rlike(p), F.lit(u)) for u, p in rules])
+    found = F.regexp_extract(c, "|".join(p for _, p in UNIT_FORMS), 0)
+    return F.coalesce(*[F.when(found.rlike(f"^(?:{p})$"), F.lit(u)) for u, p in UNIT_FORMS])
 
 
 def to_nm(value: Column, unit: Column) -> Column:
@@ -88,13 +101,13 @@ def to_nm(value: Column, unit: Column) -> Column:
 def parse_value(c: Column) -> Column:
     """One cell as struct(value_numeric, qualifier, unit, n_runs, letter_grade, annotation); all null if it states nothing.
 
-    Order: null marker, mean and deviation, letter grade A-E, plus signs, stars or hashes, then a qualified number with unit,
+    Order: null marker, qualified mean and deviation with unit, replicates and footnote marks, letter grade A-E, plus signs, stars or hashes, then a qualified number with unit,
     bracket (up to three digits are a replicate count, anything else a note) and footnote marks.
     """
     t = F.translate(c, "   −–≦≧≈", "   --≤≥~")
     t = blank_trim(F.replace(F.replace(t, F.lit(">="), F.lit("≥")), F.lit("<="), F.lit("≤")))
     unit = r"(%|[numpµμ]?M|[numpµμ]mol/[lL])?"
-    mean = r"^([0-9][0-9,]*\.?[0-9]*) ?(?:±|\+/-) ?[0-9.,]+ ?" + unit + r" ?(?:\(?n ?= ?([0-9]+)\)?)?$"
+    mean = r"^([<>~≥≤])? ?([0-9][0-9,]*\.?[0-9]*) ?(?:±|\+/-|\+-) ?[0-9.,]+ ?" + unit + r"[ ,;]*(?:\(? ?n ?= ?([0-9]{1,3}) ?\)?)?[ ,;]*[*#]*$"
     number = r"^([<>~≥≤=])? ?(-?(?:[0-9][0-9,]*(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][-+]?[0-9]+)?)((?: ?[x×] ?10\^?[-+]?[0-9]+)?) ?" + unit + r" ?(?:\(([^)]*)\))? ?[*#†]*$"
     is_null, is_mean, is_number = is_null_marker(t), t.rlike(mean), t.rlike(number)
     is_grade = t.rlike(r"^[A-Ea-e]$|^\++$|^\*+$|^#+$")
@@ -102,13 +115,13 @@ def parse_value(c: Column) -> Column:
     # mantissa and power are read as one number, which rounds once
     digits = F.regexp_replace(F.regexp_extract(t, number, 2), ",", "")
     plain = F.when(power.isNull(), digits).otherwise(F.concat(digits, F.lit("e"), power)).try_cast("double")
-    value = F.when(is_mean, F.regexp_replace(F.regexp_extract(t, mean, 1), ",", "").try_cast("double")).when(is_number, plain)
+    value = F.when(is_mean, F.regexp_replace(F.regexp_extract(t, mean, 2), ",", "").try_cast("double")).when(is_number, plain)
     paren = extract(t, number, 5)
-    n_runs = F.when(is_mean, extract(t, mean, 3)).when(is_number & paren.rlike(r"^[0-9]{1,3}$"), paren).try_cast("int")
+    n_runs = F.when(is_mean, extract(t, mean, 4)).when(is_number & paren.rlike(r"^[0-9]{1,3}$"), paren).try_cast("int")
     out = {
         "value_numeric": (value, "double"),
-        "qualifier": (F.when(is_number, extract(t, number, 1)), "string"),
-        "unit": (F.when(is_mean, extract(t, mean, 2)).when(is_number, extract(t, number, 4)), "string"),
+        "qualifier": (F.when(is_mean, extract(t, mean, 1)).when(is_number, extract(t, number, 1)), "string"),
+        "unit": (F.when(is_mean, extract(t, mean, 3)).when(is_number, extract(t, number, 4)), "string"),
         "n_runs": (n_runs, "int"),
         "letter_grade": (F.when(is_grade, F.upper(t)), "string"),
         "annotation": (F.when(is_number & ~paren.rlike(r"^[0-9]{1,3}$"), paren), "string"),
@@ -134,11 +147,29 @@ def metric_of(c: Column) -> Column:
 
 
 def axes(c: Column) -> Column:
-    """Assay heading as struct(metric, target, dose, species); the target is what is left without the others."""
-    dose = r"(?i)\b([0-9.]+ ?(?:mg/kg|[nuµμm]M))\b"
-    t = reduce(lambda s, p: F.regexp_replace(s, p, " "), [p for _, p in METRICS] + [dose, SPECIES, r"[,:()\[\]]", r"(?i)\b(against|assay|value)\b"], c)
-    target = F.nullif(F.trim(F.regexp_replace(t, r"\s+", " ")), F.lit(""))
-    return F.struct(metric_of(c).alias("metric"), target.alias("target"), extract(c, dose).alias("dose"), F.lower(extract(c, SPECIES)).alias("species"))
+    """Assay heading as struct(metric, target, dose, dose_um, species).
+
+    The target is what stands before the metric, without dose, unit and species; a heading that opens with its metric gives what is left
+    without the metrics. Underscores count as blanks; a threshold in no list is read as it is written. dose_um is null for several
+    doses and for ones that are no concentration.
+    """
+    name = F.translate(c, "_", " ")
+    known = metric_of(name)
+    general = F.when(name.rlike(THRESHOLD), F.concat(F.upper(F.regexp_extract(name, THRESHOLD, 1)), F.regexp_extract(name, THRESHOLD, 2)))
+
+    def clean(t: Column) -> Column:
+        for p in (DOSE, r"(?i)\( ?[numpµμ]?M ?\)|\( ?% ?\)|\bnM\b|[uµμ]M\b", SPECIES, r"[()\[\]]"):
+            t = F.regexp_replace(t, p, " ")
+        return F.nullif(F.regexp_replace(F.regexp_replace(t, r"\s+", " "), r"^[ \-,;:.]+|[ \-,;:.]+$", ""), F.lit(""))
+
+    before = F.coalesce(*[F.when(name.rlike(p), F.get(F.split(name, p, 2), F.lit(0))) for _, p in [*METRICS, ("", THRESHOLD)]])
+    left = reduce(lambda t, p: F.regexp_replace(t, p, " "), [p for _, p in METRICS], name)
+    number, unit, route = (F.regexp_extract(name, DOSE, i) for i in (1, 2, 3))
+    dose = F.nullif(F.trim(F.concat(number, F.lit(" "), unit, route)), F.lit(""))
+    factor = F.try_element_at(F.create_map(*[x for k, v in DOSE_TO_UM.items() for x in (F.lit(k), F.lit(v))]), F.lower(unit))
+    dose_um = F.when(~number.contains(","), number.try_cast("double")) * factor
+    species = F.lower(extract(name, SPECIES))
+    return F.struct(F.coalesce(known, general).alias("metric"), F.coalesce(clean(before), clean(left)).alias("target"), dose.alias("dose"), dose_um.alias("dose_um"), species.alias("species"))
 
 
 def band(lo: Column, hi: Column, unit: Column) -> Column:

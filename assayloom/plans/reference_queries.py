@@ -43,22 +43,17 @@ def _bt(c: str) -> str:
 
 
 def _ncid(c: str) -> str:
-    inner = f"regexp_replace({_bt(c)}, '(?i)^(?:example|compound|entry|cmpd|cpd|no|ex)(?:\\.|\\s|#|:)+', '')"
-    t = f"regexp_replace({_bt(inner)}, '^#\\s*', '')"
+    t = _bt(c)
+    for label in fn.CID_LABELS:
+        t = _bt(f"regexp_replace({t}, '{label}', '\\1')")
+    t = f"regexp_replace({t}, '^#\\s*', '')"
     shape = "'^([A-Za-z]{0,4}-?)0*([0-9]+)([A-Za-z]{0,2})$'"
     return f"CASE WHEN {c} IS NULL THEN NULL WHEN regexp_matches({t}, {shape}) THEN regexp_extract({t}, {shape}, 1) || regexp_extract({t}, {shape}, 2) || regexp_extract({t}, {shape}, 3) WHEN length({t}) <= 40 THEN {t} ELSE '' END"
 
 
 def _unit(c: str) -> str:
-    rules_ = [
-        ("nM", r"(\bnM\b|nmol/[lL]|\bnanomolar\b|10\^?-9 ?M)"),
-        ("uM", r"([uµμ]M\b|[uµμ]mol/[lL]|\bmicromolar\b|10\^?-6 ?M)"),
-        ("pM", r"(\bpM\b|pmol/[lL]|\bpicomolar\b)"),
-        ("mM", r"(\bmM\b|mmol/[lL]|\bmillimolar\b)"),
-        ("M", r"(\bM\b|\bmol/[lL]|\bmolar\b)"),
-        ("%", r"(%|\b[Pp]ercent\b|\bpct\b)"),
-    ]
-    return "CASE " + " ".join(f"WHEN regexp_matches({c}, '{p}') THEN '{u}'" for u, p in rules_) + " END"
+    found = f"regexp_extract({c}, '{'|'.join(p for _, p in fn.UNIT_FORMS)}', 0)"
+    return "CASE " + " ".join(f"WHEN regexp_matches({found}, '^(?:{p})$') THEN '{u}'" for u, p in fn.UNIT_FORMS) + " END"
 
 
 def _nm(v: str, u: str) -> str:
@@ -166,13 +161,16 @@ def q_patent_numbers(spark: SparkSession, d: str) -> DataFrame:
 _T = r"trim(replace(replace(translate(value_text, '−–≦≧≈', '--≤≥~'), '>=', '≥'), '<=', '≤'))"
 _NUMBER = r"'^([<>~≥≤=])? ?(-?(?:[0-9][0-9,]*(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][-+]?[0-9]+)?)((?: ?[x×] ?10\^?[-+]?[0-9]+)?) ?(%|[numpµμ]?M|[numpµμ]mol/[lL])? ?(?:\(([^)]*)\))? ?[*#†]*$'"
 
+_MEAN = r"'^([<>~≥≤])? ?([0-9][0-9,]*\.?[0-9]*) ?(?:±|\+/-|\+-) ?[0-9.,]+ ?(%|[numpµμ]?M|[numpµμ]mol/[lL])?[ ,;]*(?:\(? ?n ?= ?([0-9]{1,3}) ?\)?)?[ ,;]*[*#]*$'"
+
 
 @query(
     f"""WITH a AS (SELECT record_id, {_T} AS t FROM assay_records),
-b AS (SELECT record_id, t, regexp_matches(t, {_NUMBER}) AS num, coalesce(lower(t) IN ('', '-', '--', '—', '–', 'nd', 'nt', 'na', 'n/a', 'n.d.', 'n.t.', 'n.a.', 'not determined', 'not tested'), false) AS nul, regexp_matches(t, '^[A-Ea-e]$|^\\++$|^\\*+$|^#+$') AS grade FROM a),
+b AS (SELECT record_id, t, regexp_matches(t, {_NUMBER}) AS num, coalesce(regexp_matches(t, {_MEAN}), false) AS mean, coalesce(lower(t) IN ('', '-', '--', '—', '–', 'nd', 'nt', 'na', 'n/a', 'n.d.', 'n.t.', 'n.a.', 'not determined', 'not tested'), false) AS nul, regexp_matches(t, '^[A-Ea-e]$|^\\++$|^\\*+$|^#+$') AS grade FROM a),
 c AS (SELECT *, TRY_CAST(replace(regexp_extract(t, {_NUMBER}, 2), ',', '') || CASE WHEN regexp_extract(regexp_extract(t, {_NUMBER}, 3), '10\\^?([-+]?[0-9]+)', 1) <> '' THEN 'e' || regexp_extract(regexp_extract(t, {_NUMBER}, 3), '10\\^?([-+]?[0-9]+)', 1) ELSE '' END AS DOUBLE) AS plain, nullif(regexp_extract(t, {_NUMBER}, 5), '') AS paren FROM b)
-SELECT record_id, CASE WHEN num AND NOT nul THEN plain END AS value_numeric, CASE WHEN num AND NOT nul THEN nullif(regexp_extract(t, {_NUMBER}, 1), '') END AS qualifier, CASE WHEN num AND NOT nul THEN nullif(regexp_extract(t, {_NUMBER}, 4), '') END AS unit,
-CASE WHEN num AND NOT nul AND regexp_matches(paren, '^[0-9]{{1,3}}$') THEN CAST(paren AS INTEGER) END AS n_runs, CASE WHEN grade THEN upper(t) END AS letter_grade, CASE WHEN num AND NOT nul AND NOT regexp_matches(paren, '^[0-9]{{1,3}}$') THEN paren END AS annotation FROM c"""
+SELECT record_id, CASE WHEN mean THEN TRY_CAST(replace(regexp_extract(t, {_MEAN}, 2), ',', '') AS DOUBLE) WHEN num AND NOT nul THEN plain END AS value_numeric, CASE WHEN mean THEN nullif(regexp_extract(t, {_MEAN}, 1), '') WHEN num AND NOT nul THEN nullif(regexp_extract(t, {_NUMBER}, 1), '') END AS qualifier,
+CASE WHEN mean THEN nullif(regexp_extract(t, {_MEAN}, 3), '') WHEN num AND NOT nul THEN nullif(regexp_extract(t, {_NUMBER}, 4), '') END AS unit,
+CASE WHEN mean THEN TRY_CAST(nullif(regexp_extract(t, {_MEAN}, 4), '') AS INTEGER) WHEN num AND NOT nul AND regexp_matches(paren, '^[0-9]{{1,3}}$') THEN CAST(paren AS INTEGER) END AS n_runs, CASE WHEN grade THEN upper(t) END AS letter_grade, CASE WHEN num AND NOT nul AND NOT regexp_matches(paren, '^[0-9]{{1,3}}$') THEN paren END AS annotation FROM c"""
 )
 def q_parse_value(spark: SparkSession, d: str) -> DataFrame:
     """The value cascade over every value text."""
@@ -190,16 +188,22 @@ def q_to_nm(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "reader_dump", "dump_row", "value_numeric", "unit").select("dump_row", F.round(fn.to_nm(F.col("value_numeric"), F.col("unit")), 6).alias("nm"))
 
 
-_AXES_CLEAN = reduce(lambda s, p: f"regexp_replace({s}, '{p}', ' ', 'g')", [p for _, p in fn.METRICS] + [r"(?i)\b([0-9.]+ ?(?:mg/kg|[nuµμm]M))\b", fn.SPECIES, r"[,:()\[\]]", r"(?i)\b(against|assay|value)\b"], "assay_name")
+_AXES_CLEAN = lambda t: "nullif(regexp_replace(regexp_replace(" + reduce(lambda x, p: f"regexp_replace({x}, '{p}', ' ', 'g')", [fn.DOSE, r"(?i)\( ?[numpµμ]?M ?\)|\( ?% ?\)|\bnM\b|[uµμ]M\b", fn.SPECIES, r"[()\[\]]"], t) + r", '\s+', ' ', 'g'), '^[ \-,;:.]+|[ \-,;:.]+$', '', 'g'), '')"
+_AXES_FIRST = "CASE " + " ".join(f"WHEN regexp_matches(n, '{p}') THEN regexp_split_to_array(n, '{p}')[1]" for p in [*[p for _, p in fn.METRICS], fn.THRESHOLD]) + " END"
+_AXES_LEFT = reduce(lambda x, p: f"regexp_replace({x}, '{p}', ' ', 'g')", [p for _, p in fn.METRICS], "n")
 
 
 @query(
-    rf"SELECT DISTINCT assay_name, {_metric('assay_name')} AS metric, nullif(trim(regexp_replace({_AXES_CLEAN}, '\s+', ' ', 'g')), '') AS target, nullif(regexp_extract(assay_name, '(?i)\b([0-9.]+ ?(?:mg/kg|[nuµμm]M))\b', 1), '') AS dose, lower(nullif(regexp_extract(assay_name, '{fn.SPECIES}', 1), '')) AS species FROM reader_dump WHERE assay_name IS NOT NULL"
+    f"""WITH a AS (SELECT DISTINCT assay_name, replace(assay_name, '_', ' ') AS n FROM reader_dump WHERE assay_name IS NOT NULL),
+b AS (SELECT *, {_AXES_FIRST} AS first, {_AXES_LEFT} AS rest, regexp_extract(n, '{fn.DOSE}', 1) AS num, regexp_extract(n, '{fn.DOSE}', 2) AS u, regexp_extract(n, '{fn.DOSE}', 3) AS route FROM a)
+SELECT assay_name, coalesce({_metric('n')}, CASE WHEN regexp_matches(n, '{fn.THRESHOLD}') THEN upper(regexp_extract(n, '{fn.THRESHOLD}', 1)) || regexp_extract(n, '{fn.THRESHOLD}', 2) END) AS metric,
+coalesce({_AXES_CLEAN('first')}, {_AXES_CLEAN('rest')}) AS target, nullif(trim(num || ' ' || u || route), '') AS dose,
+CASE WHEN NOT contains(num, ',') THEN TRY_CAST(num AS DOUBLE) * CASE lower(u) WHEN 'nm' THEN 1e-3 WHEN 'um' THEN 1.0 WHEN 'µm' THEN 1.0 WHEN 'μm' THEN 1.0 WHEN 'mm' THEN 1e3 WHEN 'pm' THEN 1e-6 WHEN 'm' THEN 1e6 END END AS dose_um, lower(nullif(regexp_extract(n, '{fn.SPECIES}', 1), '')) AS species FROM b"""
 )
 def q_heading_axes(spark: SparkSession, d: str) -> DataFrame:
     """Metric, target, dose and species of each distinct heading."""
     names = table(spark, d, "reader_dump", "assay_name").filter("assay_name is not null").distinct()
-    return names.withColumn("a", fn.axes(F.col("assay_name"))).select("assay_name", "a.metric", "a.target", "a.dose", "a.species")
+    return names.withColumn("a", fn.axes(F.col("assay_name"))).select("assay_name", "a.metric", "a.target", "a.dose", "a.dose_um", "a.species")
 
 
 @query(
