@@ -13,8 +13,8 @@ from assayloom.functions import cells as fn
 POTENCY = r"(?i)(IC[ _.-]?50|EC[ _.-]?50|\bK[ _-]?[id]\b|inhibition constant|dissociation constant|half.?maximal)"
 LOWEST_NM, HIGHEST_NM = 1e-3, 1e6
 DISAGREE, BLOCK_ROWS, FEW = 100.0, 4, 5
-# Words that name no target.
-STOP_WORDS = ["assay", "activity", "value", "result", "results", "data", "table", "column", "unnamed", "inhibition", "ic50", "ec50", "ki", "kd", "potency", "set", "example", "no", "and", "biological", "one", "at", "dose", "constant", "nm", "um"]
+# Words that name no measurable quantity.
+STOP_WORDS = "ic ec gi cc ld kd ki kb mic nm um mm pm assay assays probe test value values data result results method binding inhibition inh activity potency cell cells human mouse rat htrf fret spa elisa tr glo wild type wt mut mutant at of in the and or no nd n a b c d e".split()
 
 
 def usable(r: str = "") -> Column:
@@ -34,11 +34,26 @@ def _flag(df: DataFrame, check: str, stake: Column, detail: Column) -> DataFrame
     return df.select(F.lit(check).alias("check"), "patent_id", stake.cast("long").alias("rows_at_stake"), detail.cast("string").alias("detail"))
 
 
-def out_of_range(records: DataFrame) -> DataFrame:
-    """Usable potencies of at most 0 or outside the plausible range of nanomolar values."""
-    bad = records.filter(usable() & is_potency()).withColumn("nm", _nm()).filter(f"nm <= 0 or nm < {LOWEST_NM} or nm > {HIGHEST_NM}")
-    g = bad.groupBy("patent_id").agg(F.count(F.lit(1)).alias("n"))
-    return _flag(g, "potency_out_of_range", F.col("n"), F.lit(None))
+def by_patent(records: DataFrame) -> DataFrame:
+    """The checks that need counts of a patent only, in one pass: potency_out_of_range (usable potencies of at most 0 or outside the plausible
+    range), unnamed_assay (at least ``FEW`` valued records without a real name), impossible_interval (lower bound not below the upper),
+    n_runs_dropped (value texts state replicate counts that the records lack: at least ``FEW`` stated, 3 and 10 % missed)."""
+    nm = _nm()
+    odd = usable() & is_potency() & ((nm <= 0) | (nm < LOWEST_NM) | (nm > HIGHEST_NM))
+    nameless = F.col("assay_name").isNull() | (F.col("assay_name") == "") | F.lower("assay_name").contains("unnamed")
+    valued = F.col("value_numeric").isNotNull() | F.col("range_lo").isNotNull() | F.col("range_hi").isNotNull()
+    g = records.groupBy("patent_id").agg(
+        F.count_if(odd).alias("odd"), F.count_if(nameless & valued).alias("nameless"), F.count_if(F.col("range_lo") >= F.col("range_hi")).alias("empty"), F.count_if(F.col("value_text").rlike(r"\([0-9]{1,3}\)")).alias("stated"), F.count("n_runs").alias("kept")
+    )
+    missed = F.col("stated") - F.col("kept")
+    checks = {
+        "n_runs_dropped": (missed, (F.col("stated") >= FEW) & (missed >= F.greatest(F.lit(3.0), 0.1 * F.col("stated")))),
+        "potency_out_of_range": (F.col("odd"), F.col("odd") > 0),
+        "unnamed_assay": (F.col("nameless"), F.col("nameless") >= FEW),
+        "impossible_interval": (F.col("empty"), F.col("empty") > 0),
+    }
+    flags = F.array_compact(F.array(*[F.when(holds, F.struct(F.lit(k).alias("check"), n.cast("long").alias("rows_at_stake"))) for k, (n, holds) in checks.items()]))
+    return g.select("patent_id", F.explode(flags).alias("f")).select("f.check", "patent_id", "f.rows_at_stake", F.lit(None).cast("string").alias("detail"))
 
 
 def unconvertible_unit(records: DataFrame) -> DataFrame:
@@ -47,12 +62,6 @@ def unconvertible_unit(records: DataFrame) -> DataFrame:
     return _flag(bad.groupBy("patent_id", "unit").agg(F.count(F.lit(1)).alias("n")), "unconvertible_unit", F.col("n"), F.col("unit"))
 
 
-def unnamed_assay(records: DataFrame) -> DataFrame:
-    """At least five valued records of a patent without a real name."""
-    bad = records.filter((F.col("assay_name").isNull() | (F.col("assay_name") == "") | F.lower("assay_name").contains("unnamed")) & (F.col("value_numeric").isNotNull() | F.col("range_lo").isNotNull() | F.col("range_hi").isNotNull()))
-    return _flag(bad.groupBy("patent_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= FEW), "unnamed_assay", F.col("n"), F.lit(None))
-
-
 def same_assay_disagrees(records: DataFrame) -> DataFrame:
     """Assays whose medians over tables of at least four positive potencies lie a factor of 100 apart."""
     pos = records.filter(usable() & is_potency()).withColumn("nm", _nm()).filter("nm > 0").withColumn("name", F.lower("assay_name"))
@@ -61,11 +70,6 @@ def same_assay_disagrees(records: DataFrame) -> DataFrame:
     return _flag(g, "same_assay_disagrees", F.col("n"), F.col("name"))
 
 
-def impossible_interval(records: DataFrame) -> DataFrame:
-    g = records.filter("range_lo >= range_hi").groupBy("patent_id").agg(F.count(F.lit(1)).alias("n"))
-    return _flag(g, "impossible_interval", F.col("n"), F.lit(None))
-
-
 def duplicate_facts(records: DataFrame) -> DataFrame:
     """Facts stated more than once: what is at stake are the repeats."""
     facts = ["cid", "assay_name", "table_id", "value_numeric", "letter_grade", "range_lo", "range_hi", "unit"]
@@ -73,18 +77,20 @@ def duplicate_facts(records: DataFrame) -> DataFrame:
     return _flag(g, "duplicate_facts", F.col("n"), F.lit(None))
 
 
-def label_names_nothing(records: DataFrame) -> DataFrame:
-    """Labels of at least five usable records in which no word can name a target."""
-    words = F.filter(F.split(F.lower("assay_name"), r"[^a-z0-9]+"), lambda w: (F.length(w) > 1) & ~w.isin(STOP_WORDS) & ~w.rlike(r"^[0-9]+$"))
-    bad = records.filter(usable() & (F.size(words) == 0)).groupBy("patent_id", F.lower("assay_name").alias("name")).agg(F.count(F.lit(1)).alias("n"))
-    return _flag(bad.filter(F.col("n") >= FEW), "label_names_nothing", F.col("n"), F.col("name"))
+def names_quantity(name: Column) -> Column:
+    """Whether some word of a name, of two letters or digits at least and beginning with a letter, may name what was measured."""
+    return F.exists(F.split(F.lower(name), r"[^a-z0-9_]+"), lambda w: w.rlike(r"^[a-z][a-z0-9]") & ~w.isin(STOP_WORDS))
 
 
-def n_runs_dropped(records: DataFrame) -> DataFrame:
-    """Patents whose value texts state replicate counts that the records lack: at least 5 stated, 3 and 10 % missed."""
-    g = records.groupBy("patent_id").agg(F.count_if(F.col("value_text").rlike(r"\([0-9]{1,3}\)")).alias("stated"), F.count("n_runs").alias("kept"))
-    g = g.withColumn("missed", F.col("stated") - F.col("kept")).filter((F.col("stated") >= FEW) & (F.col("missed") >= F.greatest(F.lit(3.0), 0.1 * F.col("stated"))))
-    return _flag(g, "n_runs_dropped", F.col("missed"), F.lit(None))
+def label_names_nothing(records: DataFrame, shown: int = 6) -> DataFrame:
+    """Patents with at least ``FEW`` usable records, over all their labels, whose label names nothing measurable; detail holds the most frequent
+    labels."""
+    bad = records.filter(usable() & ~names_quantity(F.col("assay_name")))
+    by_label = bad.groupBy("patent_id", "assay_name").agg(F.count(F.lit(1)).alias("n"))
+    # distinct labels of a patent without a quantity: a short list
+    labels = F.transform(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("k"), F.col("assay_name").alias("name")))), 1, shown), lambda x: x["name"])
+    g = by_label.groupBy("patent_id").agg(F.sum("n").alias("n"), F.array_join(labels, "; ").alias("labels"))
+    return _flag(g.filter(F.col("n") >= FEW), "label_names_nothing", F.col("n"), F.col("labels"))
 
 
 def drawn_but_unnumbered(cells: DataFrame) -> DataFrame:
@@ -100,8 +106,8 @@ def columns_not_grouped(columns: DataFrame) -> DataFrame:
     return _flag(g.filter("ids >= 2 and assays > 0"), "columns_not_grouped", F.col("assays"), F.concat_ws("/", "table_uid", "tgroup_ix"))
 
 
-#: Checks over records, in order; table checks need cells or columns.
-RECORD_CHECKS: list[Callable[[DataFrame], DataFrame]] = [n_runs_dropped, out_of_range, unconvertible_unit, unnamed_assay, same_assay_disagrees, impossible_interval, duplicate_facts, label_names_nothing]
+#: Passes over records, in order; table checks need cells or columns.
+RECORD_CHECKS: list[Callable[[DataFrame], DataFrame]] = [by_patent, unconvertible_unit, same_assay_disagrees, duplicate_facts, label_names_nothing]
 
 
 def audit(records: DataFrame, cells: DataFrame | None = None, columns: DataFrame | None = None) -> DataFrame:

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from assayloom.functions import cells as fn
 
-MOST_CANDIDATES = 24
 _PAIRS = {")": "(", "]": "[", "}": "{"}
 #: Glyphs that recognisers confuse, as alternatives of one site.
 _SITES = re.compile(r"(?<=\d)[lI](?=[,\-])|(?<=[,\-])[lI](?=[,\-\d])|(?<=\d)O(?=[,\-])|rn(?=eth)|vv")
@@ -85,7 +84,7 @@ def span_variants(text: str, start: int, end: int) -> list[str]:
     return [raw, *(x.strip(" \t.,;:-") for x in out[1:])]
 
 
-def variants(text: str, most: int = MOST_CANDIDATES) -> list[str]:
+def variants(text: str) -> list[str]:
     """Ordered readings of a text without repeats: those of the whole, without stereo prefix, de-wrapped, and those of each name-like run
     that covers ``SEED_COVERAGE`` of its letters and digits."""
     flat = re.sub(r"\s*([\-\[\](){},])\s*", r"\1", text)
@@ -95,7 +94,7 @@ def variants(text: str, most: int = MOST_CANDIDATES) -> list[str]:
     for m in _SEED.finditer(flat):
         if re.search("[a-z]{3}", m.group()) and size(m.group()) >= SEED_COVERAGE * size(flat):
             out += span_variants(flat, *m.span())
-    return [x for x in dict.fromkeys(x.strip() for x in out) if x][:most]
+    return [x for x in dict.fromkeys(x.strip() for x in out) if x]
 
 
 def _trimmed(text: str) -> Iterator[str]:
@@ -162,38 +161,79 @@ def misread(text: str, sites: int = 4, least: int = 40) -> list[str]:
 
 @dataclass(frozen=True)
 class Pattern:
-    """A kind of damage: where it lies, how it is mended, and whether it needs corroboration elsewhere in the document."""
+    """A kind of damage: its sites with what they become, and whether the mended name may stand without corroboration in the document."""
 
     pattern_id: str
-    site: re.Pattern[str]
-    fix: Callable[[str], str]
+    sites: Callable[[str], Iterator[tuple[int, int, str]]]
     trusted: bool = False
 
 
+#: Characters behind an open bracket among which its lost partner is sought.
+CLOSE_WINDOW = 60
+_PARTNER = {v: k for k, v in _PAIRS.items()}
+# A footnote number fused onto a name; two letters before it, so that a deuterium label (-d4) stays.
+FOOTNOTE = r"[a-z]{2}[0-9]+$"
+# A substituent in square brackets whose round bracket never opened: [5-methylpyridin-2-yl)
+LOST_PAREN = r"\[[0-9][0-9A-Za-z_,'*-]*-yl\)"
+# A locant, then 1- in place of the bracket: -4-1-trifluoromethoxy)
+DIGIT_PAREN = r"-[0-9]{1,2}-1-[A-Za-z]{4,25}\)"
+# ey in place of ch: eyloro
+EY = r"ey[a-z]{2}"
+
+
+def _footnote(name: str) -> Iterator[tuple[int, int, str]]:
+    yield from ((m.start() + 2, m.end(), "") for m in re.finditer(FOOTNOTE, name.rstrip()))
+
+
+def _lost_paren(name: str) -> Iterator[tuple[int, int, str]]:
+    yield from ((m.start() + 1, m.start() + 1, "(") for m in re.finditer(LOST_PAREN, name))
+
+
+def _digit_paren(name: str) -> Iterator[tuple[int, int, str]]:
+    for m in re.finditer(DIGIT_PAREN, name):
+        at = m.start() + m.group().index("-1-", 1) + 1
+        yield at, at + 2, "("
+
+
+def _ey(name: str) -> Iterator[tuple[int, int, str]]:
+    yield from ((m.start(), m.start() + 2, "ch") for m in re.finditer(EY, name))
+
+
+def _stray_closers(name: str) -> Iterator[tuple[int, int, str]]:
+    yield from ((i, i + 1, "") for i in unmatched(name)[1])
+
+
+def _stray_openers(name: str) -> Iterator[tuple[int, int, str]]:
+    yield from ((i, i + 1, "") for i in unmatched(name)[0])
+
+
+def _lost_closers(name: str) -> Iterator[tuple[int, int, str]]:
+    """Every place behind an open bracket: there need be no sign where its partner was."""
+    for i in unmatched(name)[0]:
+        yield from ((k, k, _PARTNER[name[i]]) for k in range(i + 2, min(len(name), i + 1 + CLOSE_WINDOW) + 1))
+
+
+# The names of the patterns; rules of a library refer to them.
 PATTERNS = [
-    Pattern("footnote_digit_tail", re.compile(r"(?<=[a-z])\d{1,2}$"), lambda m: "", True),
-    Pattern("dropped_open_paren", re.compile(r"(?<=-)(?=[a-z]+\)-)"), lambda m: "(", True),
-    Pattern("digit_for_paren", re.compile(r"(?<=[a-z])1(?=-)|(?<=-)1(?=[a-z])"), lambda m: ")"),
-    Pattern("ch_as_ey", re.compile(r"ey(?=lo)"), lambda m: "cy"),
-    Pattern("stray_closing_bracket", re.compile(r"[)\]}]"), lambda m: ""),
-    Pattern("stray_opening_bracket", re.compile(r"[(\[{]"), lambda m: ""),
-    Pattern("dropped_close_bracket", re.compile(r"(?<=[a-z])(?=-\d|$)"), lambda m: ")"),
+    Pattern("footnote_digit_tail", _footnote, True),
+    Pattern("dropped_open_paren", _lost_paren, True),
+    Pattern("digit_for_paren", _digit_paren),
+    Pattern("ch_as_ey", _ey),
+    Pattern("stray_closing_bracket", _stray_closers),
+    Pattern("stray_opening_bracket", _stray_openers),
+    Pattern("dropped_close_bracket", _lost_closers),
 ]
 
 
 def repairs(name: str) -> Iterator[tuple[str, bool, str, str]]:
-    """(pattern_id, trusted, repaired, fragment around the change) of each candidate; bracket patterns apply only to unbalanced names."""
-    openers, closers = unmatched(name)
+    """(pattern_id, trusted, repaired, fragment around the change) of each candidate, one change each, without repeats."""
+    seen: set[tuple[str, str]] = set()
     for p in PATTERNS:
-        if p.pattern_id == "stray_closing_bracket" and not closers or p.pattern_id in ("stray_opening_bracket", "dropped_close_bracket") and not openers:
-            continue
-        for m in p.site.finditer(name):
-            fixed = name[: m.start()] + p.fix(m.group()) + name[m.end() :]
-            left_open, left_close = unmatched(fixed)
-            if "bracket" in p.pattern_id and (left_open or left_close):
-                continue
-            if fixed != name:
-                yield p.pattern_id, p.trusted, fixed, fixed[max(0, m.start() - 12) : m.start() + 12]
+        for start, end, put in p.sites(name):
+            fixed = name[:start] + put + name[end:]
+            if fixed != name and (p.pattern_id, fixed) not in seen:
+                seen.add((p.pattern_id, fixed))
+                yield p.pattern_id, p.trusted, fixed, fixed[max(0, start - 12) : start + 12]
 
 
 def candidates(names: DataFrame, name: str, of: Callable[[str], list[str]] = variants) -> DataFrame:
@@ -231,11 +271,11 @@ def accepted(name: Column, repaired: Column, least: float = 0.9) -> Column:
     return fn.retention(name, repaired) >= least
 
 
-def collateral(clean: DataFrame, name: str, patterns: list[tuple[str, str]]) -> DataFrame:
-    """(pattern_id, share): share of clean names that a pattern would touch."""
-    aggs = [F.avg(F.col(name).rlike(p).cast("double")).alias(i) for i, p in patterns]
-    wide = clean.agg(*aggs)
-    return wide.unpivot([], [i for i, _ in patterns], "pattern_id", "share")
+def collateral(clean: DataFrame, name: str) -> DataFrame:
+    """(pattern_id, share): share of clean names that each pattern would touch. No names, no shares."""
+    touched = F.pandas_udf(lambda s: s.map(lambda x: [next(p.sites(x or ""), None) is not None for p in PATTERNS]), "array<boolean>")
+    wide = clean.select(touched(name).alias("t")).agg(*[F.avg(F.get("t", F.lit(i)).cast("double")).alias(p.pattern_id) for i, p in enumerate(PATTERNS)])
+    return wide.unpivot([], [p.pattern_id for p in PATTERNS], "pattern_id", "share").filter("share is not null")
 
 
 def first_accepted(resolved: DataFrame, keys: list[str], order: list[str], ok: Column) -> DataFrame:

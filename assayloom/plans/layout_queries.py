@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from assayloom.common import shared_folder, table
 from assayloom.functions import cells as fn
 from assayloom.functions import texts
 from assayloom.operators import audit, deliver, drawings, extract, identity, layout, names, rules
+from assayloom.plans import name_cases
 from assayloom.plans.reference_queries import _CELLS, _COLUMNS, _HEADS, _SHAPE, _SHAPES, _bt, _flat, _k, _keyed, _metric, _ncid, _unit, query
 from assayloom.streaming import ingest
 
@@ -178,13 +180,30 @@ def q_name_repairs(spark: SparkSession, d: str) -> DataFrame:
     return names.corroborated(r, s, "patent_id", "structure_id", "raw_cell").select("structure_id", "pattern_id", "trusted", "repaired")
 
 
-_COLLATERAL = [("footnote_digit_tail", "[a-z][0-9]{1,2}$"), ("ch_as_ey", "eylo"), ("open_tail", "[(\\[{]$")]
+@query(name_cases.expected_sql())
+def q_repair_cases(spark: SparkSession, d: str) -> DataFrame:
+    """Repairs of damaged names of every kind, held against names mended by hand; sound names are in it and give nothing."""
+    cases = [(i, n, p, m) for i, (n, p, m) in enumerate(name_cases.REPAIRED)] + [(100 + i, n, p, None) for i, (n, p) in enumerate(name_cases.UNTOUCHED)]
+    df = spark.createDataFrame(cases, "case_no int, name string, wanted string, mended string")
+    r = names.repair_candidates(df, "name").filter("pattern_id = wanted and (mended is null or repaired = mended)")
+    return r.select("case_no", "pattern_id", "repaired")
 
 
-@query(" UNION ALL ".join(f"SELECT '{i}' AS pattern_id, round(avg(CASE WHEN regexp_matches(name, '{p}') THEN 1.0 ELSE 0.0 END), 9) AS share FROM compounds WHERE name IS NOT NULL" for i, p in _COLLATERAL))
+# brackets of one kind that hold no bracket are taken away until none is left; what stays has no partner
+_INNER = r"\([^()\[\]{}]*\)|\[[^()\[\]{}]*\]|\{[^()\[\]{}]*\}"
+_BARE = reduce(lambda x, _: f"regexp_replace({x}, '{_INNER}', '', 'g')", range(16), "name")
+_TOUCHED = [
+    *[(i, f"regexp_matches({c}, '{p}')") for i, c, p in (("footnote_digit_tail", "rtrim(name)", names.FOOTNOTE), ("dropped_open_paren", "name", names.LOST_PAREN.replace("'", "''")), ("digit_for_paren", "name", names.DIGIT_PAREN), ("ch_as_ey", "name", names.EY))],
+    ("stray_closing_bracket", "regexp_matches(b, '[)\\]}]')"),
+    ("stray_opening_bracket", "regexp_matches(b, '[(\\[{]')"),
+    ("dropped_close_bracket", "regexp_matches(b, '[(\\[{]')"),
+]
+
+
+@query(f"WITH n AS (SELECT name, {_BARE} AS b FROM compounds WHERE name IS NOT NULL) " + " UNION ALL ".join(f"SELECT '{i}' AS pattern_id, round(avg(CASE WHEN {c} THEN 1.0 ELSE 0.0 END), 9) AS share FROM n" for i, c in _TOUCHED))
 def q_pattern_collateral(spark: SparkSession, d: str) -> DataFrame:
-    """Share of clean names that a repair pattern would touch."""
-    out = names.collateral(table(spark, d, "compounds", "name").filter("name is not null"), "name", _COLLATERAL)
+    """Share of clean names that each repair pattern would touch."""
+    out = names.collateral(table(spark, d, "compounds", "name").filter("name is not null"), "name")
     return out.select("pattern_id", F.round("share", 9).alias("share"))
 
 

@@ -588,7 +588,7 @@ UNION ALL SELECT 'unnamed_assay', patent_id, count(*), NULL FROM u WHERE (assay_
 UNION ALL SELECT 'same_assay_disagrees', patent_id, CAST(sum(n) AS BIGINT), name FROM (SELECT patent_id, lower(assay_name) AS name, table_id, median(nm) AS m, count(*) AS n FROM u WHERE usable AND potency AND nm > 0 GROUP BY ALL) WHERE n >= 4 GROUP BY patent_id, name HAVING count(*) >= 2 AND max(m) / min(m) >= 100
 UNION ALL SELECT 'impossible_interval', patent_id, count(*), NULL FROM u WHERE range_lo >= range_hi GROUP BY patent_id
 UNION ALL SELECT 'duplicate_facts', patent_id, CAST(sum(n - 1) AS BIGINT), NULL FROM (SELECT patent_id, cid, assay_name, table_id, value_numeric, letter_grade, range_lo, range_hi, unit, count(*) AS n FROM u GROUP BY ALL) WHERE n > 1 GROUP BY patent_id
-UNION ALL SELECT 'label_names_nothing', patent_id, count(*), lower(assay_name) FROM u WHERE usable AND len(list_filter(regexp_split_to_array(lower(assay_name), '[^a-z0-9]+'), lambda w: length(w) > 1 AND NOT list_contains({audit.STOP_WORDS!r}, w) AND NOT regexp_matches(w, '^[0-9]+$'))) = 0 GROUP BY patent_id, lower(assay_name) HAVING count(*) >= 5)"""
+UNION ALL SELECT 'label_names_nothing', patent_id, CAST(sum(n) AS BIGINT), array_to_string(list_transform(list_sort(list((-n, assay_name)))[1:6], lambda x: x[2]), '; ') FROM (SELECT patent_id, assay_name, count(*) AS n FROM u WHERE usable AND len(list_filter(regexp_split_to_array(lower(assay_name), '[^a-z0-9_]+'), lambda w: regexp_matches(w, '^[a-z][a-z0-9]') AND NOT list_contains({audit.STOP_WORDS!r}, w))) = 0 GROUP BY ALL) GROUP BY patent_id HAVING sum(n) >= 5)"""
 
 
 @query(f'WITH {_FLAGS} SELECT "check", patent_id, rows_at_stake, detail FROM f')

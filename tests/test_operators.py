@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from assayloom.functions import grades
 from assayloom.operators import audit, deliver, drawings, extract, identity, layout, legend, names, rules
 from assayloom.plans import layout_queries as lq
+from assayloom.plans import name_cases
 from assayloom.sources import documents as src
 
 XML = """<us><description><heading>EXAMPLES</heading><p>Preamble &amp; more</p><p>TABLE 1 shows IC<sub>50</sub> (&mgr;M)</p>
@@ -169,10 +170,14 @@ def test_audits(spark):
     schema = "patent_id string, cid string, assay_name string, value_numeric double, unit string, n_runs int, letter_grade string, range_lo double, range_hi double, value_text string, table_id string"
     rows = [("A", str(i), "Kxa IC50", 1.0 if i < 4 else 500.0, "nM", None, None, None, None, "1 (3)", "T1" if i < 4 else "T2") for i in range(8)]
     rows += [("A", "9", "Kxa IC50", 1e7, "nM", None, None, None, None, "x", "T3"), ("A", "9", "Kxa IC50", 1.0, "mg/kg", None, None, None, None, "x", "T3"), ("A", "9", "x", None, None, None, "B", 5.0, 5.0, None, "T4"), ("A", "9", "x", None, None, None, "B", 5.0, 5.0, None, "T4")]
-    rows += [("B", str(i), "unnamed", 1.0, "nM", 1, None, None, None, "1", "T") for i in range(5)] + [("C", str(i), "IC50 assay", 1.0, "nM", None, None, None, None, "1", "T") for i in range(5)] + [(None, None, None, None, None, None, None, None, None, None, None)]
+    rows += [("B", str(i), "unnamed", 1.0, "nM", 1, None, None, None, "1", "T") for i in range(5)] + [("C", str(i), f"Assay {i // 3}", 1.0, "nM", None, None, None, None, "1", "T") for i in range(5)] + [(None, None, None, None, None, None, None, None, None, None, None)]
     got = {(r.check, r.patent_id): r.rows_at_stake for r in audit.audit(spark.createDataFrame(rows, schema)).collect()}
     assert got == {("n_runs_dropped", "A"): 8, ("potency_out_of_range", "A"): 1, ("unconvertible_unit", "A"): 1, ("same_assay_disagrees", "A"): 8, ("impossible_interval", "A"): 2, ("duplicate_facts", "A"): 1, ("unnamed_assay", "B"): 5, ("label_names_nothing", "C"): 5}
+    assert audit.label_names_nothing(spark.createDataFrame(rows, schema)).first().detail == "Assay 0; Assay 1"  # three and two records
     assert audit.audit(spark.createDataFrame(rows, schema).limit(0)).count() == 0
+    labels = [("probe 2", False), ("Assay 1", False), ("(nM)", False), ("IC 50 (nM)", False), ("Human cell potency", False), ("MAGL IC50", True), ("hERG", True), ("", False), (None, None)]
+    df = spark.createDataFrame([(x,) for x, _ in labels], "n string").select("n", audit.names_quantity(F.col("n")).alias("q"))
+    assert [(r.n, r.q) for r in df.collect()] == labels
 
 
 def test_rules(spark, tmp_path):
@@ -236,6 +241,10 @@ def test_names_and_drawings(spark):
     assert names.misread(text)[1:] and any("-1-phenyl" in x and "(methyl)" in x for x in names.misread(text)) and names.misread("short l") == ["short l"]
     ids = {p for p, *_ in names.repairs("4-(methyl)-phenyl]-1-propane2")}
     assert {"footnote_digit_tail", "stray_closing_bracket"} <= ids
+    for damaged, pattern, mended in name_cases.REPAIRED:
+        assert (pattern, mended) in {(p, fixed) for p, _, fixed, _ in names.repairs(damaged)}, damaged
+    for sound, pattern in name_cases.UNTOUCHED:
+        assert pattern not in {p for p, *_ in names.repairs(sound)}, sound
     df = spark.createDataFrame([(1, "P", "abcdefgh-(methyl)-phenyl]-pyrazole"), (2, "P", "xx abcdefgh-(methyl)-phenyl-pyrazole yy"), (3, "P", "nothing]else-is-like-this"), (4, "Q", None)], "r int, p string, t string")
     fixed = names.corroborated(names.repair_candidates(df, "t"), df, "p", "r", "t").collect()
     assert {(x.r, x.pattern_id) for x in fixed if not x.trusted} == {(1, "stray_closing_bracket")}
