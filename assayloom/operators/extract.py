@@ -13,50 +13,67 @@ KEY = ["table_uid", "tgroup_ix"]
 def flat_cells(tables: DataFrame) -> DataFrame:
     """(patent_id, table_uid, tgroup_ix, section, row_ix, cell_ix, text, colspan, col, chemistry_id) of typed tables, delivered once.
 
-    ``col`` is the first column a cell covers: its start if that is known, else the sum of the spans before it.
+    ``col`` is the first column a cell covers: its start if that is known, else the sum of the spans before it. The one shuffle is that by
+    table group; all that follows per group, column or row keeps its partitioning.
     """
-    one = tables.withColumn("rn", F.row_number().over(Window.partitionBy(*KEY).orderBy("scanned_at"))).filter("rn = 1")
-    parts = []
-    for section in ("header", "body"):
-        rows = one.select("patent_id", *KEY, F.lit(section).alias("section"), F.posexplode(f"{section}_rows").alias("row_ix", "row"))
-        parts.append(rows.select("patent_id", *KEY, "section", "row_ix", F.posexplode("row").alias("cell_ix", "c")))
-    flat = parts[0].unionByName(parts[1]).select("patent_id", *KEY, "section", "row_ix", "cell_ix", F.coalesce("c.text", F.lit("")).alias("text"), F.greatest(F.coalesce("c.colspan", F.lit(1)), F.lit(1)).alias("colspan"), F.col("c.col_start").alias("col_start"), F.col("c.chemistry_id").alias("chemistry_id"))
+    one = tables.groupBy(*KEY).agg(F.min_by(F.struct("patent_id", "header_rows", "body_rows"), F.struct("scanned_at")).alias("t"))
+    sections = one.select("t.patent_id", *KEY, F.inline(F.array(*[F.struct(F.lit(s).alias("section"), F.col(f"t.{s}_rows").alias("rows")) for s in ("header", "body")])))
+    rows = sections.select("patent_id", *KEY, "section", F.posexplode("rows").alias("row_ix", "row"))
+    flat = rows.select("patent_id", *KEY, "section", "row_ix", F.posexplode("row").alias("cell_ix", "c"))
+    flat = flat.select("patent_id", *KEY, "section", "row_ix", "cell_ix", F.coalesce("c.text", F.lit("")).alias("text"), F.greatest(F.coalesce("c.colspan", F.lit(1)), F.lit(1)).alias("colspan"), F.col("c.col_start").alias("col_start"), F.col("c.chemistry_id").alias("chemistry_id"))
     before = F.coalesce(F.sum("colspan").over(Window.partitionBy(*KEY, "section", "row_ix").orderBy("cell_ix").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return flat.withColumn("col", F.when(F.col("col_start") >= 0, F.col("col_start")).otherwise(before).cast("int")).drop("col_start")
 
 
+_SHAPES = ["bin", "cid", "num", "text"]
+
+
+def columns_of(cells: DataFrame, first: int = 40, share: float = 0.6) -> DataFrame:
+    """(keys, col, header, shape, n): one pass over the cells of each group.
+
+    header: the header lines over a column from top to bottom, spans fanned out, repeats dropped; null without any. shape: that of more
+    than ``share`` of the first non-blank values of the column, else ``mixed``, null without values; n counts these values.
+    """
+    at = F.explode(F.when(F.col("section") == "header", F.sequence(F.col("col"), F.col("col") + F.col("colspan") - 1)).otherwise(F.array("col")))
+    # a window over the group comes first, so that cells are placed by group and stay there
+    c = cells.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*KEY))).select(*KEY, "section", "row_ix", "cell_ix", "text", at.alias("at"))
+    c = c.withColumn("_s", F.when(F.col("section") == "body", fn.value_shape(F.col("text"))))
+    seen = F.count_if(F.col("_s") != "empty").over(Window.partitionBy(*KEY, "at").orderBy("row_ix", "cell_ix").rowsBetween(Window.unboundedPreceding, 0))
+    c = c.withColumn("_in", (F.col("_s") != "empty") & (seen <= first))
+    line = F.when((F.col("section") == "header") & (F.col("text") != ""), F.struct("row_ix", "text"))
+    g = c.groupBy(*KEY, F.col("at").alias("col")).agg(F.array_distinct(F.transform(F.array_sort(F.collect_list(line)), lambda x: x["text"])).alias("_h"), F.count_if("_in").alias("n"), *[F.count_if(F.col("_in") & (F.col("_s") == s)).alias(f"_{s}") for s in _SHAPES])
+    top = F.greatest(*[F.struct(F.col(f"_{s}").alias("k"), F.lit(s).alias("s")) for s in _SHAPES])
+    shape = F.when(F.col("n") > 0, F.when(top["k"] > F.col("n") * share, top["s"]).otherwise("mixed"))
+    return g.select(*KEY, "col", F.when(F.size("_h") > 0, F.array_join("_h", " ")).alias("header"), shape.alias("shape"), "n")
+
+
 def merged_headers(cells: DataFrame) -> DataFrame:
-    """(keys, col, header): header lines of each column from top to bottom, spans fanned out, repeats dropped."""
-    fanned = cells.filter("section = 'header' and text <> ''").select(*KEY, "row_ix", "text", F.explode(F.sequence(F.col("col"), F.col("col") + F.col("colspan") - 1)).alias("col"))
-    lines = F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct("row_ix", "text"))), lambda x: x["text"]))
-    return fanned.groupBy(*KEY, "col").agg(F.array_join(lines, " ").alias("header"))
+    """(keys, col, header) of the columns with a header."""
+    return columns_of(cells).filter("header is not null").select(*KEY, "col", "header")
 
 
-def column_shapes(cells: DataFrame, first: int = 40, share: float = 0.6) -> DataFrame:
-    """(keys, col, shape, n): the shape of more than ``share`` of the first non-blank values of a body column, else ``mixed``."""
-    body = cells.filter("section = 'body'").withColumn("shape", fn.value_shape(F.col("text"))).filter("shape <> 'empty'")
-    body = body.withColumn("rn", F.row_number().over(Window.partitionBy(*KEY, "col").orderBy("row_ix", "cell_ix"))).filter(F.col("rn") <= first)
-    counts = body.groupBy(*KEY, "col", "shape").agg(F.count(F.lit(1)).alias("k"))
-    per = counts.groupBy(*KEY, "col").agg(F.sum("k").alias("n"), F.max(F.struct("k", "shape")).alias("top"))
-    return per.select(*KEY, "col", F.when(F.col("top.k") > F.col("n") * share, F.col("top.shape")).otherwise("mixed").alias("shape"), "n")
+def column_shapes(cells: DataFrame) -> DataFrame:
+    """(keys, col, shape, n) of the columns with values."""
+    return columns_of(cells).filter("n > 0").select(*KEY, "col", "shape", "n")
 
 
 def layout_signature(cells: DataFrame) -> DataFrame:
     """(keys, signature, fingerprint): width, column shapes and header words of a group, and 16 hex digits of its SHA-256."""
-    cols = column_shapes(cells).join(merged_headers(cells), [*KEY, "col"], "full_outer")
+    cols = columns_of(cells).filter("header is not null or n > 0")
     part = F.struct("col", F.concat_ws(":", F.coalesce("shape", F.lit("empty")), F.lower(F.coalesce("header", F.lit("")))).alias("p"))
     sig = cols.groupBy(*KEY).agg(F.concat_ws("|", F.count(F.lit(1)).cast("string"), F.array_join(F.transform(F.array_sort(F.collect_list(part)), lambda x: x["p"]), "|")).alias("signature"))
     return sig.withColumn("fingerprint", F.substr(F.sha2("signature", 256), F.lit(1), F.lit(16)))
 
 
 def classify_columns(cells: DataFrame) -> DataFrame:
-    """(keys, col, header, kind, unit, shape). Distinct headers are classified once and joined back.
+    """(keys, col, header, kind, unit, shape), see ``kinds_of``."""
+    return kinds_of(columns_of(cells).filter("header is not null or n > 0"))
 
-    Without an id column by header, the leftmost unnamed column with id-shaped values is the id column.
-    """
-    heads = merged_headers(cells)
-    kinds = heads.select("header").distinct().select("header", fn.header_kind(F.col("header")).alias("by_header"), fn.unit_from(F.col("header")).alias("unit"))
-    cols = column_shapes(cells).join(heads, [*KEY, "col"], "full_outer").join(kinds, "header", "left")
+
+def kinds_of(columns: DataFrame) -> DataFrame:
+    """Columns (keys, col, header, shape) with kind and unit. Without an id column by header, the leftmost unnamed column with id-shaped values is
+    the id column; a column without a header but with a kind of none is ``unknown``."""
+    cols = columns.withColumns({"by_header": F.when(F.col("header").isNotNull(), fn.header_kind(F.col("header"))), "unit": fn.unit_from(F.col("header"))})
     w = Window.partitionBy(*KEY)
     has_cid = F.max(F.coalesce((F.col("by_header") == "cid").cast("int"), F.lit(0))).over(w)
     spare = (F.col("shape") == "cid") & (F.coalesce(F.col("by_header"), F.lit("unknown")) == "unknown")
@@ -84,17 +101,27 @@ def records(tables: DataFrame) -> DataFrame:
     return records_of_cells(flat_cells(tables))
 
 
-def records_of_cells(cells: DataFrame) -> DataFrame:
-    """Long records: keys, row_ix, col, cid, header, unit, parsed value fields. Unparsed and blank cells are left out."""
-    kinds = classify_columns(cells)
-    body = cells.filter("section = 'body'").join(kinds, [*KEY, "col"])
-    ids = body.filter("kind = 'cid'").groupBy("patent_id", *KEY, "row_ix").agg(F.min_by("text", "col").alias("own_cid"))
-    drawn = cells.filter("section = 'body'").groupBy(*KEY, "row_ix").agg(F.bool_or(F.col("chemistry_id").isNotNull()).alias("has_drawing"))
-    rows = carry_forward(ids.join(drawn, [*KEY, "row_ix"], "left"), fn.normalize_cid(F.col("own_cid")), F.coalesce("has_drawing", F.lit(False)), KEY, ["row_ix"])
-    values = body.filter("kind = 'assay'").withColumn("v", fn.parse_value(F.col("text")))
-    long = values.join(rows.select(*KEY, "row_ix", "cid"), [*KEY, "row_ix"], "left")
+def records_of_cells(cells: DataFrame, columns: DataFrame | None = None) -> DataFrame:
+    """Long records: keys, row_ix, col, cid, header, unit, parsed value fields. Unparsed and blank cells are left out.
+
+    ``columns`` (keys, col, kind, header, unit and, for repeating column groups, part) default to the classified ones. Each part of a row has
+    its own id; a row without an id of its own takes that of the last row before that has one, unless it has a drawing.
+    """
+    columns = classify_columns(cells) if columns is None else columns
+    part = F.col("part") if "part" in columns.columns else F.lit(0)
+    # a group's columns travel as one map, so that cells and columns meet on the group, by which both are placed
+    about = F.map_from_entries(F.collect_list(F.struct("col", F.struct("kind", "header", "unit", part.alias("part")).alias("m"))))
+    body = cells.filter("section = 'body'").join(columns.groupBy(*KEY).agg(about.alias("_m")), KEY).withColumn("_c", F.try_element_at("_m", F.col("col"))).drop("_m")
+    body = body.withColumn("part", F.coalesce("_c.part", F.lit(0)))
+    row = Window.partitionBy(*KEY, "part", "row_ix")
+    first = F.min(F.when(F.col("_c.kind") == "cid", F.struct("col", "text"))).over(row)
+    drawn = F.max(F.col("chemistry_id").isNotNull()).over(Window.partitionBy(*KEY, "row_ix"))
+    body = body.withColumns({"_id": first, "_drawn": drawn}).withColumn("_own", F.nullif(fn.normalize_cid(F.col("_id.text")), F.lit("")))
+    upto = Window.partitionBy(*KEY, "part").orderBy("row_ix").rangeBetween(Window.unboundedPreceding, 0)
+    cid = F.when(F.col("_own").isNotNull(), F.col("_own")).when(F.col("_id").isNotNull() & ~F.col("_drawn"), F.last("_own", ignorenulls=True).over(upto))
+    long = body.withColumn("cid", cid).filter("_c.kind = 'assay'").withColumn("v", fn.parse_value(F.col("text")))
     keep = F.col("v.value_numeric").isNotNull() | F.col("v.letter_grade").isNotNull()
-    return long.filter(keep).select("patent_id", *KEY, "row_ix", "col", "cid", F.col("header").alias("assay_name"), "v.value_numeric", "v.qualifier", F.coalesce("v.unit", "unit").alias("unit"), "v.n_runs", "v.letter_grade")
+    return long.filter(keep).select("patent_id", *KEY, "row_ix", "col", "cid", F.col("_c.header").alias("assay_name"), "v.value_numeric", "v.qualifier", F.coalesce("v.unit", "_c.unit").alias("unit"), "v.n_runs", "v.letter_grade")
 
 
 def explode_id_lists(rows: DataFrame, ids: str, carried: list[str]) -> DataFrame:
@@ -133,10 +160,8 @@ def choose_offsets(headers: DataFrame, shapes: DataFrame, widths: DataFrame) ->
     """
     span = headers.groupBy(*KEY).agg((F.max("col") + 1).alias("_w")).join(widths, KEY)
     tries = span.select(*KEY, F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.col("n_cols") - F.col("_w")))).alias("offset"))
-    kind = fn.header_kind(F.col("header"))
-    fits = ((kind == "cid") & (F.col("shape") == "cid")) | ((kind == "assay") & F.col("shape").isin("num", "bin"))
     at = headers.join(tries, KEY).withColumn("col", F.col("col") + F.col("offset")).join(shapes, [*KEY, "col"], "left")
-    score = at.groupBy(*KEY, "offset").agg(F.count_if(fits).alias("_s"))
+    score = at.groupBy(*KEY, "offset").agg(F.count_if(fits(F.col("header"), F.col("shape"))).alias("_s"))
     return score.groupBy(*KEY).agg(F.max_by("offset", F.struct("_s", (-F.col("offset")).alias("o"))).alias("offset"))
 
 
@@ -144,14 +169,19 @@ def inherit_best(groups: DataFrame, last: int = 4) -> DataFrame:
     """Headerless groups take the best fitting of the last ``last`` headers of their width in the patent.
 
     groups: (patent_id, keys, n_cols, header array<string>, shapes array<string>). Fit counts columns where an id header stands over ids
-    or an assay header over values; the nearest wins a tie, and a header that fits nowhere is not taken.
+    or an assay header over values; the nearest wins a tie, and a header that fits nowhere is not taken. Each earlier header is one look
+    back over the header-bearing groups, so no list of them grows along a patent.
     """
-    w = Window.partitionBy("patent_id", "n_cols").orderBy(*KEY)
-    known = F.when(F.size("header") > 0, F.struct(*[F.col(k) for k in KEY], F.col("header")))
-    past = F.collect_list(known).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    fit = lambda h: F.aggregate(F.zip_with(h, F.col("shapes"), lambda a, s: F.coalesce(((fn.header_kind(a) == "cid") & (s == "cid")) | ((fn.header_kind(a) == "assay") & s.isin("num", "bin")), F.lit(False)).cast("int")), F.lit(0), lambda x, y: x + y)
-    near = F.slice(F.reverse(past), 1, last)
-    scored = F.transform(near, lambda p, i: F.struct(fit(p["header"]).alias("s"), (-i).alias("i"), p["header"].alias("h")))
-    best = F.array_max(scored)
-    own = F.size("header") > 0
-    return groups.withColumn("_b", best).withColumn("effective", F.when(own, F.col("header")).when(F.col("_b.s") > 0, F.col("_b.h"))).drop("_b")
+    fit = lambda h: F.aggregate(F.zip_with(h, F.col("shapes"), lambda a, s: F.coalesce(fits(a, s), F.lit(False)).cast("int")), F.lit(0), lambda x, y: x + y)
+    known = groups.withColumn("_h", F.when(F.size("header") > 0, F.col("header")))
+    order = f"PARTITION BY patent_id, n_cols ORDER BY {', '.join(KEY)}"
+    near = F.array(*[F.expr(f"lag(_h, {k}) IGNORE NULLS OVER ({order})") for k in range(1, last + 1)])
+    known = known.withColumn("_near", F.filter(near, lambda h: h.isNotNull()))
+    best = F.array_max(F.transform("_near", lambda h, i: F.struct(fit(h).alias("s"), (-i).alias("i"), h.alias("h"))))
+    return known.withColumn("_b", best).withColumn("effective", F.when(F.size("header") > 0, F.col("header")).when(F.col("_b.s") > 0, F.col("_b.h"))).drop("_b", "_h", "_near")
+
+
+def fits(header: Column, shape: Column) -> Column:
+    """Whether a header stands over values of its kind: ids under an id header, numbers or grades under an assay header."""
+    kind = fn.header_kind(header)
+    return ((kind == "cid") & (shape == "cid")) | ((kind == "assay") & shape.isin("num", "bin"))
