@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from assayloom.common import written
 from assayloom.functions import texts
-from assayloom.operators import audit, deliver, extract, identity, legend, rules
+from assayloom.operators import audit, deliver, extract, identity, legend, rules, views
 from assayloom.sources import documents as src
 
 
@@ -25,8 +26,6 @@ class Dump:
 def cells_of(docs: DataFrame) -> DataFrame:
     """Scanned cells in the form the extraction reads; a table is keyed by a hash of patent and block."""
     c = src.parse_cells(docs)
-    from pyspark.sql import Window
-
     before = F.coalesce(F.sum("colspan").over(Window.partitionBy("patent_id", "block_ix", "tgroup_ix", "section", "row_ix").orderBy("cell_ix").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return c.withColumn("table_uid", F.xxhash64("patent_id", "block_ix")).withColumn("col", F.when(F.col("col_start") >= 0, F.col("col_start")).otherwise(before).cast("int"))
 
@@ -34,16 +33,27 @@ def cells_of(docs: DataFrame) -> DataFrame:
 def dump(docs: DataFrame, structures: DataFrame | None = None) -> Dump:
     """Records with their intervals and units, structures by precedence, losses, audit flags, manifest and delivered compounds.
 
-    A legend is looked for in the table's own rows, then in its caption; the unit of a record without one comes from the description if all
-    its sentences with the metric agree. Documents without tables give nothing; structures (patent_id, cid, name, inchikey, source,
-    structure_id) come from a name or drawing route and may be left out.
+    Groups are read by their best view. A legend is looked for in the table's own cells and rows, in its caption, in the last table before it
+    that has one, and in the description; the first of these that defines a grade counts. The unit of a record without one comes from
+    the description if all its sentences with the metric agree. Documents without tables give nothing; structures (patent_id, cid, name,
+    inchikey, source, structure_id) come from a name or drawing route and may be left out.
     """
-    cells = cells_of(docs)
-    recs = extract.records_of_cells(cells)
+    cells = written(cells_of(docs))
+    recs = views.extract_all(cells)
     tables = cells.select("patent_id", "table_uid", "block_ix", "table_id").distinct()
-    inner = cells.filter("section = 'body'").select("table_uid", F.col("text"))
     captions = src.context_of_blocks(docs).join(tables, ["patent_id", "block_ix"]).select("table_uid", F.col("caption").alias("text"))
-    layers = [legend.drop_conflicts(legend.bins(x.filter("text is not null"), ["table_uid"], F.col("text")), ["table_uid"]) for x in (inner, captions)]
+    body = cells.filter("section = 'body'").select("table_uid", "text")
+    rows = cells.groupBy("table_uid", "tgroup_ix", "section", "row_ix").agg(F.transform(F.array_sort(F.collect_list(F.struct("cell_ix", "text"))), lambda x: x["text"]).alias("line"))
+    heads = F.max(F.when(F.col("section") == "header", F.array_join("line", " "))).over(Window.partitionBy("table_uid", "tgroup_ix"))
+    rows = rows.withColumn("heading", heads).filter("section = 'body'")
+    own = legend.bins(body.filter("text is not null"), ["table_uid"], F.col("text"))
+    own = own.unionByName(legend.of_rows(rows, ["table_uid", "tgroup_ix"], "row_ix", "line", "heading").drop("tgroup_ix"))
+    own = written(legend.drop_conflicts(own, ["table_uid"]))
+    stated = legend.drop_conflicts(legend.bins(captions.filter("text is not null"), ["table_uid"], F.col("text")), ["table_uid"])
+    placed = own.join(tables.select("table_uid", "patent_id", "block_ix"), "table_uid")
+    near = legend.nearest_before(placed, tables, "patent_id", "block_ix").join(tables.select("table_uid", "patent_id", "block_ix"), ["patent_id", "block_ix"])
+    told = legend.drop_conflicts(legend.bins(src.description_text(docs), ["patent_id"], F.col("text")), ["patent_id"]).join(tables.select("patent_id", "table_uid"), "patent_id")
+    layers = [own, stated, near.select("table_uid", "symbol", "lo", "hi", "unit"), told.select("table_uid", "symbol", "lo", "hi", "unit")]
     recs = recs.withColumns({"range_lo": F.lit(None).cast("double"), "range_hi": F.lit(None).cast("double"), "unit_source": F.when(F.col("unit").isNotNull(), F.lit("column"))})
     recs = legend.attach(recs, legend.layered(layers, ["table_uid"]), ["table_uid"])
     from assayloom.functions import cells as fn

@@ -90,11 +90,10 @@ def description_text(docs: DataFrame, headings: bool = False) -> DataFrame:
     return docs.select("patent_id", F.array_join(F.transform(F.regexp_extract_all(body, F.lit(tags), F.lit(0)), markup_text), "\n").alias("text"))
 
 
-def context_of_blocks(docs: DataFrame, reach: int = 12_000) -> DataFrame:
+def context_of_blocks(docs: DataFrame) -> DataFrame:
     """(patent_id, block_ix, caption): the last paragraph or heading in the text before each block."""
     pieces = docs.select("patent_id", F.split("xml", r"(?s)<tables\b.*?</tables>").alias("s")).select("patent_id", F.posexplode("s").alias("block_ix", "before"))
-    near = F.when(F.length("before") > reach, F.substr("before", F.length("before") - reach + 1)).otherwise(F.col("before"))
-    found = F.regexp_extract_all(near, F.lit(r"(?s)<(?:p|heading)\b[^>]*>.*?</(?:p|heading)>"), F.lit(0))
+    found = F.regexp_extract_all("before", F.lit(r"(?s)<(?:p|heading)\b[^>]*>.*?</(?:p|heading)>"), F.lit(0))
     return pieces.select("patent_id", "block_ix", markup_text(F.try_element_at(found, F.lit(-1))).alias("caption"))
 
 
@@ -127,12 +126,12 @@ def image_urls(pages: DataFrame) -> DataFrame:
 
 
 def headings_with_next(text: DataFrame, doc: str, body: str) -> DataFrame:
-    """(doc, line_ix, heading, following): heading lines with the line after them."""
-    lines = text.select(doc, F.posexplode(F.split(F.regexp_replace(body, r"\r\n?", "\n"), "\n")).alias("line_ix", "line")).filter(F.trim("line") != "")
-    from pyspark.sql import Window
-
-    after = F.lead("line").over(Window.partitionBy(doc).orderBy("line_ix"))
-    return lines.withColumn("following", after).filter(F.col("line").rlike(r"^(?:[A-Z][A-Z ]{3,40}|(?:Example|Step|Claim) [0-9]+[a-z]?)$")).select(doc, "line_ix", F.col("line").alias("heading"), "following")
+    """(doc, line_ix, heading, following): heading lines with the next line that is not blank, found within each text; only they leave it."""
+    lines = F.filter(F.transform(F.split(F.regexp_replace(body, r"\r\n?", "\n"), "\n"), lambda x, i: F.struct(i.alias("i"), x.alias("x"))), lambda s: F.trim(s["x"]) != "")
+    rows = text.select(doc, lines.alias("_l")).select(doc, F.arrays_zip(F.col("_l").alias("a"), F.slice("_l", 2, F.greatest(F.lit(0), F.size("_l") - 1)).alias("b")).alias("_z"))
+    hits = F.filter("_z", lambda z: z["a"]["x"].rlike(r"^(?:[A-Z][A-Z ]{3,40}|(?:Example|Step|Claim) [0-9]+[a-z]?)$"))
+    one = rows.filter("size(_z) > 0").select(doc, F.explode(hits).alias("h"))
+    return one.select(doc, F.col("h.a.i").alias("line_ix"), F.col("h.a.x").alias("heading"), F.col("h.b.x").alias("following"))
 
 
 RECORD_SCHEMA = T.StructType([T.StructField(n, t) for n, t in [("patent_id", T.StringType()), ("cid", T.StringType()), ("assay_name", T.StringType()), ("value_numeric", T.DoubleType()), ("qualifier", T.StringType()), ("unit", T.StringType()), ("n_runs", T.IntegerType()), ("letter_grade", T.StringType()), ("range_lo", T.DoubleType()), ("range_hi", T.DoubleType()), ("table_id", T.StringType()), ("column_header", T.StringType()), ("reported_mz", T.DoubleType())]])
