@@ -152,30 +152,17 @@ def best_view(records: DataFrame, block: list[str], view: str, usable: Column, p
     return records.join(best, [*block, view], "left_semi")
 
 
-def choose_offsets(headers: DataFrame, shapes: DataFrame, widths: DataFrame) -> DataFrame:
-    """(keys, offset): how far to shift a group's header to the right so that most headers stand over fitting values; 0 on a tie.
-
-    headers (keys, col, header), shapes (keys, col, shape), widths (keys, n_cols). Only groups whose header is narrower than the body
-    have more than one offset to choose from.
-    """
-    span = headers.groupBy(*KEY).agg((F.max("col") + 1).alias("_w")).join(widths, KEY)
-    tries = span.select(*KEY, F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.col("n_cols") - F.col("_w")))).alias("offset"))
-    at = headers.join(tries, KEY).withColumn("col", F.col("col") + F.col("offset")).join(shapes, [*KEY, "col"], "left")
-    score = at.groupBy(*KEY, "offset").agg(F.count_if(fits(F.col("header"), F.col("shape"))).alias("_s"))
-    return score.groupBy(*KEY).agg(F.max_by("offset", F.struct("_s", (-F.col("offset")).alias("o"))).alias("offset"))
-
-
-def inherit_best(groups: DataFrame, last: int = 4) -> DataFrame:
+def inherit_best(groups: DataFrame, last: int = 4, order: list[str] | None = None) -> DataFrame:
     """Headerless groups take the best fitting of the last ``last`` headers of their width in the patent.
 
     groups: (patent_id, keys, n_cols, header array<string>, shapes array<string>). Fit counts columns where an id header stands over ids
     or an assay header over values; the nearest wins a tie, and a header that fits nowhere is not taken. Each earlier header is one look
-    back over the header-bearing groups, so no list of them grows along a patent.
+    back over the header-bearing groups, so no list of them grows along a patent. ``order`` is that of the groups, by default their keys.
     """
     fit = lambda h: F.aggregate(F.zip_with(h, F.col("shapes"), lambda a, s: F.coalesce(fits(a, s), F.lit(False)).cast("int")), F.lit(0), lambda x, y: x + y)
     known = groups.withColumn("_h", F.when(F.size("header") > 0, F.col("header")))
-    order = f"PARTITION BY patent_id, n_cols ORDER BY {', '.join(KEY)}"
-    near = F.array(*[F.expr(f"lag(_h, {k}) IGNORE NULLS OVER ({order})") for k in range(1, last + 1)])
+    over = f"PARTITION BY patent_id, n_cols ORDER BY {', '.join(order or KEY)}"
+    near = F.array(*[F.expr(f"lag(_h, {k}) IGNORE NULLS OVER ({over})") for k in range(1, last + 1)])
     known = known.withColumn("_near", F.filter(near, lambda h: h.isNotNull()))
     best = F.array_max(F.transform("_near", lambda h, i: F.struct(fit(h).alias("s"), (-i).alias("i"), h.alias("h"))))
     return known.withColumn("_b", best).withColumn("effective", F.when(F.size("header") > 0, F.col("header")).when(F.col("_b.s") > 0, F.col("_b.h"))).drop("_b", "_h", "_near")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assayloom.functions import cells as fn
-from assayloom.operators.extract import KEY, modal_stride, sessions
+from assayloom.operators.extract import KEY, sessions
 
 
 def row_profile(cells: DataFrame) -> DataFrame:
@@ -63,27 +63,6 @@ def column_period(columns: DataFrame) -> DataFrame:
     return g.withColumn("period", F.try_element_at(ok, F.lit(1))).filter("period is not null").select(*KEY, "n", "period")
 
 
-def grouped_records(cells: DataFrame, columns: DataFrame) -> DataFrame:
-    """Records of groups with repeating (id, value...) columns: (keys, row_ix, part, cid, assay_name, text)."""
-    body = cells.filter("section = 'body'").join(column_period(columns), KEY).join(columns.select(*KEY, "col", "kind", "header"), [*KEY, "col"])
-    body = body.withColumn("part", F.floor(F.col("col") / F.col("period")).cast("int"))
-    ids = body.filter("kind = 'cid' and text <> ''").groupBy(*KEY, "row_ix", "part").agg(F.min_by("text", "col").alias("cid"))
-    return body.filter("kind = 'assay' and text <> ''").join(ids, [*KEY, "row_ix", "part"]).select(*KEY, "row_ix", "part", "cid", F.col("header").alias("assay_name"), "text")
-
-
-def vertical_records(pairs: DataFrame, keys: list[str], label: str, value: str, position: str, least: int = 30, most_unique: float = 0.35) -> DataFrame:
-    """Label/value lists that repeat a record: (keys, session, label, value).
-
-    The anchor is the label with most repeats at a modal stride of at least 3 in at least 80 % of its gaps; a list has at least
-    ``least`` labels of which at most ``most_unique`` are distinct.
-    """
-    size = pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.count_distinct(label).alias("_u")).filter((F.col("_n") >= least) & (F.col("_u") <= most_unique * F.col("_n")))
-    anchors = modal_stride(pairs, keys, label, position).filter("stride >= 3 and share >= 0.8")
-    anchor = anchors.groupBy(*keys).agg(F.max_by(label, F.struct("n", label)).alias("anchor"))
-    rows = pairs.join(size.select(*keys), keys, "left_semi").join(anchor, keys)
-    return sessions(rows, keys, position, F.col(label) == F.col("anchor")).filter("session > 0").select(*keys, "session", label, value)
-
-
 def name_columns(cells: DataFrame, columns: DataFrame, least: int = 3, share: float = 0.5) -> DataFrame:
     """Columns that hold compound names: by header, or an unknown column of which enough cells are chemistry-shaped."""
     body = cells.filter("section = 'body' and text <> ''").groupBy(*KEY, "col").agg(F.count(F.lit(1)).alias("n"), F.count_if(fn.looks_chemical(F.col("text"))).alias("chem"))

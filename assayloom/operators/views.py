@@ -37,13 +37,15 @@ def effective_columns(cells: DataFrame) -> DataFrame:
     One row per group goes to its patent for inheritance; cells do not.
     """
     cols = extract.columns_of(cells)
-    patent = cells.groupBy(*KEY).agg(F.max("patent_id").alias("patent_id"))
+    # the place of a table in its document, where scanned cells carry it
+    place = F.col("block_ix") if "block_ix" in cells.columns else F.col("table_uid")
+    patent = cells.groupBy(*KEY).agg(F.max("patent_id").alias("patent_id"), F.max(place).alias("_place"))
     by_col = lambda c: F.map_from_entries(F.filter(F.collect_list(F.struct("col", F.coalesce(c, F.lit("")).alias("v"))), lambda x: x["v"] != ""))
     g = cols.groupBy(*KEY).agg((F.max("col") + 1).alias("n_cols"), by_col(F.col("header")).alias("_h"), by_col(F.col("shape")).alias("_s"))
     line = lambda m: F.transform(F.sequence(F.lit(0), F.col("n_cols") - 1), lambda i: F.coalesce(F.try_element_at(m, i), F.lit("")))
     g = g.withColumns({"header": F.when(F.size("_h") > 0, line(F.col("_h"))).otherwise(F.array().cast("array<string>")), "shapes": line(F.col("_s"))}).drop("_h", "_s")
     g = _shifted(g).join(patent, KEY)
-    g = extract.inherit_best(g)
+    g = extract.inherit_best(g, order=["_place", *KEY])
     source = F.when(F.col("offset") > 0, "shifted").when(F.size("header") > 0, "own").when(F.col("effective").isNotNull(), "inherited")
     one = g.select(*KEY, "shapes", source.alias("source"), F.posexplode(F.coalesce("effective", F.transform("shapes", lambda s: F.lit("")))).alias("col", "header"))
     out = one.select(*KEY, "col", F.nullif("header", F.lit("")).alias("header"), F.nullif(F.get("shapes", F.col("col")), F.lit("")).alias("shape"), "source")

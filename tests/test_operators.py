@@ -116,18 +116,10 @@ def test_repeating_column_groups(spark):
     cells = extract.flat_cells(t)
     cols = extract.classify_columns(cells)
     assert [(r.n, r.period) for r in layout.column_period(cols).collect()] == [(4, 2)]
-    assert sorted((r.cid, r.text) for r in layout.grouped_records(cells, cols).collect()) == [("1", "5"), ("2", "6"), ("3", "7")]
     assert audit.columns_not_grouped(cols.withColumn("patent_id", F.lit("P"))).count() == 1
     assert audit.duplicate_labels(cols, extract.KEY).count() == 2
 
 
-def test_vertical_lists(spark):
-    rows = [(1, i, ["Compound", "IC50", "MW", "Note"][i % 4], f"v{i}") for i in range(40)] + [(2, i, f"l{i}", "x") for i in range(40)]
-    p = spark.createDataFrame(rows, "k int, pos long, label string, value string")
-    got = layout.vertical_records(p, ["k"], "label", "value", "pos")
-    assert {r.k for r in got.collect()} == {1} and got.groupBy("session").count().filter("count = 4").count() == 9
-
-
 def test_layout_rows(spark):
     head = [_c("Ex.", "IC50 (nM)")]
     long = "Activity was determined as described in the general procedure above."

@@ -1,7 +1,10 @@
+import pytest
 from pyspark.sql import functions as F
 
 from assayloom.operators import deliver, drawings, extract, identity, layout, legend, names, rules, views
+from assayloom.plans import case_queries as cases
 from assayloom.plans import pipeline
+from assayloom.plans.reference_queries import QUERIES, SQL
 from assayloom.sources import fetch
 
 XML = """<us><description><p>IC50 values are in nM.</p><p>TABLE 1. A: below 10 uM; B: 10 to 100 uM</p>
@@ -20,42 +23,21 @@ def test_documents_to_compounds(spark):
     assert d.flags.count() == 0 and pipeline.dump(docs.limit(0)).compounds.count() == 0
 
 
-TABLES = "table_uid long, patent_id string, tgroup_ix int, section string, row_ix int, cell_ix int, text string, colspan long, col int, chemistry_id string"
-
-
-def _table(uid, rows, headers=(), patent="P", group=0, drawn=()):
-    out = []
-    for section, lines in (("header", headers), ("body", rows)):
-        for i, line in enumerate(lines):
-            out += [(uid, patent, group, section, i, k, t, 1, k, "C" if section == "body" and (i, k) in drawn else None) for k, t in enumerate(line)]
-    return out
-
-
 def test_every_view_of_a_table(spark):
-    plain = _table(1, [["1", "5.1", "x"], ["", "7", ""], ["2", "> 9 nM (3)", ""], ["", "8", ""]], [["Compound", "Vagudor IC50 (nM)", "Note"]], drawn=[(3, 2)])
-    follows = _table(2, [["3", "6.5", "y"], ["4", "B", ""]])  # no header: that of table 1 fits
-    unfit = _table(3, [["text", "words", "more"]])  # nothing to inherit onto
-    leading = _table(4, [["Example", "Ki (nM)"], ["7", "1.5"], ["8", "2.5"]], patent="Q")
-    shifted = _table(5, [["a", "5", "0.5"], ["b", "6", "0.6"]], [["Cpd No.", "EC50 (uM)"]], patent="R")
-    groups = _table(6, [["1", "5.5", "2", "6.5"], ["3", "7.5", "", ""]], [["No.", "IC50 (nM)", "No.", "IC50 (nM)"]], patent="S")
-    inverted = _table(7, [["A", "1, 2b, I-3"], ["B", "4, 5"], ["C", "6, 7, 8, 9"]], [["Grade", "IC50 of compounds (nM)"]], patent="T")
-    vertical = _table(8, [[x, str(i) if x == "Compound" else f"{i}.5" if x == "IC50 (nM)" else "z"] for i in range(10) for x in ("Compound", "MW", "IC50 (nM)", "Note")], patent="U")
-    cells = spark.createDataFrame([r for t in (plain, follows, unfit, leading, shifted, groups, inverted, vertical) for r in t] + [(9, None, None, "body", 0, 0, None, None, None, None)], TABLES)
-    got = {}
-    for r in views.extract_all(cells).collect():
-        got.setdefault((r.table_uid, r.view), []).append((r.cid, r.assay_name, r.value_numeric or r.letter_grade))
-    got = {k: sorted(v, key=str) for k, v in got.items()}
-    ic = "Vagudor IC50 (nM)"
-    assert got == {
-        (1, "flat"): [("1", ic, 5.1), ("1", ic, 7.0), ("2", ic, 9.0), (None, ic, 8.0)],  # a row with its own drawing takes no id
-        (2, "flat"): [("3", ic, 6.5), ("4", ic, "B")],
-        (4, "flat"): [("7", "Ki (nM)", 1.5), ("8", "Ki (nM)", 2.5)],
-        (5, "flat"): [("5", "EC50 (uM)", 0.5), ("6", "EC50 (uM)", 0.6)],
-        (6, "flat"): [("1", "IC50 (nM)", 5.5), ("2", "IC50 (nM)", 6.5), ("3", "IC50 (nM)", 7.5)],
-        (7, "inverted"): sorted([(c, "IC50 of compounds (nM)", g) for g, cs in (("A", ("1", "2b", "I-3")), ("C", ("6", "7", "8", "9"))) for c in cs], key=str),
-        (8, "vertical"): sorted([(str(i), "IC50 (nM)", i + 0.5) for i in range(10)], key=str),
-    }
+    cells = spark.createDataFrame(cases.VIEW_TABLES, cases.CELLS)
+    got = [(r.table_uid, r.view, r.cid, r.assay_name, r.value_numeric, r.letter_grade) for r in views.extract_all(cells).collect()]
+    assert sorted(got, key=str) == sorted(cases.VIEW_RECORDS, key=str)
     assert views.extract_all(cells.limit(0)).count() == 0
+    shuffled = views.extract_all(cells.orderBy(F.desc("text")).withColumn("view", F.lit("clash")).drop("view"))
+    assert shuffled.count() == len(cases.VIEW_RECORDS)
+
+
+def test_cases_agree_with_their_sql(spark):
+    duckdb = pytest.importorskip("duckdb")
+    for name in [q for q in QUERIES if q.startswith("q_case_") or q in ("q_legend_grammar", "q_repair_cases")]:
+        df = QUERIES[name](spark, "")
+        want = duckdb.sql(f"SELECT {', '.join(df.columns)} FROM ({SQL[name]})").fetchall()
+        assert sorted(map(tuple, df.collect()), key=str) == sorted(want, key=str), name
 
 
 def test_library_heals(spark):
@@ -94,12 +76,7 @@ def test_fetching(spark):
     assert [x.x for x in r.collect()] == [True, False]
 
 
-def test_offsets_and_inheritance(spark):
-    key = (1, 0)
-    h = spark.createDataFrame([(*key, 0, "No."), (*key, 1, "IC50 (nM)")], "table_uid long, tgroup_ix int, col int, header string")
-    s = spark.createDataFrame([(*key, 0, "text"), (*key, 1, "cid"), (*key, 2, "num")], "table_uid long, tgroup_ix int, col int, shape string")
-    w = spark.createDataFrame([(*key, 3)], "table_uid long, tgroup_ix int, n_cols int")
-    assert [r.offset for r in extract.choose_offsets(h, s, w).collect()] == [1]
+def test_inheritance(spark):
     g = spark.createDataFrame([("P", 1, 0, 2, ["No.", "Ki"], ["cid", "num"]), ("P", 2, 0, 2, ["Note", "Text"], ["text", "text"]), ("P", 3, 0, 2, [], ["cid", "num"]), ("P", 4, 0, 2, [], ["text", "text"]), ("Q", 5, 0, 2, [], ["cid", "num"])], "patent_id string, table_uid long, tgroup_ix int, n_cols int, header array<string>, shapes array<string>")
     got = {r.table_uid: r.effective for r in extract.inherit_best(g).collect()}
     assert got == {1: ["No.", "Ki"], 2: ["Note", "Text"], 3: ["No.", "Ki"], 4: None, 5: None}
