@@ -58,10 +58,14 @@ def column_shapes(cells: DataFrame) -> DataFrame:
 
 
 def layout_signature(cells: DataFrame) -> DataFrame:
-    """(keys, signature, fingerprint): width, column shapes and header words of a group, and 16 hex digits of its SHA-256."""
+    """(keys, signature, fingerprint, shapes, words): width, column shapes and header words of a group, and 16 hex digits of its SHA-256; the
+    shapes and the distinct header words as lists of their own."""
     cols = columns_of(cells).filter("header is not null or n > 0")
-    part = F.struct("col", F.concat_ws(":", F.coalesce("shape", F.lit("empty")), F.lower(F.coalesce("header", F.lit("")))).alias("p"))
-    sig = cols.groupBy(*KEY).agg(F.concat_ws("|", F.count(F.lit(1)).cast("string"), F.array_join(F.transform(F.array_sort(F.collect_list(part)), lambda x: x["p"]), "|")).alias("signature"))
+    part = F.struct("col", F.coalesce("shape", F.lit("empty")).alias("s"), F.lower(F.coalesce("header", F.lit(""))).alias("h"))
+    sig = cols.groupBy(*KEY).agg(F.array_sort(F.collect_list(part)).alias("_p"))
+    text = F.concat_ws("|", F.size("_p").cast("string"), F.array_join(F.transform("_p", lambda x: F.concat_ws(":", x["s"], x["h"])), "|"))
+    words = F.array_distinct(F.filter(F.split(F.array_join(F.transform("_p", lambda x: x["h"]), " "), "[^a-z0-9]+"), lambda w: w != ""))
+    sig = sig.select(*KEY, text.alias("signature"), F.transform("_p", lambda x: x["s"]).alias("shapes"), words.alias("words"))
     return sig.withColumn("fingerprint", F.substr(F.sha2("signature", 256), F.lit(1), F.lit(16)))
 
 

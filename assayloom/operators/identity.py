@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+import re
+from collections.abc import Iterator
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -83,6 +85,33 @@ def asof_before(events: DataFrame, states: DataFrame, keys: list[str], at: str,
     return both.select(*events.columns, *[F.col(f"_s.{c}").alias(c) for c in carried])
 
 
+def token_hits(texts: DataFrame, doc: str, text: str, kinds: dict[str, str]) -> DataFrame:
+    """(doc, kind, token, start, end) of the tokens that are wholly of a kind's pattern; positions count characters, one blank between tokens.
+
+    Tokens are found in Arrow batches within each text, and only hits leave it. The first kind that fits counts.
+    """
+    import pyarrow as pa
+
+    wanted = [(k, re.compile(p, re.ASCII)) for k, p in kinds.items()]
+    fields = pa.schema([("doc", pa.int64()), ("kind", pa.string()), ("token", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out: list[tuple] = []
+            for key, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                at = 0
+                for token in re.findall(r"\S+", t, re.ASCII):
+                    kind = next((k for k, p in wanted if p.fullmatch(token)), None)
+                    if kind:
+                        out.append((key, kind, token, at, at + len(token)))
+                    at += len(token) + 1
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), fields, strict=True)], schema=fields)
+
+    rows = texts.filter(F.col(text).isNotNull()).select(F.col(doc).cast("long").alias("doc"), F.col(text).alias("text"))
+    return rows.mapInArrow(run, "doc long, kind string, token string, start long, end long").withColumnRenamed("doc", doc)
+
+
 def within_reach(names: DataFrame, ids: DataFrame, doc: str, bound: int = 25) -> DataFrame:
     """Per name occurrence (doc, name_pos, name_end) the id within ``bound`` characters before or after; two different ids clash to null.
 
@@ -97,13 +126,17 @@ def within_reach(names: DataFrame, ids: DataFrame, doc: str, bound: int = 25) ->
 
 
 def positional_zip(left: DataFrame, right: DataFrame, keys: list[str], left_order: str, right_order: str) -> DataFrame:
-    """n-th with n-th per key, only where both sides have as many."""
+    """n-th with n-th per key, only where both sides have as many.
+
+    Rows are counted first, by combined aggregates; only keys whose counts agree are numbered.
+    """
+    counts = lambda df, c: df.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias(c))
+    even = counts(left, "_c").join(counts(right, "_d"), keys).filter("_c = _d").select(*keys)
 
     def numbered(df: DataFrame, order: str) -> DataFrame:
-        w = Window.partitionBy(*keys)
-        return df.withColumn("_n", F.row_number().over(w.orderBy(order))).withColumn("_c", F.count(F.lit(1)).over(w))
+        return df.join(even, keys, "left_semi").withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(order)))
 
-    return numbered(left, left_order).join(numbered(right, right_order), [*keys, "_n", "_c"]).drop("_c").withColumnRenamed("_n", "n")
+    return numbered(left, left_order).join(numbered(right, right_order), [*keys, "_n"]).withColumnRenamed("_n", "n")
 
 
 def longest_shared_token(left: DataFrame, right: DataFrame, left_id: str, left_text: str, right_id: str, right_text: str, least: int = 4) -> DataFrame:
@@ -139,10 +172,15 @@ def score(results: DataFrame, group: list[str]) -> DataFrame:
     return g.withColumn("accuracy", F.try_divide(F.col("agreed").cast("double"), F.col("agreed") + F.col("disagreed")))
 
 
-def stratified_sample(rows: DataFrame, strata: list[str], row_id: str, per: int, seed: int = 0) -> DataFrame:
-    """At most ``per`` rows per stratum in the order of a seeded hash: a sample that repeats exactly."""
+def stratified_sample(rows: DataFrame, strata: list[str], row_id: str, per: int, seed: int = 0, salts: int = 64) -> DataFrame:
+    """At most ``per`` rows per stratum in the order of a seeded hash: a sample that repeats exactly.
+
+    Each of ``salts`` parts of a stratum keeps its first ``per`` rows, and the stratum's first are among these: no task sees a whole stratum.
+    """
     order = [F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(row_id).cast("string"))).asc(), F.col(row_id).asc()]
-    return rows.withColumn("_rn", F.row_number().over(Window.partitionBy(*strata).orderBy(*order))).filter(F.col("_rn") <= per).drop("_rn")
+    parted = rows.withColumn("_salt", F.pmod(F.xxhash64(row_id), F.lit(salts)))
+    first = parted.withColumn("_rn", F.row_number().over(Window.partitionBy(*strata, "_salt").orderBy(*order))).filter(F.col("_rn") <= per)
+    return first.withColumn("_rn", F.row_number().over(Window.partitionBy(*strata).orderBy(*order))).filter(F.col("_rn") <= per).drop("_rn", "_salt")
 
 
 def partition_accounting(ids: DataFrame, statuses: list[tuple[str, DataFrame]], keys: list[str], rest: str) -> DataFrame:
@@ -159,10 +197,12 @@ def occurrences(texts: DataFrame, ids: DataFrame, key: str, row: str, text: str,
     Texts are cut to tokens once and meet the ids by an equi-join, however many ids there are. shape: ``labelled`` after a label word,
     ``bracketed``, ``line_start`` before a colon, else ``bare``.
     """
-    tokens = texts.select(key, row, text, F.posexplode(F.regexp_extract_all(text, F.lit(r"\S+"), F.lit(0))).alias("_n", "_tok"))
-    tokens = tokens.withColumn("id", F.regexp_replace("_tok", r"^[(\[{]+|[)\]},.;:]+$", "")).drop(text)
-    w = Window.partitionBy(key, row).orderBy("_n")
-    before = F.lower(F.regexp_replace(F.coalesce(F.lag("_tok").over(w), F.lit("")), r"[^A-Za-z]", ""))
+    tokens = texts.select(key, row, F.regexp_extract_all(text, F.lit(r"\S+"), F.lit(0)).alias("_t")).filter(F.size("_t") > 0)
+    # each token with the one before it, paired within the text
+    tokens = tokens.select(key, row, F.posexplode(F.arrays_zip(F.col("_t").alias("t"), F.concat(F.array(F.lit("")), F.slice("_t", 1, F.size("_t") - 1)).alias("b"))).alias("_n", "_z"))
+    tokens = tokens.select(key, row, "_n", F.col("_z.t").alias("_tok"), F.lower(F.regexp_replace("_z.b", r"[^A-Za-z]", "")).alias("_before"))
+    tokens = tokens.withColumn("id", F.regexp_replace("_tok", r"^[(\[{]+|[)\]},.;:]+$", ""))
+    before = F.col("_before")
     shape = F.when(before.isin("example", "compound", "cmpd", "cpd", "ex", "no", "entry"), "labelled").when(F.col("_tok").rlike(r"^\(.*\)"), "bracketed").when((F.col("_n") == 0) & F.col("_tok").endswith(":"), "line_start").otherwise("bare")
     return tokens.withColumn("shape", shape).join(ids.select(key, "id").distinct(), [key, "id"]).select(key, row, "id", F.col("_n").alias("position"), "shape")
 

@@ -157,14 +157,17 @@ def cache_hits(calls: DataFrame, parts: list[str], order: list[str]) -> DataFram
     return out.join(first, "cache_key").withColumn("hit", ~F.struct(*order).eqNullSafe(F.col("_first"))).drop("_first")
 
 
-def coverage_join(names: DataFrame, scales: DataFrame, name: str, pattern: str, literal: str) -> DataFrame:
-    """Each name with the scale whose pattern fits it and whose literal text is longest; different scales of one length give null.
+def coverage_join(names: DataFrame, scales: list[tuple[str, str]], name: str, out: str = "pattern") -> DataFrame:
+    """Each name that a scale's pattern fits, with the pattern whose literal text is longest; different ones of one length give null.
 
-    Scales are a fixed short list of patterns, so the join on the pattern broadcasts them.
+    Scales (pattern, literal) are a list that the caller states, so they are an expression over the names and no join.
     """
-    hits = names.join(scales, F.expr(f"{name} rlike {pattern}")).withColumn("_l", F.length(literal))
-    top = hits.withColumn("_m", F.max("_l").over(Window.partitionBy(name))).filter("_l = _m")
-    return top.groupBy(name).agg(F.when(F.count_distinct(pattern) == 1, F.min(pattern)).alias(pattern))
+    if not scales:
+        return names.select(name, F.lit(None).cast("string").alias(out)).limit(0)
+    fitting = F.array_compact(F.array(*[F.when(F.col(name).rlike(p), F.struct(F.lit(len(t)).alias("l"), F.lit(p).alias("p"))) for p, t in scales]))
+    top = F.array_distinct(F.transform(F.filter("_f", lambda x: x["l"] == F.array_max("_f")["l"]), lambda x: x["p"]))
+    hits = names.withColumn("_f", fitting).filter(F.size("_f") > 0)
+    return hits.select(name, F.when(F.size(top) == 1, F.get(top, F.lit(0))).alias(out)).distinct()
 
 
 def apply_row_patterns(rows: DataFrame, rules: DataFrame, keys: list[str], seconds: float = 0.25) -> DataFrame:

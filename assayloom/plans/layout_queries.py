@@ -268,14 +268,14 @@ def q_backtrace(spark: SparkSession, d: str) -> DataFrame:
 @query(
     f"""WITH {_CELLS}, {_HEADS}, {_SHAPES}, {_COLUMNS}, sg AS (SELECT coalesce(s.table_uid, h.table_uid) AS table_uid, coalesce(s.tgroup_ix, h.tgroup_ix) AS tgroup_ix, concat_ws('|', CAST(count(*) AS VARCHAR), string_agg(coalesce(s.shape, 'empty') || ':' || lower(coalesce(h.header, '')), '|' ORDER BY coalesce(s.col, h.col))) AS signature FROM shapes s FULL JOIN heads h ON s.table_uid = h.table_uid AND s.tgroup_ix = h.tgroup_ix AND s.col = h.col GROUP BY 1, 2),
 f AS (SELECT table_uid, tgroup_ix, substr(sha256(signature), 1, 16) AS fp FROM sg), i AS (SELECT c.table_uid, c.tgroup_ix, c.row_ix, text AS cid FROM cells c WHERE section = 'body' AND col = 0), v AS (SELECT c.table_uid, c.tgroup_ix, c.row_ix, text FROM cells c WHERE section = 'body' AND col = 1)
-SELECT table_uid, tgroup_ix, CAST(row_ix AS INTEGER) AS row_ix, cid, 'learned ' || fp AS assay_name, text, 'nM' AS unit FROM v JOIN i USING (table_uid, tgroup_ix, row_ix) JOIN f USING (table_uid, tgroup_ix) WHERE fp < '8'"""
+SELECT table_uid, tgroup_ix, CAST(row_ix AS INTEGER) AS row_ix, cid, 'learned ' || fp AS assay_name, text, 'nM' AS unit FROM v JOIN i USING (table_uid, tgroup_ix, row_ix) JOIN f USING (table_uid, tgroup_ix)"""
 )
 def q_apply_rules(spark: SparkSession, d: str) -> DataFrame:
-    """Column-map rules of half the layouts, applied by fingerprint."""
+    """Column-map rules of every layout, applied by fingerprint."""
     cells = _flat(spark, d)
     sig = extract.layout_signature(cells)
     one = F.struct(F.lit(1).alias("index"), F.concat(F.lit("learned "), F.col("fingerprint")).alias("name"), F.lit("nM").alias("unit"))
-    lib = sig.filter("fingerprint < '8'").select("fingerprint", F.lit(0).alias("cid_index"), F.array(one).alias("columns")).distinct()
+    lib = sig.select("fingerprint", F.lit(0).alias("cid_index"), F.array(one).alias("columns")).distinct()
     return rules.apply_column_maps(cells.join(sig.select(*extract.KEY, "fingerprint"), extract.KEY), lib, extract.KEY)
 
 

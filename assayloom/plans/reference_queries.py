@@ -385,7 +385,7 @@ def q_bin_attach(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def q_legend_clusters(spark: SparkSession, d: str) -> DataFrame:
     """Mentions of numbered examples gathered where at most 120 characters apart (positions by summed lengths)."""
-    docs = table(spark, d, "documents", "doc_id", "text").filter("text is not null")
+    docs = table(spark, d, "documents", "doc_id", "text").filter(F.col("text").rlike("Example [0-9]"))
     parts = docs.select("doc_id", F.posexplode(F.split("text", r"(?=Example [0-9])")).alias("k", "part"))
     end = F.sum(F.length("part")).over(Window.partitionBy("doc_id").orderBy("k").rowsBetween(Window.unboundedPreceding, 0))
     hits = parts.withColumn("start", end - F.length("part")).filter(F.col("part").rlike("^Example [0-9]")).withColumn("end", F.col("start") + F.length(F.regexp_extract("part", "^Example [0-9]+", 0)))
@@ -419,13 +419,13 @@ def q_identity_full_outer(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    f"""WITH s AS {_k("structures")}, t AS (SELECT patent_id, cid, structure_id, source FROM s WHERE source = 'table'), o AS (SELECT patent_id, cid, structure_id, source FROM s WHERE source = 'description')
-SELECT * FROM t UNION ALL SELECT * FROM o WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.patent_id = o.patent_id AND t.cid = o.cid)"""
+    f"""WITH s AS {_k("structures")}, r AS (SELECT patent_id, cid, structure_id, source, CASE source WHEN 'table' THEN 0 WHEN 'description' THEN 1 ELSE 2 END AS p FROM s)
+SELECT patent_id, cid, structure_id, source FROM r WHERE NOT EXISTS (SELECT 1 FROM r AS b WHERE b.patent_id = r.patent_id AND b.cid = r.cid AND b.p < r.p)"""
 )
 def q_precedence_union(spark: SparkSession, d: str) -> DataFrame:
-    """Table names first; the description adds only compounds the tables lack."""
+    """Table names first; the description adds compounds the tables lack, and drawings those that neither has."""
     s = _keyed(spark, d, "structures").select("patent_id", "cid", "structure_id", "source")
-    return identity.by_precedence([s.filter("source = 'table'"), s.filter("source = 'description'")], ["patent_id", "cid"])
+    return identity.by_precedence([s.filter("source = 'table'"), s.filter("source = 'description'"), s.filter("source = 'image'")], ["patent_id", "cid"])
 
 
 @query(f"WITH s AS {_k('structures')} SELECT patent_id, cid, structure_id, inchikey FROM (SELECT *, row_number() OVER (PARTITION BY patent_id, cid ORDER BY (inchikey IS NULL), structure_id) AS rn FROM s) WHERE rn = 1")
@@ -478,12 +478,10 @@ SELECT doc_id, CAST(name_pos AS BIGINT) AS name_pos, CASE WHEN count(DISTINCT id
 )
 def q_proximity_clash(spark: SparkSession, d: str) -> DataFrame:
     """Numbers within 25 characters of a metric word; two different ones clash."""
-    docs = table(spark, d, "documents", "doc_id", "text").filter("text is not null")
-    words = docs.select("doc_id", F.posexplode(F.regexp_extract_all("text", F.lit(r"\S+"), F.lit(0))).alias("p", "w"))
-    end = F.sum(F.length("w") + 1).over(Window.partitionBy("doc_id").orderBy("p").rowsBetween(Window.unboundedPreceding, 0))
-    pos = words.withColumn("s", end - F.length("w") - 1)
-    names = pos.filter(F.col("w").rlike(r"^(IC50|EC50|Ki|Kd)[,.;:]?$")).select("doc_id", F.col("s").alias("name_pos"), (F.col("s") + F.length("w")).alias("name_end"))
-    ids = pos.filter(F.col("w").rlike(r"^[0-9]{1,3}[a-z]?[,.;)]?$")).select("doc_id", F.regexp_replace("w", "[^0-9a-z]", "").alias("id"), F.col("s").alias("id_pos"), (F.col("s") + F.length("w")).alias("id_end"))
+    docs = table(spark, d, "documents", "doc_id", "text").filter(F.col("text").rlike(r"(?:IC50|EC50|Ki|Kd)"))
+    hits = identity.token_hits(docs, "doc_id", "text", {"name": r"(?:IC50|EC50|Ki|Kd)[,.;:]?", "id": r"[0-9]{1,3}[a-z]?[,.;)]?"})
+    names = hits.filter("kind = 'name'").select("doc_id", F.col("start").alias("name_pos"), F.col("end").alias("name_end"))
+    ids = hits.filter("kind = 'id'").select("doc_id", F.regexp_replace("token", "[^0-9a-z]", "").alias("id"), F.col("start").alias("id_pos"), F.col("end").alias("id_end"))
     return identity.within_reach(names, ids, "doc_id")
 
 
@@ -524,7 +522,7 @@ _SCALES = [("(?i)ic.?50", "ic50"), ("(?i)ec.?50", "ec50"), ("(?i)% ?inhibition",
 def q_regex_scale(spark: SparkSession, d: str) -> DataFrame:
     """Headings with the scale whose pattern fits best; ambiguous ones give none."""
     names = table(spark, d, "reader_dump", "assay_name").filter("assay_name is not null").distinct()
-    return rules.coverage_join(names, spark.createDataFrame(_SCALES, "pattern string, literal string"), "assay_name", "pattern", "literal")
+    return rules.coverage_join(names, _SCALES, "assay_name")
 
 
 _LEXICON = [("methanol", "solvent"), ("ethanol", "solvent"), ("toluene", "solvent"), ("triethylamine", "base"), ("piperidine", "base"), ("urea", "other"), ("amine", "other")]
@@ -710,23 +708,16 @@ def q_stratified_sample(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {_CELLS}, {_HEADS}, {_SHAPES}, {_SIG}, x AS (SELECT signature, bool_or(table_uid % 50 = 0) AS asked, CAST(str_split(signature, '|')[1] AS INTEGER) AS n_cols, list_transform(str_split(signature, '|')[2:], lambda p: str_split(p, ':')[1]) AS shapes, list_distinct(list_filter(regexp_split_to_array(array_to_string(list_transform(str_split(signature, '|')[2:], lambda p: regexp_replace(p, '^[a-z]+:', '')), ' '), '[^a-z0-9]+'), lambda w: w <> '')) AS words FROM sig GROUP BY ALL),
+    f"""WITH {_CELLS}, {_HEADS}, {_SHAPES}, {_SIG}, sh AS (SELECT coalesce(s.table_uid, h.table_uid) AS table_uid, coalesce(s.tgroup_ix, h.tgroup_ix) AS tgroup_ix, list(coalesce(s.shape, 'empty') ORDER BY coalesce(s.col, h.col)) AS shapes, list(lower(coalesce(h.header, '')) ORDER BY coalesce(s.col, h.col)) AS hs FROM shapes s FULL JOIN heads h ON s.table_uid = h.table_uid AND s.tgroup_ix = h.tgroup_ix AND s.col = h.col GROUP BY 1, 2),
+x AS (SELECT signature, bool_or(table_uid % 50 = 0) AS asked, len(any_value(shapes)) AS n_cols, any_value(shapes) AS shapes, list_distinct(list_filter(regexp_split_to_array(array_to_string(any_value(hs), ' '), '[^a-z0-9]+'), lambda w: w <> '')) AS words FROM sig JOIN sh USING (table_uid, tgroup_ix) GROUP BY signature),
 f AS (SELECT substr(sha256(signature), 1, 16) AS fingerprint, asked, n_cols, shapes, words FROM x),
 p AS (SELECT a.fingerprint AS wanted, b.fingerprint, round(0.6 * len(list_filter(range(1, len(a.shapes) + 1), lambda i: a.shapes[i] = b.shapes[i])) / greatest(len(a.shapes), 1) + 0.4 * CASE WHEN len(list_distinct(list_concat(a.words, b.words))) = 0 THEN 0 ELSE len(list_intersect(a.words, b.words)) / len(list_distinct(list_concat(a.words, b.words))) END, 6) AS score FROM f a JOIN f b ON a.asked AND a.n_cols = b.n_cols AND a.fingerprint <> b.fingerprint)
 SELECT wanted, fingerprint, score, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY wanted ORDER BY score DESC, fingerprint) AS rank FROM p WHERE score > 0.4) WHERE rank <= 3"""
 )
 def q_topk_similar(spark: SparkSession, d: str) -> DataFrame:
     """The three most similar of all layouts, for the layouts of every table whose number is divisible by 50 (a search with a stated query set)."""
-    sig = extract.layout_signature(_flat(spark, d)).groupBy("fingerprint", "signature").agg(F.bool_or(F.col("table_uid") % 50 == 0).alias("asked"))
-    parts = F.split("signature", r"\|")
-    parts = F.slice(parts, F.lit(2), F.size(parts))
-    layouts = sig.select(
-        "fingerprint",
-        "asked",
-        F.split("signature", r"\|")[0].cast("int").alias("n_cols"),
-        F.transform(parts, lambda p: F.split(p, ":")[0]).alias("shapes"),
-        F.array_distinct(F.filter(F.split(F.array_join(F.transform(parts, lambda p: F.regexp_replace(p, "^[a-z]+:", "")), " "), "[^a-z0-9]+"), lambda w: w != "")).alias("words"),
-    )
+    sig = extract.layout_signature(_flat(spark, d))
+    layouts = sig.groupBy("fingerprint", "signature").agg(F.bool_or(F.col("table_uid") % 50 == 0).alias("asked"), F.any_value("shapes").alias("shapes"), F.any_value("words").alias("words")).withColumn("n_cols", F.size("shapes"))
     return rules.similar_layouts(layouts.filter("asked"), layouts)
 
 
