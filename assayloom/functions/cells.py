@@ -72,6 +72,14 @@ def id_shape(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(blank_trim(c), r"[A-Za-z]", "A"), r"[0-9]+", "9")
 
 
+def id_family(c: Column) -> Column:
+    """Family of an id: label words cut, digit runs #, a suffix letter dropped (``I-0268`` and ``I-7b`` are both ``I-#``)."""
+    t = blank_trim(F.regexp_replace(c, r"^[\s\"'“”‘’]+|[\s\"'“”‘’]+$", ""))
+    for label in CID_LABELS:
+        t = blank_trim(F.regexp_replace(t, label, "$1"))
+    return F.regexp_replace(F.regexp_replace(t, r"[0-9]+", "#"), r"#[A-Za-z]$", "#")
+
+
 def is_cid_shaped(c: Column) -> Column:
     return blank_trim(c).rlike(r"^(?:[A-Za-z]{1,4}-?)?[0-9]{1,4}[A-Za-z]{0,2}$")
 

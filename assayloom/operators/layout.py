@@ -107,3 +107,23 @@ def measurement_cells(cells: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """Cells that say exactly what an entry of the assay list is called."""
     forms = vocabulary.select(F.explode(F.array_union(F.array("canonical"), F.coalesce("surface_forms", F.array().cast("array<string>")))).alias("f")).select(F.lower("f").alias("_f")).distinct()
     return cells.withColumn("_f", F.lower(F.trim("text"))).join(forms, "_f", "left_semi").drop("_f")
+
+
+def name_rows(cells: DataFrame, longest: int = 60) -> DataFrame:
+    """(keys, section, row_ix, n_labels, spans_one, name_like) of every row with text.
+
+    A row is like column names if it has two labels or more of at most ``longest`` characters, not all numbers, and outside the header section
+    closes no bracket that the rows before it left open too little of; in the header section one label that is no table title spans one name.
+    """
+    t = fn.blank_trim(F.col("text"))
+    count = lambda ch: F.length(t) - F.length(F.replace(t, F.lit(ch), F.lit("")))
+    r = cells.filter(t != "").groupBy(*KEY, "section", "row_ix").agg(
+        F.count(F.lit(1)).alias("n_labels"), F.max(F.length(t)).alias("_longest"), F.bool_and(t.rlike(r"^[0-9.,;:<>=~\s\-]+$")).alias("_numbers"), F.max(t).alias("_text"), F.sum(count("(") - count(")")).alias("_round"), F.sum(count("[") - count("]")).alias("_square")
+    )
+    w = Window.partitionBy(*KEY).orderBy(F.when(F.col("section") == "header", 0).otherwise(1), "row_ix").rowsBetween(Window.unboundedPreceding, 0)
+    owed = (F.sum("_round").over(w) < 0) | (F.sum("_square").over(w) < 0)
+    title = F.col("_text").rlike(r"(?i)^TABLE\s*[-–]?\s*(?:US[-–]?)?[0-9A-Z]{0,8}(?:\s*[-–]\s*[0-9A-Z]{1,6})?$") | F.col("_text").rlike(r"^[0-9.]+$")
+    declared = F.col("section") == "header"
+    one = declared & (F.col("n_labels") == 1) & ~title
+    like = one | ((F.col("n_labels") >= 2) & (F.col("_longest") <= longest) & ~F.col("_numbers") & (declared | ~owed))
+    return r.select(*KEY, "section", "row_ix", F.col("n_labels").cast("int").alias("n_labels"), one.alias("spans_one"), like.alias("name_like"))

@@ -236,6 +236,68 @@ def repairs(name: str) -> Iterator[tuple[str, bool, str, str]]:
                 yield p.pattern_id, p.trusted, fixed, fixed[max(0, start - 12) : start + 12]
 
 
+_LABELLED = re.compile(r"(?:Example|Compound|Cmpd|Cpd|Ex|Step|Intermediate)\.?\s*(?:No\.?\s*)?[0-9]+[a-z]?\s*[:.)\-]?\s*|(?:Preparation|Synthesis|Production|Manufacture)\s+of\s+|[\s:;,.)\-]+", re.IGNORECASE)
+_BEHIND = re.compile(r"\s*(?:\((?:Compound|Example|Cpd|Ex)\.?\s*[0-9]+[a-z]?\)|was (?:obtained|prepared|isolated).*)$", re.IGNORECASE | re.DOTALL)
+
+
+def without_framing(text: str) -> str:
+    """A line without what frames a name: labels and numbers before it, ``preparation of``, its number or a report behind it."""
+    at = 0
+    while (m := _LABELLED.match(text, at)) and m.end() > at:
+        at = m.end()
+    return _BEHIND.sub("", text[at:]).strip(":;,. \t").rstrip("([{ ")
+
+
+def texts_after_ids(texts: DataFrame, doc: str, text: str, ids: DataFrame, lines: int = 3, span: int = 500, gap: int = 120, least: int = 8) -> DataFrame:
+    """(doc, id, line, name_text): where a compound's name may stand after its labelled number.
+
+    The region after an occurrence ends at the next one, after ``lines`` more lines or ``span`` characters; a line that begins more than ``gap``
+    characters behind is too far, one shorter than ``least`` without its framing is no name. For a number in brackets, the run of name
+    characters before it counts as well. Numbers that are no id of the document (doc, id) give nothing.
+    """
+    site = re.compile(r"(?:Example|Compound|Cmpd|Cpd|Ex)\.?\s*(?:No\.?\s*)?([0-9]+[a-z]?)\b|\(([0-9]+[a-z]?)\)")
+
+    def one(t: str) -> list[dict]:
+        found = list(site.finditer(t))
+        out = []
+        for k, m in enumerate(found):
+            stop = min(found[k + 1].start() if k + 1 < len(found) else len(t), m.end() + span)
+            at = m.end()
+            for n, raw in enumerate(t[m.end() : stop].split("\n")[: lines + 1]):
+                name = without_framing(raw)
+                if at + len(raw) - len(raw.lstrip()) - m.end() > gap:
+                    break
+                if len(name) >= least:
+                    out.append({"id": m.group(1) or m.group(2), "line": n, "name_text": name})
+                at += len(raw) + 1
+            if m.group(2):
+                before = re.search(r"[^\s.;:]+(?: acid| ester)?\s*$", t[max(0, m.start() - span) : m.start()])
+                if before and len(name := without_framing(before.group())) >= least:
+                    out.append({"id": m.group(2), "line": 0, "name_text": name})
+        return out
+
+    read = F.pandas_udf(lambda s: s.map(lambda x: one(x) if x else []), "array<struct<id:string,line:int,name_text:string>>")
+    hits = texts.select(doc, F.explode(read(F.col(text))).alias("_h")).select(doc, "_h.*")
+    return hits.join(ids.select(doc, "id").dropna().distinct(), [doc, "id"]).select(doc, "id", "line", "name_text")
+
+
+def vertical_names(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, cid, name): names that stand below an id in one column and run on over the lines after it.
+
+    cells (keys, row_ix, text) of a single column: a line that is an id opens an entry, the lines up to the next are its name, joined
+    without a blank where the one before ends in a hyphen, comma or bracket.
+    """
+    from pyspark.sql import Window
+
+    t = fn.blank_trim(F.col("text"))
+    is_id = fn.is_cid_shaped(t) & t.rlike("[0-9]")
+    s = cells.filter(t != "").withColumn("_e", F.count_if(is_id).over(Window.partitionBy(*keys).orderBy("row_ix").rowsBetween(Window.unboundedPreceding, 0))).filter("_e > 0")
+    lines = F.transform(F.array_sort(F.collect_list(F.when(~is_id, F.struct("row_ix", t.alias("t"))))), lambda x: x["t"])
+    g = s.groupBy(*keys, "_e").agg(F.max(F.when(is_id, fn.normalize_cid(t))).alias("cid"), lines.alias("_l")).filter("size(_l) > 0")
+    joined = F.aggregate("_l", F.lit(""), lambda a, b: F.when(a.rlike(r"[-,(\[{]$") | (a == ""), F.concat(a, b)).otherwise(F.concat(a, F.lit(" "), b)))
+    return g.select(*keys, "cid", joined.alias("name")).filter(fn.looks_chemical(F.col("name")))
+
+
 def candidates(names: DataFrame, name: str, of: Callable[[str], list[str]] = variants) -> DataFrame:
     """One row per reading: all columns, ``rank`` and ``candidate``. Distinct names are read once per batch."""
     read = F.pandas_udf(lambda s: s.map(lambda x: of(x) if x else []), "array<string>")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayloom.functions import cells as fn
-from assayloom.operators import audit, drawings, extract, identity, layout, legend, names, rules, views
+from assayloom.operators import audit, drawings, extract, gaps, identity, layout, legend, names, rules, views
 from assayloom.plans import pipeline
 from assayloom.plans.reference_queries import _flat, query
 from assayloom.sources import documents as src
@@ -304,3 +304,124 @@ def q_case_suppressed(spark: SparkSession, d: str) -> DataFrame:
     blocks = spark.createDataFrame([("a",), ("b",), ("b",), ("c",)], "fingerprint string")
     lib = spark.createDataFrame([("a", "not_assay"), ("c", "not_assay"), ("c", "not_assay"), ("b", "column_map")], "fingerprint string, kind string")
     return rules.suppress(blocks, lib).groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n"))
+
+
+# -- gaps ------------------------------------------------------------------------------------------------------------------------
+
+
+@query(expected("patent_id string, name string, inchikey string", [("P", "a", "KA"), ("P", "f", "KF"), ("Q", "b", "KB")]))
+def q_case_new_structures(spark: SparkSession, d: str) -> DataFrame:
+    """Grounded annotations that add a structure: held keys drop out before and after resolving, repeats within the batch too."""
+    blocks = [("P", 0, "a", "C", " ka "), ("P", 1, "a", "C", "kx"), ("P", 2, "b", "CC", "kb"), ("P", 3, "c", "", "kc"), ("P", 4, "d", "C", None), ("P", 5, "e", "C", "kq"), ("P", 6, "f", "C", None), ("P", 7, "g", "C", None), ("Q", 0, "b", "CC", "kb"), ("Q", 1, "h", None, None)]
+    held = gaps.held_keys(spark.createDataFrame([("P", "kb "), ("P", "KD"), ("P", None), ("Q", "")], "patent_id string, inchikey string"))
+    resolved = spark.createDataFrame([("a", "C", "KA"), ("b", "CC", "KB"), ("d", "C", "kd"), ("e", None, None), ("f", "CCC", "kf"), ("g", "CCC", "KF"), ("c", "C", "KC")], "name string, smiles string, inchikey string")
+    df = spark.createDataFrame(blocks, "patent_id string, pos int, name string, smiles string, inchi_key string")
+    return gaps.new_structures(df, held, resolved).select("patent_id", "name", "inchikey")
+
+
+_GAP_TABLE = [*cells_of(21, [["1", "A", "5"], ["2", "+", "6"], ["", "", ""], ["3", "B", "7"], ["4", "C", "8"], ["5", "A", "9"]], [["Compound", "", "Ki (nM)"]]), *cells_of(22, [["A"], ["B"]]), *cells_of(23, [["1", "x"]], [["No.", ""]])]
+
+
+@query(expected("table_uid long, col int, shape string", [(21, 1, "bin")]))
+def q_case_unlabelled(spark: SparkSession, d: str) -> DataFrame:
+    """A column of grades that the document never named; grades without ids and words are none."""
+    columns = extract.classify_columns(spark.createDataFrame(_GAP_TABLE, CELLS))
+    return gaps.unlabelled_assays(columns).select("table_uid", "col", "shape")
+
+
+@query(expected("table_uid long, header string, sample string", [(21, "Compound |  | Ki (nM)", "1 | A | 5;2 | + | 6;3 | B | 7"), (22, "", "A;B")]))
+def q_case_samples(spark: SparkSession, d: str) -> DataFrame:
+    """Samples of two gaps: headers and the first three filled rows."""
+    wanted = spark.createDataFrame([(21, 0), (22, 0), (22, 0), (99, 0)], "table_uid long, tgroup_ix int")
+    out = gaps.samples(spark.createDataFrame(_GAP_TABLE, CELLS), wanted, 3)
+    return out.select("table_uid", "header", F.replace("sample", F.lit("\n"), F.lit(";")).alias("sample"))
+
+
+_MASS_TABLE = cells_of(31, [["1", "561.2 (M + H)"], ["2", "300"], ["3 HCl", "450.1 [M-H]"], ["x", "200"], ["1", "99.9"], ["4", "n/a"], ["5", "0.69"]], [["No.", "MS (ESI) M+Na"]])
+
+
+@query(expected("cid string, mz double, shift double", [("1", 561.2, 1.00728), ("2", 300.0, 22.98922), ("3", 450.1, -1.00728)]))
+def q_case_column_masses(spark: SparkSession, d: str) -> DataFrame:
+    """Masses of a mass column: the adduct of the cell, else of the header; the first row of a compound counts."""
+    cells = spark.createDataFrame(_MASS_TABLE, CELLS)
+    return gaps.column_masses(cells, extract.classify_columns(cells)).select("cid", "mz", "shift")
+
+
+@query(expected("patent_id string, table_id string", [("P", "T2")]))
+def q_case_attachments(spark: SparkSession, d: str) -> DataFrame:
+    """Tables whose introduction calls the drawn bond a point of attachment; the wording before another table does not count."""
+    xml = '<p>Text</p><tables id="T1">the point of attachment</tables><p>where the <b>wavy</b> line denotes</p><p>wavy line</p><tables id="T2"></tables><p>Plain.</p><tables id="T3"></tables>'
+    docs = spark.createDataFrame([("P", xml), ("Q", "no tables, wavy line"), ("R", None)], "patent_id string, xml string")
+    return gaps.attachment_tables(docs)
+
+
+@query(expected("patent_id string, chemistry_id string", [("P", "C1"), ("Q", "C9")]))
+def q_case_drawings_wanted(spark: SparkSession, d: str) -> DataFrame:
+    """Scaffolds and fragments without a structure and with a picture."""
+    frame = lambda rows: spark.createDataFrame(rows, "patent_id string, chemistry_id string")
+    return gaps.drawings_wanted([frame([("P", "C1"), ("P", "C2"), ("P", None)]), frame([("P", "C1"), ("P", "C3"), ("Q", "C9")])], frame([("P", "C2"), ("Q", "C1")]), frame([("P", "C3")]))
+
+
+@query(expected("name string, pattern_id string, repaired string", [("5-eyloro", "ey", "5-chloro"), ("abc2", None, None)]))
+def q_case_library_pass(spark: SparkSession, d: str) -> DataFrame:
+    """A library pass over names with a gap: what it proposes, and what it leaves; a signature written off is in neither."""
+    df = spark.createDataFrame([("5-eyloro", "s1"), ("abc2", "s2"), ("6-eyloro", "s3")], "name string, signature string")
+    made, left = gaps.library_pass(df, [("ey", "ey(?=[a-z]{2})", "ch"), ("none", "zz", "z")], spark.createDataFrame([("s3",)], "signature string"))
+    return made.select("name", "pattern_id", "repaired").unionByName(left.select("name"), allowMissingColumns=True)
+
+
+@query(expected("table_id string, n_rows long, n_masses long, n_names long", [("T1", 2, 1, 1)]))
+def q_case_substituent_gaps(spark: SparkSession, d: str) -> DataFrame:
+    """Substituent tables with a referee; one without any is left out."""
+    t = [("P", "T1", "1", ["R1", "R2"], True, False, "header"), ("P", "T1", "2", ["R1", "R2"], True, False, "header"), ("P", "T2", "9", ["R1"], False, False, None)]
+    tables = spark.createDataFrame(t, "patent_id string, table_id string, cid string, headings array<string>, has_image boolean, has_mass boolean, scaffold_where string")
+    ref = lambda rows: spark.createDataFrame(rows, "patent_id string, cid string")
+    return gaps.substituent_gaps(tables, ref([("P", "1"), ("P", "1"), ("Q", "9")]), ref([("P", "2"), ("P", None)])).select("table_id", "n_rows", "n_masses", "n_names")
+
+
+_SHOWN = [((5.0, "nM", None, None, None, ">", 3), ">5 nM  (n=3)"), ((None, "nM", 1.0, None, None, None, None), "1..? nM"), ((None, None, None, None, "B", None, None), "grade B"), ((None,) * 7, "(no value)"), ((0.25, "", None, None, None, None, None), "0.25")]
+
+
+@query(expected("case_no int, shown string", [(i, t) for i, (_, t) in enumerate(_SHOWN)]))
+def q_case_shown(spark: SparkSession, d: str) -> DataFrame:
+    """Records as a reader sees them."""
+    df = spark.createDataFrame([(i, *v) for i, (v, _) in enumerate(_SHOWN)], "case_no int, v double, u string, lo double, hi double, g string, q string, n int")
+    return df.select("case_no", gaps.shown(*[F.col(c) for c in ("v", "u", "lo", "hi", "g", "q", "n")]).alias("shown"))
+
+
+_FAMILIES = [("I-0268", "I-#"), ("Example 7b", "#"), ("A104", "A#"), ("'12'", "#"), ("Cpd. No. 5", "#"), ("", "")]
+
+
+@query(expected("case_no int, family string", [(i, f) for i, (_, f) in enumerate(_FAMILIES)]))
+def q_case_id_families(spark: SparkSession, d: str) -> DataFrame:
+    """Families of ids: a suffix letter is no family, a prefix is."""
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(_FAMILIES)], "case_no int, t string")
+    return df.select("case_no", fn.id_family(F.col("t")).alias("family"))
+
+
+_NAME_ROWS = cells_of(41, [["Cell (line", "IC50"], ["A) x", "(nM)"], ["b)", "c"], ["1", "2.5"], ["z" * 70, "y"]], [["", "AAK1 IC50"], ["TABLE 4A", ""], ["Example", "(nM)"]])
+
+
+@query(expected("section string, row_ix int, spans_one boolean, name_like boolean", [("header", 0, True, True), ("header", 1, False, False), ("header", 2, False, True), ("body", 0, False, True), ("body", 1, False, True), ("body", 2, False, False), ("body", 3, False, False), ("body", 4, False, False)]))
+def q_case_name_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Rows that read like column names: one label over a column, brackets that an earlier row opened, no titles, numbers or prose."""
+    return layout.name_rows(spark.createDataFrame(_NAME_ROWS, CELLS)).select("section", "row_ix", "spans_one", "name_like")
+
+
+_PROSE = "Example 1: Preparation of 4-(methylamino)pyridine (Compound 1)\nWhite solid.\nCompound 2\n2-chloro-5-(ethoxy)benzamide was obtained as an oil.\n3-phenylpropanoic-2-one (7) follows. Example 99: 9-unknown-9H-purine"
+
+
+@query(expected("doc string, id string, name_text string", [("P", "1", "4-(methylamino)pyridine"), ("P", "1", "White solid"), ("P", "2", "2-chloro-5-(ethoxy)benzamide"), ("P", "2", "3-phenylpropanoic-2-one"), ("P", "7", "3-phenylpropanoic-2-one")]))
+def q_case_texts_after_ids(spark: SparkSession, d: str) -> DataFrame:
+    """Where names may stand after the numbers of a document's compounds, and before a number in brackets."""
+    docs = spark.createDataFrame([("P", _PROSE), ("Q", None), ("R", "")], "doc string, text string")
+    ids = spark.createDataFrame([("P", "1"), ("P", "2"), ("P", "7"), ("Q", "1")], "doc string, id string")
+    return names.texts_after_ids(docs, "doc", "text", ids).select("doc", "id", "name_text").distinct()
+
+
+@query(expected("k int, cid string, name string", [(1, "1", "2-(4-chloro-phenyl)-3-[1-methyl-ethyl]-amide"), (1, "I-2", "4-(2-oxo-1,2-dihydropyridin-3-yl)-benzoic acid")]))
+def q_case_vertical_names(spark: SparkSession, d: str) -> DataFrame:
+    """Names below their ids in one column, over several lines."""
+    lines = ["Compounds", "1", "2-(4-chloro-phenyl)-3-", "[1-methyl-ethyl]-amide", "I-2", "4-(2-oxo-1,2-dihydropyridin-3-yl)-benzoic", "acid", "3", "white solid", "4", ""]
+    df = spark.createDataFrame([(1, i, t) for i, t in enumerate(lines)] + [(2, 0, None)], "k int, row_ix int, text string")
+    return names.vertical_names(df, ["k"])

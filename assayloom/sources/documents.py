@@ -167,3 +167,13 @@ def render_xml(tables: DataFrame) -> DataFrame:
     block = tables.withColumn("g", F.struct("tgroup_ix", group.alias("x"))).groupBy("patent_id", "table_uid").agg(F.array_sort(F.collect_list("g")).alias("g"))
     block = block.withColumn("b", F.concat(F.format_string('<tables id="%s"><table>', F.col("table_uid").cast("string")), F.array_join(F.col("g.x"), ""), F.lit("</table></tables>")))
     return block.select(F.concat_ws("-", "patent_id", "table_uid").alias("patent_id"), F.concat(F.lit("<description>"), F.col("b"), F.lit("</description>")).alias("xml"))
+
+
+WORKLIST = "patent_id string, cid string, job string, chemistry_id string, image_file string, local_path string, url string, expected_inchikey string, n_assays int, assays string"
+
+
+def read_worklist(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a worklist of drawings (tab-separated, with a header). Columns the file lacks are null, others are ignored."""
+    rows = spark.read.option("sep", "\t").option("header", True).csv(path)
+    fields = [f.split() for f in WORKLIST.split(", ")]
+    return rows.select(*[(F.col(n).try_cast(t) if n in rows.columns else F.lit(None).cast(t)).alias(n) for n, t in fields])

@@ -5,7 +5,7 @@ from assayloom.operators import deliver, drawings, extract, identity, layout, le
 from assayloom.plans import case_queries as cases
 from assayloom.plans import pipeline
 from assayloom.plans.reference_queries import QUERIES, SQL
-from assayloom.sources import fetch
+from assayloom.sources import documents, fetch
 
 XML = """<us><description><p>IC50 values are in nM.</p><p>TABLE 1. A: below 10 uM; B: 10 to 100 uM</p>
 <tables id="T1"><table><tgroup cols="3"><thead><row><entry>Compound</entry><entry>Vagudor IC50</entry><entry>MW</entry></row></thead>
@@ -148,6 +148,14 @@ def test_rule_kinds_and_gates(spark):
     assert {(r.slot, r.point, r.refusal) for r in m.collect()} == {("R1", 4, None), ("R2", None, "slot marked twice"), ("R3", None, "slot not marked")}
 
 
+def test_worklists(spark, tmp_path):
+    path = tmp_path / "work.tsv"
+    path.write_text("patent_id\tcid\tn_assays\textra\nP\t1\t3\tx\nQ\t2\tmany\ty\n")
+    got = documents.read_worklist(spark, str(path))
+    assert got.columns == [f.split()[0] for f in documents.WORKLIST.split(", ")]
+    assert [(r.patent_id, r.cid, r.n_assays, r.url) for r in got.orderBy("patent_id").collect()] == [("P", "1", 3, None), ("Q", "2", None, None)]
+
+
 def test_sinks(spark, tmp_path):
     df = spark.range(2500).withColumn("a", F.lit("x"))
     folder = str(tmp_path / "sent")
