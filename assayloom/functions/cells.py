@@ -234,6 +234,9 @@ def value_shape(c: Column) -> Column:
     )
 
 
+# Negative logarithms, which are their own unit.
+P_METRIC = r"(?i)\bp ?(?:IC|EC|K) ?_?(?:50|i|d)\b"
+P_UNITS = ["pIC50", "pEC50", "pKi", "pKd"]
 #: Header rules in order of precedence; the first that fits names the kind.
 HEADER_KINDS = [
     ("assay", r"(?i)(IC[ _-]?50|EC[ _-]?50|\bK[id]\b|inhibition|\binh\b).*([numpµμ]M\b|mol/l|molar)"),
@@ -245,7 +248,7 @@ HEADER_KINDS = [
     ("nruns", r"(?i)^(n|n runs|runs|replicates)$"),
     ("substituent", r"^(R[0-9]*|Ar[0-9]*|X|Y|Z)$"),
     ("cid", r"(?i)^(example|ex\.?|compound|cmpd\.?|cpd\.?|entry|no\.?|#)( ?(no\.?|number|id|#))?$"),
-    ("assay", r"(?i)(IC[ _-]?50|EC[ _-]?50|\bK[ _-]?[id]\b|inhibition|% ?inh|\binh\b|clearance|half-life|solubility|\bpotency\b|\bactivity\b)"),
+    ("assay", r"(?i)(IC[ _-]?50|EC[ _-]?50|\bp?K[ _-]?[id]\b|inhibition|% ?inh|\binh\b|clearance|half-life|solubility|\bpotency\b|\bactivity\b)"),
 ]
 
 

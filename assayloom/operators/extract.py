@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assayloom.functions import cells as fn
+from assayloom.functions import texts
 
 KEY = ["table_uid", "tgroup_ix"]
 
@@ -29,10 +30,11 @@ _SHAPES = ["bin", "cid", "num", "text"]
 
 
 def columns_of(cells: DataFrame, first: int = 40, share: float = 0.6) -> DataFrame:
-    """(keys, col, header, shape, n): one pass over the cells of each group.
+    """(keys, col, header, shape, n, stray): one pass over the cells of each group.
 
     header: the header lines over a column from top to bottom, spans fanned out, repeats dropped; null without any. shape: that of more
-    than ``share`` of the first non-blank values of the column, else ``mixed``, null without values; n counts these values.
+    than ``share`` of the first non-blank values of the column, else ``mixed``, null without values; n counts these values, stray those that
+    are a single letter outside A to E.
     """
     at = F.explode(F.when(F.col("section") == "header", F.sequence(F.col("col"), F.col("col") + F.col("colspan") - 1)).otherwise(F.array("col")))
     # a window over the group comes first, so that cells are placed by group and stay there
@@ -41,10 +43,10 @@ def columns_of(cells: DataFrame, first: int = 40, share: float = 0.6) -> DataFra
     seen = F.count_if(F.col("_s") != "empty").over(Window.partitionBy(*KEY, "at").orderBy("row_ix", "cell_ix").rowsBetween(Window.unboundedPreceding, 0))
     c = c.withColumn("_in", (F.col("_s") != "empty") & (seen <= first))
     line = F.when((F.col("section") == "header") & (F.col("text") != ""), F.struct("row_ix", "text"))
-    g = c.groupBy(*KEY, F.col("at").alias("col")).agg(F.array_distinct(F.transform(F.array_sort(F.collect_list(line)), lambda x: x["text"])).alias("_h"), F.count_if("_in").alias("n"), *[F.count_if(F.col("_in") & (F.col("_s") == s)).alias(f"_{s}") for s in _SHAPES])
+    g = c.groupBy(*KEY, F.col("at").alias("col")).agg(F.array_distinct(F.transform(F.array_sort(F.collect_list(line)), lambda x: x["text"])).alias("_h"), F.count_if("_in").alias("n"), F.count_if(F.col("_in") & fn.blank_trim(F.col("text")).rlike("^[F-Zf-z]$")).alias("stray"), *[F.count_if(F.col("_in") & (F.col("_s") == s)).alias(f"_{s}") for s in _SHAPES])
     top = F.greatest(*[F.struct(F.col(f"_{s}").alias("k"), F.lit(s).alias("s")) for s in _SHAPES])
     shape = F.when(F.col("n") > 0, F.when(top["k"] > F.col("n") * share, top["s"]).otherwise("mixed"))
-    return g.select(*KEY, "col", F.when(F.size("_h") > 0, F.array_join("_h", " ")).alias("header"), shape.alias("shape"), "n")
+    return g.select(*KEY, "col", F.when(F.size("_h") > 0, F.array_join("_h", " ")).alias("header"), shape.alias("shape"), "n", "stray")
 
 
 def merged_headers(cells: DataFrame) -> DataFrame:
@@ -74,16 +76,29 @@ def classify_columns(cells: DataFrame) -> DataFrame:
     return kinds_of(columns_of(cells).filter("header is not null or n > 0"))
 
 
+#: Share of a column of grades that may be letters outside the grades; more, and the column enumerates something else.
+STRAY = 0.05
+UNNAMED_GRADES = "unnamed assay (letter bin)"
+
+
 def kinds_of(columns: DataFrame) -> DataFrame:
-    """Columns (keys, col, header, shape) with kind and unit. Without an id column by header, the leftmost unnamed column with id-shaped values is
-    the id column; a column without a header but with a kind of none is ``unknown``."""
-    cols = columns.withColumns({"by_header": F.when(F.col("header").isNotNull(), fn.header_kind(F.col("header"))), "unit": fn.unit_from(F.col("header"))})
+    """Columns (keys, col, header, shape and, if known, n and stray) with kind, unit and label_source.
+
+    Without an id column by header, the leftmost unnamed column with id-shaped values is the id column. A column of grades that its header
+    makes nothing is an assay; without a header its label comes from its shape. A negative logarithm is its own unit.
+    """
+    closed = (F.col("stray") <= STRAY * F.col("n")) if "stray" in columns.columns else F.lit(True)
+    logged = F.lower(F.regexp_replace(F.regexp_extract(F.col("header"), fn.P_METRIC, 0), "[ _]", ""))
+    p_unit = F.coalesce(*[F.when(logged == u.lower(), F.lit(u)) for u in fn.P_UNITS])
+    cols = columns.withColumns({"by_header": F.when(F.col("header").isNotNull(), fn.header_kind(F.col("header"))), "unit": F.coalesce(fn.unit_from(F.col("header")), p_unit)})
     w = Window.partitionBy(*KEY)
     has_cid = F.max(F.coalesce((F.col("by_header") == "cid").cast("int"), F.lit(0))).over(w)
     spare = (F.col("shape") == "cid") & (F.coalesce(F.col("by_header"), F.lit("unknown")) == "unknown")
     leftmost = F.min(F.when(spare, F.col("col"))).over(w)
-    kind = F.when((has_cid == 0) & (F.col("col") == leftmost), "cid").otherwise(F.coalesce("by_header", F.lit("unknown")))
-    return cols.select(*KEY, "col", "header", kind.alias("kind"), "unit", "shape")
+    graded = (F.coalesce(F.col("by_header"), F.lit("unknown")) == "unknown") & (F.col("shape") == "bin") & closed
+    kind = F.when((has_cid == 0) & (F.col("col") == leftmost), "cid").when(graded, "assay").otherwise(F.coalesce("by_header", F.lit("unknown")))
+    source = F.when(F.col("header").isNotNull(), "header").when(graded, "shape")
+    return cols.select(*KEY, "col", "header", kind.alias("kind"), "unit", "shape", source.alias("label_source"))
 
 
 def inherit_headers(groups: DataFrame) -> DataFrame:
@@ -123,9 +138,18 @@ def records_of_cells(cells: DataFrame, columns: DataFrame | None = None) -> Data
     body = body.withColumns({"_id": first, "_drawn": drawn}).withColumn("_own", F.nullif(fn.normalize_cid(F.col("_id.text")), F.lit("")))
     upto = Window.partitionBy(*KEY, "part").orderBy("row_ix").rangeBetween(Window.unboundedPreceding, 0)
     cid = F.when(F.col("_own").isNotNull(), F.col("_own")).when(F.col("_id").isNotNull() & ~F.col("_drawn"), F.last("_own", ignorenulls=True).over(upto))
-    long = body.withColumn("cid", cid).filter("_c.kind = 'assay'").withColumn("v", fn.parse_value(F.col("text")))
+    # replicate counts may stand in a column of their own behind the values
+    across = Window.partitionBy(*KEY, "row_ix").orderBy("col")
+    behind = F.when((F.lead("_c.kind").over(across) == "nruns") & (F.lead("col").over(across) == F.col("col") + F.col("colspan")), F.regexp_extract(F.lead("text").over(across), r"^\s*\(?\s*(?:n\s*=\s*)?([0-9]{1,3})\s*\)?\s*$", 1).try_cast("int"))
+    long = body.withColumns({"cid": cid, "_runs": behind}).filter("_c.kind = 'assay'")
+    name = F.coalesce("_c.header", F.lit(UNNAMED_GRADES))
+    # a header that lists several assays, over cells that list as many values
+    listed = F.when(F.col("_c.header").contains(",") & F.col("text").rlike(r",\s"), texts.zip_lists(F.col("_c.header"), F.col("text")))
+    named = F.filter(listed, lambda x: x["header"].rlike("[A-Za-z]{2}") & (fn.unit_from(x["header"]).isNull() | (F.length(x["header"]) > 8)))
+    pairs = F.when(F.size(named) == F.size(listed), listed).otherwise(F.array(F.struct(name.alias("header"), F.col("text").alias("value"))))
+    long = long.withColumn("_p", F.explode(pairs)).withColumn("v", fn.parse_value(F.col("_p.value")))
     keep = F.col("v.value_numeric").isNotNull() | F.col("v.letter_grade").isNotNull()
-    return long.filter(keep).select("patent_id", *KEY, "row_ix", "col", "cid", F.col("_c.header").alias("assay_name"), "v.value_numeric", "v.qualifier", F.coalesce("v.unit", "_c.unit").alias("unit"), "v.n_runs", "v.letter_grade")
+    return long.filter(keep).select("patent_id", *KEY, "row_ix", "col", "cid", F.col("_p.header").alias("assay_name"), "v.value_numeric", "v.qualifier", F.coalesce("v.unit", "_c.unit").alias("unit"), F.coalesce("v.n_runs", "_runs").alias("n_runs"), "v.letter_grade")
 
 
 def explode_id_lists(rows: DataFrame, ids: str, carried: list[str]) -> DataFrame:

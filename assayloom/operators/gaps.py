@@ -40,9 +40,9 @@ def new_structures(blocks: DataFrame, held: DataFrame, resolved: DataFrame) -> D
 
 
 def unlabelled_assays(columns: DataFrame) -> DataFrame:
-    """Columns (keys, col, header, shape, kind) that are assays by their cells only: grades under no header, in a group with an id column."""
+    """Classified columns that are assays by their cells only: what they measure the document does not say. In groups with an id column."""
     ids = F.max((F.col("kind") == "cid").cast("int")).over(Window.partitionBy(*KEY))
-    return columns.withColumn("_ids", ids).filter((F.col("_ids") == 1) & F.col("header").isNull() & (F.col("shape") == "bin")).select(*KEY, "col", "shape")
+    return columns.withColumn("_ids", ids).filter((F.col("_ids") == 1) & (F.col("kind") == "assay") & (F.col("label_source") == "shape")).select(*KEY, "col", "shape")
 
 
 def samples(cells: DataFrame, gaps: DataFrame, rows: int = 6) -> DataFrame:

@@ -106,6 +106,8 @@ VIEW_TABLES = [
     *cells_of(7, [["A", "1, 2b, I-3"], ["B", "4, 5"], ["C", "6, 7, 8, 9"]], [["Grade", "IC50 of compounds (nM)"]], patent="T"),  # grades with lists of ids
     *cells_of(8, [[x, str(i) if x == "Compound" else f"{i}.5" if x == "IC50 (nM)" else "z"] for i in range(10) for x in ("Compound", "MW", "IC50 (nM)", "Note")], patent="U"),  # label and value rows
     (9, None, None, "body", 0, 0, None, None, None, None),
+    *cells_of(10, [["1", "A", "B", "5.5", "3", "1.5, 2.5"], ["2", "+", "G", "6.5", "(4)", "n.d., 3.5"], ["3", "B", "N", "7.5", "x", "9"]], [["Ex.", "FP", "Way", "pIC50", "n", "MAGL Ki, FAAH Ki"]], patent="V"),
+    # grades under a plain header, letters that are no grades, a logarithm, replicates behind it, two assays in one column
 ]
 _IC = "Vagudor IC50 (nM)"
 VIEW_RECORDS = [
@@ -113,6 +115,8 @@ VIEW_RECORDS = [
     (2, "flat", "3", _IC, 6.5, None), (2, "flat", "4", _IC, None, "B"), (4, "flat", "7", "Ki (nM)", 1.5, None), (4, "flat", "8", "Ki (nM)", 2.5, None), (5, "flat", "5", "EC50 (uM)", 0.5, None), (5, "flat", "6", "EC50 (uM)", 0.6, None),
     *[(6, "flat", c, "IC50 (nM)", v, None) for c, v in (("1", 5.5), ("2", 6.5), ("3", 7.5))],
     *[(7, "inverted", c, "IC50 of compounds (nM)", None, g) for g, ids in (("A", ("1", "2b", "I-3")), ("C", ("6", "7", "8", "9"))) for c in ids],
+    *[(10, "flat", c, "FP", None, g) for c, g in (("1", "A"), ("2", "+"), ("3", "B"))], *[(10, "flat", c, "pIC50", v, None) for c, v in (("1", 5.5), ("2", 6.5), ("3", 7.5))],
+    (10, "flat", "1", "MAGL Ki", 1.5, None), (10, "flat", "1", "FAAH Ki", 2.5, None), (10, "flat", "2", "FAAH Ki", 3.5, None), (10, "flat", "3", "MAGL Ki, FAAH Ki", 9.0, None),
     *[(8, "vertical", str(i), "IC50 (nM)", i + 0.5, None) for i in range(10)],
 ]
 
@@ -123,6 +127,13 @@ def q_case_views(spark: SparkSession, d: str) -> DataFrame:
     return views.extract_all(spark.createDataFrame(VIEW_TABLES, CELLS)).select("table_uid", "view", "cid", "assay_name", "value_numeric", "letter_grade")
 
 
+@query(expected("cid string, unit string, n_runs int", [("1", "pIC50", 3), ("2", "pIC50", 4), ("3", "pIC50", None)]))
+def q_case_replicates(spark: SparkSession, d: str) -> DataFrame:
+    """Replicate counts in the column behind the values; what is no count is none. A logarithm is its own unit."""
+    cells = spark.createDataFrame([r for r in VIEW_TABLES if r[0] == 10], CELLS)
+    return views.extract_all(cells).filter("assay_name = 'pIC50'").select("cid", "unit", "n_runs")
+
+
 @query()
 def q_extract_all(spark: SparkSession, d: str) -> DataFrame:
     """The whole extraction over all table objects (q_case_views holds its cases)."""

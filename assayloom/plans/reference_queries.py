@@ -81,16 +81,18 @@ fan AS (SELECT table_uid, tgroup_ix, row_ix, text, unnest(range(CAST(col AS BIGI
 fan1 AS (SELECT table_uid, tgroup_ix, col, text, min((row_ix, text)) AS k FROM fan GROUP BY ALL),
 heads AS (SELECT table_uid, tgroup_ix, col, string_agg(text, ' ' ORDER BY k) AS header FROM fan1 GROUP BY ALL)"""
 _SHAPES = f"""
-sh0 AS (SELECT table_uid, tgroup_ix, col, row_ix, cell_ix, {_SHAPE.format(t=_bt("text"))} AS shape FROM cells WHERE section = 'body'),
+sh0 AS (SELECT table_uid, tgroup_ix, col, row_ix, cell_ix, regexp_matches({_bt("text")}, '^[F-Zf-z]$') AS stray, {_SHAPE.format(t=_bt("text"))} AS shape FROM cells WHERE section = 'body'),
 sh1 AS (SELECT *, row_number() OVER (PARTITION BY table_uid, tgroup_ix, col ORDER BY row_ix, cell_ix) AS rn FROM sh0 WHERE shape <> 'empty'),
 sh2 AS (SELECT table_uid, tgroup_ix, col, shape, count(*) AS k FROM sh1 WHERE rn <= 40 GROUP BY ALL),
+sh3 AS (SELECT table_uid, tgroup_ix, col, count(*) FILTER (stray) <= 0.05 * count(*) AS closed FROM sh1 WHERE rn <= 40 GROUP BY ALL),
 shapes AS (SELECT table_uid, tgroup_ix, col, CASE WHEN max(k) > sum(k) * 0.6 THEN arg_max(shape, (k, shape)) ELSE 'mixed' END AS shape, CAST(sum(k) AS BIGINT) AS n FROM sh2 GROUP BY ALL)"""
 _KIND = "CASE " + " ".join(f"WHEN regexp_matches(header, '{p}') THEN '{k}'" for k, p in fn.HEADER_KINDS) + f" WHEN {_unit('header')} IN ('pM','nM','uM','mM','M') THEN 'assay' ELSE 'unknown' END"
+_P_UNIT = f"CASE lower(regexp_replace(regexp_extract(h.header, '{fn.P_METRIC}', 0), '[ _]', '', 'g')) " + " ".join(f"WHEN '{u.lower()}' THEN '{u}'" for u in fn.P_UNITS) + " END"
 _COLUMNS = f"""
-c1 AS (SELECT coalesce(s.table_uid, h.table_uid) AS table_uid, coalesce(s.tgroup_ix, h.tgroup_ix) AS tgroup_ix, coalesce(s.col, h.col) AS col, h.header, s.shape, CASE WHEN h.header IS NOT NULL THEN {_KIND} END AS by_header, {_unit("h.header")} AS unit
-  FROM shapes s FULL JOIN heads h ON s.table_uid = h.table_uid AND s.tgroup_ix = h.tgroup_ix AND s.col = h.col),
+c1 AS (SELECT coalesce(s.table_uid, h.table_uid) AS table_uid, coalesce(s.tgroup_ix, h.tgroup_ix) AS tgroup_ix, coalesce(s.col, h.col) AS col, h.header, s.shape, CASE WHEN h.header IS NOT NULL THEN {_KIND} END AS by_header, coalesce({_unit("h.header")}, {_P_UNIT}) AS unit, coalesce(closed, false) AS closed
+  FROM (SELECT * FROM shapes JOIN sh3 USING (table_uid, tgroup_ix, col)) s FULL JOIN heads h ON s.table_uid = h.table_uid AND s.tgroup_ix = h.tgroup_ix AND s.col = h.col),
 c2 AS (SELECT *, max(CASE WHEN by_header = 'cid' THEN 1 ELSE 0 END) OVER w AS has_cid, min(CASE WHEN shape = 'cid' AND coalesce(by_header, 'unknown') = 'unknown' THEN col END) OVER w AS leftmost FROM c1 WINDOW w AS (PARTITION BY table_uid, tgroup_ix)),
-columns_ AS (SELECT table_uid, tgroup_ix, col, header, CASE WHEN has_cid = 0 AND col = leftmost THEN 'cid' ELSE coalesce(by_header, 'unknown') END AS kind, unit, shape FROM c2)"""
+columns_ AS (SELECT table_uid, tgroup_ix, col, header, CASE WHEN has_cid = 0 AND col = leftmost THEN 'cid' WHEN coalesce(by_header, 'unknown') = 'unknown' AND shape = 'bin' AND closed THEN 'assay' ELSE coalesce(by_header, 'unknown') END AS kind, unit, shape, CASE WHEN header IS NOT NULL THEN 'header' WHEN shape = 'bin' AND closed THEN 'shape' END AS label_source FROM c2)"""
 
 
 # -- scans and text --------------------------------------------------------------------------------------------------------------
@@ -260,7 +262,7 @@ def q_merged_headers(spark: SparkSession, d: str) -> DataFrame:
     return extract.merged_headers(_flat(spark, d))
 
 
-@query(f"WITH {_CELLS}, {_HEADS}, {_SHAPES}, {_COLUMNS} SELECT table_uid, tgroup_ix, CAST(col AS INTEGER) AS col, header, kind, unit, shape FROM columns_")
+@query(f"WITH {_CELLS}, {_HEADS}, {_SHAPES}, {_COLUMNS} SELECT table_uid, tgroup_ix, CAST(col AS INTEGER) AS col, header, kind, unit, shape, label_source FROM columns_")
 def q_classify_columns(spark: SparkSession, d: str) -> DataFrame:
     return extract.classify_columns(_flat(spark, d))
 
@@ -293,7 +295,7 @@ drawn AS (SELECT table_uid, tgroup_ix, row_ix, bool_or(chemistry_id IS NOT NULL)
 idn AS (SELECT table_uid, tgroup_ix, row_ix, nullif({_ncid("own")}, '') AS own, has_drawing FROM ids JOIN drawn USING (table_uid, tgroup_ix, row_ix)),
 carried AS (SELECT table_uid, tgroup_ix, row_ix, CASE WHEN own IS NOT NULL THEN own WHEN NOT has_drawing THEN last_value(own IGNORE NULLS) OVER (PARTITION BY table_uid, tgroup_ix ORDER BY row_ix ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END AS cid FROM idn),
 vals AS (SELECT b.*, trim(b.text) AS t FROM body b WHERE kind = 'assay'),
-recs AS (SELECT v.table_uid, v.tgroup_ix, v.row_ix, v.col, r.cid, v.header AS assay_name, CASE WHEN regexp_matches(t, {_NUMBER}) AND lower(t) NOT IN ('', '-', '--', '—', '–') THEN TRY_CAST(replace(regexp_extract(t, {_NUMBER}, 2), ',', '') || CASE WHEN regexp_extract(regexp_extract(t, {_NUMBER}, 3), '10\\^?([-+]?[0-9]+)', 1) <> '' THEN 'e' || regexp_extract(regexp_extract(t, {_NUMBER}, 3), '10\\^?([-+]?[0-9]+)', 1) ELSE '' END AS DOUBLE) END AS value_numeric, CASE WHEN regexp_matches(t, '^[A-Ea-e]$|^\\++$|^\\*+$|^#+$') THEN upper(t) END AS letter_grade FROM vals v LEFT JOIN carried r USING (table_uid, tgroup_ix, row_ix))"""
+recs AS (SELECT v.table_uid, v.tgroup_ix, v.row_ix, v.col, r.cid, coalesce(v.header, 'unnamed assay (letter bin)') AS assay_name, CASE WHEN regexp_matches(t, {_NUMBER}) AND lower(t) NOT IN ('', '-', '--', '—', '–') THEN TRY_CAST(replace(regexp_extract(t, {_NUMBER}, 2), ',', '') || CASE WHEN regexp_extract(regexp_extract(t, {_NUMBER}, 3), '10\\^?([-+]?[0-9]+)', 1) <> '' THEN 'e' || regexp_extract(regexp_extract(t, {_NUMBER}, 3), '10\\^?([-+]?[0-9]+)', 1) ELSE '' END AS DOUBLE) END AS value_numeric, CASE WHEN regexp_matches(t, '^[A-Ea-e]$|^\\++$|^\\*+$|^#+$') THEN upper(t) END AS letter_grade FROM vals v LEFT JOIN carried r USING (table_uid, tgroup_ix, row_ix))"""
 
 
 @query(f"WITH {_CELLS}, {_HEADS}, {_SHAPES}, {_COLUMNS}, {_RECORDS} SELECT table_uid, tgroup_ix, CAST(row_ix AS INTEGER) AS row_ix, CAST(col AS INTEGER) AS col, cid, assay_name, value_numeric, letter_grade FROM recs WHERE value_numeric IS NOT NULL OR letter_grade IS NOT NULL")
