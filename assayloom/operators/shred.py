@@ -27,10 +27,11 @@ _ROWS = 50_000
 @dataclass(frozen=True)
 class Wanted:
     """What a query needs of the adjacency table, pushed down into the shredding: nodes with one of ``labels``, and objects and arrays with
-    one of ``holders``. Node numbers then count what was kept."""
+    one of ``holders``; with ``least_span``, no typed spans below it. Node numbers then count what was kept."""
 
     labels: frozenset[str]
     holders: frozenset[str] = frozenset()
+    least_span: int = 0
 
 
 def _walk(doc: str, text: str | None, wanted: Wanted | None = None) -> Iterator[tuple]:
@@ -170,7 +171,7 @@ def _span() -> Column:
 
 
 #: What ``wide_cells`` needs: spans, the cells that are objects, and everything above them.
-WIDE_CELLS = Wanted(frozenset(["table_uid", "colspan", "namest", "nameend", "tgroup", "tgroups", "tgroups[]", *_ROW_LABELS]), frozenset(_CELL_LABELS))
+WIDE_CELLS = Wanted(frozenset(["table_uid", "colspan", "namest", "nameend", "tgroup", "tgroups", "tgroups[]", *_ROW_LABELS]), frozenset(_CELL_LABELS), 2)
 
 
 def _cells(nodes: DataFrame) -> DataFrame:
@@ -231,7 +232,8 @@ def typed_adjacency(tables: DataFrame, doc: Column, wanted: Wanted | None = None
     cells = cells.withColumn("at", F.shiftleft(F.col("row_ix").cast("long") * 2 + F.col("s"), 27))
     cell = F.col("at") + F.shiftleft(F.col("cell_ix").cast("long"), 3) + 1
     here = F.col("c").isNotNull()
-    has = lambda field: here & F.col(f"c.{field}").isNotNull()
+    least = wanted.least_span if wanted else 0
+    has = lambda field: here & ((F.col("c.colspan") >= least) if least and field == "colspan" else F.col(f"c.{field}").isNotNull())
     scalar = lambda field, i, kind: F.when(has(field), node(cell + i, cell, F.lit(field), zero, F.lit(kind), F.col(f"c.{field}")))
     fields = [(f, i, k) for i, (f, k) in enumerate((("text", "string"), ("colspan", "number"), ("col_start", "number"), ("chemistry_id", "string")), 1) if wanted is None or f in wanted.labels]
     inner = F.array(
