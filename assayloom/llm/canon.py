@@ -14,7 +14,7 @@ import unicodedata
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assayloom.common import BROADCAST_LIMIT, written
@@ -22,6 +22,8 @@ from assayloom.common import BROADCAST_LIMIT, written
 #: Least cosine of an accepted candidate, and how far it must be ahead of the next target.
 THRESHOLD = 0.2
 MARGIN = 0.1
+#: Distinct texts that one task weighs.
+TEXTS_PER_TASK = 4000
 #: Bytes of one posting in a broadcast table, generously.
 POSTING_BYTES = 128
 #: A word is a misspelling of another at most this many edits and this share of its letters away; words of four letters must be equal.
@@ -206,21 +208,24 @@ def best_entries(texts: DataFrame, index: Index, threshold: float = THRESHOLD, m
     shown = grams(F.trim(F.concat_ws(" ", "words", "marks")))
     idf = index.postings.groupBy("gram").agg(F.first("idf").alias("idf"))
     unseen = math.log((index.n_forms + 1) / 0.5)
-    own = texts.select(*key, F.explode(shown).alias("gram")).join(index.side(idf), "gram", "left").withColumn("w", F.coalesce("idf", F.lit(unseen)))
-    # everything from here to the verdict is partitioned by the text already
-    vectors = own.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("w", "gram"))).alias("v"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    light = F.expr(f"aggregate(v, named_struct('a', 0.0D, 'k', 0), (s, x) -> named_struct('a', s.a + x.w * x.w, 'k', s.k + IF(s.a + x.w * x.w < {threshold * threshold / 4} * norm * norm, 1, 0)), s -> s.k)")
-    probes = vectors.select(*key, "norm", F.explode(F.slice("v", light + 1, F.size("v"))).alias("p")).select(*key, "norm", "p.gram", "p.w")
-    hits = probes.join(index.side(index.postings.drop("idf")), ["measure", "marks", "gram"]).groupBy(*key, "norm", "form_id").agg(F.sum(F.col("w") * F.col("iw")).alias("dot"))
+    # a text is some fifty grams, so tasks are sized by texts and not by their few bytes; all that follows stays placed by the text's hash,
+    # which only blurs a score should two texts ever share one: candidates are checked on the text itself
+    t = texts.select(*key, F.xxhash64(*key).alias("h")).repartition(max(1, math.ceil(texts.count() / TEXTS_PER_TASK)), "h")
+    own = t.select("h", "measure", "marks", F.explode(shown).alias("gram")).join(index.side(idf), "gram", "left").withColumn("w", F.coalesce("idf", F.lit(unseen)))
+    square = F.sum(F.col("w") * F.col("w"))
+    upto = square.over(Window.partitionBy("h").orderBy("w", "gram").rowsBetween(Window.unboundedPreceding, 0))
+    own = own.withColumns({"_upto": upto, "norm": F.sqrt(square.over(Window.partitionBy("h")))})
+    probes = own.filter(F.col("_upto") >= threshold * threshold / 4 * F.col("norm") * F.col("norm"))
+    hits = probes.join(index.side(index.postings.drop("idf")), ["measure", "marks", "gram"]).groupBy("h", "norm", "form_id").agg(F.sum(F.col("w") * F.col("iw")).alias("dot"))
     hits = hits.filter(F.col("dot") >= threshold / 2 * F.col("norm"))
     known = index.forms.groupBy("target").agg(F.sort_array(F.collect_set("form")).alias("forms"))
-    fits = F.pandas_udf(lambda typed, f: pd.Series([names_target(t, list(x)) for t, x in zip(typed, f, strict=True)], dtype=bool), "boolean")
-    pairs = hits.join(index.side(index.forms.select("form_id", "target", "vocab_id")), "form_id").groupBy(*key, "norm", "target", "vocab_id").agg(F.collect_list("form_id").alias("ids"))
-    pairs = pairs.join(index.side(known), "target").filter(fits("words", "forms"))
-    full = pairs.select(*key, "norm", "target", "vocab_id", F.explode("ids").alias("form_id")).select("*", F.explode(shown).alias("gram"))
-    full = full.join(index.side(index.postings.select("form_id", "gram", "idf", "iw")), ["form_id", "gram"]).groupBy(*key, "norm", "target", "vocab_id", "form_id").agg((F.sum(F.col("idf") * F.col("iw")) / F.col("norm")).alias("score"))
-    named = full.groupBy(*key, "target", "vocab_id").agg(F.max("score").alias("score")).filter(F.col("score") >= threshold)
-    ranked = named.groupBy(*key).agg(F.max(F.struct("score", "target", "vocab_id")).alias("best"), F.sort_array(F.collect_list("score"), asc=False).alias("all"))
+    fits = F.pandas_udf(lambda typed, f: pd.Series([names_target(x, list(y)) for x, y in zip(typed, f, strict=True)], dtype=bool), "boolean")
+    pairs = hits.join(index.side(index.forms.select("form_id", "target", "vocab_id")), "form_id").groupBy("h", "norm", "target", "vocab_id").agg(F.collect_list("form_id").alias("ids"))
+    pairs = pairs.join(t, "h").join(index.side(known), "target").filter(fits("words", "forms"))
+    full = pairs.select("h", *key, "norm", "target", "vocab_id", F.explode("ids").alias("form_id")).select("*", F.explode(shown).alias("gram"))
+    full = full.join(index.side(index.postings.select("form_id", "gram", "idf", "iw")), ["form_id", "gram"]).groupBy("h", *key, "norm", "target", "vocab_id", "form_id").agg((F.sum(F.col("idf") * F.col("iw")) / F.col("norm")).alias("score"))
+    named = full.groupBy("h", *key, "target", "vocab_id").agg(F.max("score").alias("score")).filter(F.col("score") >= threshold)
+    ranked = named.groupBy("h", *key).agg(F.max(F.struct("score", "target", "vocab_id")).alias("best"), F.sort_array(F.collect_list("score"), asc=False).alias("all"))
     second = F.coalesce(F.try_element_at("all", F.lit(2)), F.lit(0.0))
     return ranked.select(*key, "best.vocab_id", "best.score", (F.col("best.score") - second).alias("margin")).filter(F.col("margin") >= margin)
 
