@@ -22,7 +22,7 @@ from assayloom.common import BROADCAST_LIMIT, written
 #: Least cosine of an accepted candidate, and how far it must be ahead of the next target.
 THRESHOLD = 0.2
 MARGIN = 0.1
-#: Distinct texts that one task weighs.
+#: Distinct texts whose grams one task weighs.
 TEXTS_PER_TASK = 4000
 #: Bytes of one posting in a broadcast table, generously.
 POSTING_BYTES = 128
@@ -104,11 +104,9 @@ def with_parts(df: DataFrame, name: str) -> DataFrame:
 
 
 def grams(text: Column) -> Column:
-    """Distinct character bigrams and trigrams of a text with its ends marked."""
+    """Distinct character trigrams of a text with its ends marked."""
     s = F.concat(F.lit("^^"), text, F.lit("$$"))
-    two = F.transform(F.sequence(F.lit(2), F.length(text) + 2), lambda i: F.substr(s, i, F.lit(2)))
-    three = F.transform(F.sequence(F.lit(1), F.length(text) + 2), lambda i: F.substr(s, i, F.lit(3)))
-    return F.array_distinct(F.concat(two, three))
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(text) + 2), lambda i: F.substr(s, i, F.lit(3))))
 
 
 def _edits(a: str, b: str) -> int:
@@ -187,7 +185,7 @@ def index_of(vocabulary: DataFrame) -> Index:
     one = entries.filter("target <> '' or marks <> ''").groupBy("target", "marks", "measure").agg(F.min("vocab_id").alias("vocab_id"))
     forms = one.join(aliases.join(shared, "form", "left_anti"), "target").withColumn("form_id", F.xxhash64("target", "form", "marks", "measure"))
     forms = written(forms)
-    size = forms.agg(F.count(F.lit(1)).alias("n"), F.sum(2 * (F.length("form") + F.length("marks")) + 7).alias("grams")).first()
+    size = forms.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("form") + F.length("marks") + 3).alias("grams")).first()
     small = (size["grams"] or 0) * POSTING_BYTES <= BROADCAST_LIMIT
     each = forms.select("form_id", "measure", "marks", F.explode(grams(F.trim(F.concat_ws(" ", "form", "marks")))).alias("gram"))
     idf = each.groupBy("gram").agg(F.log((size["n"] + 1.0) / (F.count(F.lit(1)) + 0.5)).alias("idf"))
@@ -208,7 +206,7 @@ def best_entries(texts: DataFrame, index: Index, threshold: float = THRESHOLD, m
     shown = grams(F.trim(F.concat_ws(" ", "words", "marks")))
     idf = index.postings.groupBy("gram").agg(F.first("idf").alias("idf"))
     unseen = math.log((index.n_forms + 1) / 0.5)
-    # a text is some fifty grams, so tasks are sized by texts and not by their few bytes; all that follows stays placed by the text's hash,
+    # a text is some thirty grams, so tasks are sized by texts and not by their few bytes; all that follows stays placed by the text's hash,
     # which only blurs a score should two texts ever share one: candidates are checked on the text itself
     t = texts.select(*key, F.xxhash64(*key).alias("h")).repartition(max(1, math.ceil(texts.count() / TEXTS_PER_TASK)), "h")
     own = t.select("h", "measure", "marks", F.explode(shown).alias("gram")).join(index.side(idf), "gram", "left").withColumn("w", F.coalesce("idf", F.lit(unseen)))
