@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from assayloom.common import BROADCAST_LIMIT, written
+
 NODE_SCHEMA = "doc string, node long, parent long, label string, ordinal int, kind string, scalar string"
 _ARROW = pa.schema([("doc", pa.string()), ("node", pa.int64()), ("parent", pa.int64()), ("label", pa.string()), ("ordinal", pa.int32()), ("kind", pa.string()), ("scalar", pa.string())])
 _ROWS = 50_000
@@ -174,6 +176,10 @@ def _span() -> Column:
 WIDE_CELLS = Wanted(frozenset(["table_uid", "colspan", "namest", "nameend", "tgroup", "tgroups", "tgroups[]", *_ROW_LABELS]), frozenset(_CELL_LABELS), 2)
 
 
+#: Bytes of one span in a broadcast table, generously.
+SPAN_BYTES = 256
+
+
 def _cells(nodes: DataFrame) -> DataFrame:
     cells = nodes.filter(F.col("label").isin(_CELL_LABELS))
     return cells.select("doc", "node", F.col("parent").alias("row_node"), F.col("ordinal").alias("cell_ix"), F.col("scalar").alias("own"))
@@ -186,7 +192,10 @@ def wide_cells(nodes: DataFrame) -> DataFrame:
     span and is left out before the pivot.
     """
     spans = scalar_children(nodes.filter("label <> 'colspan' or try_cast(scalar AS double) >= 2"), _SPAN).select("doc", "node", _span().alias("colspan")).filter("colspan > 1")
-    found = _cells(nodes).drop("own").join(spans, ["doc", "node"])
+    spans = written(spans)
+    # few and counted, they are broadcast to the cells, which then need no shuffle; beyond the bound both sides shuffle
+    side = F.broadcast(spans) if spans.count() * SPAN_BYTES <= BROADCAST_LIMIT else spans
+    found = _cells(nodes).drop("own").join(side, ["doc", "node"])
     return found.join(row_entity(nodes), ["doc", "row_node"]).select("table_uid", "tgroup_ix", "section", "row_ix", "cell_ix", "colspan")
 
 
