@@ -208,20 +208,22 @@ def best_entries(texts: DataFrame, index: Index, threshold: float = THRESHOLD, m
     shown = grams(F.trim(F.concat_ws(" ", "words", "marks")))
     idf = index.postings.groupBy("gram").agg(F.first("idf").alias("idf"))
     unseen = math.log((index.n_forms + 1) / 0.5)
-    # a text is some fifty grams, so tasks are sized by texts and not by their few bytes; all that follows stays placed by the text's hash,
-    # which only blurs a score should two texts ever share one: candidates are checked on the text itself
+    # a text is some fifty grams, so tasks are sized by texts and not by their few bytes; all that follows stays placed by the text's hash.
+    # hashes only find candidates: these are checked on the text, its measurement and its designators themselves
     t = texts.select(*key, F.xxhash64(*key).alias("h")).repartition(max(1, math.ceil(texts.count() / TEXTS_PER_TASK)), "h")
-    own = t.select("h", "measure", "marks", F.explode(shown).alias("gram")).join(index.side(idf), "gram", "left").withColumn("w", F.coalesce("idf", F.lit(unseen)))
+    where = F.xxhash64("measure", "marks", "gram").alias("k")
+    own = t.select("h", "measure", "marks", F.explode(shown).alias("gram")).join(index.side(idf), "gram", "left").select("h", where, F.coalesce("idf", F.lit(unseen)).alias("w"))
     square = F.sum(F.col("w") * F.col("w"))
-    upto = square.over(Window.partitionBy("h").orderBy("w", "gram").rowsBetween(Window.unboundedPreceding, 0))
+    upto = square.over(Window.partitionBy("h").orderBy("w", "k").rowsBetween(Window.unboundedPreceding, 0))
     own = own.withColumns({"_upto": upto, "norm": F.sqrt(square.over(Window.partitionBy("h")))})
     probes = own.filter(F.col("_upto") >= threshold * threshold / 4 * F.col("norm") * F.col("norm"))
-    hits = probes.join(index.side(index.postings.drop("idf")), ["measure", "marks", "gram"]).groupBy("h", "norm", "form_id").agg(F.sum(F.col("w") * F.col("iw")).alias("dot"))
+    hits = probes.join(index.side(index.postings.select(where, "form_id", "iw")), "k").groupBy("h", "norm", "form_id").agg(F.sum(F.col("w") * F.col("iw")).alias("dot"))
     hits = hits.filter(F.col("dot") >= threshold / 2 * F.col("norm"))
     known = index.forms.groupBy("target").agg(F.sort_array(F.collect_set("form")).alias("forms"))
     fits = F.pandas_udf(lambda typed, f: pd.Series([names_target(x, list(y)) for x, y in zip(typed, f, strict=True)], dtype=bool), "boolean")
-    pairs = hits.join(index.side(index.forms.select("form_id", "target", "vocab_id")), "form_id").groupBy("h", "norm", "target", "vocab_id").agg(F.collect_list("form_id").alias("ids"))
-    pairs = pairs.join(t, "h").join(index.side(known), "target").filter(fits("words", "forms"))
+    entry = index.forms.select("form_id", "target", "vocab_id", F.col("measure").alias("_measure"), F.col("marks").alias("_marks"))
+    pairs = hits.join(index.side(entry), "form_id").groupBy("h", "norm", "target", "vocab_id", "_measure", "_marks").agg(F.collect_list("form_id").alias("ids"))
+    pairs = pairs.join(t, "h").filter("measure = _measure and marks = _marks").join(index.side(known), "target").filter(fits("words", "forms"))
     full = pairs.select("h", *key, "norm", "target", "vocab_id", F.explode("ids").alias("form_id")).select("*", F.explode(shown).alias("gram"))
     full = full.join(index.side(index.postings.select("form_id", "gram", "idf", "iw")), ["form_id", "gram"]).groupBy("h", *key, "norm", "target", "vocab_id", "form_id").agg((F.sum(F.col("idf") * F.col("iw")) / F.col("norm")).alias("score"))
     named = full.groupBy("h", *key, "target", "vocab_id").agg(F.max("score").alias("score")).filter(F.col("score") >= threshold)
