@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayloom.functions import cells as fn
+from assayloom.functions import texts
 from assayloom.operators import audit, drawings, extract, gaps, identity, layout, legend, names, rules, views
 from assayloom.plans import pipeline
 from assayloom.plans.reference_queries import _flat, query
@@ -436,3 +437,55 @@ def q_case_vertical_names(spark: SparkSession, d: str) -> DataFrame:
     lines = ["Compounds", "1", "2-(4-chloro-phenyl)-3-", "[1-methyl-ethyl]-amide", "I-2", "4-(2-oxo-1,2-dihydropyridin-3-yl)-benzoic", "acid", "3", "white solid", "4", ""]
     df = spark.createDataFrame([(1, i, t) for i, t in enumerate(lines)] + [(2, 0, None)], "k int, row_ix int, text string")
     return names.vertical_names(df, ["k"])
+
+
+# -- texts and lists -------------------------------------------------------------------------------------------------------------
+
+_SPLITS = [("a, b", ["a", "b"]), ("1-(2,3-dimethyl), x", ["1-(2,3-dimethyl)", "x"]), ("[a, b], {c, d}", ["[a, b]", "{c, d}"]), ("a), b", ["a)", "b"]), ("one", ["one"]), ("", [""]), (" , ", ["", ""])]
+
+
+@query(expected("case_no int, n int, part string", [(i, n, p) for i, (_, parts) in enumerate(_SPLITS) for n, p in enumerate(parts)]))
+def q_case_splits(spark: SparkSession, d: str) -> DataFrame:
+    """Lists cut at the commas outside brackets; a bracket that never opened cuts nothing off."""
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(_SPLITS)], "case_no int, t string")
+    return df.select("case_no", F.posexplode(texts.split_top_level(F.col("t"))).alias("n", "part"))
+
+
+@query(expected("k int, start long, ref string, rank int", [(1, 100, "a", 1), (3, 70, "y", 1), (3, 70, "x", 2)]))
+def q_case_before(spark: SparkSession, d: str) -> DataFrame:
+    """Things within reach before an event and behind the event before it; an event with more than two has none."""
+    events = spark.createDataFrame([(1, 100), (1, 200), (2, 50), (3, 70), (None, 5)], "k int, start long")
+    things = spark.createDataFrame([(1, 90, "a"), (1, 10, "b"), (1, 150, "c"), (1, 160, "d"), (1, 170, "e"), (2, 60, "f"), (3, 30, "x"), (3, 60, "y"), (3, 10, "z"), (4, 1, "q")], "k int, position long, ref string")
+    return drawings.before_within(events, things, "k", "start", "position", 50).select("k", "start", "ref", F.col("rank").cast("int").alias("rank"))
+
+
+@query(expected("k int, first long, last long, n long", [(1, 0, 110, 2), (1, 300, 310, 1), (2, 5, 6, 1), (3, 0, 500, 2)]))
+def q_case_clusters(spark: SparkSession, d: str) -> DataFrame:
+    """Hits at most 120 characters apart are one cluster; a long hit bridges what lies within it."""
+    hits = spark.createDataFrame([(1, 0, 10), (1, 100, 110), (1, 300, 310), (2, 5, 6), (3, 0, 500), (3, 200, 210)], "k int, s long, e long")
+    return legend.clusters(hits, ["k"], "s", "e").select("k", "first", "last", "n")
+
+
+@query(expected("k int, session long, head string, line string", [(1, 1, "5", "name of"), (1, 2, "6", "other"), (2, 1, "7", "x")]))
+def q_case_wrapped(spark: SparkSession, d: str) -> DataFrame:
+    """Table rows without an id continue the record before; rows before the first record belong to none."""
+    rows = [(1, 0, "5", "name"), (1, 1, "", "of"), (1, 2, "6", "other"), (2, 0, None, "lost"), (2, 1, "7", "x")]
+    df = spark.createDataFrame(rows, "k int, row_ix int, head string, line string")
+    out = layout.wrapped_rows(df, ["k"], "row_ix", "head", "line").filter("session > 0")
+    return out.select("k", F.col("session").cast("long").alias("session"), "head", "line")
+
+
+@query(expected("block string, replaced boolean", [("x", True), ("y", False), ("z", False)]))
+def q_case_replaced(spark: SparkSession, d: str) -> DataFrame:
+    """A healed block replaces the baseline if it holds all of its compounds."""
+    b = spark.createDataFrame([("x", "1"), ("x", "2"), ("y", "1"), ("z", "1"), (None, "1")], "block string, item string")
+    h = spark.createDataFrame([("x", "1"), ("x", "2"), ("x", "3"), ("y", "9"), ("y", None)], "block string, item string")
+    return rules.superset_replaces(b, h, "block", "item")
+
+
+@query(expected("k int, adopt boolean", [(1, True), (2, False), (3, True), (4, False)]))
+def q_case_table_gate(spark: SparkSession, d: str) -> DataFrame:
+    """Assembled tables: adopted with enough agreeing masses or none to check, not if all structures are one or masses contradict."""
+    rows = [(1, "a", "agrees"), (1, "b", "agrees"), (1, "c", "contradicts"), (2, "a", "agrees"), (2, "a", "agrees"), (3, "a", "unchecked"), (3, "b", None), (4, "a", "agrees"), (4, "b", "contradicts"), (4, "c", "contradicts")]
+    df = spark.createDataFrame(rows, "k int, inchikey string, verdict string")
+    return drawings.table_gate(df, ["k"]).select("k", "adopt")
