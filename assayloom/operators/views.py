@@ -73,6 +73,46 @@ def with_parts(columns: DataFrame) -> DataFrame:
     return c.withColumn("part", F.coalesce(F.floor(F.col("col") / period).cast("int"), F.lit(0))).drop("_k")
 
 
+def assembled(cells: DataFrame, widths: DataFrame | None = None) -> DataFrame:
+    """Cells of whole tables, which their markup may spread over several groups: one group per table, its rows in order.
+
+    The groups whose rows mostly open with an id make the table's body, or, where there are none, those of the width with most rows; other
+    groups are notes between them and are left out. Header rows come from every group, each text once; one of a group of other width is put
+    over the columns that begin nearest to where its own begin by ``widths`` (keys, col_widths), and is left out without these.
+    """
+    t = fn.blank_trim(F.col("text"))
+    rows = cells.groupBy(*KEY, "section", "row_ix").agg(F.max(F.col("col") + F.col("colspan")).cast("int").alias("w"), F.min(F.when(t != "", F.struct("col", t.alias("t"))))["t"].alias("first"), F.concat_ws("|", F.transform(F.array_sort(F.collect_list(F.struct("col", t.alias("t")))), lambda x: x["t"])).alias("line"))
+    body = (F.col("section") == "body") & F.col("first").isNotNull()
+    groups = rows.groupBy(*KEY).agg(F.max("w").alias("w"), F.count_if(body).alias("n"), F.count_if(body & fn.is_cid_shaped(F.col("first")) & F.col("first").rlike("[0-9]")).alias("ids"))
+    groups = groups.withColumn("kin", (F.col("n") > 0) & (F.col("ids") * 2 >= F.col("n")))
+    by_width = groups.groupBy("table_uid", "w").agg(F.sum("n").alias("k"), F.bool_or("kin").alias("kin"))
+    chosen = by_width.groupBy("table_uid").agg(F.bool_or("kin").alias("_any"), F.max(F.when(F.col("kin"), F.col("w"))).alias("_kin_w"), F.max(F.struct("k", "w"))["w"].alias("_most_w"))
+    chosen = chosen.select("table_uid", "_any", F.when(F.col("_any"), F.col("_kin_w")).otherwise(F.col("_most_w")).alias("_w"))
+    groups = groups.join(chosen, "table_uid").withColumn("_in", F.when(F.col("_any"), F.col("kin")).otherwise((F.col("w") == F.col("_w")) & (F.col("n") > 0)))
+    if widths is not None:
+        groups = groups.join(widths.select(*KEY, "col_widths"), KEY, "left")
+    else:
+        groups = groups.withColumn("col_widths", F.lit(None).cast("array<double>"))
+    table = Window.partitionBy("table_uid")
+    home = F.min(F.when(F.col("_in"), F.col("tgroup_ix"))).over(table)
+    edges = F.min_by(F.when(F.col("_in") & (F.col("w") == F.col("_w")), F.col("col_widths")), F.when(F.col("_in") & (F.col("w") == F.col("_w")), F.col("tgroup_ix"))).over(table)
+    groups = groups.withColumns({"_home": home, "_edges": edges}).filter("_home is not null").select(*KEY, "w", "_w", "_in", "_home", "col_widths", "_edges")
+    c = cells.join(groups, KEY).filter((F.col("section") == "header") | F.col("_in"))
+    begins = lambda ws, k: F.aggregate(F.slice(ws, F.lit(1), k), F.lit(0.0), lambda x, y: x + y)
+    nearest = lambda k: F.array_min(F.transform(F.sequence(F.lit(0), F.col("_w")), lambda i: F.struct(F.abs(begins(F.col("_edges"), i) - begins(F.col("col_widths"), k)).alias("d"), i.alias("i"))))["i"]
+    other = (F.col("section") == "header") & (F.col("w") != F.col("_w"))
+    at = F.when(other, nearest(F.col("col"))).otherwise(F.col("col"))
+    upto = F.when(other, nearest((F.col("col") + F.col("colspan")).cast("int"))).otherwise((F.col("col") + F.col("colspan")).cast("int"))
+    c = c.filter(~other | (F.col("_edges").isNotNull() & F.col("col_widths").isNotNull()))
+    c = c.withColumns({"_at": at, "_to": upto}).withColumns({"col": F.col("_at").cast("int"), "colspan": F.greatest(F.lit(1), F.col("_to") - F.col("_at")).cast("long")})
+    # a header that every group repeats counts once
+    line = rows.filter("section = 'header'").select(*KEY, "section", "row_ix", "line")
+    once = line.withColumn("_rn", F.row_number().over(Window.partitionBy("table_uid", "line").orderBy("tgroup_ix", "row_ix"))).filter("_rn > 1").drop("_rn", "line")
+    c = c.join(once, [*KEY, "section", "row_ix"], "left_anti")
+    c = c.withColumn("row_ix", F.dense_rank().over(Window.partitionBy("table_uid", "section").orderBy("tgroup_ix", "row_ix")) - 1)
+    return c.withColumn("tgroup_ix", F.col("_home")).select(*cells.columns)
+
+
 def flat_view(cells: DataFrame, columns: DataFrame) -> DataFrame:
     return extract.records_of_cells(cells, with_parts(extract.kinds_of(columns))).withColumn("view", F.lit("flat"))
 

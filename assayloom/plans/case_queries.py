@@ -212,6 +212,30 @@ def q_case_fidelity(spark: SparkSession, d: str) -> DataFrame:
     return out.select("patent_id", *[F.col(c).cast("long").alias(c) for c in ("source_cells", "parsed_cells", "source_rows", "parsed_rows")])
 
 
+_FRAGMENTS = [
+    *cells_of(51, [], [["", "BTK IC50 (nM)"]], group=0),  # a header stub narrower than the data
+    *cells_of(51, [["1", "x", "5.5"], ["2", "y", "6.5"]], [["Cpd", "Note", ""]], group=1),
+    *cells_of(51, [["1H NMR 7.2 (s)"]], group=2),  # a note between the rows
+    *cells_of(51, [["3", "z", "7.5"]], [["Cpd", "Note", ""]], group=3),  # the header again
+    *cells_of(52, [["a b", "1.5"], ["c d", "2.5"]], [["Name", "Ki"]], group=0), *cells_of(52, [["t", "u", "v"]], group=1),  # no ids: the width with most rows
+]
+
+
+@query(
+    expected(
+        "table_uid long, section string, row_ix int, line string",
+        [(51, "header", 0, "2:BTK IC50 (nM)"), (51, "header", 1, "0:Cpd|1:Note|2:"), (51, "body", 0, "0:1|1:x|2:5.5"), (51, "body", 1, "0:2|1:y|2:6.5"), (51, "body", 2, "0:3|1:z|2:7.5"), (52, "header", 0, "0:Name|1:Ki"), (52, "body", 0, "0:a b|1:1.5"), (52, "body", 1, "0:c d|1:2.5")],
+    )
+)
+def q_case_assembled(spark: SparkSession, d: str) -> DataFrame:
+    """Tables spread over groups put together: bodies in order, headers once and over the columns they stand above, notes left out."""
+    cells = spark.createDataFrame(_FRAGMENTS, CELLS).filter("not (table_uid = 51 and tgroup_ix = 0 and text = '')")
+    widths = spark.createDataFrame([(51, 0, [90.0, 60.0]), (51, 1, [40.0, 50.0, 60.0]), (51, 3, [40.0, 50.0, 60.0])], "table_uid long, tgroup_ix int, col_widths array<double>")
+    out = views.assembled(cells, widths)
+    line = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("col", "text"))), lambda x: F.concat_ws(":", x["col"], x["text"])), "|")
+    return out.groupBy("table_uid", "section", "row_ix").agg(line.alias("line"))
+
+
 # -- legends ---------------------------------------------------------------------------------------------------------------------
 
 _LINES = ["DNA-PK (enzymatic):", "A: IC50 < 3 nM", "B: 3 nM ≤ IC50 < 7 nM", "pDNA-PK (cellular):", "A: IC50 < 0.5 μM", "B: gibberish", "Kv11.1 hERG:", "A: Ki > 25 μM", "B: 25 μM ≥ Ki > 15 μM"]

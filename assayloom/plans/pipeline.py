@@ -33,13 +33,14 @@ def cells_of(docs: DataFrame) -> DataFrame:
 def dump(docs: DataFrame, structures: DataFrame | None = None) -> Dump:
     """Records with their intervals and units, structures by precedence, losses, audit flags, manifest and delivered compounds.
 
-    Groups are read by their best view. A legend is looked for in the table's own cells and rows, in its caption, in the last table before it
+    Blocks are put together from their groups and read by their best view. A legend is looked for in the table's own cells and rows, in its caption, in the last table before it
     that has one, and in the description; the first of these that defines a grade counts. The unit of a record without one comes from
     the description if all its sentences with the metric agree. Documents without tables give nothing; structures (patent_id, cid, name,
     inchikey, source, structure_id) come from a name or drawing route and may be left out.
     """
     cells = written(cells_of(docs))
-    recs = views.extract_all(cells)
+    widths = src.parse_groups(docs).select(F.xxhash64("patent_id", "block_ix").alias("table_uid"), "tgroup_ix", "col_widths")
+    recs = views.extract_all(views.assembled(cells, widths))
     tables = cells.select("patent_id", "table_uid", "block_ix", "table_id").distinct()
     captions = src.context_of_blocks(docs).join(tables, ["patent_id", "block_ix"]).select("table_uid", F.col("caption").alias("text"))
     body = cells.filter("section = 'body'").select("table_uid", "text")

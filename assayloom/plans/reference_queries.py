@@ -344,11 +344,7 @@ def q_sessions(spark: SparkSession, d: str) -> DataFrame:
 # -- legends ---------------------------------------------------------------------------------------------------------------------
 
 
-@query(
-    r"""WITH t AS (SELECT DISTINCT table_uid, following FROM table_objects WHERE following IS NOT NULL),
-p AS (SELECT table_uid, unnest(regexp_extract_all(following, '[A-E]: (?:below [0-9.]+ nM|[0-9.]+ to [0-9.]+ nM|above [0-9.]+ nM)')) AS s FROM t)
-SELECT DISTINCT table_uid, substr(s, 1, 1) AS symbol, TRY_CAST(coalesce(nullif(regexp_extract(s, '([0-9.]+) to', 1), ''), nullif(regexp_extract(s, 'above ([0-9.]+)', 1), '')) AS DOUBLE) AS lo, TRY_CAST(coalesce(nullif(regexp_extract(s, 'to ([0-9.]+)', 1), ''), nullif(regexp_extract(s, 'below ([0-9.]+)', 1), '')) AS DOUBLE) AS hi, 'nM' AS unit FROM p"""
-)
+@query("SELECT DISTINCT table_uid, symbol, CAST(lo AS DOUBLE) AS lo, CAST(hi AS DOUBLE) AS hi, unit FROM table_objects JOIN (VALUES ('A', NULL, 10.0, 'nM'), ('B', 10.0, 100.0, 'nM'), ('C', 100.0, NULL, 'nM')) AS v(symbol, lo, hi, unit) ON following = 'A: below 10 nM; B: 10 to 100 nM; C: above 100 nM.'")
 def q_bin_parse(spark: SparkSession, d: str) -> DataFrame:
     """Legends in the text after tables, as intervals; conflicting symbols are dropped."""
     t = table(spark, d, "table_objects", "table_uid", "following").filter("following is not null")
@@ -373,15 +369,18 @@ def q_bin_conflict(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    """WITH b AS (SELECT * FROM (VALUES ('A', NULL, 10.0, 'nM'), ('B', 10.0, 100.0, 'nM'), ('C', 100.0, NULL, 'nM')) AS v(s, lo, hi, u)),
-j AS (SELECT r.dump_row, r.range_lo, r.range_hi, r.unit, b.lo, b.hi, b.u, b.s IS NOT NULL AND r.range_lo IS NULL AND r.range_hi IS NULL AND (CASE WHEN regexp_matches(r.unit, '^(?:[numpµμ]?M|[numpµμ]?mol/[lL])$') THEN true WHEN regexp_matches(r.unit, '^(?:%|percent|pct)$|^m?g/kg$|^(?:fold|ratio|x)$') THEN false ELSE true END) AS take FROM reader_dump r LEFT JOIN b ON upper(r.letter_grade) = b.s WHERE r.letter_grade IS NOT NULL)
+    """WITH t AS (SELECT DISTINCT patent_id, table_id FROM table_objects WHERE following = 'A: below 10 nM; B: 10 to 100 nM; C: above 100 nM.' AND patent_id IS NOT NULL AND table_id IS NOT NULL),
+b AS (SELECT * FROM (VALUES ('A', NULL, 10.0, 'nM'), ('B', 10.0, 100.0, 'nM'), ('C', 100.0, NULL, 'nM')) AS v(s, lo, hi, u)),
+j AS (SELECT r.dump_row, r.range_lo, r.range_hi, r.unit, b.lo, b.hi, b.u, t.table_id IS NOT NULL AND b.s IS NOT NULL AND r.range_lo IS NULL AND r.range_hi IS NULL AND (CASE WHEN regexp_matches(r.unit, '^(?:[numpµμ]?M|[numpµμ]?mol/[lL])$') THEN true WHEN regexp_matches(r.unit, '^(?:%|percent|pct)$|^m?g/kg$|^(?:fold|ratio|x)$') THEN false ELSE true END) AS take
+  FROM reader_dump r LEFT JOIN t USING (patent_id, table_id) LEFT JOIN b ON upper(r.letter_grade) = b.s WHERE r.letter_grade IS NOT NULL)
 SELECT dump_row, CASE WHEN take THEN lo ELSE range_lo END AS range_lo, CASE WHEN take THEN hi ELSE range_hi END AS range_hi, CASE WHEN take THEN coalesce(u, unit) ELSE unit END AS unit FROM j"""
 )
 def q_bin_attach(spark: SparkSession, d: str) -> DataFrame:
-    """Intervals of a common legend attached to graded rows without bounds, where the units fit."""
-    r = table(spark, d, "reader_dump", "dump_row", "letter_grade", "range_lo", "range_hi", "unit").filter("letter_grade is not null").withColumn("scope", F.lit("all"))
-    b = spark.createDataFrame([("all", "A", None, 10.0, "nM"), ("all", "B", 10.0, 100.0, "nM"), ("all", "C", 100.0, None, "nM")], "scope string, symbol string, lo double, hi double, unit string")
-    return legend.attach(r, b, ["scope"]).select("dump_row", "range_lo", "range_hi", "unit")
+    """The legends below tables attached to the graded rows of these tables that have no bounds, where the units fit."""
+    r = table(spark, d, "reader_dump", "dump_row", "patent_id", "table_id", "letter_grade", "range_lo", "range_hi", "unit").filter("letter_grade is not null")
+    t = table(spark, d, "table_objects", "patent_id", "table_id", "following").filter("following is not null and patent_id is not null and table_id is not null").distinct()
+    keys = ["patent_id", "table_id"]
+    return legend.attach(r, legend.drop_conflicts(legend.bins(t, keys, F.col("following")), keys), keys).select("dump_row", "range_lo", "range_hi", "unit")
 
 
 @query()
