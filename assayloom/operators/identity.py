@@ -24,6 +24,40 @@ def best_structure(structures: DataFrame, keys: list[str]) -> DataFrame:
     return first_per_key(structures, keys, [F.col("inchikey").isNull().asc(), F.col("structure_id").asc()])
 
 
+#: Where a name may stand by how sure it is: labelled before bracketed before the start of a line before bare.
+SHAPES = ["labelled", "bracketed", "line_start", "bare"]
+#: Kinds of reading in the order they are believed.
+KINDS = ["raw", "dewrapped", "repaired", "recognised"]
+
+
+def ranked_structures(structures: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, structure_id, inchikey, mass_check): per key the structure whose mass agrees, then one with a structure key, then the earliest.
+
+    A combined aggregate, so that a key with very many structures costs a row per task.
+    """
+    rank = F.struct(F.when(F.col("mass_check") == "agree", 0).when(F.coalesce("mass_check", F.lit("")) == "contradict", 2).otherwise(1).alias("m"), F.col("inchikey").isNull().cast("int").alias("k"), F.col("structure_id").alias("s"))
+    g = structures.groupBy(*keys).agg(F.min_by(F.struct("structure_id", "inchikey", "mass_check"), rank).alias("_b"))
+    return g.select(*keys, "_b.*")
+
+
+def best_name_text(texts: DataFrame, keys: list[str]) -> DataFrame:
+    """Per key the reading of its name to believe: (keys, name_text, line, gap, shape, kind).
+
+    Nearest line, then nearest in characters, then by how the number was written, the longest, and the plainest kind of reading.
+    """
+    place = lambda c, names: F.coalesce(*[F.when(F.col(c) == n, F.lit(i)) for i, n in enumerate(names)], F.lit(len(names)))
+    rank = F.struct(F.col("line"), F.col("gap"), place("shape", SHAPES).alias("s"), (-F.length("name_text")).alias("n"), place("kind", KINDS).alias("k"), F.col("name_text").alias("t"))
+    g = texts.filter("name_text is not null").groupBy(*keys).agg(F.min_by(F.struct("name_text", "line", "gap", "shape", "kind"), rank).alias("_b"))
+    return g.select(*keys, "_b.*")
+
+
+def reported_masses(sources: list[DataFrame], keys: list[str]) -> DataFrame:
+    """(keys, mz, shift): the mass a document states for a compound; the first source that has one counts (rows, then headings, then columns)."""
+    tagged = reduce(DataFrame.unionByName, [x.filter("mz is not null").select(*keys, "mz", "shift").withColumn("_p", F.lit(i)) for i, x in enumerate(sources)])
+    g = tagged.groupBy(*keys).agg(F.min(F.struct("_p", "mz", "shift")).alias("_m"))
+    return g.select(*keys, "_m.mz", "_m.shift")
+
+
 def by_precedence(routes: list[DataFrame], keys: list[str]) -> DataFrame:
     """Union of routes, best first: a later route adds only keys that no earlier one has. Rows with a null key are kept by all."""
     out = routes[0]

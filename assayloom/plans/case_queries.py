@@ -513,3 +513,26 @@ def q_case_table_gate(spark: SparkSession, d: str) -> DataFrame:
     rows = [(1, "a", "agrees"), (1, "b", "agrees"), (1, "c", "contradicts"), (2, "a", "agrees"), (2, "a", "agrees"), (3, "a", "unchecked"), (3, "b", None), (4, "a", "agrees"), (4, "b", "contradicts"), (4, "c", "contradicts")]
     df = spark.createDataFrame(rows, "k int, inchikey string, verdict string")
     return drawings.table_gate(df, ["k"]).select("k", "adopt")
+
+
+@query(expected("patent_id string, cid string, structure_id long, mass_check string", [("P", "1", 3, "agree"), ("P", "2", 5, None), ("P", "3", 6, None), ("Q", "1", 8, "contradict")]))
+def q_case_ranked(spark: SparkSession, d: str) -> DataFrame:
+    """An agreeing mass before a structure key before the earliest; a contradicting mass is the last resort."""
+    rows = [("P", "1", 1, "K", None), ("P", "1", 2, "K", "contradict"), ("P", "1", 3, None, "agree"), ("P", "2", 4, None, None), ("P", "2", 5, "K", None), ("P", "3", 7, None, None), ("P", "3", 6, None, None), ("Q", "1", 8, "K", "contradict")]
+    df = spark.createDataFrame(rows, "patent_id string, cid string, structure_id long, inchikey string, mass_check string")
+    return identity.ranked_structures(df, ["patent_id", "cid"]).select("patent_id", "cid", "structure_id", "mass_check")
+
+
+@query(expected("cid string, name_text string", [("1", "4-methylpyridine"), ("2", "2-chloro-benzamide"), ("3", "b-longer")]))
+def q_case_name_texts(spark: SparkSession, d: str) -> DataFrame:
+    """Which of several readings of a name to believe."""
+    rows = [("1", "far", 1, 0, "labelled", "raw"), ("1", "4-methylpyridine", 0, 9, "bare", "raw"), ("2", "2-chloro", 0, 1, "bracketed", "raw"), ("2", "2-chloro-benzamide", 0, 1, "labelled", "repaired"), ("3", "a", 0, 1, "bare", "raw"), ("3", "b-longer", 0, 1, "bare", "recognised"), ("4", None, 0, 0, "bare", "raw")]
+    df = spark.createDataFrame(rows, "cid string, name_text string, line int, gap int, shape string, kind string")
+    return identity.best_name_text(df, ["cid"]).select("cid", "name_text")
+
+
+@query(expected("cid string, mz double, shift double", [("1", 300.1, 1.00728), ("2", 410.0, 22.98922), ("3", 500.5, 1.00728)]))
+def q_case_reported_masses(spark: SparkSession, d: str) -> DataFrame:
+    """Masses from rows, then headings, then columns."""
+    frame = lambda rows: spark.createDataFrame(rows, "cid string, mz double, shift double")
+    return identity.reported_masses([frame([("1", 300.1, 1.00728), ("2", None, 1.00728)]), frame([("1", 301.0, 1.00728), ("2", 410.0, 22.98922)]), frame([("3", 500.5, 1.00728), ("2", 9.0, 1.00728)])], ["cid"])
