@@ -83,23 +83,33 @@ def shared_folder(spark: SparkSession) -> str:
     return "file://" + os.path.join(tempfile.gettempdir(), "assayloom-checkpoint")
 
 
-def written(df: DataFrame) -> DataFrame:
-    """The same rows, computed once and read back from a table in the shared folder, so that lost executors cost no recomputation."""
+def _store(df: DataFrame) -> tuple[DataFrame, str]:
     path = f"{shared_folder(df.sparkSession)}/assayloom-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The same rows, computed once and read back from a table in the shared folder, so that lost executors cost no recomputation."""
+    return _store(df)[0]
+
+
+def _is_there(spark: SparkSession, path: str) -> bool:
+    """Whether a stored table is still complete: the shared folder may be cleaned between queries."""
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return bool(done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done))
 
 
-_stored: dict[tuple, DataFrame] = {}
+_stored: dict[tuple, tuple[DataFrame, str]] = {}
 
 
 def written_once(sources: list[DataFrame], what: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """``written(build())``, reused by later queries of the session while the
-    sources (frames with ``_metadata``) read the same files with the same times and sizes."""
+    """``written(build())``, reused by later queries of the session while the sources (frames with ``_metadata``) read the same files with
+    the same times and sizes and the stored table is still there."""
     spark = sources[0].sparkSession
     seen = reduce(DataFrame.unionByName, sources).select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").groupBy("file_path", "file_size").agg(F.max("file_modification_time").alias("t"))
     state = seen.agg(F.count(F.lit(1)), F.sum(F.xxhash64("file_path", "file_size", "t").cast("decimal(38,0)"))).first()
     key = (spark.sparkContext.applicationId, what, tuple(state))
-    if key not in _stored:
-        _stored[key] = written(build())
-    return _stored[key]
+    if key not in _stored or not _is_there(spark, _stored[key][1]):
+        _stored[key] = _store(build())
+    return _stored[key][0]

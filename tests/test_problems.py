@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import random
+import shutil
 from types import SimpleNamespace
 
 import pytest
@@ -10,6 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from assayloom import common
 from assayloom.common import hot_keys, plain_cid, salted_left_join, shared_folder
 from assayloom.operators import orphans, shred, units, wide
 from assayloom.plans import problem_queries as pq
@@ -107,6 +109,21 @@ def test_p2_of_records_that_nest_and_repeat_differently(spark, save):
     assert sorted((r.raw_id, r.reason) for r in pq.p2_rejects(spark, d).collect()) == [(4, "not json"), (5, "no table")]
 
 
+def test_a_stored_table_that_was_cleaned_away_is_made_again(spark, save):
+    d = save(t=spark.range(5))
+    made = []
+
+    def build():
+        made.append(1)
+        return spark.range(5)
+
+    source = [spark.read.parquet(f"{d}/t.parquet").select("_metadata")]
+    assert common.written_once(source, "x", build).count() == 5 and common.written_once(source, "x", build).count() == 5 and len(made) == 1
+    key = next(k for k in common._stored if k[1] == "x")
+    shutil.rmtree(common._stored[key][1].removeprefix("file://"))
+    assert common.written_once(source, "x", build).count() == 5 and len(made) == 2
+
+
 def test_intermediate_tables_need_a_shared_folder_on_a_cluster():
     conf = SimpleNamespace(get=lambda *a: None)
     context = SimpleNamespace(master="spark://somewhere:7077", getConf=lambda: conf)
